@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import fingerprint64, fold8
+from ..plans.parallel import spread
 
 
 def vector_fingerprints(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(id, fingerprint, fingerprint8) per row."""
-    return df.select(F.col(id_col), fingerprint64(vec_col).alias("fingerprint"),
+    rows = spread(df.select(id_col, vec_col), [id_col])
+    return rows.select(F.col(id_col), fingerprint64(vec_col).alias("fingerprint"),
                      fold8(vec_col).alias("fingerprint8"))
 
 

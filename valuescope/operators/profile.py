@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..plans.parallel import spread
+
 
 def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -62,7 +64,7 @@ def value_profile(df: DataFrame, fields: Sequence[str] | None = None,
     if not names:
         raise ValueError("no fields to profile")
     names = list(dict.fromkeys(names))
-    narrow = df.select(*[_field_col(df, n).cast("string").alias(n) for n in names])
+    narrow = spread(df.select(*[_field_col(df, n).cast("string").alias(n) for n in names]))
     # Expand emits the field name as a literal per output row.
     long = narrow.unpivot([], [F.col(_quote(n)) for n in names], "field", "value")
     return long.groupBy("field", "value").agg(F.count("*").alias("count"))

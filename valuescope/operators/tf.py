@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import STOP_WORDS_EN, TOKENIZERS, note
+from ..plans.parallel import spread
 
 
 def notes(df: DataFrame, id_col: str, text_cols: Sequence[str], id_alias: str | None = None,
@@ -35,7 +36,7 @@ def tokens(df: DataFrame, id_col: str, text_cols: Sequence[str],
     """One row per token occurrence: (id, token)."""
     tok = TOKENIZERS[tokenizer] if isinstance(tokenizer, str) else tokenizer
     ident = id_alias or id_col
-    n = notes(df, id_col, text_cols, ident)
+    n = spread(notes(df, id_col, text_cols, ident), [ident])
     arr = tok(F.col("note"), stop_words) if isinstance(tokenizer, str) else tok(F.col("note"))
     return n.select(ident, F.explode(arr).alias("token"))
 
@@ -60,10 +61,19 @@ def token_profile(df: DataFrame, text_cols: Sequence[str], field: str = "token",
     the "cleaned" side of a raw/clean comparison.
     """
     tok = TOKENIZERS[tokenizer] if isinstance(tokenizer, str) else tokenizer
-    n = df.select(note(*text_cols).alias("note")).where(F.col("note") != "")
+    n = spread(df.select(note(*text_cols).alias("note")).where(F.col("note") != ""))
     arr = tok(F.col("note"), stop_words) if isinstance(tokenizer, str) else tok(F.col("note"))
     t = n.select(F.explode(arr).alias("value"))
     if clean is not None:
         t = t.select(clean(F.col("value")).alias("value"))
     return (t.groupBy("value").agg(F.count("*").alias("count"))
             .select(F.lit(field).alias("field"), "value", "count"))
+
+
+def reprofile(profile: DataFrame, clean: Callable[[Column], Column]) -> DataFrame:
+    """A cleaned profile from a raw one: values mapped by ``clean`` and their counts summed.
+
+    Equal to profiling the cleaned values directly, without rescanning the data.
+    """
+    return (profile.groupBy("field", clean(F.col("value")).alias("value"))
+            .agg(F.sum("count").cast("bigint").alias("count")))

@@ -22,6 +22,7 @@ from ..functions.text import note
 from ..operators import fingerprint as fp
 from ..operators import ordered, profile, sequence, subset, tf, xref
 from ..sources import csvtext
+from ..session import pin
 from . import oracle as O
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,8 +114,8 @@ def q_cumulate(spark, d):
 
 def q_compare_raw_clean(spark, d):
     docs = table(spark, d, "documents")
-    raw = tf.token_profile(docs, ["text"], tokenizer="treebank")
-    clean = tf.token_profile(docs, ["text"], tokenizer="treebank", clean=F.lower)
+    raw = pin(tf.token_profile(docs, ["text"], tokenizer="treebank"))
+    clean = tf.reprofile(raw, F.lower)
     return ordered.compare_profiles(clean, raw)
 
 
