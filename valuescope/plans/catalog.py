@@ -22,7 +22,9 @@ from ..functions.text import note
 from ..operators import fingerprint as fp
 from ..operators import ordered, profile, sequence, subset, tf, xref
 from ..sources import csvtext
-from ..session import pin
+from ..session import pin, scratch_path
+from ..sources import archive
+from ..streaming import profile_stream
 from . import oracle as O
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -277,6 +279,48 @@ def q_csv_column_pick(spark, d):
     return picked.groupBy("value").agg(F.count("*").alias("count"))
 
 
+# ---------------------------------------------------------------- archive tables
+
+ARCHIVE_CORE_TERMS = {"c_name": "http://rs.tdwg.org/dwc/terms/catalogNumber",
+                      "c_mktsegment": "http://rs.tdwg.org/dwc/terms/basisOfRecord",
+                      "c_nationkey": "http://purl.org/dc/terms/rightsHolder"}
+ARCHIVE_EXT_TERMS = {"o_orderkey": "http://rs.tdwg.org/ac/terms/identifier",
+                     "o_orderstatus": "http://ns.adobe.com/xap/1.0/rights/UsageTerms",
+                     "o_orderpriority": "http://ns.adobe.com/xap/1.0/Rating"}
+
+
+def q_archive_core_ext(spark, d):
+    # Stand-in input: customer (core) and orders (extension, coreid = o_custkey)
+    # written as a tab-separated archive with a descriptor; the loader does the rest.
+    folder = scratch_path(spark, "archive")
+    archive.write_archive(folder, table(spark, d, "customer"), "c_custkey", ARCHIVE_CORE_TERMS,
+                          [("orders", table(spark, d, "orders"), "o_custkey", ARCHIVE_EXT_TERMS)],
+                          core_defaults={"http://purl.org/dc/terms/type": "PhysicalObject"})
+    arc = archive.load_archive(spark, folder)
+    return archive.join_core_extension(arc.core, arc.extensions[0])
+
+
+# ---------------------------------------------------------------- streaming
+
+def _file_glob(d: str, name: str) -> str:
+    # File stream sources take a folder or a glob; the tables are single files.
+    return f"{d.rstrip('/')}/{name}.parque[t]"
+
+
+def q_stream_value_profile(spark, d):
+    docs = table(spark, d, "documents")
+    return profile_stream.stream_value_profile(
+        spark, _file_glob(d, "documents"), docs.schema, ["doc_id", "lang", "source", "n_chars"],
+        scratch_path(spark, "stream-profile"), checkpoint=scratch_path(spark, "stream-profile-ckpt"))
+
+
+def q_stream_tf_index(spark, d):
+    docs = table(spark, d, "documents")
+    return profile_stream.stream_tf_index(
+        spark, _file_glob(d, "documents"), docs.schema, "doc_id", ["text"],
+        scratch_path(spark, "stream-tf"), checkpoint=scratch_path(spark, "stream-tf-ckpt"))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)
@@ -416,6 +460,14 @@ SQL: dict[str, str] = {
     "fingerprint8_hist": (f"SELECT {O.fold8_sql('embedding')} AS fingerprint8, count(*) AS count "
                           "FROM embeddings GROUP BY 1"),
     "csv_roundtrip_profile": _csv_profile_sql(),
+    "archive_core_ext": (
+        "SELECT CAST(c.c_custkey AS VARCHAR) AS id, c.c_name AS \"dwc:catalogNumber\", "
+        "c.c_mktsegment AS \"dwc:basisOfRecord\", CAST(c.c_nationkey AS VARCHAR) AS \"dcterms:rightsHolder\", "
+        "'PhysicalObject' AS \"dcterms:type\", CAST(o.o_custkey AS VARCHAR) AS coreid, "
+        "CAST(o.o_orderkey AS VARCHAR) AS \"ac:identifier\", o.o_orderstatus AS \"xmpRights:UsageTerms\", "
+        "o.o_orderpriority AS \"xmp:Rating\" FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey"),
+    "stream_value_profile": O.profile_sql("documents", ["doc_id", "lang", "source", "n_chars"]),
+    "stream_tf_index": O.tf_index_sql("documents", "doc_id", ["text"], "treebank"),
     "csv_column_pick": ("SELECT value, count(*) AS count FROM (SELECT CAST(c_nationkey AS VARCHAR) AS value FROM customer "
                         "UNION ALL SELECT 'c_nationkey') GROUP BY value"),
 }

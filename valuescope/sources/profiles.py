@@ -2,8 +2,9 @@
 
 Each field's values were written as headerless ``value,count`` CSV under
 ``unique_<slug>.csv`` (a single file or a folder of part files). One distributed
-read covers all of them; the field comes from the file path. Only an empty value
-is NULL (no "NA"/"null" guessing).
+read covers all of them; the field comes from the file path. An unquoted empty
+value is NULL and a quoted ``""`` is the empty string (as the writer encodes
+them); no "NA"/"null" guessing.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ def load_profile_dir(spark: SparkSession, folder: str, fields: Sequence[str] | N
     paths = [f"{base}/unique_{f}.csv" for f in fields] if fields else [f"{base}/unique_*.csv"]
     df = (spark.read.schema("value string, count bigint")
           .option("escape", '"').option("header", "false")
+          .option("nullValue", "\u0000")  # only an unquoted empty field is NULL
           .csv(paths))
-    field = F.regexp_extract(F.col("_metadata.file_path"), F.lit(_FIELD_FROM_PATH), 1)
+    field = F.regexp_extract(F.col("_metadata.file_path"), _FIELD_FROM_PATH, 1)
     return df.select(field.alias("field"), "value", "count")
