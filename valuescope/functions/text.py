@@ -124,15 +124,64 @@ def word_tokens(text: Column | str, stop_words: Iterable[str] | None = STOP_WORD
     return drop_stop_words(raw, stop_words)
 
 
+# Literal needles without which a rule cannot match: the rule's regex pass is
+# skipped for texts lacking all of them (a cheap substring test instead of a
+# regex scan). Only rules with rare needles are guarded.
+_RULE_NEEDLES: dict[str, tuple[str, ...]] = {
+    '^"': ('"',),
+    "(``)": ("``",),
+    "([ (\\[{<])(\"|'')": ('"', "''"),
+    "\\.\\.\\.": ("...",),
+    "([^'])' ": ("' ",),
+    "--": ("--",),
+    '"': ('"',),
+}
+# One regex test in front of the ten contraction rules (each needs one of these words).
+_CONTRACTION_GUARD = "(?i)(cannot|d'ye|gimme|gonna|gotta|lemme|more'n|wanna|'tis|'twas)"
+
+
+def _rewrite(col: Column, pattern: str, repl: str) -> Column:
+    return F.regexp_replace(col, F.lit(pattern), F.lit(java_replacement(repl)))
+
+
+def _let(col: Column, body) -> Column:
+    """``body(x)`` with ``x`` bound to ``col`` (a lambda variable, so ``body`` may
+    use it several times without copying the expression tree of ``col``)."""
+    return F.element_at(F.transform(F.array(col), body), 1)
+
+
+def _guarded_rule(pattern: str, repl: str):
+    needles = _RULE_NEEDLES[pattern]
+
+    def body(x: Column) -> Column:
+        test = None
+        for n in needles:
+            t = F.instr(x, n) > 0
+            test = t if test is None else test | t
+        return F.when(test, _rewrite(x, pattern, repl)).otherwise(x)
+    return body
+
+
 def treebank_text(text: Column | str) -> Column:
     """Apply the Treebank rewrite chain; the result is blank-separated tokens."""
     out = _as_col(text)
+    contractions = [(p, r) for p, r in TREEBANK_RULES if p.startswith("(?i)")]
     for pattern, repl in TREEBANK_RULES:
         if pattern == "PAD":
             out = F.concat(F.lit(" "), out, F.lit(" "))
+        elif pattern.startswith("(?i)"):
+            continue
+        elif pattern in _RULE_NEEDLES:
+            out = _let(out, _guarded_rule(pattern, repl))
         else:
-            out = F.regexp_replace(out, F.lit(pattern), F.lit(java_replacement(repl)))
-    return out
+            out = _rewrite(out, pattern, repl)
+
+    def contract(x):
+        y = x
+        for pattern, repl in contractions:
+            y = _rewrite(y, pattern, repl)
+        return F.when(x.rlike(_CONTRACTION_GUARD), y).otherwise(x)
+    return _let(out, contract)
 
 
 def treebank_tokens(text: Column | str, stop_words: Iterable[str] | None = STOP_WORDS_EN) -> Column:

@@ -33,14 +33,13 @@ _MID = "_vs_mid"
 _TB = "_vs_tb"
 
 
-def sorted_index(df: DataFrame, order_by: Sequence[str | Column], group_by: Sequence[str] = (),
-                 index_col: str = "idx", num_partitions: int | None = None,
-                 unique: bool = False, group_size_col: str | None = None) -> DataFrame:
-    """Add ``index_col``: 0-based position of the row in ``order_by`` order within ``group_by``.
+def _ranged_blocks(df: DataFrame, order_by: Sequence[str | Column], group_by: Sequence[str],
+                   num_partitions: int | None, unique: bool) -> tuple[DataFrame, DataFrame]:
+    """Pinned range-sorted rows with local ordinals, and the small per-block table.
 
-    Ascending order, NULLs first (Spark's default). Rows equal on all order keys
-    get consecutive positions in arbitrary order unless ``unique`` says the keys
-    are already unique. ``group_size_col`` optionally adds the group's row count.
+    The block table has one row per (range partition, group) present:
+    _vs_pid, group keys, _vs_n (rows), _vs_first (first local ordinal),
+    _vs_off (rows of the group in earlier partitions).
     """
     spark = df.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -57,27 +56,48 @@ def sorted_index(df: DataFrame, order_by: Sequence[str | Column], group_by: Sequ
     pid = F.shiftright(F.col(_MID), 33)
     ranged = (ranged.withColumn("_vs_pid", pid)
               .withColumn("_vs_loc", F.col(_MID) - F.shiftleft(pid, 33)))
-
     blocks = ranged.groupBy("_vs_pid", *group_by).agg(
         F.count("*").alias("_vs_n"), F.min("_vs_loc").alias("_vs_first"))
     before = Window.partitionBy(*group_by).orderBy("_vs_pid").rowsBetween(
         Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_vs_off", F.coalesce(F.sum("_vs_n").over(before), F.lit(0)))
-    if group_size_col:
-        blocks = blocks.withColumn("_vs_size", F.sum("_vs_n").over(Window.partitionBy(*group_by)))
-    # Fresh names (and attribute ids) for the small side of the join.
+    return ranged, blocks
+
+
+def _join_blocks(ranged: DataFrame, blocks: DataFrame, group_by: Sequence[str],
+                 carry: Sequence[str]) -> DataFrame:
+    """Broadcast-join the (size-checked) block table back to the pinned rows.
+
+    Output: every column of ``ranged`` plus ``_b_off``, ``_b_first`` and the
+    ``carry`` columns of ``blocks`` (renamed ``_b_<name>``).
+    """
     gnames = [f"_b_g{i}" for i in range(len(group_by))]
     sel = [F.col("_vs_pid").alias("_b_pid")] + [F.col(g).alias(b) for g, b in zip(group_by, gnames)]
     sel += [F.col("_vs_off").alias("_b_off"), F.col("_vs_first").alias("_b_first")]
-    if group_size_col:
-        sel.append(F.col("_vs_size").alias("_b_size"))
+    sel += [F.col(c).alias(f"_b_{c}") for c in carry]
     # At most (partitions + groups) rows; broadcast only after checking that bound.
     small = bounded_broadcast(blocks.select(*sel))
-
     cond = F.col("_vs_pid") == F.col("_b_pid")
     for g, b in zip(group_by, gnames):
         cond = cond & F.col(g).eqNullSafe(F.col(b))
-    joined = ranged.join(small, cond, "inner")
+    return ranged.join(small, cond, "inner")
+
+
+def sorted_index(df: DataFrame, order_by: Sequence[str | Column], group_by: Sequence[str] = (),
+                 index_col: str = "idx", num_partitions: int | None = None,
+                 unique: bool = False, group_size_col: str | None = None) -> DataFrame:
+    """Add ``index_col``: 0-based position of the row in ``order_by`` order within ``group_by``.
+
+    Ascending order, NULLs first (Spark's default). Rows equal on all order keys
+    get consecutive positions in arbitrary order unless ``unique`` says the keys
+    are already unique. ``group_size_col`` optionally adds the group's row count.
+    """
+    ranged, blocks = _ranged_blocks(df, order_by, group_by, num_partitions, unique)
+    carry = []
+    if group_size_col:
+        blocks = blocks.withColumn("size", F.sum("_vs_n").over(Window.partitionBy(*group_by)))
+        carry.append("size")
+    joined = _join_blocks(ranged, blocks, group_by, carry)
     out_cols = [F.col("`" + c + "`") for c in df.columns]
     out_cols.append((F.col("_b_off") + F.col("_vs_loc") - F.col("_b_first")).alias(index_col))
     if group_size_col:
@@ -109,32 +129,38 @@ def cumulate(profile: DataFrame, num_partitions: int | None = None) -> DataFrame
     field, value, count, cum_count, cum_perc_pop, x, x_perc with
     ``cum_count`` = running sum of count ordered by (count, value), ``x`` the
     0-based ordinal in that order, percentages of the field's records and values.
+
+    Values are ranked inside their frequency class (field, count) by the
+    distributed ``sorted_index`` machinery; the class table is derived from its
+    small per-block table (no extra pass over the values), gets its running
+    totals from a window partitioned by field, and travels back with the block
+    offsets in one size-checked broadcast join.
     """
     prof = _valued(profile).select("field", "value", F.col("count").cast("bigint").alias("count"))
-    ranked = sorted_index(prof, ["value"], ["field", "count"], index_col="_vs_rank",
-                          num_partitions=num_partitions, unique=True)
-    classes = ranked.groupBy("field", "count").agg(F.count("*").alias("_vs_nv"))
+    groups = ["field", "count"]
+    ranged, blocks = _ranged_blocks(prof, ["value"], groups, num_partitions, unique=True)
+    classes = blocks.groupBy(*groups).agg(F.sum("_vs_n").alias("_vs_nv"))
     by_count = Window.partitionBy("field").orderBy("count")
     earlier = by_count.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("field")
     classes = (classes
                .withColumn("_vs_recs", F.col("count") * F.col("_vs_nv"))
-               .withColumn("_vs_vals_before", F.coalesce(F.sum("_vs_nv").over(earlier), F.lit(0)))
-               .withColumn("_vs_recs_before", F.coalesce(F.sum("_vs_recs").over(earlier), F.lit(0)))
-               .withColumn("_vs_total", F.sum("_vs_recs").over(whole))
-               .withColumn("_vs_nvals", F.sum("_vs_nv").over(whole))
-               .drop("_vs_recs", "_vs_nv"))
-    # Per field at most sqrt(2 * records) classes: bounded, checked before broadcast.
-    classes = bounded_broadcast(classes)
-    j = ranked.join(classes, ["field", "count"])
-    x = F.col("_vs_vals_before") + F.col("_vs_rank")
-    cum = F.col("_vs_recs_before") + F.col("count") * (F.col("_vs_rank") + 1)
+               .select("field", "count",
+                       F.coalesce(F.sum("_vs_nv").over(earlier), F.lit(0)).alias("vals_before"),
+                       F.coalesce(F.sum("_vs_recs").over(earlier), F.lit(0)).alias("recs_before"),
+                       F.sum("_vs_recs").over(whole).alias("total"),
+                       F.sum("_vs_nv").over(whole).alias("nvals")))
+    enriched = blocks.join(classes, groups)
+    j = _join_blocks(ranged, enriched, groups, ["vals_before", "recs_before", "total", "nvals"])
+    rank = F.col("_b_off") + F.col("_vs_loc") - F.col("_b_first")
+    x = F.col("_b_vals_before") + rank
+    cum = F.col("_b_recs_before") + F.col("count") * (rank + 1)
     return j.select(
         "field", "value", "count",
         cum.alias("cum_count"),
-        (cum.cast("double") / F.col("_vs_total").cast("double") * F.lit(100.0)).alias("cum_perc_pop"),
+        (cum.cast("double") / F.col("_b_total").cast("double") * F.lit(100.0)).alias("cum_perc_pop"),
         x.alias("x"),
-        (x.cast("double") / F.col("_vs_nvals").cast("double") * F.lit(100.0)).alias("x_perc"),
+        (x.cast("double") / F.col("_b_nvals").cast("double") * F.lit(100.0)).alias("x_perc"),
     )
 
 

@@ -64,7 +64,9 @@ def value_profile(df: DataFrame, fields: Sequence[str] | None = None,
     if not names:
         raise ValueError("no fields to profile")
     names = list(dict.fromkeys(names))
-    narrow = spread(df.select(*[_field_col(df, n).cast("string").alias(n) for n in names]))
+    # Spread (when under-partitioned) on native types, then cast to text.
+    picked = spread(df.select(*[_field_col(df, n).alias(n) for n in names]))
+    narrow = picked.select(*[F.col(_quote(n)).cast("string").alias(n) for n in names])
     # Expand emits the field name as a literal per output row.
     long = narrow.unpivot([], [F.col(_quote(n)) for n in names], "field", "value")
     return long.groupBy("field", "value").agg(F.count("*").alias("count"))

@@ -18,19 +18,22 @@ from pyspark.sql import functions as F
 from ..session import pin
 
 # Largest side (rows) the library broadcasts without a shuffle.
-MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_ROWS = 200_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      materialise: bool = True) -> DataFrame:
-    """Return ``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast`` of ``df`` when it has at most ``max_rows`` rows, else a shuffle-join side.
 
-    With ``materialise`` the side is first written to the reliable checkpoint
-    folder so the count and the join read the same rows without recomputation.
+    One job fetches at most ``max_rows + 1`` rows: their number is the size
+    check, and within the bound they become the broadcast relation (a broadcast
+    passes through the driver anyway). Above the bound nothing more is fetched:
+    ``df`` is materialised in the shared folder and joined by shuffle.
     """
-    side = pin(df) if materialise else df
-    n = side.count()
-    return F.broadcast(side) if n <= max_rows else side
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        local = df.sparkSession.createDataFrame(rows, schema=df.schema)
+        return F.broadcast(local)
+    return pin(df)
 
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.01, min_rows: int = 10_000,

@@ -68,13 +68,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the reliable checkpoint folder and cut its lineage.
+    """Materialise ``df`` under the shared checkpoint folder and cut its lineage.
 
-    Used where later stages must see exactly the same rows in exactly the same
-    partitions (range bounds are sampled, so a recomputation could move rows).
+    Used where later stages must see exactly the same rows (range bounds are
+    sampled and ordinals come from ``monotonically_increasing_id``, so a
+    recomputation could change them) and where a side is read more than once.
+    The rows are written as compressed parquet in the shared folder and read back
+    (columnar, much smaller than serialized checkpoint blocks); column names that
+    parquet cannot store fall back to a reliable RDD checkpoint. Nothing depends on
+    the physical partitions of the result.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, "pin")
+    try:
+        df.write.mode("errorifexists").parquet(path)
+    except Exception as err:  # noqa: BLE001 - names parquet rejects
+        if "INVALID_COLUMN_NAME" not in str(err) and "invalid character" not in str(err).lower():
+            raise
+        return df.checkpoint(eager=True)
+    return spark.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
