@@ -93,6 +93,17 @@ def write_field_csvs(profile: DataFrame, folder: str, fields: Sequence[str], res
     return todo
 
 
+def write_csv_pairs(counts: DataFrame, path: str, value_col: str = "value", count_col: str = "count") -> None:
+    """``value,count`` CSV text lines (RFC quoting) written as plain text files."""
+    line = F.to_csv(F.struct(F.col(value_col), F.col(count_col)), {"escape": '"', "quote": '"'})
+    counts.select(line.alias("value")).write.mode("overwrite").text(path)
+
+
+def field_output_name(dataset: str, version: str, field: str, kind: str = "unique") -> str:
+    """Output name from data set, version and field slug: ``<dataset>-<version>-<kind>-<slug>``."""
+    return f"{dataset}-{version}-{kind}-{slug_text(field)}"
+
+
 def write_text_pairs(counts: DataFrame, path: str, value_col: str = "value", count_col: str = "count") -> None:
     """``count,value`` lines (count first, value unquoted)."""
     (counts.select(F.concat_ws(",", F.col(count_col).cast("string"), F.col(value_col)).alias("value"))
