@@ -300,6 +300,55 @@ def q_archive_core_ext(spark, d):
     return archive.join_core_extension(arc.core, arc.extensions[0])
 
 
+# ---------------------------------------------------------------- more coverage
+
+def q_tf_index_multi(spark, d):
+    # Several text columns joined into one note (NULL parts skipped).
+    docs = table(spark, d, "documents")
+    return tf.tf_index(docs, "doc_id", ["source", "lang", "text"], tokenizer="words")
+
+
+def q_value_counts_nested(spark, d):
+    return profile.value_counts(_events_nested(spark, d), "data.k")
+
+
+def q_cardinality_nested(spark, d):
+    return profile.cardinality(profile.value_profile(_events_nested(spark, d), nested=True))
+
+
+def q_cumulate_tokens(spark, d):
+    # Tens of thousands of distinct values in one field: the distributed prefix sum.
+    return ordered.cumulate(tf.token_profile(table(spark, d, "documents"), ["text"], tokenizer="words"))
+
+
+def q_value_profile_orders(spark, d):
+    o = table(spark, d, "orders")
+    return profile.value_profile(o, _text_fields(o))
+
+
+def q_freq_of_freq_lineitem(spark, d):
+    return ordered.freq_of_freq(profile.value_profile(table(spark, d, "lineitem"), CUMULATE_FIELDS))
+
+
+def q_head_coverage_lineitem(spark, d):
+    return ordered.head_coverage(profile.value_profile(table(spark, d, "lineitem"), CUMULATE_FIELDS))
+
+
+def q_seq_page_describe(spark, d):
+    return sequence.describe(sequence.rank_numbers(_page_numbers(spark, d)))
+
+
+def q_seq_page_gaps(spark, d):
+    return sequence.gaps(sequence.rank_numbers(_page_numbers(spark, d)))
+
+
+def q_archive_profile(spark, d):
+    folder = scratch_path(spark, "archive")
+    archive.write_archive(folder, table(spark, d, "customer"), "c_custkey", ARCHIVE_CORE_TERMS,
+                          core_defaults={"http://purl.org/dc/terms/type": "PhysicalObject"})
+    return profile.value_profile(archive.load_archive(spark, folder).core)
+
+
 # ---------------------------------------------------------------- streaming
 
 def _file_glob(d: str, name: str) -> str:
@@ -468,6 +517,49 @@ SQL: dict[str, str] = {
         "o.o_orderpriority AS \"xmp:Rating\" FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey"),
     "stream_value_profile": O.profile_sql("documents", ["doc_id", "lang", "source", "n_chars"]),
     "stream_tf_index": O.tf_index_sql("documents", "doc_id", ["text"], "treebank"),
+    "tf_index_multi": O.tf_index_sql("documents", "doc_id", ["source", "lang", "text"], "words"),
+    "value_counts_nested": ("SELECT CAST(json_extract(props, '$.k') AS INTEGER) AS value, count(*) AS count "
+                            "FROM events GROUP BY 1"),
+    "cardinality_nested": (
+        "SELECT field, count(*) AS card FROM (" + O.profile_sql(
+            "(SELECT user_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events)",
+            ["user_id", "event_type", "data.k"], {"data.k": "k"}) + ") GROUP BY field"),
+    "cumulate_tokens": O.cumulate_sql(_token_profile_sql("words")),
+    "value_profile_orders": O.profile_sql("orders", ["o_orderkey", "o_custkey", "o_orderstatus",
+                                                     "o_orderdate", "o_orderpriority"]),
+    "freq_of_freq_lineitem": (
+        f"SELECT field, count, count(*) AS n_values, count * count(*) AS records FROM "
+        f"({O.profile_sql('lineitem', CUMULATE_FIELDS)}) WHERE value IS NOT NULL AND value <> '' GROUP BY field, count"),
+    "head_coverage_lineitem": (
+        f"WITH cl AS (SELECT field, count, count(*) AS n_values, count * count(*) AS recs FROM ({O.profile_sql('lineitem', CUMULATE_FIELDS)}) "
+        "WHERE value IS NOT NULL AND value <> '' GROUP BY field, count), "
+        "w AS (SELECT *, sum(recs) OVER (PARTITION BY field ORDER BY count DESC ROWS UNBOUNDED PRECEDING) AS recs_upto, "
+        "sum(n_values) OVER (PARTITION BY field ORDER BY count DESC ROWS UNBOUNDED PRECEDING) AS vals_upto, "
+        "sum(recs) OVER (PARTITION BY field) AS total_records, sum(n_values) OVER (PARTITION BY field) AS total_values FROM cl), "
+        "p AS (SELECT *, CAST(ceil(CAST(total_records AS DOUBLE) * percent / 100.0) AS BIGINT) AS target FROM w, "
+        "(SELECT unnest([50.0, 80.0, 90.0, 99.0]::DOUBLE[]) AS percent)), "
+        "c AS (SELECT *, vals_upto - n_values + CAST(ceil(CAST(target - (recs_upto - recs) AS DOUBLE) / CAST(count AS DOUBLE)) AS BIGINT) AS need "
+        "FROM p WHERE recs_upto >= target AND recs_upto - recs < target) "
+        "SELECT field, percent, CAST(total_records AS BIGINT) AS total_records, CAST(total_values AS BIGINT) AS total_values, "
+        "CAST(need AS BIGINT) AS values_needed, CAST(need AS DOUBLE) / CAST(total_values AS DOUBLE) * 100.0 AS values_perc FROM c"),
+    "seq_page_describe": (
+        f"SELECT grp, count(*) AS count, avg(number) AS mean, "
+        f"CASE WHEN count(*) > 1 THEN sqrt(CAST(count(*) * sum(CAST(number AS HUGEINT) * number) "
+        f"- sum(CAST(number AS HUGEINT)) * sum(CAST(number AS HUGEINT)) AS DOUBLE) "
+        f"/ CAST(count(*) * (count(*) - 1) AS DOUBLE)) END AS std, min(number) AS min, "
+        f"quantile_cont(number, 0.25) AS p25, quantile_cont(number, 0.5) AS p50, "
+        f"quantile_cont(number, 0.75) AS p75, max(number) AS max FROM ({_PAGE_NUMBERS}) GROUP BY grp"),
+    "seq_page_gaps": (
+        f"SELECT * FROM (SELECT grp, rank, number, lead(number) OVER (PARTITION BY grp ORDER BY rank) AS next_number, "
+        f"lead(number) OVER (PARTITION BY grp ORDER BY rank) - number AS gap FROM "
+        f"(SELECT grp, CAST(row_number() OVER (PARTITION BY grp ORDER BY number) - 1 AS BIGINT) AS rank, number "
+        f"FROM ({_PAGE_NUMBERS}))) WHERE gap >= 2"),
+    "archive_profile": O.profile_sql(
+        "(SELECT CAST(c_custkey AS VARCHAR) AS id, c_name, c_mktsegment, CAST(c_nationkey AS VARCHAR) AS c_nationkey, "
+        "'PhysicalObject' AS t FROM customer)",
+        ["id", "dwc:catalogNumber", "dwc:basisOfRecord", "dcterms:rightsHolder", "dcterms:type"],
+        {"dwc:catalogNumber": "c_name", "dwc:basisOfRecord": "c_mktsegment",
+         "dcterms:rightsHolder": "c_nationkey", "dcterms:type": "t"}),
     "csv_column_pick": ("SELECT value, count(*) AS count FROM (SELECT CAST(c_nationkey AS VARCHAR) AS value FROM customer "
                         "UNION ALL SELECT 'c_nationkey') GROUP BY value"),
 }
