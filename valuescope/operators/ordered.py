@@ -33,6 +33,12 @@ _MID = "_vs_mid"
 _TB = "_vs_tb"
 
 
+def _has_shuffle(df: DataFrame) -> bool:
+    """True when the physical plan of ``df`` contains an exchange (a shuffle)."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return "Exchange" in plan
+
+
 def _ranged_blocks(df: DataFrame, order_by: Sequence[str | Column], group_by: Sequence[str],
                    num_partitions: int | None, unique: bool) -> tuple[DataFrame, DataFrame]:
     """Pinned range-sorted rows with local ordinals, and the small per-block table.
@@ -47,6 +53,12 @@ def _ranged_blocks(df: DataFrame, order_by: Sequence[str | Column], group_by: Se
     keys = [F.col(g) for g in group_by] + order_cols
     base = df
     if not unique:
+        # Unique tie-break so that rows with equal keys (a hot value) still spread
+        # over range partitions. Row ids are only reproducible on a deterministic
+        # input order (file scans); an input that went through a shuffle is
+        # materialised first so that retried tasks see the same ids.
+        if _has_shuffle(base):
+            base = pin(base)
         base = base.withColumn(_TB, F.monotonically_increasing_id())
         keys = keys + [F.col(_TB)]
     ranged = (base.repartitionByRange(parts, *keys)
@@ -122,7 +134,8 @@ def frequency_classes(profile: DataFrame) -> DataFrame:
             .agg(F.count("*").alias("n_values")))
 
 
-def cumulate(profile: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def cumulate(profile: DataFrame, num_partitions: int | None = None,
+             keys: Sequence[str] = ("field",)) -> DataFrame:
     """Cumulative record curve per field, values in ascending frequency.
 
     Input: long profile (field, value, count). Output columns:
@@ -136,16 +149,17 @@ def cumulate(profile: DataFrame, num_partitions: int | None = None) -> DataFrame
     totals from a window partitioned by field, and travels back with the block
     offsets in one size-checked broadcast join.
     """
-    prof = _valued(profile).select("field", "value", F.col("count").cast("bigint").alias("count"))
-    groups = ["field", "count"]
+    keys = list(keys)
+    prof = _valued(profile).select(*keys, "value", F.col("count").cast("bigint").alias("count"))
+    groups = [*keys, "count"]
     ranged, blocks = _ranged_blocks(prof, ["value"], groups, num_partitions, unique=True)
     classes = blocks.groupBy(*groups).agg(F.sum("_vs_n").alias("_vs_nv"))
-    by_count = Window.partitionBy("field").orderBy("count")
+    by_count = Window.partitionBy(*keys).orderBy("count")
     earlier = by_count.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("field")
+    whole = Window.partitionBy(*keys)
     classes = (classes
                .withColumn("_vs_recs", F.col("count") * F.col("_vs_nv"))
-               .select("field", "count",
+               .select(*keys, "count",
                        F.coalesce(F.sum("_vs_nv").over(earlier), F.lit(0)).alias("vals_before"),
                        F.coalesce(F.sum("_vs_recs").over(earlier), F.lit(0)).alias("recs_before"),
                        F.sum("_vs_recs").over(whole).alias("total"),
@@ -156,7 +170,7 @@ def cumulate(profile: DataFrame, num_partitions: int | None = None) -> DataFrame
     x = F.col("_b_vals_before") + rank
     cum = F.col("_b_recs_before") + F.col("count") * (rank + 1)
     return j.select(
-        "field", "value", "count",
+        *keys, "value", "count",
         cum.alias("cum_count"),
         (cum.cast("double") / F.col("_b_total").cast("double") * F.lit(100.0)).alias("cum_perc_pop"),
         x.alias("x"),
@@ -206,15 +220,19 @@ def compare_profiles(clean: DataFrame, raw: DataFrame, num_partitions: int | Non
     """Pair the cumulation curves of a cleaned and a raw profile by field and ordinal.
 
     Only fields present in both profiles are paired; the curves are joined by
-    ``x`` with a full outer join (their lengths differ).
+    ``x`` with a full outer join (their lengths differ). Both curves come from one
+    cumulation over the union of the profiles keyed by (side, field).
     """
-    c = cumulate(clean, num_partitions)
-    r = cumulate(raw, num_partitions)
-    both = (c.select("field").distinct().join(r.select("field").distinct(), "field"))
-    c = c.join(both, "field", "left_semi")
-    r = r.join(both, "field", "left_semi")
-    cs = c.select("field", "x", F.col("value").alias("clean_value"),
-                  F.col("count").alias("clean_count"), F.col("cum_count").alias("clean_cum_count"))
-    rs = r.select("field", "x", F.col("value").alias("raw_value"),
-                  F.col("count").alias("raw_count"), F.col("cum_count").alias("raw_cum_count"))
+    both = (clean.select("field").distinct()
+            .join(raw.select("field").distinct(), "field"))
+    sides = (clean.join(both, "field", "left_semi").select(F.lit("clean").alias("side"), "field", "value", "count")
+             .unionByName(raw.join(both, "field", "left_semi")
+                          .select(F.lit("raw").alias("side"), "field", "value", "count")))
+    cur = cumulate(sides, num_partitions, keys=("side", "field"))
+    cs = cur.where(F.col("side") == "clean").select(
+        "field", "x", F.col("value").alias("clean_value"), F.col("count").alias("clean_count"),
+        F.col("cum_count").alias("clean_cum_count"))
+    rs = cur.where(F.col("side") == "raw").select(
+        "field", "x", F.col("value").alias("raw_value"), F.col("count").alias("raw_count"),
+        F.col("cum_count").alias("raw_cum_count"))
     return cs.join(rs, ["field", "x"], "full_outer")

@@ -236,7 +236,7 @@ def q_subset_hash(spark, d):
     return subset.hash_sample(table(spark, d, "orders"), "o_orderkey", 0.1)
 
 
-def q_slug_values(spark, d):
+def q_slug_fields(spark, d):
     p = table(spark, d, "part")
     return p.select("p_partkey", slug(F.concat_ws(" ", "p_type", "p_name", "p_brand")).alias("slug"))
 
@@ -500,7 +500,7 @@ SQL: dict[str, str] = {
     "or_filter": "SELECT * FROM part WHERE p_brand = 'Brand#13' OR p_brand = 'Brand#31'",
     "and_filter": "SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'",
     "subset_ordered": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 100",
-    "slug_values": ("SELECT p_partkey, regexp_replace(concat_ws(' ', p_type, p_name, p_brand), '[\\W_]+', '_', 'g') AS slug "
+    "slug_fields": ("SELECT p_partkey, regexp_replace(concat_ws(' ', p_type, p_name, p_brand), '[\\W_]+', '_', 'g') AS slug "
                     "FROM part"),
     "fingerprint_hist": (f"SELECT {O.fingerprint64_sql('embedding')} AS fingerprint, count(*) AS count "
                          "FROM embeddings GROUP BY 1"),

@@ -64,8 +64,11 @@ def salted_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     hot_list = bounded_broadcast(hot.withColumn("_vs_hot", F.lit(True)))
     r = (right.join(hot_list.withColumnRenamed(right_key, "_vs_rk"),
                     F.col(right_key) == F.col("_vs_rk"), "left")
-         .withColumn("_vs_salt", F.when(F.col("_vs_hot"),
-                                       (F.rand(seed=17) * salts).cast("int")).otherwise(F.lit(0)))
+         # Deterministic salt (a hash of the row): a retried task sends every row
+         # to the same reducer as the first attempt.
+         .withColumn("_vs_salt", F.when(F.col("_vs_hot"), F.pmod(
+             F.xxhash64(*[F.col("`" + c + "`") for c in right.columns]), F.lit(salts)).cast("int"))
+             .otherwise(F.lit(0)))
          .drop("_vs_rk", "_vs_hot"))
     lh = (left.join(hot_list.withColumnRenamed(right_key, "_vs_lk"),
                     F.col(left_key) == F.col("_vs_lk"), "left")
