@@ -52,3 +52,14 @@ def test_value_counts_sql_form(spark):
     spark.createDataFrame([("a",), ("a",), (None,)], "country string").createOrReplaceTempView("t_vc")
     got = {(r["value"], r["count"]) for r in profile.value_counts_sql(spark, "t_vc", "country").collect()}
     assert got == {("a", 2), (None, 1)}
+
+
+def test_cardinality_estimate_close_to_exact(spark):
+    li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    exact = {r["field"]: r["card"] for r in profile.cardinality(profile.value_profile(li)).collect()}
+    est = {r["field"]: r["card"] for r in profile.cardinality_estimate(li, rsd=0.01).collect()}
+    assert set(est) == set(exact)
+    for f, n in exact.items():
+        assert abs(est[f] - n) <= max(2, 0.05 * n), (f, est[f], n)
+    with_null = spark.createDataFrame([(None,), ("a",), ("b",)], "x string")
+    assert profile.cardinality_estimate(with_null).first()["card"] == 3

@@ -94,6 +94,27 @@ def cardinality_report(profile: DataFrame, min_card: int = 100, max_share: float
     return kept.select("field", "card", (F.row_number().over(order) - 1).cast("bigint").alias("x"))
 
 
+def cardinality_estimate(df: DataFrame, fields: Sequence[str] | None = None, rsd: float = 0.01,
+                         nested: bool = False) -> DataFrame:
+    """Approximate distinct values per field straight from the table: (field, card).
+
+    One aggregation pass with a HyperLogLog++ sketch per field (relative standard
+    deviation ``rsd``) and no shuffle of values -- the cheap option when only
+    cardinalities are needed. Values are counted as text like the exact report,
+    and the NULL group counts as one value.
+    """
+    names = list(fields) if fields is not None else field_list(df, nested)
+    aggs = []
+    for i, n in enumerate(names):
+        c = _field_col(df, n).cast("string")
+        aggs.append((F.approx_count_distinct(c, rsd)
+                     + F.max(F.when(c.isNull(), 1).otherwise(0))).alias(f"c{i}"))
+    row = df.agg(*aggs)
+    pairs = F.array(*[F.struct(F.lit(n).alias("field"), F.col(f"c{i}").cast("bigint").alias("card"))
+                      for i, n in enumerate(names)])
+    return row.select(F.inline(pairs))
+
+
 def row_count(df: DataFrame) -> DataFrame:
     """Number of records as a one-row DataFrame (0 on empty input)."""
     return df.agg(F.count("*").alias("n"))

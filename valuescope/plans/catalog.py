@@ -101,6 +101,11 @@ def q_cardinality(spark, d):
     return profile.cardinality_report(profile.value_profile(table(spark, d, "lineitem")))
 
 
+def q_cardinality_estimate(spark, d):
+    # Approximate (HyperLogLog++); checked against exact counts in the tests.
+    return profile.cardinality_estimate(table(spark, d, "lineitem"))
+
+
 def q_cardinality_all(spark, d):
     return profile.cardinality(profile.value_profile(table(spark, d, "orders")))
 
