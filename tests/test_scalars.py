@@ -26,6 +26,8 @@ def test_namespace_prefixes(spark):
     assert shorten_term("http://ns.adobe.com/xap/1.0/Y") == "xmp:Y"
     assert shorten_term("http://symbiota.org/terms/z") == "symbiotaz"
     assert shorten_term("urn:other") == "urn:other"
+    assert shorten_term("http://example.org/terms/a/b", [("http://example.org/terms/", "ex:"),
+                                                         ("http://example.org/terms/a/", "exa:")]) == "exa:b"
     df = spark.createDataFrame([("http://ns.adobe.com/xap/1.0/rights/X",), ("http://rs.tdwg.org/dwc/terms/genus",)],
                                "t string")
     assert [r[0] for r in df.select(shorten_term_col("t")).collect()] == ["xmpRights:X", "dwc:genus"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,18 +12,19 @@ from pyspark.sql import functions as F
 SLUG_PATTERN = "[\\W_]+"
 _SLUG_RE = re.compile(r"[\W_]+", re.ASCII)
 
-# Namespace URI -> short prefix of Darwin Core archive terms.
-# Longest URI first so that the overlapping pair resolves to the more specific
-# prefix. The symbiota prefix has no colon; it is kept as given.
+# Namespace URI -> short prefix of Darwin Core archive terms
+# (public vocabularies), in their usual listing order. They are applied longest
+# URI first (see ``namespace_table``) so that the overlapping pair resolves to the
+# more specific prefix. The symbiota prefix has no colon; it is kept as given.
+# Project-specific namespaces are passed in with ``extra``.
 NAMESPACE_PREFIXES: tuple[tuple[str, str], ...] = (
-    ("http://iptc.org/std/Iptc4xmpExt/1.0/xmlns/", "Iptc4xmpExt:"),
-    ("http://ns.adobe.com/xap/1.0/rights/", "xmpRights:"),
-    ("http://portal.idigbio.org/terms/", "idigbio:"),
     ("http://rs.tdwg.org/dwc/terms/", "dwc:"),
+    ("http://purl.org/dc/terms/", "dcterms:"),
     ("http://rs.tdwg.org/ac/terms/", "ac:"),
+    ("http://ns.adobe.com/xap/1.0/rights/", "xmpRights:"),
     ("http://ns.adobe.com/xap/1.0/", "xmp:"),
+    ("http://iptc.org/std/Iptc4xmpExt/1.0/xmlns/", "Iptc4xmpExt:"),
     ("http://symbiota.org/terms/", "symbiota"),
-    ("http://purl.org/dc/terms/", "dcterms:"),
 )
 
 # An integer literal with optional sign and surrounding blanks.
@@ -57,19 +59,24 @@ def to_int(s: Column | str, bits: int = 32) -> Column:
     return F.coalesce(casted, F.lit(0)).cast(target)
 
 
-def shorten_term(term: str) -> str:
+def namespace_table(extra: Sequence[tuple[str, str]] = ()) -> list[tuple[str, str]]:
+    """Built-in plus ``extra`` (uri, prefix) pairs, longest URI first."""
+    return sorted([*NAMESPACE_PREFIXES, *extra], key=lambda p: -len(p[0]))
+
+
+def shorten_term(term: str, extra: Sequence[tuple[str, str]] = ()) -> str:
     """Driver-side: replace a known namespace URI prefix by its short form."""
-    for uri, prefix in NAMESPACE_PREFIXES:
+    for uri, prefix in namespace_table(extra):
         if term.startswith(uri):
             return prefix + term[len(uri):]
     return term
 
 
-def shorten_term_col(term: Column | str) -> Column:
+def shorten_term_col(term: Column | str, extra: Sequence[tuple[str, str]] = ()) -> Column:
     """Column form of :func:`shorten_term` (first matching URI, longest first)."""
     c = _as_col(term)
     out = None
-    for uri, prefix in NAMESPACE_PREFIXES:
+    for uri, prefix in namespace_table(extra):
         branch = F.concat(F.lit(prefix), F.substring(c, len(uri) + 1, 1 << 30))
         cond = c.startswith(uri)
         out = F.when(cond, branch) if out is None else out.when(cond, branch)

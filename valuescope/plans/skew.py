@@ -36,18 +36,15 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     return pin(df)
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.01, min_rows: int = 10_000,
-             max_keys: int = 10_000) -> DataFrame:
-    """Keys of ``df`` holding more than ``share`` of its rows (and >= ``min_rows``).
+def hot_keys(df: DataFrame, key: str, share: float = 0.01, min_rows: int = 10_000) -> DataFrame:
+    """Keys of ``df`` holding more than ``share`` of its rows (and more than ``min_rows``).
 
-    At most ``1/share`` keys can pass the share test; ``max_keys`` is only a
-    guard on that bound.
+    At most ``1/share`` keys can pass the share test, so the result is bounded.
     """
     total = df.count()
     threshold = max(int(total * share), min_rows)
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_vs_rows"))
-    hot = counts.where(F.col("_vs_rows") > threshold).select(key)
-    return hot.limit(max_keys)
+    return counts.where(F.col("_vs_rows") > threshold).select(key)
 
 
 def salted_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,

@@ -26,6 +26,7 @@ default. ``join_core_extension`` joins an extension to its core on id = coreid.
 from __future__ import annotations
 
 import codecs
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -70,7 +71,7 @@ def _unescape(s: str | None, default: str) -> str:
     return codecs.decode(s, "unicode_escape") if "\\" in s else s
 
 
-def _spec(kind: str, row) -> TableSpec:
+def _spec(kind: str, row, namespaces: Sequence[tuple[str, str]] = ()) -> TableSpec:
     id_tag = "id" if kind == "core" else "coreid"
     id_struct = row[id_tag]
     if id_struct is None or id_struct["_index"] is None:
@@ -78,7 +79,7 @@ def _spec(kind: str, row) -> TableSpec:
     columns = {int(id_struct["_index"]): id_tag}
     defaults: dict[str, str] = {}
     for f in row["field"] or []:
-        term = shorten_term(f["_term"])
+        term = shorten_term(f["_term"], namespaces)
         if f["_index"] is not None:
             columns[int(f["_index"])] = term
         elif f["_default"] is not None:
@@ -95,15 +96,20 @@ def _spec(kind: str, row) -> TableSpec:
         columns=columns, defaults=defaults)
 
 
-def read_descriptor(spark: SparkSession, folder: str, meta_name: str = "meta.xml"):
-    """(metadata file name or None, [TableSpec core, TableSpec extension...])."""
+def read_descriptor(spark: SparkSession, folder: str, meta_name: str = "meta.xml",
+                    namespaces: Sequence[tuple[str, str]] = ()):
+    """(metadata file name or None, [TableSpec core, TableSpec extension...]).
+
+    ``namespaces``: extra (uri, prefix) pairs for term shortening.
+    """
     path = f"{folder.rstrip('/')}/{meta_name}"
     rows = (spark.read.format("xml").option("rowTag", "archive")
             .schema(DESCRIPTOR_SCHEMA).load(path).collect())
     if len(rows) != 1 or rows[0]["core"] is None:
         raise ValueError(f"{path}: expected one archive element with a core table")
     r = rows[0]
-    specs = [_spec("core", r["core"])] + [_spec("extension", e) for e in (r["extension"] or [])]
+    specs = ([_spec("core", r["core"], namespaces)]
+             + [_spec("extension", e, namespaces) for e in (r["extension"] or [])])
     return r["_metadata"], specs
 
 
@@ -163,9 +169,10 @@ def read_table(spark: SparkSession, folder: str, spec: TableSpec) -> DataFrame:
     return df.select(*cols)
 
 
-def load_archive(spark: SparkSession, folder: str, skip_eml: bool = False) -> Archive:
+def load_archive(spark: SparkSession, folder: str, skip_eml: bool = False,
+                 namespaces: Sequence[tuple[str, str]] = ()) -> Archive:
     """Core, extensions and (optional) EML metadata of an extracted archive folder."""
-    meta_file, specs = read_descriptor(spark, folder)
+    meta_file, specs = read_descriptor(spark, folder, namespaces=namespaces)
     core = read_table(spark, folder, specs[0])
     ext_specs = specs[1:]
     extensions: list[DataFrame] = []
