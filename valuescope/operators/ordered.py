@@ -39,6 +39,21 @@ def _has_shuffle(df: DataFrame) -> bool:
     return "Exchange" in plan
 
 
+def range_partitions(df: DataFrame) -> int:
+    """Range partitions for ``df``: its estimated size over the advisory partition
+    size, at least the default parallelism, at most ``spark.sql.shuffle.partitions``."""
+    spark = df.sparkSession
+    upper = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lower = min(upper, int(spark.sparkContext.defaultParallelism))
+    advisory = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    target = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(advisory))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: use the configured number
+        return upper
+    return max(lower, min(upper, -(-size // max(target, 1))))
+
+
 def _ranged_blocks(df: DataFrame, order_by: Sequence[str | Column], group_by: Sequence[str],
                    num_partitions: int | None, unique: bool) -> tuple[DataFrame, DataFrame]:
     """Pinned range-sorted rows with local ordinals, and the small per-block table.
@@ -47,8 +62,7 @@ def _ranged_blocks(df: DataFrame, order_by: Sequence[str | Column], group_by: Se
     _vs_pid, group keys, _vs_n (rows), _vs_first (first local ordinal),
     _vs_off (rows of the group in earlier partitions).
     """
-    spark = df.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = num_partitions or range_partitions(df)
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
     keys = [F.col(g) for g in group_by] + order_cols
     base = df
