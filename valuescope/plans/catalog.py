@@ -23,7 +23,9 @@ from ..operators import fingerprint as fp
 from ..operators import ordered, profile, sequence, subset, tf, xref
 from ..sources import csvtext
 from ..session import pin, scratch_path
+from ..sinks import write_field_csvs
 from ..sources import archive
+from ..sources.profiles import load_profile_dir
 from ..streaming import profile_stream
 from . import oracle as O
 
@@ -278,6 +280,23 @@ def q_csv_roundtrip_profile(spark, d):
     return profile.value_profile(parsed.good)
 
 
+def q_csv_file_profile(spark, d):
+    # Stand-in input: customer rendered as CSV text files (header once, in the
+    # first file); the reader finds the header, drops it and parses every line.
+    lines, _ = _customer_lines(spark, d)
+    folder = scratch_path(spark, "csv")
+    lines.write.text(folder)
+    return profile.value_profile(csvtext.read_csv_records(spark, folder).good)
+
+
+def q_profile_files_roundtrip(spark, d):
+    # Per-field value files written in one pass, then loaded back as one profile.
+    cust = table(spark, d, "customer")
+    folder = scratch_path(spark, "unique")
+    write_field_csvs(profile.value_profile(cust, _text_fields(cust)), folder, _text_fields(cust))
+    return load_profile_dir(spark, folder)
+
+
 def q_csv_column_pick(spark, d):
     lines, _ = _customer_lines(spark, d)
     picked = lines.select(csvtext.naive_pick(F.col("value"), 2).alias("value"))
@@ -565,6 +584,8 @@ SQL: dict[str, str] = {
         ["id", "dwc:catalogNumber", "dwc:basisOfRecord", "dcterms:rightsHolder", "dcterms:type"],
         {"dwc:catalogNumber": "c_name", "dwc:basisOfRecord": "c_mktsegment",
          "dcterms:rightsHolder": "c_nationkey", "dcterms:type": "t"}),
+    "csv_file_profile": _csv_profile_sql(),
+    "profile_files_roundtrip": O.profile_sql("customer", _CUST_TEXT),
     "csv_column_pick": ("SELECT value, count(*) AS count FROM (SELECT CAST(c_nationkey AS VARCHAR) AS value FROM customer "
                         "UNION ALL SELECT 'c_nationkey') GROUP BY value"),
 }

@@ -55,8 +55,10 @@ def salted_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     whose key is hot are replicated ``salts`` times. The result equals the plain
     inner join.
     """
-    # The salted side is read several times (key counts, join): materialise it once.
-    right = pin(right)
+    # The salted side is read several times (key counts, join): materialise it
+    # once unless it is a plain scan (cheap to read again).
+    if "Exchange" in right._jdf.queryExecution().executedPlan().toString():
+        right = pin(right)
     hot = hot_keys(right, right_key, share, min_rows)
     hot_list = bounded_broadcast(hot.withColumn("_vs_hot", F.lit(True)))
     r = (right.join(hot_list.withColumnRenamed(right_key, "_vs_rk"),

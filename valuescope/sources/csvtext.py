@@ -43,13 +43,30 @@ def parse_header(line: str) -> list[str]:
 
 
 def first_line(lines: DataFrame) -> str:
-    """The first line of the input (one row to the driver)."""
+    """The first row of a lines DataFrame (one row to the driver)."""
     row = lines.select("value").first()
     if row is None:
         raise ValueError("empty input: no header line")
     return row[0]
 
 
+def first_file_line(spark: SparkSession, path: str | Sequence[str]) -> str:
+    """The first line of the first file (by name) of a text input.
+
+    Spark packs file splits by size, so "the first row" of a multi-file scan is
+    not necessarily the head of the first file; this reads the line with the
+    smallest (file, position) among the first splits -- a top-1, not a sort.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("_f"),
+        F.col("_metadata.file_block_start").alias("_b"),
+        F.monotonically_increasing_id().alias("_m"))
+    row = lines.where(F.col("_b") == 0).orderBy("_f", "_m").select("value").first()
+    if row is None:
+        raise ValueError("empty input: no header line")
+    return row[0]
+
+
 def drop_header_lines(lines: DataFrame, header_line: str) -> DataFrame:
     """Remove every line equal to the header (not only the first one)."""
     return lines.where(F.col("value") != F.lit(header_line))
@@ -66,14 +83,14 @@ def _schema(names: Sequence[str]) -> str:
 
 
 def parse_lines(lines: DataFrame, header: Sequence[str] | None = None,
-                strict: bool = False) -> ParsedCsv:
+                strict: bool = False, header_line: str | None = None) -> ParsedCsv:
     """Parse CSV text lines into string columns named after the header.
 
-    ``header``: field names; by default parsed from the first line. Lines equal
-    to the header line are removed wherever they occur.
+    ``header``: field names; else parsed from ``header_line``; else from the first
+    row of ``lines``. Lines equal to the header line are removed wherever they occur.
     """
     if header is None:
-        head_line = first_line(lines)
+        head_line = header_line if header_line is not None else first_line(lines)
         names = parse_header(head_line)
     else:
         names = list(header)
@@ -100,7 +117,8 @@ def parse_lines(lines: DataFrame, header: Sequence[str] | None = None,
 
 def read_csv_records(spark: SparkSession, path: str | Sequence[str], strict: bool = False) -> ParsedCsv:
     """Text scan + header discovery + header removal + parse (tolerant by default)."""
-    return parse_lines(read_lines(spark, path), strict=strict)
+    return parse_lines(read_lines(spark, path), strict=strict,
+                       header_line=first_file_line(spark, path))
 
 
 def naive_pick(line: Column, index: int, strict: bool = False) -> Column:
