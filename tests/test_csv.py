@@ -74,3 +74,18 @@ def test_roundtrip_lines(spark):
     lines = csvtext.to_csv_lines(df)
     parsed = csvtext.parse_lines(lines)
     assert sorted(tuple(r) for r in parsed.good.collect()) == [("1", 'x,"y"'), ("2", "")]
+
+
+def test_header_from_first_file_by_name(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "parts")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "part-0.csv"), "w") as f:
+        f.write("")                                   # empty part file
+    with open(os.path.join(folder, "part-1.csv"), "w") as f:
+        f.write("k,v\n1,a\n")                         # small file with the header
+    with open(os.path.join(folder, "part-2.csv"), "w") as f:
+        f.write("k,v\n" + "".join(f"{i},b\n" for i in range(2, 2000)))  # bigger, repeated header
+    parsed = csvtext.read_csv_records(spark, folder)
+    assert parsed.header == ["k", "v"]
+    assert parsed.good.count() == 1999
+    assert parsed.good.where("k = 'k'").count() == 0

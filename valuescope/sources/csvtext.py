@@ -54,17 +54,20 @@ def first_file_line(spark: SparkSession, path: str | Sequence[str]) -> str:
     """The first line of the first file (by name) of a text input.
 
     Spark packs file splits by size, so "the first row" of a multi-file scan is
-    not necessarily the head of the first file; this reads the line with the
-    smallest (file, position) among the first splits -- a top-1, not a sort.
+    not necessarily the head of the first file. The file listing (names only)
+    gives the first file; one line is read from its first split.
     """
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("_f"),
-        F.col("_metadata.file_block_start").alias("_b"),
-        F.monotonically_increasing_id().alias("_m"))
-    row = lines.where(F.col("_b") == 0).orderBy("_f", "_m").select("value").first()
-    if row is None:
-        raise ValueError("empty input: no header line")
-    return row[0]
+    files = sorted(spark.read.text(path).inputFiles())
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for name in files:  # empty part files are skipped (length from the listing)
+        hpath = jvm.org.apache.hadoop.fs.Path(name)
+        if hpath.getFileSystem(conf).getFileStatus(hpath).getLen() == 0:
+            continue
+        row = spark.read.text(name).limit(1).first()
+        if row is not None:
+            return row[0]
+    raise ValueError("empty input: no header line")
 
 
 def drop_header_lines(lines: DataFrame, header_line: str) -> DataFrame:
@@ -135,5 +138,5 @@ def to_csv_lines(df: DataFrame, header: bool = True) -> DataFrame:
         return body
     buf = io.StringIO()
     csv.writer(buf, lineterminator="").writerow(df.columns)
-    head = df.sparkSession.range(1).select(F.lit(buf.getvalue()).alias("value"))
+    head = df.sparkSession.range(0, 1, 1, 1).select(F.lit(buf.getvalue()).alias("value"))
     return head.unionAll(body)
