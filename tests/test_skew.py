@@ -25,3 +25,19 @@ def test_bounded_broadcast_respects_bound(spark):
     plan = spark.range(1000).join(bounded_broadcast(small, 50), "id")._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" in plan
     assert big.count() == 100
+
+
+def test_hot_key_rows_spread_over_tasks(spark):
+    right = spark.range(0, 6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("1")).otherwise((F.col("id") % 97).cast("string")).alias("token"),
+        F.col("id").alias("rid"))
+    left = spark.createDataFrame([("1", 0)], "key string, lid long")
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = salted_join(left, right, "key", "token", salts=8, share=0.05, min_rows=10)
+        tasks = joined.select(F.spark_partition_id().alias("p")).distinct().count()
+        plain = left.join(right, left["key"] == right["token"]).count()
+        assert joined.count() == plain and tasks > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
