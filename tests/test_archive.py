@@ -84,3 +84,16 @@ def test_writer_reader_roundtrip(spark, tmp_dir):
     assert sorted(tuple(r) for r in arc.core.collect()) == [("1", "a"), ("2", "b")]
     j = archive.join_core_extension(arc.core, arc.extensions[0])
     assert sorted((r["id"], r["dcterms:type"]) for r in j.collect()) == [("1", "x"), ("1", "y"), ("2", None)]
+
+
+def test_location_by_suffix_and_undecodable_line(spark, tmp_dir):
+    _write(tmp_dir)
+    sub = os.path.join(tmp_dir, "data")
+    os.makedirs(sub)
+    os.rename(os.path.join(tmp_dir, "occurrence.txt"), os.path.join(sub, "x-occurrence.txt"))
+    with open(os.path.join(sub, "x-occurrence.txt"), "ab") as f:
+        f.write(bytes([0x72, 0x39, 0x09, 0xFF, 0xFE, 0x09, 0x43, 0x43, 0x30, 0x0A]))  # r9 <bad> CC0
+        f.write("r8\tok\tCC0\n".encode())
+    arc = archive.load_archive(spark, tmp_dir, skip_eml=True)
+    ids = sorted(r["id"] for r in arc.core.collect())
+    assert ids == ["r1", "r3", "r8"]

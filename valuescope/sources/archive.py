@@ -13,7 +13,8 @@ small row); each table is then a distributed CSV read:
   check);
 * the table is read as text lines (all columns of every line are always
   parsed, so counting rows cannot skip the short-row check);
-* blank lines are skipped; a row with fewer values than the highest mapped index
+* a location is resolved as given, else by file-name suffix (last match wins);
+* blank lines and undecodable lines are skipped; a row with fewer values than the highest mapped index
   is dropped; extra values are ignored; an empty value is absent (NULL);
 * terms with a default but no index become constant columns;
 * values are unquoted by RFC-4180 rules (a doubled quote is a quote).
@@ -138,15 +139,38 @@ def _read_lines(spark: SparkSession, path: str, encoding: str, line_sep: str) ->
     return reader.csv(path)
 
 
+def resolve_location(spark: SparkSession, folder: str, location: str) -> str:
+    """Path of a table: ``folder/location`` if it exists, else the last file under
+    ``folder`` (recursive listing, names only) whose path ends with ``location``."""
+    base = folder.rstrip("/")
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    direct = jvm.org.apache.hadoop.fs.Path(f"{base}/{location}")
+    fs = direct.getFileSystem(conf)
+    if fs.exists(direct):
+        return f"{base}/{location}"
+    found = None
+    files = fs.listFiles(jvm.org.apache.hadoop.fs.Path(base), True)
+    while files.hasNext():
+        name = files.next().getPath().toString()
+        if name.endswith(location):
+            found = name
+    if found is None:
+        raise FileNotFoundError(f"{location} not present in {folder}")
+    return found
+
+
 def read_table(spark: SparkSession, folder: str, spec: TableSpec) -> DataFrame:
     """One archive table as a DataFrame of string columns named by term."""
     width = max(spec.columns) + 1
     names = [f"_c{i}" for i in range(width)]
     schema = ", ".join(f"{n} string" for n in names)
-    path = f"{folder.rstrip('/')}/{spec.location}"
+    path = resolve_location(spark, folder, spec.location)
     lines = _read_lines(spark, path, spec.encoding, spec.lines_terminated_by)
-    # Blank lines are skipped before header lines are counted.
-    lines = lines.where(F.length(F.regexp_replace("value", "[\\r\\n]", "")) > 0)
+    # Blank lines are skipped before header lines are counted; so are lines that
+    # are not valid text in the declared encoding.
+    lines = lines.where((F.length(F.regexp_replace("value", "[\\r\\n]", "")) > 0)
+                        & F.is_valid_utf8("value"))
     df = lines.select("value", F.col("_metadata.file_path").alias("_file"),
                       F.col("_metadata.file_block_start").alias("_block"),
                       F.monotonically_increasing_id().alias("_mid"))
