@@ -34,9 +34,25 @@ STOP_WORDS_EN = (
     "why's would"
 ).split()
 
-# Whitespace class shared by every rule (ASCII blanks; identical in Java and RE2).
-WS = "[ \\t\\n\\x0B\\f\\r]"
-NON_WS = "[^ \\t\\n\\x0B\\f\\r]"
+def _space_ranges() -> str:
+    """Character-class body of the characters Python's ``str.isspace`` accepts
+    (the whitespace of the original Python tokeniser), as ``\\x{..}`` ranges that
+    Java and RE2 both read."""
+    cps = [c for c in range(0x10000) if chr(c).isspace()]
+    out, start, prev = [], cps[0], cps[0]
+    for c in cps[1:] + [None]:
+        if c is not None and c == prev + 1:
+            prev = c
+            continue
+        out.append(f"\\x{{{start:x}}}" if start == prev else f"\\x{{{start:x}}}-\\x{{{prev:x}}}")
+        if c is not None:
+            start = prev = c
+    return "".join(out)
+
+
+# Whitespace class shared by every rule (Unicode whitespace; same in Java and RE2).
+WS = "[" + _space_ranges() + "]"
+NON_WS = "[^" + _space_ranges() + "]"
 
 # Word characters of the word tokeniser: Unicode letters, digits and underscore
 # (the meaning of a Unicode ``\w``).
@@ -53,7 +69,7 @@ TREEBANK_RULES: tuple[tuple[str, str], ...] = (
     ("(``)", " \\1 "),
     ("([ (\\[{<])(\"|'')", "\\1 `` "),
     # punctuation
-    ("([:,])([^0-9])", " \\1 \\2"),
+    ("([:,])([^\\p{Nd}])", " \\1 \\2"),
     ("([:,])\\n?\\z", " \\1 "),
     ("\\.\\.\\.", " ... "),
     ("([;@#$%&])", " \\1 "),
