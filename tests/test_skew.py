@@ -41,3 +41,12 @@ def test_hot_key_rows_spread_over_tasks(spark):
         assert joined.count() == plain and tasks > 1
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", prev)
+
+
+def test_bounded_broadcast_tiers(spark):
+    mid = bounded_broadcast(spark.range(300), max_rows=1000, local_rows=100)  # materialised tier
+    plan = spark.range(5000).join(mid, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" in plan and mid.count() == 300
+    big = bounded_broadcast(spark.range(300), max_rows=200, local_rows=100)   # over the bound
+    plan = spark.range(5000).join(big, "id")._jdf.queryExecution().executedPlan().toString()
+    assert big.count() == 300

@@ -17,23 +17,29 @@ from pyspark.sql import functions as F
 
 from ..session import pin
 
-# Largest side (rows) the library broadcasts without a shuffle.
-MAX_BROADCAST_ROWS = 200_000
+# Sides up to LOCAL_ROWS are fetched in one job and broadcast from the driver;
+# sides up to MAX_BROADCAST_ROWS are materialised, counted and broadcast by Spark;
+# larger sides are joined by shuffle.
+LOCAL_ROWS = 50_000
+MAX_BROADCAST_ROWS = 2_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                      local_rows: int = LOCAL_ROWS) -> DataFrame:
     """``broadcast`` of ``df`` when it has at most ``max_rows`` rows, else a shuffle-join side.
 
-    One job fetches at most ``max_rows + 1`` rows: their number is the size
-    check, and within the bound they become the broadcast relation (a broadcast
-    passes through the driver anyway). Above the bound nothing more is fetched:
-    ``df`` is materialised in the shared folder and joined by shuffle.
+    The size is always checked before anything is broadcast: one job fetches at
+    most ``local_rows + 1`` rows -- within that bound they become the broadcast
+    relation (a broadcast passes through the driver anyway). Otherwise ``df`` is
+    materialised in the shared folder and counted; it is broadcast only when the
+    count is within ``max_rows``, else it is returned for a shuffle join.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        local = df.sparkSession.createDataFrame(rows, schema=df.schema)
-        return F.broadcast(local)
-    return pin(df)
+    local_rows = min(local_rows, max_rows)
+    rows = df.limit(local_rows + 1).collect()
+    if len(rows) <= local_rows:
+        return F.broadcast(df.sparkSession.createDataFrame(rows, schema=df.schema))
+    stored = pin(df)
+    return F.broadcast(stored) if stored.count() <= max_rows else stored
 
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.01, min_rows: int = 10_000) -> DataFrame:
