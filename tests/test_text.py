@@ -63,3 +63,17 @@ def test_stepwise_equals_one_line(spark):
     toks = tf.tokens(docs, "doc_id", ["text"])
     step = toks.groupBy("doc_id", "token").count()
     assert one.exceptAll(step).count() == 0 and step.exceptAll(one).count() == 0
+
+
+def test_whitespace_class_is_python_isspace():
+    import regex
+    from valuescope.functions.text import WS
+    pattern = regex.compile(WS.replace("\\x{1c}", "\\x1c").replace("\\x{20}", "\\x20").replace("\\x{85}", "\\x85"))
+    ours = {c for c in range(0x10000) if pattern.fullmatch(chr(c))}
+    python = {c for c in range(0x10000) if chr(c).isspace()}
+    assert ours == python
+
+
+def test_unicode_spaces_and_digits(spark):
+    text = "a b,٣c end.　"
+    assert _tokens(spark, lambda c, s=None: treebank_tokens(c, []), text) == ["a", "b,٣c", "end", "."]

@@ -34,25 +34,13 @@ STOP_WORDS_EN = (
     "why's would"
 ).split()
 
-def _space_ranges() -> str:
-    """Character-class body of the characters Python's ``str.isspace`` accepts
-    (the whitespace of the original Python tokeniser), as ``\\x{..}`` ranges that
-    Java and RE2 both read."""
-    cps = [c for c in range(0x10000) if chr(c).isspace()]
-    out, start, prev = [], cps[0], cps[0]
-    for c in cps[1:] + [None]:
-        if c is not None and c == prev + 1:
-            prev = c
-            continue
-        out.append(f"\\x{{{start:x}}}" if start == prev else f"\\x{{{start:x}}}-\\x{{{prev:x}}}")
-        if c is not None:
-            start = prev = c
-    return "".join(out)
-
-
-# Whitespace class shared by every rule (Unicode whitespace; same in Java and RE2).
-WS = "[" + _space_ranges() + "]"
-NON_WS = "[^" + _space_ranges() + "]"
+# Whitespace shared by every rule: exactly the characters Python's ``str.isspace``
+# accepts (the whitespace of the original Python tokeniser): the ASCII controls
+# \t-\r and \x1c-\x1f, space, NEL and the Unicode separators \p{Z}. The same
+# class text works in Java and RE2 (a test checks it against ``str.isspace``).
+WS_CLASS_BODY = "\\t-\\r\\x{1c}-\\x{20}\\x{85}\\p{Z}"
+WS = "[" + WS_CLASS_BODY + "]"
+NON_WS = "[^" + WS_CLASS_BODY + "]"
 
 # Word characters of the word tokeniser: Unicode letters, digits and underscore
 # (the meaning of a Unicode ``\w``).
@@ -203,8 +191,11 @@ def treebank_text(text: Column | str) -> Column:
 def treebank_tokens(text: Column | str, stop_words: Iterable[str] | None = STOP_WORDS_EN) -> Column:
     """Treebank tokens (case kept) minus stop words, order and repeats kept."""
     pieces = F.split(treebank_text(text), WS + "+")
-    tokens = F.filter(pieces, lambda t: t != F.lit(""))
-    return drop_stop_words(tokens, stop_words)
+    words = list(stop_words or [])
+    if not words:
+        return F.filter(pieces, lambda t: t != F.lit(""))
+    # One pass: drop the empty pieces at both ends and the stop words.
+    return F.filter(pieces, lambda t: (t != F.lit("")) & ~t.isin(words))
 
 
 TOKENIZERS = {"words": word_tokens, "treebank": treebank_tokens}
