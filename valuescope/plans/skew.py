@@ -66,7 +66,13 @@ def salted_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     if "Exchange" in right._jdf.queryExecution().executedPlan().toString():
         right = pin(right)
     hot = hot_keys(right, right_key, share, min_rows)
-    hot_list = bounded_broadcast(hot.withColumn("_vs_hot", F.lit(True)))
+    # At most 1/share keys: fetched in one job (a size-checked local relation).
+    hot_rows = hot.limit(int(1 / share) + 1).collect()
+    if not hot_rows:  # nothing hot: the plain join (AQE still splits skewed partitions)
+        return left.join(right, left[left_key] == right[right_key], "inner")
+    spark = right.sparkSession
+    hot_list = F.broadcast(spark.createDataFrame(hot_rows, schema=hot.schema)
+                           .withColumn("_vs_hot", F.lit(True)))
     r = (right.join(hot_list.withColumnRenamed(right_key, "_vs_rk"),
                     F.col(right_key) == F.col("_vs_rk"), "left")
          # Deterministic salt (a hash of the row): a retried task sends every row
