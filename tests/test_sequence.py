@@ -48,3 +48,11 @@ def test_or_predicate_string(spark):
     got = predicate_subset(df, "catalognumber='r-70049' OR catalognumber='70049'").count()
     assert got == 2
     assert df.where(F.col("catalognumber") == "0").count() == 0
+
+
+def test_describe_single_row_group(spark):
+    df = spark.createDataFrame([("solo", "5"), ("pair", "1"), ("pair", "4")], "g string, c string")
+    nums = sequence.with_numbers(df, "c", "g")
+    rows = {r["grp"]: r for r in sequence.describe(sequence.rank_numbers(nums)).collect()}
+    assert rows["solo"]["std"] is None and rows["solo"]["p50"] == 5.0 and rows["solo"]["count"] == 1
+    assert rows["pair"]["p25"] == 1.75 and abs(rows["pair"]["std"] - 2.1213203435596424) < 1e-12

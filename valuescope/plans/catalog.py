@@ -76,8 +76,8 @@ def q_value_counts_one(spark, d):
 
 
 def q_value_counts_sql(spark, d):
-    table(spark, d, "orders").createOrReplaceTempView("orders")
-    return profile.value_counts_sql(spark, "orders", "o_orderpriority")
+    table(spark, d, "orders").createOrReplaceTempView("vs_orders")
+    return profile.value_counts_sql(spark, "vs_orders", "o_orderpriority")
 
 
 def q_value_profile_all(spark, d):
