@@ -41,3 +41,18 @@ def test_make_subset(spark, tmp_dir):
     got = [r["o_orderkey"] for r in spark.read.parquet(out).orderBy("o_orderkey").collect()]
     assert got == [r["o_orderkey"] for r in sub.collect()] and len(got) == 10
     assert jobs.shape(orders)[1] == len(orders.columns)
+
+
+def test_small_helpers(spark, tmp_dir):
+    from valuescope.operators.subset import random_sample
+    from valuescope.sources.paths import dataset_path, read_dataset
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    n = orders.count()
+    assert 0 < random_sample(orders, 0.5, seed=7).count() < n
+    orders.write.parquet(os.path.join(tmp_dir, "orders-20161119-100k.parquet"))
+    assert dataset_path(tmp_dir, "orders", "20161119", "-100k").endswith("orders-20161119-100k.parquet")
+    assert read_dataset(spark, tmp_dir, "orders", "20161119", "-100k").count() == n
+    text = os.path.join(tmp_dir, "dump.txt")
+    with open(text, "w") as f:
+        f.write("a\nb\n\nc\n")
+    assert jobs.row_count_text(spark, text) == 4

@@ -131,12 +131,6 @@ def sorted_index(df: DataFrame, order_by: Sequence[str | Column], group_by: Sequ
     return joined.select(*out_cols)
 
 
-def global_rank(df: DataFrame, order_by: Sequence[str | Column], group_by: Sequence[str] = (),
-                rank_col: str = "rank", num_partitions: int | None = None) -> DataFrame:
-    """Position after sort (the index of a sorted frame), 0-based, per group."""
-    return sorted_index(df, order_by, group_by, rank_col, num_partitions)
-
-
 def _valued(profile: DataFrame) -> DataFrame:
     # Blank and NULL values are not part of a frequency curve.
     return profile.where(F.col("value").isNotNull() & (F.col("value") != ""))

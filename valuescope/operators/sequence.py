@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import to_int
-from ..plans.skew import bounded_broadcast
 from .ordered import sorted_index
 
 
@@ -136,8 +135,3 @@ def slope_segments(ranked: DataFrame, width: int = 100) -> DataFrame:
     span = (F.col("last_rank") - F.col("first_rank")).cast("double")
     return g.withColumn("slope", F.when(span > 0, (F.col("last_number") - F.col("first_number"))
                                         .cast("double") / span))
-
-
-def group_sizes(ranked: DataFrame) -> DataFrame:
-    """(grp, n) per group; a small table (one row per group), broadcast when bounded."""
-    return bounded_broadcast(ranked.select("grp", "n").distinct())
