@@ -24,3 +24,10 @@ def test_cli_sequence_and_tf(spark, tmp_dir):
     tf_out = os.path.join(tmp_dir, "tf")
     assert main(["tf-index", "--input", f"{SF}/documents.parquet", "--out", tf_out,
                  "--id", "doc_id", "--text", "text", "--tokenizer", "words"]) == 0
+
+
+def test_release_scratch(spark):
+    from valuescope.session import pin, release_scratch
+    kept = pin(spark.range(10))
+    assert kept.count() == 10
+    assert release_scratch(spark) >= 1

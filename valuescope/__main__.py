@@ -21,7 +21,7 @@ import sys
 
 from . import jobs
 from .operators import ordered, profile
-from .session import build_session
+from .session import build_session, release_scratch
 from .sinks import write_parquet
 from .sources import archive, csvtext
 
@@ -73,6 +73,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(args.master, app=f"valuescope-{args.job}")
     if args.job == "media":
         write_parquet(jobs.media_duplicates(spark, args.input, args.top), args.out)
+        release_scratch(spark)
         if owned:
             spark.stop()
         return 0
@@ -100,6 +101,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "subset":
         jobs.make_subset(df, args.limit, args.where, _list(args.order_by) or (), args.fraction,
                          args.key, out=args.out)
+    release_scratch(spark)  # outputs are written: drop the intermediate tables
     if owned:
         spark.stop()
     return 0

@@ -94,3 +94,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark)
     token = os.urandom(6).hex()
     return f"{base.rstrip('/')}/valuescope-{name}-{token}"
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete this application's pinned and scratch tables; returns how many.
+
+    Call once the results that read them are written: every ``pin`` and
+    ``scratch_path`` lives under the application's own checkpoint subfolder.
+    """
+    sc = spark.sparkContext
+    base = sc.getCheckpointDir()
+    if not base:
+        return 0
+    jvm = sc._jvm
+    root = jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return 0
+    removed = 0
+    for status in fs.listStatus(root):
+        if status.getPath().getName().startswith("valuescope-"):
+            fs.delete(status.getPath(), True)
+            removed += 1
+    return removed
