@@ -45,17 +45,20 @@ def id_length_histogram(ids: DataFrame, tf: DataFrame, notes: DataFrame) -> Data
     """(catalognumber_len, count, log_count) of the cross-reference rows.
 
     Equal to grouping ``cross_reference`` by identifier length, computed from
-    per-key counts (pre-aggregated before any shuffle, no pairs built):
-    rows(key) = ids with the key x sum over tf rows with token key of the notes
-    rows of their document.
+    per-key counts without building any pair:
+    rows(key) = (ids with the key) x sum over tf rows with token key of the
+    notes rows of their document. The index is first reduced to the tokens that
+    are identifiers (one shuffle of the index, by token, against one row per
+    identifier), so only those rows meet the notes.
     """
     id_counts = (ids.where(F.col("idb_catalognumber").isNotNull())
                  .groupBy("idb_catalognumber").agg(F.count("*").alias("_n_ids")))
+    matched = (tf.select("uuid", "token")
+               .join(id_counts, F.col("token") == F.col("idb_catalognumber"))
+               .select("uuid", "idb_catalognumber", "_n_ids"))
     note_counts = notes.groupBy("note_uuid").agg(F.count("*").alias("_n_notes"))
-    tok_counts = (tf.select("uuid", "token")
-                  .join(note_counts, F.col("uuid") == F.col("note_uuid"))
-                  .groupBy("token").agg(F.sum("_n_notes").alias("_n_tf")))
-    per_key = id_counts.join(tok_counts, F.col("idb_catalognumber") == F.col("token"))
-    hist = (per_key.groupBy(F.length("idb_catalognumber").alias("catalognumber_len"))
-            .agg(F.sum(F.col("_n_ids") * F.col("_n_tf")).cast("bigint").alias("count")))
+    rows = (matched.join(note_counts, F.col("uuid") == F.col("note_uuid"))
+            .select(F.length("idb_catalognumber").alias("catalognumber_len"),
+                    (F.col("_n_ids") * F.col("_n_notes")).alias("_rows")))
+    hist = rows.groupBy("catalognumber_len").agg(F.sum("_rows").cast("bigint").alias("count"))
     return hist.withColumn("log_count", F.log10(F.col("count").cast("double")))
