@@ -227,9 +227,11 @@ def head_coverage(profile: DataFrame, percents: Sequence[float] = (50.0, 80.0, 9
 def compare_profiles(clean: DataFrame, raw: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Pair the cumulation curves of a cleaned and a raw profile by field and ordinal.
 
-    Only fields present in both profiles are paired; the curves are joined by
-    ``x`` with a full outer join (their lengths differ). Both curves come from one
-    cumulation over the union of the profiles keyed by (side, field).
+    Only fields present in both profiles are paired; the curves are matched by
+    ``x`` like a full outer join (their lengths differ). Both curves come from one
+    cumulation over the union of the profiles keyed by (side, field), and they
+    are paired by one aggregation on (field, x) -- each key holds at most one row
+    per side -- instead of a join that would shuffle both sides.
     """
     both = (clean.select("field").distinct()
             .join(raw.select("field").distinct(), "field"))
@@ -237,10 +239,11 @@ def compare_profiles(clean: DataFrame, raw: DataFrame, num_partitions: int | Non
              .unionByName(raw.join(both, "field", "left_semi")
                           .select(F.lit("raw").alias("side"), "field", "value", "count")))
     cur = cumulate(sides, num_partitions, keys=("side", "field"))
-    cs = cur.where(F.col("side") == "clean").select(
-        "field", "x", F.col("value").alias("clean_value"), F.col("count").alias("clean_count"),
-        F.col("cum_count").alias("clean_cum_count"))
-    rs = cur.where(F.col("side") == "raw").select(
-        "field", "x", F.col("value").alias("raw_value"), F.col("count").alias("raw_count"),
-        F.col("cum_count").alias("raw_cum_count"))
-    return cs.join(rs, ["field", "x"], "full_outer")
+
+    def pick(side: str, col: str, name: str):
+        return F.max(F.when(F.col("side") == side, F.col(col))).alias(name)
+
+    return cur.groupBy("field", "x").agg(
+        pick("clean", "value", "clean_value"), pick("clean", "count", "clean_count"),
+        pick("clean", "cum_count", "clean_cum_count"), pick("raw", "value", "raw_value"),
+        pick("raw", "count", "raw_count"), pick("raw", "cum_count", "raw_cum_count"))
