@@ -25,13 +25,16 @@ NOTES = {
                               "shuffles.",
     "cardinality": "The profile plan plus a second partial/final aggregate by field; the global window "
                    "runs over one row per field (bounded by the schema width).",
+    "compare_raw_clean": "One cumulation over both profiles keyed by (side, field); the curves are "
+                         "paired by one aggregation on (field, x) instead of a full outer join.",
     "cumulate": "Plan after sorted_index pinned the range-sorted profile: two broadcast joins of "
                 "size-checked tables, no shuffle. The range shuffle, the pin write and the block "
                 "table run as earlier jobs.",
     "seq_rank": "As cumulate: the ranked rows come from the pinned range-sorted table plus a "
                 "broadcast of the block offsets (partitions + groups rows).",
-    "seq_gaps": "Consecutive ranks are paired by an equi-join on (grp, rank + 1): hash partitioning "
-                "on unique keys, balanced; no group-wide window.",
+    "seq_gaps": "Consecutive ranks are paired by one aggregation on (grp, rank) over the rows "
+                "emitted as themselves and as successors of rank - 1: one hash exchange on unique "
+                "keys, balanced; no group-wide window, no sort-merge join.",
     "id_length_hist": "Both sides are aggregated per key before they meet; no identifier/token pairs "
                       "are built.",
     "id_cross_reference": "Hot tokens (> 1 % of the index, exact count) are salted over 32 tasks; the "

@@ -104,15 +104,21 @@ def zoom(ranked: DataFrame, x_start: int, x_end: int, y_start: int, y_end: int)
 def gaps(ranked: DataFrame, min_gap: int = 2) -> DataFrame:
     """Breaks in sequence: consecutive ranked numbers more than 1 apart.
 
-    Consecutive rows are paired by an equi-join on (group, rank + 1), which
-    hash-partitions on unique keys (balanced), instead of a group-wide lag window.
+    Every row is emitted twice, keyed by (group, rank) as itself and by
+    (group, rank - 1) as the successor of the previous rank; one aggregation on
+    those unique keys (hash exchange, balanced, no sort) pairs each number with
+    the next one -- no group-wide lag window and no two-sided join.
     """
-    a = ranked.select("grp", "rank", "number")
-    b = ranked.select(F.col("grp").alias("_g"), (F.col("rank") - 1).alias("_r"),
-                      F.col("number").alias("next_number"))
-    j = a.join(b, (a["grp"].eqNullSafe(b["_g"])) & (a["rank"] == b["_r"]))
-    return (j.select("grp", "rank", "number", "next_number",
-                     (F.col("next_number") - F.col("number")).alias("gap"))
+    typ = ranked.schema["number"].dataType
+    this = ranked.select("grp", F.col("rank").alias("_k"), F.col("number").alias("_cur"),
+                         F.lit(None).cast(typ).alias("_next"))
+    succ = ranked.select("grp", (F.col("rank") - 1).alias("_k"), F.lit(None).cast(typ).alias("_cur"),
+                         F.col("number").alias("_next"))
+    pairs = this.unionByName(succ).groupBy("grp", "_k").agg(
+        F.max("_cur").alias("number"), F.max("_next").alias("next_number"))
+    return (pairs.where(F.col("number").isNotNull() & F.col("next_number").isNotNull())
+            .select("grp", F.col("_k").alias("rank"), "number", "next_number",
+                    (F.col("next_number") - F.col("number")).alias("gap"))
             .where(F.col("gap") >= min_gap))
 
 
