@@ -79,6 +79,8 @@ def main() -> None:
     print(json.dumps({"metric": "total_query_sec", "value": total, "unit": "sec",
                       "queries": times, "throughput": throughput,
                       "sf": float(m.group(1)) if m else sf_dir, "cpus": int(cpus)}))
+    from valuescope.session import release_scratch
+    release_scratch(spark)
     spark.stop()
 
 

@@ -13,6 +13,8 @@ def spark():
     s = build_session("local[4]", app="valuescope-tests", shuffle_partitions=8)
     ensure_checkpoint_dir(s)
     yield s
+    from valuescope.session import release_scratch
+    release_scratch(s)
     s.stop()
 
 
