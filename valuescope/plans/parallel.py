@@ -24,6 +24,10 @@ def target_parallelism(df: DataFrame) -> int:
 def spread(df: DataFrame, keys: Sequence[str] | None = None, min_partitions: int | None = None) -> DataFrame:
     """Hash-repartition ``df`` when it has fewer partitions than the target parallelism."""
     target = min_partitions or target_parallelism(df)
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        # Already shuffled (it has the configured shuffle parallelism); asking an
+        # adaptive plan for its partition count would also run its stages.
+        return df
     current = df.rdd.getNumPartitions()
     if current >= target:
         return df
