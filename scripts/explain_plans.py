@@ -37,7 +37,7 @@ NOTES = {
                 "keys, balanced; no group-wide window, no sort-merge join.",
     "id_length_hist": "Both sides are aggregated per key before they meet; no identifier/token pairs "
                       "are built.",
-    "id_cross_reference": "Hot tokens (> 1 % of the index, exact count) are salted over 32 tasks; the "
+    "id_cross_reference": "Hot tokens (> 0.1 % of the index, exact count) are salted over 32 tasks; the "
                           "identifier side is replicated for those keys only.",
 }
 

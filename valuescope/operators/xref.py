@@ -26,7 +26,7 @@ def identifier_view(df: DataFrame, uuid_col: str, id_col: str) -> DataFrame:
 
 
 def cross_reference(ids: DataFrame, tf: DataFrame, notes: DataFrame,
-                    salts: int = 32, hot_share: float = 0.01) -> DataFrame:
+                    salts: int = 32, hot_share: float = 0.001) -> DataFrame:
     """Join identifiers to the tokens that repeat them, then attach the note text.
 
     ``ids``: (idb_uuid, idb_catalognumber); ``tf``: (uuid, token, count);

@@ -42,7 +42,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     return F.broadcast(stored) if stored.count() <= max_rows else stored
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.01, min_rows: int = 10_000) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, share: float = 0.001, min_rows: int = 10_000) -> DataFrame:
     """Keys of ``df`` holding more than ``share`` of its rows (and more than ``min_rows``).
 
     At most ``1/share`` keys can pass the share test, so the result is bounded.
@@ -54,7 +54,7 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.01, min_rows: int = 10_00
 
 
 def salted_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                salts: int = 32, share: float = 0.01, min_rows: int = 10_000) -> DataFrame:
+                salts: int = 32, share: float = 0.001, min_rows: int = 10_000) -> DataFrame:
     """Inner join ``left.left_key == right.right_key`` with hot keys split ``salts`` ways.
 
     ``right`` is the side that may hold hot keys (it is salted); rows of ``left``
