@@ -56,3 +56,22 @@ def test_small_helpers(spark, tmp_dir):
     with open(text, "w") as f:
         f.write("a\nb\n\nc\n")
     assert jobs.row_count_text(spark, text) == 4
+
+
+def test_profile_csv_with_rejects(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "in.csv")
+    with open(path, "w") as f:
+        f.write("a,b\n1,x\n2,y,extra\n3,\n")
+    rejects = os.path.join(tmp_dir, "rej")
+    prof = jobs.profile_csv(spark, path, rejects_out=rejects)
+    got = {(r["field"], r["value"], r["count"]) for r in prof.collect()}
+    assert ("a", "", 1) in got and ("b", "", 2) in got and ("a", "1", 1) in got
+    assert [r[0] for r in spark.read.text(rejects).collect()] == ["PROBLEM WITH: 2,y,extra"]
+
+
+def test_compare_skips_fields_missing_in_raw(spark):
+    from valuescope.operators.ordered import compare_profiles
+    clean = spark.createDataFrame([("f", "a", 2), ("only_clean", "z", 1)], "field string, value string, count bigint")
+    raw = spark.createDataFrame([("f", "a", 1), ("f", "A", 1)], "field string, value string, count bigint")
+    rows = compare_profiles(clean, raw).collect()
+    assert {r["field"] for r in rows} == {"f"} and len(rows) == 2
