@@ -63,3 +63,17 @@ def test_cardinality_estimate_close_to_exact(spark):
         assert abs(est[f] - n) <= max(2, 0.05 * n), (f, est[f], n)
     with_null = spark.createDataFrame([(None,), ("a",), ("b",)], "x string")
     assert profile.cardinality_estimate(with_null).first()["card"] == 3
+
+
+def test_wide_columnar_profile_in_groups_equals_single_pass(spark, tmp_dir):
+    import os
+    from valuescope.operators.profile import FIELDS_PER_PASS, _profile_pass
+    base = spark.range(0, 3000, 1, 4)
+    cols = [((F.col("id") * (i + 7)) % (i + 3)).cast("string").alias(f"dwc:f{i}") for i in range(FIELDS_PER_PASS + 30)]
+    path = os.path.join(tmp_dir, "wide.parquet")
+    base.select(*cols).write.parquet(path)
+    wide = spark.read.parquet(path)
+    grouped = profile.value_profile(wide)
+    single = _profile_pass(wide, wide.columns)
+    assert grouped.exceptAll(single).count() == 0 and single.exceptAll(grouped).count() == 0
+    assert grouped._jdf.queryExecution().executedPlan().toString().count("Expand") == 2
