@@ -17,7 +17,7 @@ from ..plans.parallel import spread
 
 def vector_fingerprints(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(id, fingerprint, fingerprint8) per row."""
-    rows = spread(df.select(id_col, vec_col), [id_col])
+    rows = spread(df.select(id_col, vec_col))
     return rows.select(F.col(id_col), fingerprint64(vec_col).alias("fingerprint"),
                      fold8(vec_col).alias("fingerprint8"))
 

@@ -36,7 +36,8 @@ def tokens(df: DataFrame, id_col: str, text_cols: Sequence[str],
     """One row per token occurrence: (id, token)."""
     tok = TOKENIZERS[tokenizer] if isinstance(tokenizer, str) else tokenizer
     ident = id_alias or id_col
-    n = spread(notes(df, id_col, text_cols, ident), [ident])
+    # Spread on the whole row (balanced even if one id holds many rows).
+    n = spread(notes(df, id_col, text_cols, ident))
     arr = tok(F.col("note"), stop_words) if isinstance(tokenizer, str) else tok(F.col("note"))
     return n.select(ident, F.explode(arr).alias("token"))
 

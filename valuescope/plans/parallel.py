@@ -4,7 +4,8 @@ A scan yields one task per file split / row group. When an input has fewer
 partitions than the cluster has cores (one large row group, a handful of files),
 per-row work such as regex tokenising would run on a few cores only. ``spread``
 then hash-partitions the (already pruned) rows over ``spark.default.parallelism``
-partitions -- deterministic, so a lost executor recomputes the same rows. On a
+partitions by a hash of the whole row -- balanced whatever the key
+distribution, and deterministic, so a lost executor recomputes the same rows. On a
 cluster reading many files the input already has enough partitions and ``spread``
 returns the DataFrame unchanged (no shuffle is added).
 """
@@ -33,6 +34,7 @@ def spread(df: DataFrame, keys: Sequence[str] | None = None, min_partitions: int
         return df
     if keys:
         # Plain key columns: a later aggregation keyed by (these keys, ...) reuses
-        # this partitioning instead of shuffling again.
+        # this partitioning. Only for keys known to be (nearly) unique: a hot key
+        # would land in one partition.
         return df.repartition(target, *[F.col("`" + c + "`") for c in keys])
     return df.repartition(target, F.xxhash64(*[F.col("`" + c + "`") for c in df.columns]))
