@@ -218,12 +218,28 @@ def load_archive(spark: SparkSession, folder: str, skip_eml: bool = False,
 
 
 def join_core_extension(core: DataFrame, extension: DataFrame, how: str = "left") -> DataFrame:
-    """Core rows with their extension rows (core.id = extension.coreid)."""
+    """Core rows with their extension rows (core.id = extension.coreid).
+
+    ``how="left"`` keeps core rows without extension rows. It is built as an
+    inner join (AQE can split a skewed partition on either side, e.g. one core
+    record owning a third of the extension rows) plus the core rows whose id is
+    absent from the extension (anti join against the distinct extension ids),
+    rather than an outer join, whose non-preserved side cannot be split.
+    """
     ext = extension
     for c in ext.columns:
         if c != "coreid" and c in core.columns:
             ext = ext.withColumnRenamed(c, f"ext_{c}")
-    return core.join(ext, core["id"] == ext["coreid"], how)
+    inner = core.join(ext, core["id"] == ext["coreid"], "inner")
+    if how == "inner":
+        return inner
+    if how != "left":
+        return core.join(ext, core["id"] == ext["coreid"], how)
+    ids = ext.select(F.col("coreid").alias("_vs_cid")).distinct()
+    lonely = core.join(ids, core["id"] == ids["_vs_cid"], "left_anti")
+    lonely = lonely.select(*[F.col("`" + c + "`") for c in core.columns],
+                           *[F.lit(None).cast(ext.schema[c].dataType).alias(c) for c in ext.columns])
+    return inner.unionByName(lonely)
 
 
 def _xml_attr(s: str) -> str:
