@@ -31,3 +31,13 @@ def test_release_scratch(spark):
     kept = pin(spark.range(10))
     assert kept.count() == 10
     assert release_scratch(spark) >= 1
+
+
+def test_cli_csv_profile_with_rejects(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in.csv")
+    with open(src, "w") as f:
+        f.write("dwc:genus,b\nAcer,1\nQuercus,2,3\n")
+    out, rej = os.path.join(tmp_dir, "u"), os.path.join(tmp_dir, "rej")
+    assert main(["profile", "--format", "csv", "--input", src, "--out", out, "--rejects", rej]) == 0
+    assert sorted(os.listdir(out)) == ["unique_b.csv", "unique_dwc_genus.csv"]
+    assert [r[0] for r in spark.read.text(rej).collect()] == ["PROBLEM WITH: Quercus,2,3"]

@@ -4,7 +4,8 @@ Jobs read parquet (``--format parquet``, default), CSV text (``--format csv``,
 header line, tolerant parse) or an extracted archive folder (``--format archive``)
 and write their result under ``--out``.
 
-  profile      one-pass value files per field (+ --resume); --fields a,b,c
+  profile      one-pass value files per field (+ --resume); --fields a,b,c;
+               with --format csv, --rejects PATH appends the rejected lines
   cardinality  cardinality report (--min, --share) or --approx estimate
   cumulate     cumulative frequency curves of --fields
   tf-index     term-frequency index: --id, --text col[,col], --tokenizer
@@ -66,6 +67,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--order-by")
     p.add_argument("--fraction", type=float)
     p.add_argument("--key")
+    p.add_argument("--rejects")
     args = p.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -77,8 +79,14 @@ def main(argv: list[str] | None = None) -> int:
         if owned:
             spark.stop()
         return 0
-    df = _read(spark, args)
     fields = _list(args.fields)
+    if args.job == "profile" and args.format == "csv":
+        jobs.profile_csv(spark, args.input, fields, rejects_out=args.rejects, out=args.out)
+        release_scratch(spark)
+        if owned:
+            spark.stop()
+        return 0
+    df = _read(spark, args)
     if args.job == "profile":
         jobs.profile_values(df, fields, nested=args.nested, out=args.out, resume=args.resume)
     elif args.job == "cardinality":
