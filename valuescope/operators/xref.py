@@ -6,9 +6,10 @@ output is one row per (identifier record, mentioning document token row), as the
 analysis defines it. Hot identifiers ("1", "2", ...) are split over many tasks by
 a salted join whose hot-key list is found by an exact count.
 
-``id_length_histogram`` does **not** build those pairs: each side is first
-aggregated per key, the two small per-key tables are joined, and the products of
-their counts are summed per identifier length.
+``id_length_histogram`` does **not** build those pairs: identifiers are counted
+per key, the index meets one row per identifier (which reduces it to identifier
+tokens), those rows meet the per-document note counts, and the products of the
+counts are summed per identifier length.
 """
 
 from __future__ import annotations

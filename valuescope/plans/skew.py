@@ -1,8 +1,8 @@
 """Plan helpers for size-checked broadcasts and hot-key joins.
 
 * ``bounded_broadcast``: broadcast a side only after its row count was checked
-  against a bound; above the bound the side is returned as is and the join
-  shuffles (AQE may still choose a broadcast by its own size estimate).
+  against a bound (small sides from the driver, larger ones materialised and
+  counted first); above the bound the side is joined by shuffle.
 * ``salted_join``: an inner equi-join where keys holding more than a share of
   one side's rows are split over ``salts`` tasks (that side gets a salt, the other
   side's rows with a hot key are replicated once per salt). Hot keys are found by
