@@ -3,7 +3,8 @@
 Plan: scan (only the id and text columns) -> concat_ws -> non-empty filter ->
 native tokeniser (regex expressions, no Python worker) -> explode -> partial
 count -> one shuffle on (id, token) -> final count. Hot tokens are no problem:
-the key includes the document id, and the map side combines repeats first.
+the key includes the document id, and the map side combines repeats first. An
+input with fewer partitions than cores is first spread by a row hash.
 """
 
 from __future__ import annotations
