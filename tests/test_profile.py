@@ -77,3 +77,14 @@ def test_wide_columnar_profile_in_groups_equals_single_pass(spark, tmp_dir):
     single = _profile_pass(wide, wide.columns)
     assert grouped.exceptAll(single).count() == 0 and single.exceptAll(grouped).count() == 0
     assert grouped._jdf.queryExecution().executedPlan().toString().count("Expand") == 2
+
+
+def test_complex_and_typed_values_profile_as_text(spark):
+    df = spark.createDataFrame(
+        [({"a": 1}, [1, 2], True, 1.5, {"x": {"y": 1}}), ({"a": 1}, [2], None, None, {"x": {"y": 2}})],
+        "m map<string,int>, arr array<int>, b boolean, d double, s struct<x: struct<y: int>>")
+    p = profile.value_profile(df, nested=True)
+    got = {(r["field"], r["value"], r["count"]) for r in p.collect()}
+    assert ("m", "{a -> 1}", 2) in got and ("arr", "[1, 2]", 1) in got
+    assert ("b", "true", 1) in got and ("b", None, 1) in got and ("d", "1.5", 1) in got
+    assert ("s.x", "{1}", 1) in got  # a deeper struct stays whole
