@@ -53,3 +53,15 @@ def test_vector_fingerprint_rule(spark):
     r = df.select(median_bits("v").alias("b"), fingerprint64("v").alias("f"), fold8("v").alias("g")).first()
     assert r["b"] == [False, True, False, True]  # median 4.0
     assert r["f"] == (1 << 1) | (1 << 3) and r["g"] == (1 << 1) + (1 << 3)
+
+
+def test_media_duplicates_job(spark, tmp_dir):
+    from valuescope import jobs
+
+    def flat(x, y):
+        return (x % 256, x % 256, x % 256)
+
+    for name in ("p.png", "q.png", "r.png"):
+        _png(os.path.join(tmp_dir, name), 40, 30, flat)
+    top = jobs.media_duplicates(spark, tmp_dir, k=5).collect()
+    assert top[0]["count"] == 3 and len(top) == 1
