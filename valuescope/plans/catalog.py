@@ -373,6 +373,18 @@ def q_archive_profile(spark, d):
     return profile.value_profile(archive.load_archive(spark, folder).core)
 
 
+def q_tf_index_sql_api(spark, d):
+    # The same index written in SQL with the library's SQL functions.
+    from ..functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    table(spark, d, "documents").createOrReplaceTempView("vs_documents")
+    return spark.sql(
+        "SELECT doc_id, token, count(*) AS count FROM "
+        "(SELECT doc_id, explode(toks) AS token FROM "
+        " (SELECT doc_id, vs_treebank_tokens(text) AS toks FROM vs_documents WHERE text <> '')) "
+        "GROUP BY doc_id, token")
+
+
 # ---------------------------------------------------------------- streaming
 
 def _file_glob(d: str, name: str) -> str:
@@ -539,6 +551,7 @@ SQL: dict[str, str] = {
         "'PhysicalObject' AS \"dcterms:type\", CAST(o.o_custkey AS VARCHAR) AS coreid, "
         "CAST(o.o_orderkey AS VARCHAR) AS \"ac:identifier\", o.o_orderstatus AS \"xmpRights:UsageTerms\", "
         "o.o_orderpriority AS \"xmp:Rating\" FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey"),
+    "tf_index_sql_api": O.tf_index_sql("documents", "doc_id", ["text"], "treebank"),
     "stream_value_profile": O.profile_sql("documents", ["doc_id", "lang", "source", "n_chars"]),
     "stream_tf_index": O.tf_index_sql("documents", "doc_id", ["text"], "treebank"),
     "tf_index_multi": O.tf_index_sql("documents", "doc_id", ["source", "lang", "text"], "words"),
