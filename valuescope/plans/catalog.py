@@ -297,6 +297,24 @@ def q_profile_files_roundtrip(spark, d):
     return load_profile_dir(spark, folder)
 
 
+def _orders_value_files(spark, d):
+    o = table(spark, d, "orders")
+    fields = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
+    folder = scratch_path(spark, "unique")
+    write_field_csvs(profile.value_profile(o, fields), folder, fields)
+    return load_profile_dir(spark, folder)
+
+
+def q_cardinality_from_files(spark, d):
+    # The file-based flow: value files per field -> loaded back -> cardinality report.
+    return profile.cardinality_report(_orders_value_files(spark, d))
+
+
+def q_cumulate_from_files(spark, d):
+    # Value files per field -> loaded back -> frequency curves.
+    return ordered.cumulate(_orders_value_files(spark, d))
+
+
 def q_csv_column_pick(spark, d):
     lines, _ = _customer_lines(spark, d)
     picked = lines.select(csvtext.naive_pick(F.col("value"), 2).alias("value"))
@@ -551,6 +569,13 @@ SQL: dict[str, str] = {
         "'PhysicalObject' AS \"dcterms:type\", CAST(o.o_custkey AS VARCHAR) AS coreid, "
         "CAST(o.o_orderkey AS VARCHAR) AS \"ac:identifier\", o.o_orderstatus AS \"xmpRights:UsageTerms\", "
         "o.o_orderpriority AS \"xmp:Rating\" FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey"),
+    "cardinality_from_files": (
+        f"WITH p AS ({O.profile_sql('orders', ['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_orderdate', 'o_orderpriority'])}), "
+        "c AS (SELECT field, count(*) AS card FROM p GROUP BY field), m AS (SELECT *, max(card) OVER () AS mx FROM c), "
+        "k AS (SELECT field, card FROM m WHERE card > 100 AND CAST(card AS DOUBLE) < CAST(mx AS DOUBLE) * 0.95) "
+        "SELECT field, card, CAST(row_number() OVER (ORDER BY card DESC, field) - 1 AS BIGINT) AS x FROM k"),
+    "cumulate_from_files": O.cumulate_sql(O.profile_sql(
+        "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"])),
     "tf_index_sql_api": O.tf_index_sql("documents", "doc_id", ["text"], "treebank"),
     "stream_value_profile": O.profile_sql("documents", ["doc_id", "lang", "source", "n_chars"]),
     "stream_tf_index": O.tf_index_sql("documents", "doc_id", ["text"], "treebank"),
