@@ -31,3 +31,8 @@ def test_namespace_prefixes(spark):
     df = spark.createDataFrame([("http://ns.adobe.com/xap/1.0/rights/X",), ("http://rs.tdwg.org/dwc/terms/genus",)],
                                "t string")
     assert [r[0] for r in df.select(shorten_term_col("t")).collect()] == ["xmpRights:X", "dwc:genus"]
+
+
+def test_to_int_unicode_whitespace(spark):
+    df = spark.createDataFrame([(" 12　",), ("\t-5\n",), ("1 2",)], "v string")
+    assert [r[0] for r in df.select(to_int(F.col("v"))).collect()] == [12, -5, 0]

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import WS
+
 # Runs of non-word characters or underscores become one "_" (ASCII word class).
 SLUG_PATTERN = "[\\W_]+"
 _SLUG_RE = re.compile(r"[\W_]+", re.ASCII)
@@ -27,9 +29,9 @@ NAMESPACE_PREFIXES: tuple[tuple[str, str], ...] = (
     ("http://symbiota.org/terms/", "symbiota"),
 )
 
-# An integer literal with optional sign and surrounding blanks.
-INT_PATTERN = "^[+-]?[0-9]+$"
-_EDGE_BLANKS = "^\\s+|\\s+$"
+# An integer literal with optional sign, surrounded by optional whitespace (the
+# str.isspace set, as Python's int() accepts); group 1 is the literal.
+INT_LITERAL = "^" + WS + "*([+-]?[0-9]+)" + WS + "*\\z"
 
 
 def _as_col(c: Column | str) -> Column:
@@ -54,9 +56,8 @@ def to_int(s: Column | str, bits: int = 32) -> Column:
     outside the integer range give 0.
     """
     target = "int" if bits == 32 else "bigint"
-    core = F.regexp_replace(_as_col(s), F.lit(_EDGE_BLANKS), F.lit(""))
-    casted = F.when(core.rlike(INT_PATTERN), F.coalesce(core.try_cast(target), F.lit(0)))
-    return F.coalesce(casted, F.lit(0)).cast(target)
+    literal = F.regexp_extract(_as_col(s), INT_LITERAL, 1)  # "" when not an integer literal
+    return F.coalesce(literal.try_cast(target), F.lit(0)).cast(target)
 
 
 def namespace_table(extra: Sequence[tuple[str, str]] = ()) -> list[tuple[str, str]]:

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from .scalars import INT_PATTERN, SLUG_PATTERN, namespace_table
+from .scalars import INT_LITERAL, SLUG_PATTERN, namespace_table
 from .text import STOP_WORDS_EN, TREEBANK_RULES, WORD_PATTERN, WS, java_replacement
 
 
@@ -58,10 +58,8 @@ def _treebank_body(spark: SparkSession, arg: str) -> str:
 
 def sql_function_bodies(spark: SparkSession) -> dict[str, tuple[str, str, str]]:
     """name -> (parameter list, return type, body)."""
-    edge = _literal(spark, "^\\s+|\\s+$")
-    core = f"regexp_replace(s, {edge}, '')"
-    to_int = (f"CAST(coalesce(CASE WHEN {core} RLIKE {_literal(spark, INT_PATTERN)} "
-              f"THEN coalesce(try_cast({core} AS INT), 0) END, 0) AS INT)")
+    to_int = (f"CAST(coalesce(try_cast(regexp_extract(s, {_literal(spark, INT_LITERAL)}, 1) AS INT), 0) "
+              f"AS INT)")
     short = "CASE " + " ".join(
         f"WHEN startswith(s, {_literal(spark, uri)}) THEN concat({_literal(spark, prefix)}, "
         f"substring(s, {len(uri) + 1}))" for uri, prefix in namespace_table()) + " ELSE s END"

@@ -87,9 +87,8 @@ def cumulate_sql(profile_sql_text: str) -> str:
 
 
 def to_int_sql(expr: str) -> str:
-    core = f"regexp_replace({expr}, '^\\s+|\\s+$', '', 'g')"
-    return (f"CAST(COALESCE(CASE WHEN regexp_matches({core}, '^[+-]?[0-9]+$') "
-            f"THEN COALESCE(TRY_CAST({core} AS INTEGER), 0) END, 0) AS INTEGER)")
+    from ..functions.scalars import INT_LITERAL
+    return f"CAST(COALESCE(TRY_CAST(regexp_extract({expr}, {lit(INT_LITERAL)}, 1) AS INTEGER), 0) AS INTEGER)"
 
 
 def fingerprint64_sql(vec: str) -> str:
