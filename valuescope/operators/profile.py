@@ -53,15 +53,10 @@ def value_counts(df: DataFrame, field: str, value_col: str = "value") -> DataFra
             .agg(F.count("*").alias("count")))
 
 
-# Fields per unpivot on columnar scans: keeps each stage under Spark's
-# whole-stage-codegen width limit (spark.sql.codegen.maxFields, 100).
-FIELDS_PER_PASS = 64
-
-
-def _columnar_scan(df: DataFrame) -> bool:
-    """True when ``df`` is a parquet/ORC scan (plus narrow operators, no shuffle)."""
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return ("FileScan parquet" in plan or "FileScan orc" in plan) and "Exchange" not in plan
+# Above this many fields the unpivot uses a generator over one array column
+# instead of an Expand over a row as wide as the field list: stages with more
+# than spark.sql.codegen.maxFields (100) columns lose whole-stage codegen.
+WIDE_FIELDS = 64
 
 
 def value_profile(df: DataFrame, fields: Sequence[str] | None = None,
@@ -70,31 +65,26 @@ def value_profile(df: DataFrame, fields: Sequence[str] | None = None,
 
     Values are compared as text (``cast(... as string)``); NULL is kept as a group.
     Nested leaves are selected before the unpivot so the scan reads only them.
-    On a columnar scan with more than ``FIELDS_PER_PASS`` fields the fields are
-    profiled in groups whose results are unioned: each group reads only its own
-    columns (every column is still read once) and stays within whole-stage
-    codegen; any other input is profiled in a single pass over its rows.
+    Up to ``WIDE_FIELDS`` fields the unpivot is an Expand; wider field lists are
+    packed into one array per row and exploded with their position (the field
+    name comes from a literal array), which keeps every stage narrow -- still one
+    pass over the rows and one shuffle on (field, value).
     """
     names = list(fields) if fields is not None else field_list(df, nested)
     if not names:
         raise ValueError("no fields to profile")
     names = list(dict.fromkeys(names))
-    if len(names) > FIELDS_PER_PASS and _columnar_scan(df):
-        parts = [_profile_pass(df, names[i:i + FIELDS_PER_PASS])
-                 for i in range(0, len(names), FIELDS_PER_PASS)]
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
-        return out
-    return _profile_pass(df, names)
-
-
-def _profile_pass(df: DataFrame, names: list[str]) -> DataFrame:
     # Spread (when under-partitioned) on native types, then cast to text.
     picked = spread(df.select(*[_field_col(df, n).alias(n) for n in names]))
-    narrow = picked.select(*[F.col(_quote(n)).cast("string").alias(n) for n in names])
-    # Expand emits the field name as a literal per output row.
-    long = narrow.unpivot([], [F.col(_quote(n)) for n in names], "field", "value")
+    if len(names) > WIDE_FIELDS:
+        values = F.array(*[F.col(_quote(n)).cast("string") for n in names])
+        labels = F.array(*[F.lit(n) for n in names])
+        long = (picked.select(F.posexplode(values).alias("_pos", "value"))
+                .select(F.element_at(labels, F.col("_pos") + 1).alias("field"), "value"))
+    else:
+        narrow = picked.select(*[F.col(_quote(n)).cast("string").alias(n) for n in names])
+        # Expand emits the field name as a literal per output row.
+        long = narrow.unpivot([], [F.col(_quote(n)) for n in names], "field", "value")
     return long.groupBy("field", "value").agg(F.count("*").alias("count"))
 
 
