@@ -77,3 +77,15 @@ def test_whitespace_class_is_python_isspace():
 def test_unicode_spaces_and_digits(spark):
     text = "a b,٣c end.　"
     assert _tokens(spark, lambda c, s=None: treebank_tokens(c, []), text) == ["a", "b,٣c", "end", "."]
+
+
+def test_treebank_published_examples(spark):
+    # Outputs published in the documentation of the reference Treebank tokenizer.
+    tok = lambda c, s=None: treebank_tokens(c, [])
+    text = "Good muffins cost $3.88\nin New York.  Please buy me\ntwo of them.\nThanks."
+    assert _tokens(spark, tok, text) == ["Good", "muffins", "cost", "$", "3.88", "in", "New", "York.",
+                                         "Please", "buy", "me", "two", "of", "them.", "Thanks", "."]
+    assert _tokens(spark, tok, "They'll save and invest more.") == \
+        ["They", "'ll", "save", "and", "invest", "more", "."]
+    assert _tokens(spark, tok, "hi, my name can't hello,") == \
+        ["hi", ",", "my", "name", "ca", "n't", "hello", ","]
