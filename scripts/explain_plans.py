@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 NOTES = {
     "tf_index_treebank": "Scan reads (doc_id, text) only; the non-empty filter runs before Generate; "
                          "the tokeniser is one expression (regex chain, INSET stop list). The first "
-                         "exchange is the row-hash spread, added only because the file has one row "
+                         "exchange is the row-id spread, added only because the file has one row "
                          "group; on a many-file input the only exchange is hashpartitioning(doc_id, "
                          "token) between the partial and the final aggregate.",
     "value_profile_lineitem": "One scan, one Expand (11 fields), partial aggregate, one shuffle on "

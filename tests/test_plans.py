@@ -61,3 +61,11 @@ def test_filter_pushed_to_scan(spark):
     plan = _plan(predicate_subset(orders, F.col("o_orderstatus") == "F").select("o_orderkey"))
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)]" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string>" in plan
+
+
+def test_spread_balances_copies(spark):
+    copies = spark.range(0, 4000, 1, 1).select(F.lit("same").alias("v"))  # one partition, all rows equal
+    spread_df = spread(copies, min_partitions=8)
+    sizes = [r["n"] for r in spread_df.groupBy(F.spark_partition_id().alias("p"))
+             .agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 8 and max(sizes) <= 1.25 * (4000 / 8)  # hashed row ids: every task gets a share

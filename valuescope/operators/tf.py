@@ -4,7 +4,7 @@ Plan: scan (only the id and text columns) -> concat_ws -> non-empty filter ->
 native tokeniser (regex expressions, no Python worker) -> explode -> partial
 count -> one shuffle on (id, token) -> final count. Hot tokens are no problem:
 the key includes the document id, and the map side combines repeats first. An
-input with fewer partitions than cores is first spread by a row hash.
+input with fewer partitions than cores is first spread by row id.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ def tokens(df: DataFrame, id_col: str, text_cols: Sequence[str],
     """One row per token occurrence: (id, token)."""
     tok = TOKENIZERS[tokenizer] if isinstance(tokenizer, str) else tokenizer
     ident = id_alias or id_col
-    # Spread on the whole row (balanced even if one id holds many rows).
+    # Spread by row id (balanced even if one id or one text holds many rows).
     n = spread(notes(df, id_col, text_cols, ident))
     arr = tok(F.col("note"), stop_words) if isinstance(tokenizer, str) else tok(F.col("note"))
     return n.select(ident, F.explode(arr).alias("token"))

@@ -4,8 +4,10 @@ A scan yields one task per file split / row group. When an input has fewer
 partitions than the cluster has cores (one large row group, a handful of files),
 per-row work such as regex tokenising would run on a few cores only. ``spread``
 then hash-partitions the (already pruned) rows over ``spark.default.parallelism``
-partitions by a hash of the whole row -- balanced whatever the key
-distribution, and deterministic, so a lost executor recomputes the same rows. On a
+partitions by their row id -- balanced whatever the key distribution (copies
+of one row included), and deterministic because ``spread`` only acts on inputs
+without a shuffle, whose row order is fixed; a lost executor recomputes the
+same rows. On a
 cluster reading many files the input already has enough partitions and ``spread``
 returns the DataFrame unchanged (no shuffle is added).
 """
@@ -37,4 +39,8 @@ def spread(df: DataFrame, keys: Sequence[str] | None = None, min_partitions: int
         # this partitioning. Only for keys known to be (nearly) unique: a hot key
         # would land in one partition.
         return df.repartition(target, *[F.col("`" + c + "`") for c in keys])
-    return df.repartition(target, F.xxhash64(*[F.col("`" + c + "`") for c in df.columns]))
+    # Key = row id. The input has no shuffle (checked above), so its row order and
+    # ids are deterministic; unlike a hash of the row, the id spreads identical
+    # rows (a group of copies) evenly too.
+    rid = "_vs_rid"
+    return df.withColumn(rid, F.monotonically_increasing_id()).repartition(target, rid).drop(rid)
