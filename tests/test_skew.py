@@ -50,3 +50,16 @@ def test_bounded_broadcast_tiers(spark):
     big = bounded_broadcast(spark.range(300), max_rows=200, local_rows=100)   # over the bound
     plan = spark.range(5000).join(big, "id")._jdf.queryExecution().executedPlan().toString()
     assert big.count() == 300
+
+
+def test_salted_join_spreads_identical_rows(spark):
+    right = spark.range(0, 3000, 1, 2).select(F.lit("1").alias("token"), F.lit(7).alias("v"))  # all copies
+    left = spark.createDataFrame([("1", 0)], "key string, lid long")
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = salted_join(left, right, "key", "token", salts=8, share=0.05, min_rows=10)
+        assert got.count() == 3000
+        assert got.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)

@@ -75,10 +75,11 @@ def salted_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str
                            .withColumn("_vs_hot", F.lit(True)))
     r = (right.join(hot_list.withColumnRenamed(right_key, "_vs_rk"),
                     F.col(right_key) == F.col("_vs_rk"), "left")
-         # Deterministic salt (a hash of the row): a retried task sends every row
-         # to the same reducer as the first attempt.
+         # Salt from the row id: ``right`` is a scan or a pinned table, so the ids
+         # are deterministic (a retried task salts every row as before), and even
+         # identical copies of a row are spread over the salts.
          .withColumn("_vs_salt", F.when(F.col("_vs_hot"), F.pmod(
-             F.xxhash64(*[F.col("`" + c + "`") for c in right.columns]), F.lit(salts)).cast("int"))
+             F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
              .otherwise(F.lit(0)))
          .drop("_vs_rk", "_vs_hot"))
     lh = (left.join(hot_list.withColumnRenamed(right_key, "_vs_lk"),
