@@ -21,3 +21,17 @@ def test_stream_tf_equals_batch(spark):
                           scratch_path(spark, "t-tf"), checkpoint=scratch_path(spark, "t-tfc"))
     want = tf.tf_index(docs, "doc_id", ["text"])
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_stream_profile_is_incremental(spark, tmp_dir):
+    import os
+    src = os.path.join(tmp_dir, "in")
+    docs = spark.read.parquet(f"{SRC}/documents.parquet").select("doc_id", "lang", "source")
+    docs.where("doc_id % 2 = 0").coalesce(1).write.parquet(os.path.join(src, "part=a"))
+    out, ckpt = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt")
+    first = stream_value_profile(spark, src + "/*", docs.schema, ["lang"], out, checkpoint=ckpt)
+    assert first.agg({"count": "sum"}).first()[0] == docs.where("doc_id % 2 = 0").count()
+    docs.where("doc_id % 2 = 1").coalesce(1).write.parquet(os.path.join(src, "part=b"))
+    second = stream_value_profile(spark, src + "/*", docs.schema, ["lang"], out, checkpoint=ckpt)
+    want = profile.value_profile(docs, ["lang"])
+    assert second.exceptAll(want).count() == 0 and want.exceptAll(second).count() == 0
