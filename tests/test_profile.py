@@ -89,3 +89,12 @@ def test_complex_and_typed_values_profile_as_text(spark):
     assert ("m", "{a -> 1}", 2) in got and ("arr", "[1, 2]", 1) in got
     assert ("b", "true", 1) in got and ("b", None, 1) in got and ("d", "1.5", 1) in got
     assert ("s.x", "{1}", 1) in got  # a deeper struct stays whole
+
+
+def test_profile_by_group_equals_filtered_profiles(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    grouped = profile.value_profile(docs, ["lang"], by=["source"])
+    for src in [r[0] for r in docs.select("source").distinct().limit(3).collect()]:
+        one = profile.value_profile(docs.where(F.col("source") == src), ["lang"])
+        mine = grouped.where(F.col("source") == src).drop("source")
+        assert one.exceptAll(mine).count() == 0 and mine.exceptAll(one).count() == 0

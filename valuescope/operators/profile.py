@@ -60,9 +60,12 @@ WIDE_FIELDS = 64
 
 
 def value_profile(df: DataFrame, fields: Sequence[str] | None = None,
-                  nested: bool = False) -> DataFrame:
+                  nested: bool = False, by: Sequence[str] = ()) -> DataFrame:
     """Long profile (field, value, count) of ``fields`` (default: all) in one pass.
 
+    ``by``: columns to profile within (e.g. the record set): the output gains
+    those columns and holds one profile per group, still from one pass.
+
     Values are compared as text (``cast(... as string)``); NULL is kept as a group.
     Nested leaves are selected before the unpivot so the scan reads only them.
     Up to ``WIDE_FIELDS`` fields the unpivot is an Expand; wider field lists are
@@ -70,27 +73,29 @@ def value_profile(df: DataFrame, fields: Sequence[str] | None = None,
     name comes from a literal array), which keeps every stage narrow -- still one
     pass over the rows and one shuffle on (field, value).
     """
+    by = list(by)
     names = list(fields) if fields is not None else field_list(df, nested)
+    names = [n for n in dict.fromkeys(names) if n not in by]
     if not names:
         raise ValueError("no fields to profile")
-    names = list(dict.fromkeys(names))
+    keys = [F.col(_quote(b)) for b in by]
     # Spread (when under-partitioned) on native types, then cast to text.
-    picked = spread(df.select(*[_field_col(df, n).alias(n) for n in names]))
+    picked = spread(df.select(*keys, *[_field_col(df, n).alias(n) for n in names]))
     if len(names) > WIDE_FIELDS:
         values = F.array(*[F.col(_quote(n)).cast("string") for n in names])
         labels = F.array(*[F.lit(n) for n in names])
-        long = (picked.select(F.posexplode(values).alias("_pos", "value"))
-                .select(F.element_at(labels, F.col("_pos") + 1).alias("field"), "value"))
+        long = (picked.select(*keys, F.posexplode(values).alias("_pos", "value"))
+                .select(*keys, F.element_at(labels, F.col("_pos") + 1).alias("field"), "value"))
     else:
-        narrow = picked.select(*[F.col(_quote(n)).cast("string").alias(n) for n in names])
+        narrow = picked.select(*keys, *[F.col(_quote(n)).cast("string").alias(n) for n in names])
         # Expand emits the field name as a literal per output row.
-        long = narrow.unpivot([], [F.col(_quote(n)) for n in names], "field", "value")
-    return long.groupBy("field", "value").agg(F.count("*").alias("count"))
+        long = narrow.unpivot(keys, [F.col(_quote(n)) for n in names], "field", "value")
+    return long.groupBy(*keys, "field", "value").agg(F.count("*").alias("count"))
 
 
-def cardinality(profile: DataFrame) -> DataFrame:
+def cardinality(profile: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Number of distinct values per field (the NULL/blank group counts as one)."""
-    return profile.groupBy("field").agg(F.count("*").alias("card"))
+    return profile.groupBy(*by, "field").agg(F.count("*").alias("card"))
 
 
 def cardinality_report(profile: DataFrame, min_card: int = 100, max_share: float = 0.95) -> DataFrame:

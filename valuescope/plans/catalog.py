@@ -103,6 +103,16 @@ def q_cardinality(spark, d):
     return profile.cardinality_report(profile.value_profile(table(spark, d, "lineitem")))
 
 
+def q_value_profile_by_source(spark, d):
+    # One profile per record set (source), all from one pass.
+    return profile.value_profile(table(spark, d, "documents"), ["lang", "n_chars"], by=["source"])
+
+
+def q_cardinality_by_source(spark, d):
+    docs = table(spark, d, "documents")
+    return profile.cardinality(profile.value_profile(docs, ["lang", "n_chars"], by=["source"]), by=["source"])
+
+
 def q_cardinality_estimate(spark, d):
     # Approximate (HyperLogLog++); checked against exact counts in the tests.
     return profile.cardinality_estimate(table(spark, d, "lineitem"))
@@ -576,6 +586,15 @@ SQL: dict[str, str] = {
         "SELECT field, card, CAST(row_number() OVER (ORDER BY card DESC, field) - 1 AS BIGINT) AS x FROM k"),
     "cumulate_from_files": O.cumulate_sql(O.profile_sql(
         "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"])),
+    "value_profile_by_source": (
+        "SELECT source, 'lang' AS field, lang AS value, count(*) AS count FROM documents GROUP BY source, lang "
+        "UNION ALL SELECT source, 'n_chars' AS field, CAST(n_chars AS VARCHAR) AS value, count(*) AS count "
+        "FROM documents GROUP BY source, n_chars"),
+    "cardinality_by_source": (
+        "SELECT source, field, count(*) AS card FROM ("
+        "SELECT source, 'lang' AS field, lang AS value FROM documents GROUP BY source, lang "
+        "UNION ALL SELECT source, 'n_chars', CAST(n_chars AS VARCHAR) FROM documents GROUP BY source, n_chars) "
+        "GROUP BY source, field"),
     "tf_index_sql_api": O.tf_index_sql("documents", "doc_id", ["text"], "treebank"),
     "stream_value_profile": O.profile_sql("documents", ["doc_id", "lang", "source", "n_chars"]),
     "stream_tf_index": O.tf_index_sql("documents", "doc_id", ["text"], "treebank"),
