@@ -41,3 +41,10 @@ def test_cli_csv_profile_with_rejects(spark, tmp_dir):
     assert main(["profile", "--format", "csv", "--input", src, "--out", out, "--rejects", rej]) == 0
     assert sorted(os.listdir(out)) == ["unique_b.csv", "unique_dwc_genus.csv"]
     assert [r[0] for r in spark.read.text(rej).collect()] == ["PROBLEM WITH: Quercus,2,3"]
+
+
+def test_cli_profile_by_group(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "byp")
+    assert main(["profile", "--input", f"{SF}/documents.parquet", "--out", out,
+                 "--fields", "lang", "--by", "source"]) == 0
+    assert set(spark.read.parquet(out).columns) == {"source", "field", "value", "count"}

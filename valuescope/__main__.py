@@ -5,6 +5,7 @@ header line, tolerant parse) or an extracted archive folder (``--format archive`
 and write their result under ``--out``.
 
   profile      one-pass value files per field (+ --resume); --fields a,b,c;
+               --by recordset writes one parquet profile with a profile per group;
                with --format csv, --rejects PATH appends the rejected lines
   cardinality  cardinality report (--min, --share) or --approx estimate
   cumulate     cumulative frequency curves of --fields
@@ -68,6 +69,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--fraction", type=float)
     p.add_argument("--key")
     p.add_argument("--rejects")
+    p.add_argument("--by", help="profile/cardinality per group of these columns (a,b)")
     args = p.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -87,8 +89,14 @@ def main(argv: list[str] | None = None) -> int:
             spark.stop()
         return 0
     df = _read(spark, args)
-    if args.job == "profile":
+    by = _list(args.by) or []
+    if args.job == "profile" and by:
+        write_parquet(profile.value_profile(df, fields, args.nested, by=by), args.out)
+    elif args.job == "profile":
         jobs.profile_values(df, fields, nested=args.nested, out=args.out, resume=args.resume)
+    elif args.job == "cardinality" and by:
+        write_parquet(profile.cardinality(profile.value_profile(df, fields, args.nested, by=by), by=by),
+                      args.out)
     elif args.job == "cardinality":
         result = (profile.cardinality_estimate(df, fields, nested=args.nested) if args.approx else
                   profile.cardinality_report(profile.value_profile(df, fields, args.nested),
