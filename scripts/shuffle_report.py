@@ -1,4 +1,4 @@
-"""Per-query input bytes, shuffle bytes and task counts from Spark's event log.
+"""Per-query shuffle bytes, jobs and task counts from Spark's event log.
 
 Usage: python scripts/shuffle_report.py [sf_dir] > SHUFFLE.md
 Runs the headline queries (noop sink) with the event log written to a fresh
@@ -70,7 +70,7 @@ def main() -> None:
                         "Shuffle Bytes Written", 0)
                     totals[q]["shuffle_read_bytes"] += (m.get("Shuffle Read Metrics") or {}).get(
                         "Remote Bytes Read", 0) + (m.get("Shuffle Read Metrics") or {}).get("Local Bytes Read", 0)
-    print("# Input and shuffle volume per query\n")
+    print("# Shuffle volume per query\n")
     print(f"`scripts/shuffle_report.py` on `{sf_dir}` (local[8], 16 shuffle partitions), from Spark's "
           "event log. Jobs run while a query is built (pins, size checks) are included.\n")
     print("| query | jobs | tasks | shuffle written MB |")
