@@ -26,8 +26,9 @@ def test_tf_index_reads_two_columns_and_shuffles_once(spark):
     assert schemas == ["struct<doc_id:bigint,text:string>"]
     assert "Generate" in plan
     shuffles = _shuffles(plan)
-    # The one-row-group file is spread by a row hash; the aggregation shuffles on (doc_id, token).
-    assert len(shuffles) == 2 and "doc_id" in shuffles[0] and "token" in shuffles[0]
+    # The aggregation shuffles on (doc_id, token); a row-id spread may precede it when
+    # the input has fewer partitions than cores and is large enough to share out.
+    assert 1 <= len(shuffles) <= 2 and "doc_id" in shuffles[0] and "token" in shuffles[0]
 
 
 def test_value_profile_is_one_expand_and_one_shuffle(spark):

@@ -20,8 +20,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Smallest share of the input a spread partition should get.
+MIN_SPREAD_BYTES = 256 * 1024  # compressed bytes: CPU-heavy rows (text) need small shares
+
+
 def target_parallelism(df: DataFrame) -> int:
-    return int(df.sparkSession.sparkContext.defaultParallelism)
+    """Cores, but no more partitions than the estimated input size / MIN_SPREAD_BYTES
+    (a small input on a large cluster is not cut into thousands of tiny tasks)."""
+    cores = int(df.sparkSession.sparkContext.defaultParallelism)
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: use the cores
+        return cores
+    return max(1, min(cores, -(-size // MIN_SPREAD_BYTES)))
 
 
 def spread(df: DataFrame, keys: Sequence[str] | None = None, min_partitions: int | None = None) -> DataFrame:
