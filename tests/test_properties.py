@@ -64,3 +64,27 @@ def test_to_int_agrees_with_int_on_plain_literals(spark, values):
         except ValueError:
             plain = False
         assert g == (n if plain else 0), (v, g)
+
+
+groups = st.lists(st.tuples(st.sampled_from(["r1", "r2", "r3"]), st.integers(0, 10**6)), min_size=1, max_size=50)
+
+
+@SETTINGS
+@given(groups)
+def test_describe_is_pandas_describe(spark, data):
+    from valuescope.operators import sequence
+    df = spark.createDataFrame([(g, str(v)) for g, v in data], "g string, c string")
+    got = {r["grp"]: r for r in sequence.describe(sequence.rank_numbers(
+        sequence.with_numbers(df, "c", "g"), num_partitions=3)).collect()}
+    pdf = pd.DataFrame(data, columns=["g", "v"])
+    for g, part in pdf.groupby("g"):
+        want = part["v"].describe()
+        row = got[g]
+        assert row["count"] == want["count"]
+        for ours, theirs in [("mean", "mean"), ("min", "min"), ("p25", "25%"), ("p50", "50%"),
+                             ("p75", "75%"), ("max", "max")]:
+            assert abs(float(row[ours]) - float(want[theirs])) <= 1e-9 * max(1.0, abs(float(want[theirs]))), ours
+        if want["count"] > 1:
+            assert abs(row["std"] - want["std"]) <= 1e-9 * max(1.0, want["std"])
+        else:
+            assert row["std"] is None
