@@ -88,3 +88,24 @@ def test_describe_is_pandas_describe(spark, data):
             assert abs(row["std"] - want["std"]) <= 1e-9 * max(1.0, want["std"])
         else:
             assert row["std"] is None
+
+
+texts = st.lists(st.sampled_from(
+    ["a", "Z", "can", "not", "cannot", "gonna", "wanna", "'t", "is", "'s", "n't", "'ll", "'", "''", '"', "``",
+     ",", ":", ";", ".", "...", "?", "!", "(", ")", "[", "]", "{", "}", "<", ">", "--", "-", "$", "%", "&",
+     "#", "@", "3", "9", "٣", " ", "  ", "\n", "\t", " ", "　", "x.", "y,", "1,000"]),
+    min_size=0, max_size=30).map("".join)
+
+
+@SETTINGS
+@given(st.lists(texts, min_size=1, max_size=20))
+def test_treebank_spark_equals_duckdb_form(spark, docs):
+    import duckdb
+    from valuescope.functions.text import treebank_tokens
+    from valuescope.plans.oracle import treebank_tokens_sql
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(docs)], "i int, t string")
+    got = [r[0] for r in df.orderBy("i").select(treebank_tokens("t")).collect()]
+    con = duckdb.connect()
+    sql = "SELECT " + treebank_tokens_sql("$1")
+    want = [con.execute(sql, [t]).fetchone()[0] for t in docs]
+    assert got == want

@@ -89,3 +89,13 @@ def test_treebank_published_examples(spark):
         ["They", "'ll", "save", "and", "invest", "more", "."]
     assert _tokens(spark, tok, "hi, my name can't hello,") == \
         ["hi", ",", "my", "name", "ca", "n't", "hello", ","]
+
+
+def test_contraction_boundaries_unicode_and_adjacent(spark):
+    tok = lambda c, s=None: treebank_tokens(c, [])
+    assert _tokens(spark, tok, "cannot٣") == ["cannot٣"]            # ٣ is a word character
+    assert _tokens(spark, tok, "écannot") == ["écannot"]
+    assert _tokens(spark, tok, "cannot-cannot cannot") == ["can", "not", "-", "can", "not", "can", "not"]
+    assert _tokens(spark, tok, "'Tis 'twas gonna") == ["'T", "is", "'t", "was", "gon", "na"]
+    assert _tokens(spark, tok, "Cannot CANNOT") == ["Can", "not", "CAN", "NOT"]
+    assert _tokens(spark, tok, "it's 'tis 'tis") == ["it", "'s", "'t", "is", "'t", "is"]

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from .scalars import INT_LITERAL, SLUG_PATTERN, namespace_table
-from .text import STOP_WORDS_EN, TREEBANK_RULES, WORD_PATTERN, WS, java_replacement
+from .text import STOP_WORDS_EN, WORD_PATTERN, WS, java_replacement, treebank_steps
 
 
 def _literal(spark: SparkSession, s: str) -> str:
@@ -46,7 +46,7 @@ def _stop_array(spark: SparkSession) -> str:
 
 def _treebank_body(spark: SparkSession, arg: str) -> str:
     out = arg
-    for pattern, repl in TREEBANK_RULES:
+    for pattern, repl in treebank_steps():
         if pattern == "PAD":
             out = f"concat(' ', {out}, ' ')"
         else:

@@ -87,6 +87,53 @@ TREEBANK_RULES: tuple[tuple[str, str], ...] = (
 )
 
 
+# Word characters for the contraction rules' word boundaries: Unicode letters,
+# digits and underscore (Python's Unicode ``\w``). ``\b`` differs between
+# engines (Java's is Unicode-aware, RE2's is ASCII), so every ``\b`` of a rule is
+# rewritten as a captured non-word character (or text edge) that the replacement
+# puts back; because such a character is consumed, a directly following
+# occurrence can be missed in one pass, so each of these rules is applied twice.
+_NON_WORD = "[^\\p{L}\\p{N}_]"
+
+
+def _shift_refs(repl: str, by: int) -> str:
+    out, i = [], 0
+    while i < len(repl):
+        if repl[i] == "\\" and i + 1 < len(repl) and repl[i + 1].isdigit():
+            out.append("\\" + str(int(repl[i + 1]) + by))
+            i += 2
+        else:
+            out.append(repl[i])
+            i += 1
+    return "".join(out)
+
+
+def _explicit_boundaries(pattern: str, repl: str) -> tuple[str, str]:
+    flags = "(?i)" if pattern.startswith("(?i)") else ""
+    body = pattern[len(flags):]
+    if body.startswith("\\b"):
+        body = "(^|" + _NON_WORD + ")" + body[2:]
+        repl = "\\1" + _shift_refs(repl, 1)
+    if body.endswith("\\b"):
+        groups = sum(1 for i, ch in enumerate(body) if ch == "(" and not body.startswith("(?", i))
+        body = body[:-2] + "(" + _NON_WORD + "|\\z)"
+        repl = repl + "\\" + str(groups + 1)
+    return flags + body, repl
+
+
+def treebank_steps() -> list[tuple[str, str]]:
+    """The rewrite steps actually applied: TREEBANK_RULES with explicit word
+    boundaries in the contraction rules (each of those applied twice)."""
+    steps: list[tuple[str, str]] = []
+    for pattern, repl in TREEBANK_RULES:
+        if "\\b" in pattern:
+            step = _explicit_boundaries(pattern, repl)
+            steps.extend([step, step])
+        else:
+            steps.append((pattern, repl))
+    return steps
+
+
 def java_replacement(repl: str) -> str:
     """``\\1`` group references -> Java ``$1`` (the only form the rules use)."""
     out = []
@@ -169,8 +216,9 @@ def _guarded_rule(pattern: str, repl: str):
 def treebank_text(text: Column | str) -> Column:
     """Apply the Treebank rewrite chain; the result is blank-separated tokens."""
     out = _as_col(text)
-    contractions = [(p, r) for p, r in TREEBANK_RULES if p.startswith("(?i)")]
-    for pattern, repl in TREEBANK_RULES:
+    steps = treebank_steps()
+    contractions = [(p, r) for p, r in steps if p.startswith("(?i)")]
+    for pattern, repl in steps:
         if pattern == "PAD":
             out = F.concat(F.lit(" "), out, F.lit(" "))
         elif pattern.startswith("(?i)"):

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from ..functions.text import STOP_WORDS_EN, TREEBANK_RULES, WORD_PATTERN, WS
+from ..functions.text import STOP_WORDS_EN, WORD_PATTERN, WS, treebank_steps
 
 
 def lit(s: str) -> str:
@@ -24,7 +24,7 @@ def stop_list_sql(words: Sequence[str] = STOP_WORDS_EN) -> str:
 def treebank_sql(expr: str) -> str:
     """Nested regexp_replace chain (RE2, flag 'g') equal to ``treebank_text``."""
     out = expr
-    for pattern, repl in TREEBANK_RULES:
+    for pattern, repl in treebank_steps():
         if pattern == "PAD":
             out = f"(' ' || {out} || ' ')"
         else:
