@@ -109,3 +109,22 @@ def test_treebank_spark_equals_duckdb_form(spark, docs):
     sql = "SELECT " + treebank_tokens_sql("$1")
     want = [con.execute(sql, [t]).fetchone()[0] for t in docs]
     assert got == want
+
+
+word_texts = st.lists(st.sampled_from(
+    ["The", "the", "Straße", "ÉCOLE", "naïve", "Ǆemal", "ﬁne", "a_b", "x2", "٣٤", "²",
+     "Ⅻ", "日本語", "it's", "don't", "-", ".", ",", " ", "\n", "!", "é", "ǅ", "K", "Å"]),
+    min_size=0, max_size=20).map(" ".join)
+
+
+@SETTINGS
+@given(st.lists(word_texts, min_size=1, max_size=20))
+def test_word_tokens_spark_equals_duckdb_form(spark, docs):
+    import duckdb
+    from valuescope.functions.text import word_tokens
+    from valuescope.plans.oracle import word_tokens_sql
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(docs)], "i int, t string")
+    got = [r[0] for r in df.orderBy("i").select(word_tokens("t")).collect()]
+    con = duckdb.connect()
+    want = [con.execute("SELECT " + word_tokens_sql("$1"), [t]).fetchone()[0] for t in docs]
+    assert got == want
