@@ -128,3 +128,30 @@ def test_word_tokens_spark_equals_duckdb_form(spark, docs):
     con = duckdb.connect()
     want = [con.execute("SELECT " + word_tokens_sql("$1"), [t]).fetchone()[0] for t in docs]
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.text(" \t　 +-0123456789x._", max_size=12), min_size=1, max_size=25))
+def test_to_int_spark_equals_duckdb_form(spark, values):
+    import duckdb
+    from valuescope.plans.oracle import to_int_sql
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    got = [r[0] for r in df.orderBy("i").select(to_int(F.col("v"))).collect()]
+    con = duckdb.connect()
+    want = [con.execute("SELECT " + to_int_sql("$1"), [v]).fetchone()[0] for v in values]
+    assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.sampled_from([0.0, 1.0, -1.0, 0.5, 2.0, 1e-3]), min_size=1, max_size=70),
+                min_size=1, max_size=15))
+def test_vector_fingerprints_spark_equal_duckdb_form(spark, vectors):
+    import duckdb
+    from valuescope.functions.vectors import fingerprint64, fold8
+    from valuescope.plans.oracle import fingerprint64_sql, fold8_sql
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], "i int, v array<float>")
+    got = [tuple(r) for r in df.orderBy("i").select(fingerprint64("v"), fold8("v")).collect()]
+    con = duckdb.connect()
+    want = [con.execute(f"SELECT {fingerprint64_sql('CAST($1 AS FLOAT[])')}, {fold8_sql('CAST($1 AS FLOAT[])')}",
+                        [v]).fetchone() for v in vectors]
+    assert got == [tuple(w) for w in want]
