@@ -38,3 +38,14 @@ def test_text_pairs_count_first(spark, tmp_dir):
     out = os.path.join(tmp_dir, "pairs")
     write_text_pairs(counts, out)
     assert [r[0] for r in spark.read.text(out).collect()] == ["3,Smith, J."]
+
+
+def test_profile_parquet_partitioned_by_field(spark, tmp_dir):
+    from valuescope.sinks import write_profile_parquet
+    df = spark.createDataFrame([("a", "x"), ("b", "y"), (None, "y")], "`dwc:genus` string, f2 string")
+    out = os.path.join(tmp_dir, "pq")
+    write_profile_parquet(profile.value_profile(df), out)
+    back = spark.read.parquet(out)
+    plan = back.where("field = 'f2'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(field" in plan
+    assert {(r["value"], r["count"]) for r in back.where("field = 'f2'").collect()} == {("x", 1), ("y", 2)}

@@ -53,6 +53,16 @@ def write_profile_partitioned(profile: DataFrame, path: str, mode: str = "overwr
      .write.mode(mode).options(**CSV_WRITE).partitionBy("field").csv(path))
 
 
+def write_profile_parquet(profile: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """The long profile as parquet partitioned by field (``field=<name>/``).
+
+    Range-partitioned on (field, value) first, as the CSV form: about tasks +
+    fields files; reading one field back prunes to its folder.
+    """
+    (profile.repartitionByRange(_partitions(profile), "field", "value")
+     .write.mode(mode).partitionBy("field").parquet(path))
+
+
 def done_fields(spark, folder: str, fields: Sequence[str]) -> list[str]:
     """Fields whose ``unique_<slug>.csv`` output is already complete."""
     return [f for f in fields if path_complete(spark, f"{folder.rstrip('/')}/unique_{slug_text(f)}.csv")]
