@@ -48,3 +48,10 @@ def test_cli_profile_by_group(spark, tmp_dir):
     assert main(["profile", "--input", f"{SF}/documents.parquet", "--out", out,
                  "--fields", "lang", "--by", "source"]) == 0
     assert set(spark.read.parquet(out).columns) == {"source", "field", "value", "count"}
+
+
+def test_cli_profile_parquet(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "pq")
+    assert main(["profile", "--input", f"{SF}/customer.parquet", "--out", out,
+                 "--fields", "c_mktsegment", "--out-format", "parquet"]) == 0
+    assert os.listdir(out).count("field=c_mktsegment") == 1

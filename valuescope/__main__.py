@@ -6,6 +6,7 @@ and write their result under ``--out``.
 
   profile      one-pass value files per field (+ --resume); --fields a,b,c;
                --by recordset writes one parquet profile with a profile per group;
+               --out-format parquet writes the profile as parquet partitioned by field;
                with --format csv, --rejects PATH appends the rejected lines
   cardinality  cardinality report (--min, --share) or --approx estimate
   cumulate     cumulative frequency curves of --fields
@@ -24,7 +25,7 @@ import sys
 from . import jobs
 from .operators import ordered, profile
 from .session import build_session, release_scratch
-from .sinks import write_parquet
+from .sinks import write_parquet, write_profile_parquet
 from .sources import archive, csvtext
 
 
@@ -70,6 +71,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--key")
     p.add_argument("--rejects")
     p.add_argument("--by", help="profile/cardinality per group of these columns (a,b)")
+    p.add_argument("--out-format", choices=["csv", "parquet"], default="csv",
+                   help="profile: per-field CSV value files (default) or parquet partitioned by field")
     args = p.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -90,7 +93,9 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     df = _read(spark, args)
     by = _list(args.by) or []
-    if args.job == "profile" and by:
+    if args.job == "profile" and args.out_format == "parquet":
+        write_profile_parquet(profile.value_profile(df, fields, args.nested, by=by), args.out)
+    elif args.job == "profile" and by:
         write_parquet(profile.value_profile(df, fields, args.nested, by=by), args.out)
     elif args.job == "profile":
         jobs.profile_values(df, fields, nested=args.nested, out=args.out, resume=args.resume)
