@@ -95,6 +95,11 @@ def _events_nested(spark, d):
     return ev.select("user_id", "event_type", F.from_json("props", "k int").alias("data"))
 
 
+def q_value_profile_events(spark, d):
+    # Every column, including fractional-second timestamps and doubles, as text.
+    return profile.value_profile(table(spark, d, "events"))
+
+
 def q_value_profile_nested(spark, d):
     return profile.value_profile(_events_nested(spark, d), nested=True)
 
@@ -491,6 +496,7 @@ SQL: dict[str, str] = {
     "value_counts_sql": "SELECT o_orderpriority AS value, count(*) AS count FROM orders GROUP BY o_orderpriority",
     "value_profile_all": O.profile_sql("customer", _CUST_TEXT),
     "value_profile_lineitem": O.profile_sql("lineitem", _LI_ALL),
+    "value_profile_events": O.profile_sql("events", ["event_id", "ts", "user_id", "event_type", "value", "props"]),
     "value_profile_nested": O.profile_sql(
         "(SELECT user_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events)",
         ["user_id", "event_type", "data.k"], {"data.k": "k"}),
