@@ -45,3 +45,13 @@ def test_sql_tf_index(spark):
     from valuescope.operators import tf
     lib_tf = tf.tf_index(docs, "doc_id", ["text"])
     assert sql_tf.exceptAll(lib_tf).count() == 0 and lib_tf.exceptAll(sql_tf).count() == 0
+
+
+def test_sql_fingerprints_equal_column_functions(spark):
+    from valuescope.functions.vectors import fingerprint64, fold8
+    register_sql_functions(spark)
+    emb = spark.read.parquet(f"{SF}/embeddings.parquet")
+    emb.createOrReplaceTempView("vs_emb")
+    via_sql = spark.sql("SELECT vec_id, vs_fingerprint64(embedding) AS f, vs_fold8(embedding) AS g FROM vs_emb")
+    via_df = emb.select("vec_id", fingerprint64("embedding").alias("f"), fold8("embedding").alias("g"))
+    assert via_sql.exceptAll(via_df).count() == 0 and via_df.exceptAll(via_sql).count() == 0

@@ -9,6 +9,8 @@ fixed rule tables, so ``spark.sql`` users get identical results:
   vs_short_term(uri)    namespace URI -> short prefix
   vs_word_tokens(s)     lower-cased word tokens minus the stop list
   vs_treebank_tokens(s) Treebank tokens minus the stop list
+  vs_fingerprint64(v)   64-bit median-threshold fingerprint of a numeric array
+  vs_fold8(v)           the lossy 8-position fold of the same bits
 
 Example (Spark does not accept SQL functions inside a generator, so the token
 array is computed in a subquery and exploded outside it)::
@@ -56,6 +58,17 @@ def _treebank_body(spark: SparkSession, arg: str) -> str:
     return f"filter({pieces}, t -> t <> '' AND NOT array_contains({_stop_array(spark)}, t))"
 
 
+def _fold_body(period: int, combine: str, zero: str, one: str) -> str:
+    # Median in the start value of aggregate: computed once per row.
+    sorted_v = "array_sort(v)"
+    median = (f"(({sorted_v}[CAST(floor((size(v) - 1) / 2) AS INT)] + "
+              f"{sorted_v}[CAST(floor(size(v) / 2) AS INT)]) / 2.0D)")
+    add = f"IF(x > s.m, shiftleft({one}, s.i % {period}), {zero})"
+    acc = f"(s.acc ^ {add})" if combine == "xor" else f"(s.acc + {add})"
+    return (f"aggregate(v, named_struct('m', {median}, 'acc', {zero}, 'i', 0), "
+            f"(s, x) -> named_struct('m', s.m, 'acc', {acc}, 'i', s.i + 1), s -> s.acc)")
+
+
 def sql_function_bodies(spark: SparkSession) -> dict[str, tuple[str, str, str]]:
     """name -> (parameter list, return type, body)."""
     to_int = (f"CAST(coalesce(try_cast(regexp_extract(s, {_literal(spark, INT_LITERAL)}, 1) AS INT), 0) "
@@ -71,6 +84,9 @@ def sql_function_bodies(spark: SparkSession) -> dict[str, tuple[str, str, str]]:
         "vs_short_term": ("s STRING", "STRING", short),
         "vs_word_tokens": ("s STRING", "ARRAY<STRING>", words),
         "vs_treebank_tokens": ("s STRING", "ARRAY<STRING>", _treebank_body(spark, "s")),
+        "vs_fingerprint64": ("v ARRAY<DOUBLE>", "BIGINT", _fold_body(64, "xor", "CAST(0 AS BIGINT)",
+                                                                      "CAST(1 AS BIGINT)")),
+        "vs_fold8": ("v ARRAY<DOUBLE>", "INT", _fold_body(8, "sum", "0", "1")),
     }
 
 
