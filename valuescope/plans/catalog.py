@@ -418,6 +418,15 @@ def q_tf_index_sql_api(spark, d):
         "GROUP BY doc_id, token")
 
 
+def q_fingerprint_hist_sql_api(spark, d):
+    # The fingerprint histogram written in SQL with the library's SQL functions.
+    from ..functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    table(spark, d, "embeddings").createOrReplaceTempView("vs_embeddings")
+    return spark.sql("SELECT vs_fingerprint64(embedding) AS fingerprint, count(*) AS count "
+                     "FROM vs_embeddings GROUP BY vs_fingerprint64(embedding)")
+
+
 # ---------------------------------------------------------------- streaming
 
 def _file_glob(d: str, name: str) -> str:
@@ -601,6 +610,8 @@ SQL: dict[str, str] = {
         "SELECT source, 'lang' AS field, lang AS value FROM documents GROUP BY source, lang "
         "UNION ALL SELECT source, 'n_chars', CAST(n_chars AS VARCHAR) FROM documents GROUP BY source, n_chars) "
         "GROUP BY source, field"),
+    "fingerprint_hist_sql_api": (f"SELECT {O.fingerprint64_sql('embedding')} AS fingerprint, count(*) AS count "
+                                 "FROM embeddings GROUP BY 1"),
     "tf_index_sql_api": O.tf_index_sql("documents", "doc_id", ["text"], "treebank"),
     "stream_value_profile": O.profile_sql("documents", ["doc_id", "lang", "source", "n_chars"]),
     "stream_tf_index": O.tf_index_sql("documents", "doc_id", ["text"], "treebank"),
