@@ -75,3 +75,11 @@ def test_compare_skips_fields_missing_in_raw(spark):
     raw = spark.createDataFrame([("f", "a", 1), ("f", "A", 1)], "field string, value string, count bigint")
     rows = compare_profiles(clean, raw).collect()
     assert {r["field"] for r in rows} == {"f"} and len(rows) == 2
+
+
+def test_hash_sample_is_partitioning_independent(spark):
+    from valuescope.operators.subset import hash_sample
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    a = {r["o_orderkey"] for r in hash_sample(orders, "o_orderkey", 0.2).collect()}
+    b = {r["o_orderkey"] for r in hash_sample(orders.repartition(7), "o_orderkey", 0.2).collect()}
+    assert a == b and 0 < len(a) < orders.count()

@@ -36,3 +36,9 @@ def test_namespace_prefixes(spark):
 def test_to_int_unicode_whitespace(spark):
     df = spark.createDataFrame([(" 12　",), ("\t-5\n",), ("1 2",)], "v string")
     assert [r[0] for r in df.select(to_int(F.col("v"))).collect()] == [12, -5, 0]
+
+
+def test_to_int_64_bits(spark):
+    df = spark.createDataFrame([("99999999999",), ("-9223372036854775808",), ("9223372036854775808",)], "v string")
+    assert [r[0] for r in df.select(to_int(F.col("v"), bits=64)).collect()] == \
+        [99999999999, -9223372036854775808, 0]
