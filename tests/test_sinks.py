@@ -49,3 +49,15 @@ def test_profile_parquet_partitioned_by_field(spark, tmp_dir):
     plan = back.where("field = 'f2'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(field" in plan
     assert {(r["value"], r["count"]) for r in back.where("field = 'f2'").collect()} == {("x", 1), ("y", 2)}
+
+
+def test_partitioned_write_file_count_is_tasks_plus_fields(spark, tmp_dir):
+    import glob
+    from pyspark.sql import functions as F
+    wide = spark.range(0, 5000, 1, 8).select(
+        *[((F.col("id") * (i + 3)) % 97).cast("string").alias(f"f{i}") for i in range(30)])
+    out = os.path.join(tmp_dir, "parts")
+    write_profile_partitioned(profile.value_profile(wide), out)
+    files = [p for p in glob.glob(os.path.join(out, "field=*", "part-*")) if not p.endswith(".crc")]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(files) <= parts + 30  # not tasks x fields (= 240 here)
