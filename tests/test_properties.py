@@ -155,3 +155,39 @@ def test_vector_fingerprints_spark_equal_duckdb_form(spark, vectors):
     want = [con.execute(f"SELECT {fingerprint64_sql('CAST($1 AS FLOAT[])')}, {fold8_sql('CAST($1 AS FLOAT[])')}",
                         [v]).fetchone() for v in vectors]
     assert got == [tuple(w) for w in want]
+
+
+frames = st.lists(st.tuples(st.sampled_from(["x", "", None, "y"]), st.sampled_from([1, 2, None])),
+                  min_size=1, max_size=40)
+
+
+@SETTINGS
+@given(frames)
+def test_profile_equals_brute_force_counts(spark, data):
+    from collections import Counter
+    from valuescope.operators.profile import value_profile
+    df = spark.createDataFrame(data, "a string, b int")
+    got = {(r["field"], r["value"], r["count"]) for r in value_profile(df).collect()}
+    want = set()
+    for i, name in enumerate(["a", "b"]):
+        for v, c in Counter(row[i] for row in data).items():
+            want.add((name, None if v is None else str(v), c))
+    assert got == want
+
+
+@SETTINGS
+@given(profiles, profiles)
+def test_compare_equals_pandas_pairing(spark, clean_counts, raw_counts):
+    clean = spark.createDataFrame([("f", v, c) for v, c in clean_counts.items()], "field string, value string, count bigint")
+    raw = spark.createDataFrame([("f", v, c) for v, c in raw_counts.items()], "field string, value string, count bigint")
+    got = {(r["x"], r["clean_cum_count"], r["raw_cum_count"])
+           for r in ordered.compare_profiles(clean, raw, num_partitions=3).collect()}
+
+    def curve(counts):
+        pdf = pd.DataFrame([(v, c) for v, c in counts.items() if v != ""], columns=["value", "count"])
+        pdf = pdf.sort_values(["count", "value"]).reset_index(drop=True)
+        return dict(zip(range(len(pdf)), pdf["count"].cumsum()))
+
+    c, r = curve(clean_counts), curve(raw_counts)
+    want = {(x, c.get(x), r.get(x)) for x in set(c) | set(r)}
+    assert got == {(x, None if a is None else int(a), None if b is None else int(b)) for x, a, b in want}
