@@ -83,3 +83,11 @@ def test_hash_sample_is_partitioning_independent(spark):
     a = {r["o_orderkey"] for r in hash_sample(orders, "o_orderkey", 0.2).collect()}
     b = {r["o_orderkey"] for r in hash_sample(orders.repartition(7), "o_orderkey", 0.2).collect()}
     assert a == b and 0 < len(a) < orders.count()
+
+
+def test_make_subset_hash_fraction(spark):
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    a = jobs.make_subset(orders, fraction=0.3, key="o_orderkey")
+    b = jobs.make_subset(orders, fraction=0.3, key="o_orderkey")
+    assert a.count() == b.count() and 0 < a.count() < orders.count()
+    assert a.exceptAll(b).count() == 0
