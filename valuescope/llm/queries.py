@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality
+from . import fingerprint, mixing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +19,25 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketch of every document and its edited text, and their likeness."""
+    rows = fingerprint.compare_with_edits(_table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"),
+        fingerprint.text_form(F.col("sketch")).alias("fingerprint"),
+        fingerprint.text_form(F.col("edited_sketch")).alias("edited_fingerprint"),
+        "near_edited", "near_next")
+
+
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes of every document, near each source's target."""
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
+    "op6_fingerprints": op6_fingerprints,
+    "op8_mix_sources": op8_mix_sources,
 }
 
 SQL: dict[str, str] = {}
