@@ -105,7 +105,8 @@ def _fold(members: str, key_type: str) -> str:
 def _level(rows: DataFrame, by: Sequence[str], level: int, seed: int) -> DataFrame:
     """One level of the tree: (by..., done, open member's _k, _z, _p) for each block."""
     draw = F.pmod(F.xxhash64(F.lit(seed), F.lit(level), F.col("_k"), F.col("_z")), F.lit(1 << 52)) / float(1 << 52)
-    member = F.struct(F.col("_z").alias("z"), F.xxhash64(F.lit(seed), F.col("_k")).alias("h"),
+    # Largest first: what stays open to the end is small.
+    member = F.struct((-F.col("_z")).alias("o"), F.col("_z").alias("z"), F.xxhash64(F.lit(seed), F.col("_k")).alias("h"),
                       F.col("_k").alias("key"), F.col("_p").alias("p"), draw.alias("u"))
     key_type = dict(rows.dtypes)["_k"]
     blocks = rows.groupBy(*by).agg(F.array_sort(F.collect_list(member)).alias("_m"))

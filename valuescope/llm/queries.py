@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, mixing, quality
+from . import fingerprint, mixing, quality, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate group of every document."""
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures, weakly supervised quality and verdict of every document."""
     return quality.judge(_table(spark, sf_dir, "documents"))
@@ -35,6 +40,7 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash_groups": op2_simhash_groups,
     "op5_quality_rules": op5_quality_rules,
     "op6_fingerprints": op6_fingerprints,
     "op8_mix_sources": op8_mix_sources,
