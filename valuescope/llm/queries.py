@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, mixing, quality, simhash
+from . import fingerprint, mixing, quality, simhash, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,12 @@ def op2_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with repeated sentence spans cut out of its text."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.dedup(docs, n_cut="n_cut")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures, weakly supervised quality and verdict of every document."""
     return quality.judge(_table(spark, sf_dir, "documents"))
@@ -41,6 +47,7 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_groups": op2_simhash_groups,
+    "op3_substring_dedup": op3_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_fingerprints": op6_fingerprints,
     "op8_mix_sources": op8_mix_sources,
