@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, mixing, quality, simhash, substring
+from . import fingerprint, mixing, quality, simhash, substring, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup(docs, n_cut="n_cut")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labels not held out."""
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures, weakly supervised quality and verdict of every document."""
     return quality.judge(_table(spark, sf_dir, "documents"))
@@ -48,6 +53,7 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_groups": op2_simhash_groups,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,
     "op6_fingerprints": op6_fingerprints,
     "op8_mix_sources": op8_mix_sources,
