@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, html_extract, mixing, quality, simhash, substring, toxicity
+from . import fingerprint, html_extract, mixing, pieces, quality, simhash, substring, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,12 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "near_edited", "near_next")
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled piece ids of every document, decoded again and compared."""
+    rows = pieces.round_trip(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_pieces", "ids", F.sha2("decoded", 256).alias("decoded_sha256"), "lossless")
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document, near each source's target."""
     return mixing.mix(_table(spark, sf_dir, "documents"))
@@ -61,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,
     "op6_fingerprints": op6_fingerprints,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_mix_sources": op8_mix_sources,
     "op10_html_text": op10_html_text,
 }
