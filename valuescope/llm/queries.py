@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, html_extract, mixing, pieces, quality, simhash, substring, toxicity
+from . import fingerprint, html_extract, license_scan, mixing, pieces, quality, simhash, substring, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses found in every document, with their regions."""
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op2_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate group of every document."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -62,6 +67,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_simhash_groups": op2_simhash_groups,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_toxicity": op4_toxicity,
