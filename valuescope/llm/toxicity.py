@@ -15,8 +15,8 @@
    words; logistic regression turns these into a probability. Sequence weights used to
    fit the regression come from the other half of the labelled rows.
 
-Sequence counts cover all labelled rows; the regression is fitted on at most
-``FIT_ROWS`` of them, four numbers a row (those with the least key hash).
+The classifier is fitted on at most ``FIT_ROWS`` labelled keys (those with the least
+hash); the language model covers all documents.
 
 Defined cases: null and empty texts score as texts without a toxic word; without
 labels of both kinds every text scores the share of toxic labels; rows repeating a key
@@ -41,7 +41,7 @@ from .common import chunked, col, spare_name
 
 LM_SLOTS = 1 << 18
 SLOTS = 1 << 20
-FIT_ROWS = 50_000
+FIT_ROWS = 100_000
 THRESHOLD = 0.7
 Z = 2.5            # standard errors taken off a sequence's log odds
 TOP_WORDS = 3
@@ -372,9 +372,12 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     lm = language_model(docs, text)
     marks = labels.select(col(key).alias("_k"), col(label).cast("int").alias("toxic")).where(
         "_k is not null and toxic in (0, 1)").groupBy("_k").agg(F.max("toxic").alias("toxic"))
+    # At most FIT_ROWS labels (those with the least key hash): a proven bound, so they are
+    # sent to the texts and no text crosses a shuffle.
+    marks = F.broadcast(marks.orderBy(F.xxhash64("_k"), "_k").limit(fit_rows))
     half = F.pmod(F.xxhash64(F.lit(7), F.col("_k")), F.lit(2)).cast("int")
     rows = docs.select(col(key).alias("_k"), col(text).alias("t")).join(marks, "_k").select(
-        "t", "toxic", half.alias("half"), F.xxhash64("_k").alias("order"))
+        "t", "toxic", half.alias("half"))
     size = {(r["half"], r["toxic"]): float(r["n"]) for r in rows.groupBy("half", "toxic").agg(F.count("*").alias("n")).collect()}
     n = [size.get((h, y), 0.0) for h in (0, 1) for y in (0, 1)]
     weights = [np.zeros(SLOTS, np.float32) for _ in range(3)]
@@ -384,7 +387,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     beta[-1] = np.log(share / (1 - share))
     if not (toxic and other):
         return lm, weights[2], beta
-    counts = rows.select("t", "toxic", "half").mapInArrow(
+    counts = rows.mapInArrow(
         partial(_sequence_counts, lm=lm), "slot long, n0 long, n1 long, n2 long, n3 long").groupBy("slot").agg(
         *[F.sum(f"n{k}").alias(f"n{k}") for k in range(4)])
     found = counts.select(
@@ -395,8 +398,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     at = found.column("slot").to_numpy()
     for k in range(3):
         weights[k][at] = found.column(f"w{k}").to_numpy()
-    fit = rows.orderBy("order").limit(fit_rows) if toxic + other > fit_rows else rows
-    got = fit.select("t", "toxic", "half").mapInArrow(
+    got = rows.mapInArrow(
         partial(_feature_rows, halves=weights[:2], lm=lm),
         "toxic int, " + ", ".join(f"f{i} double" for i in range(TOP_WORDS + 1))).toArrow()
     x = np.column_stack([got.column(i).to_numpy() for i in range(1, got.num_columns)])
