@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, html_extract, license_scan, mixing, pieces, quality, simhash, substring, toxicity
+from . import chat, fingerprint, html_extract, license_scan, mixing, pieces, quality, simhash, substring, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,43 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+# Tools the calls of ``_tool_messages`` may name.
+TOOLS: chat.Schemas = {
+    "search": {"query": ("string", True), "limit": ("integer", True), "source": ("string", False)},
+    "summarise": {"text": ("string", True), "words": ("integer", False), "source": ("string", False)},
+    "convert": {"amount": ("number", True), "unit": ("string", True)},
+}
+
+
+def _tool_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stand-in input: conversations whose assistant turns call tools and whose next
+    turns answer them (the table itself has no tool calls)."""
+    table = _table(spark, sf_dir, "conversations")
+    kind = F.pmod(F.xxhash64("text"), F.lit(7))
+    call = F.col("role") == "assistant"
+    first_line = F.substring_index("text", "\n", 1)
+    size = F.length("text")
+    arguments = (
+        F.when(kind == 0, F.to_json(F.struct(size.alias("amount"), F.lit("chars").alias("unit"))))
+        .when(kind == 1, F.to_json(F.struct(size.cast("string").alias("limit"), first_line.alias("query"))))
+        .when(kind == 2, F.to_json(F.struct((size % 50).alias("words"))))
+        .when((kind == 3) & (F.col("turn") > 2), F.to_json(F.struct(
+            F.concat(F.lit("$c"), F.col("turn") - 2).alias("source"), first_line.alias("query"), (size % 20).alias("limit"))))
+        .otherwise(F.to_json(F.struct(first_line.alias("text"), F.concat(F.lit("$c"), F.col("turn") - 2).alias("source")))))
+    name = F.when(kind == 0, "convert").when(kind.isin(1, 3), "search").when(kind == 5, "translate").otherwise("summarise")
+    calls = F.to_json(F.array(F.struct(
+        F.concat(F.lit("c"), F.col("turn")).alias("id"), name.alias("name"), arguments.alias("arguments"))))
+    answers = (F.col("role") == "user") & (F.col("turn") > 1)
+    return table.select("conv_id", "turn", F.when(answers, "tool").otherwise(F.col("role")).alias("role"), "text",
+                        F.when(call, calls).alias("calls"),
+                        F.when(answers, F.concat(F.lit("c"), F.col("turn") - 1)).alias("answers"))
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical JSON of every message and linked tool call of the conversations."""
+    return chat.format_chat(_tool_messages(spark, sf_dir), TOOLS)
+
+
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_extract.extract(_table(spark, sf_dir, "pages"))
@@ -75,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_fingerprints": op6_fingerprints,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_mix_sources": op8_mix_sources,
+    "op9_chat_format": op9_chat_format,
     "op10_html_text": op10_html_text,
 }
 
