@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from valuescope.llm import mixing, pieces, simhash, substring, toxicity
 from valuescope.session import scratch_path
@@ -27,8 +28,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the sentence spans an earlier document has (operator 3)."""
-    return substring.dedup(docs)
+    """Texts without the sentence spans an earlier document has (operator 3), n_chars to match."""
+    cut = substring.dedup(docs)
+    return cut.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), F.col("n_chars")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
