@@ -25,6 +25,15 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def numbered(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with its columns named c0, c1, ..., and the new names of ``names``.
+
+    For operators that pass all columns on: their own names can't clash meanwhile;
+    ``.toDF(*df.columns)`` gives the old names back.
+    """
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), [f"c{df.columns.index(n)}" for n in names]
+
+
 def spare_name(df: DataFrame, stem: str) -> str:
     """``stem``, lengthened until no column of ``df`` has the name."""
     taken = {c.lower() for c in df.columns}

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ordered import sorted_index
 from ..session import pin
-from .common import col, spare_name, words
+from .common import col, numbered, words
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -189,10 +189,9 @@ def mixed(df: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     plan = decide(rows, weights, share, cap, seed).where("copies > 0").select(
         F.col("_k").alias("_k4"), F.col("_s").alias("_s4"), F.col("_z").alias("_z4"), "copies")
     # The size is computed from the text again, so the texts cross one shuffle only.
-    names = {n: spare_name(df, n) for n in ("_size", "_copy")}
-    sized = df.withColumn(names["_size"], F.size(words(col(text))).cast("long"))
-    same = (col(key).eqNullSafe(F.col("_k4")) & col(source).eqNullSafe(F.col("_s4"))
-            & (F.col(names["_size"]) == F.col("_z4")))
+    inner, (k, t, s) = numbered(df, key, text, source)
+    sized = inner.withColumn("_size", F.size(words(F.col(t))).cast("long"))
+    same = F.col(k).eqNullSafe(F.col("_k4")) & F.col(s).eqNullSafe(F.col("_s4")) & (F.col("_size") == F.col("_z4"))
     return (sized.join(plan, same)
-            .withColumn(names["_copy"], F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
-            .select(*[col(c) for c in df.columns]))
+            .withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
+            .select(*inner.columns).toDF(*df.columns))

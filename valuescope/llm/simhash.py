@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import pin
-from .common import chunked, col, spare_name
+from .common import chunked, col, numbered
 from .components import component_roots
 
 SHINGLE = 3
@@ -317,7 +317,7 @@ def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     rows = df.select(col(key).alias("_k"), col(text).alias("_t"))
     rows = pin(with_fingerprint(rows, "_t", "fp", shingle).select("_k", "fp"))
     kept = _grouped(rows, radius).select(F.col("rep._k").alias("_k2"), F.col("rep.fp").alias("_fp2")).distinct()
-    fp = spare_name(df, "_fp")
-    marked = with_fingerprint(df, text, fp, shingle)
-    found = marked.join(kept, col(key).eqNullSafe(F.col("_k2")) & (F.col(fp) == F.col("_fp2")), "left_semi")
-    return found.dropDuplicates([key, fp]).drop(fp)
+    inner, (k, t) = numbered(df, key, text)
+    marked = with_fingerprint(inner, t, "_fp", shingle)
+    found = marked.join(kept, F.col(k).eqNullSafe(F.col("_k2")) & (F.col("_fp") == F.col("_fp2")), "left_semi")
+    return found.dropDuplicates([k, "_fp"]).drop("_fp").toDF(*df.columns)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from ..session import pin
-from .common import chunked, col, spare_name
+from .common import chunked, col, numbered
 
 MIN_SENTENCES = 2
 MIN_WORDS = 20
@@ -128,15 +128,15 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", n_cut: str | N
     """``df`` with repeated spans cut out of ``text``; ``n_cut`` names an optional
     column for the number of sentences cut."""
     cuts = covered(df, key, text).select(F.col("_k").alias("_k2"), F.col("_h").alias("_h2"), F.col("cuts").alias("_cuts2"))
-    h, spare = spare_name(df, "_texthash"), spare_name(df, "_cuts")
-    marked = df.withColumn(h, F.xxhash64(col(text)))
-    joined = marked.join(cuts, col(key).eqNullSafe(F.col("_k2")) & (F.col(h) == F.col("_h2")), "left")
-    joined = joined.select(*[col(c) for c in df.columns], F.col("_cuts2").alias(spare))
+    inner, (k, t) = numbered(df, key, text)
+    marked = inner.withColumn("_texthash", F.xxhash64(F.col(t)))
+    joined = marked.join(cuts, F.col(k).eqNullSafe(F.col("_k2")) & (F.col("_texthash") == F.col("_h2")), "left")
+    joined = joined.select(*inner.columns, "_cuts2")
     at, cut_at = df.columns.index(text), len(df.columns)
-    wanted = [*df.columns, *([n_cut] if n_cut else [])]
-    schema = joined.drop(spare).schema
+    wanted = [*inner.columns, *(["n_cut"] if n_cut else [])]
+    schema = joined.drop("_cuts2").schema
     if n_cut:
-        schema = schema.add(n_cut, IntegerType())
+        schema = schema.add("n_cut", IntegerType())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunked(batches, at):
@@ -155,4 +155,4 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", n_cut: str | N
                 columns.append(pa.array(counts, pa.int32()))
             yield pa.RecordBatch.from_arrays(columns, names=wanted)
 
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(cut, schema).toDF(*df.columns, *([n_cut] if n_cut else []))
