@@ -18,8 +18,8 @@ travel back to their documents, and the texts cross one shuffle.
 
 Defined cases: a null text stays null, an empty one empty; a text wholly covered
 becomes empty, its row stays; rows that repeat key and text are one document with the
-same result; rows with equal keys but other texts, and null keys, are ordered by a hash
-of the text; an empty table gives an empty result; other columns are kept as they are.
+same result; null keys come first, rows with equal keys but other texts are ordered by a
+hash; an empty table gives an empty result; other columns are kept as they are.
 """
 
 from __future__ import annotations
@@ -88,50 +88,46 @@ def spans(parts: list[tuple[int, int, int, str]]) -> Iterator[tuple[int, int, by
 
 
 def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(_k, _h, _t) -> a row for every span: _k, _h, first, last, h1, h2."""
+    """(_k, d, _t) -> a row for every span: _k, d, first, h1, h2."""
     for batch in chunked(batches, 2):
-        owner, first, last, digests = [], [], [], []
+        owner, first, digests = [], [], []
         for i, text in enumerate(batch.column(2).to_pylist()):
-            for a, b, digest in spans(sentences(text)) if text else ():
+            for a, _, digest in spans(sentences(text)) if text else ():
                 owner.append(i)
                 first.append(a)
-                last.append(b)
                 digests.append(digest)
-        both = pa.array(np.frombuffer(b"".join(digests), "<i8").copy()) if digests else pa.array([], pa.int64())
+        both = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
         at = pa.array(owner, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(at), batch.column(1).take(at), pa.array(first, pa.int32()), pa.array(last, pa.int32()),
-             both.take(pa.array(range(0, len(both), 2), pa.int64())), both.take(pa.array(range(1, len(both), 2), pa.int64()))],
-            names=["_k", "_h", "first", "last", "h1", "h2"])
+            [batch.column(0).take(at), batch.column(1).take(at), pa.array(first, pa.int32()),
+             pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["_k", "d", "first", "h1", "h2"])
 
 
 def covered(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(_k, _h, cuts): the repeated spans [first, last] of each document that has some.
+    """(d, cuts): the repeated spans of each document that has some, by first sentence.
 
-    ``_h`` is the hash of the text; ``cuts`` is at most one span per sentence.
+    ``d`` is the hash of key and text; ``cuts`` is at most one number per sentence.
     """
-    docs = df.select(col(key).alias("_k"), F.xxhash64(col(text)).alias("_h"), col(text).alias("_t"))
+    docs = df.select(col(key).alias("_k"), F.xxhash64(col(key), col(text)).alias("d"), col(text).alias("_t"))
     key_type = docs.schema["_k"].dataType.simpleString()
-    rows = pin(docs.mapInArrow(
-        _span_rows, f"_k {key_type}, _h long, first int, last int, h1 long, h2 long"))
-    place = F.struct(F.col("_k").isNull().alias("nokey"), F.col("_k").alias("k"), F.col("_h").alias("h"),
-                     F.col("first").alias("first"))
-    seen = (rows.groupBy("h1", "h2").agg(F.min(place).alias("home"), F.max(place).alias("other"))
-            .where(~F.col("home").eqNullSafe(F.col("other")))
-            .select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), "home"))
+    rows = pin(docs.mapInArrow(_span_rows, f"_k {key_type}, d long, first int, h1 long, h2 long"))
+    # Written on its own, so that the join below has a plain exchange on either side and
+    # a span with very many occurrences can be split.
+    seen = pin(rows.groupBy("h1", "h2").agg(F.min(F.struct("_k", "d", "first")).alias("home"), F.count("*").alias("n"))
+               .where("n > 1").select(F.col("h1").alias("g1"), F.col("h2").alias("g2"),
+                                      F.col("home.d").alias("home_d"), F.col("home.first").alias("home_first")))
     again = rows.join(seen, (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2"))).where(
-        ~place.eqNullSafe(F.col("home")))
-    return again.groupBy("_k", "_h").agg(F.collect_set(F.struct("first", "last")).alias("cuts"))
+        (F.col("d") != F.col("home_d")) | (F.col("first") != F.col("home_first")))
+    return again.groupBy("d").agg(F.collect_set("first").alias("cuts"))
 
 
 def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", n_cut: str | None = None) -> DataFrame:
     """``df`` with repeated spans cut out of ``text``; ``n_cut`` names an optional
     column for the number of sentences cut."""
-    cuts = covered(df, key, text).select(F.col("_k").alias("_k2"), F.col("_h").alias("_h2"), F.col("cuts").alias("_cuts2"))
+    cuts = covered(df, key, text).select(F.col("d").alias("_d2"), F.col("cuts").alias("_cuts2"))
     inner, (k, t) = numbered(df, key, text)
-    marked = inner.withColumn("_texthash", F.xxhash64(F.col(t)))
-    joined = marked.join(cuts, F.col(k).eqNullSafe(F.col("_k2")) & (F.col("_texthash") == F.col("_h2")), "left")
-    joined = joined.select(*inner.columns, "_cuts2")
+    marked = inner.withColumn("_d", F.xxhash64(F.col(k), F.col(t)))
+    joined = marked.join(cuts, F.col("_d") == F.col("_d2"), "left").select(*inner.columns, "_cuts2")
     at, cut_at = df.columns.index(text), len(df.columns)
     wanted = [*inner.columns, *(["n_cut"] if n_cut else [])]
     schema = joined.drop("_cuts2").schema
@@ -141,12 +137,14 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", n_cut: str | N
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunked(batches, at):
             texts, counts = [], []
-            for t, spans_ in zip(batch.column(at).to_pylist(), batch.column(cut_at).to_pylist()):
+            for t, firsts in zip(batch.column(at).to_pylist(), batch.column(cut_at).to_pylist()):
                 gone: set[int] = set()
-                for s in spans_ or ():
-                    gone.update(range(s["first"], s["last"] + 1))
-                if gone:
-                    t = "".join(t[p[0]:p[1]] for i, p in enumerate(sentences(t)) if i not in gone)
+                if firsts:
+                    parts, starts = sentences(t), set(firsts)
+                    for a, b, _ in spans(parts):
+                        if a in starts:
+                            gone.update(range(a, b + 1))
+                    t = "".join(t[p[0]:p[1]] for i, p in enumerate(parts) if i not in gone)
                 texts.append(t)
                 counts.append(len(gone))
             columns = [batch.column(i) for i in range(cut_at)]
