@@ -26,6 +26,7 @@ table gives an empty result; only key, text and the label columns are read.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -118,28 +119,49 @@ def language_model(df: DataFrame, text: str = "text") -> np.ndarray:
     return counts
 
 
-def _slot(s: str) -> int:
-    h = 0
-    for c in s:
-        h = (h * 0x9E3779B97F4A7C15 + ord(c)) & 0xFFFFFFFFFFFFFFFF
-    h = ((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9) & 0xFFFFFFFFFFFFFFFF
-    return h >> 46
+def _slot(h: int) -> int:
+    return (((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9) & 0xFFFFFFFFFFFFFFFF) >> 46
 
 
-def _cost(lm: np.ndarray, context: str, c: str) -> float:
-    """-log P(c | up to three characters before), interpolated over the orders."""
-    p = 1e-5
-    for k in range(min(3, len(context)) + 1):
-        tail = context[len(context) - k:]
-        below = float(lm[_slot(tail)]) if k else 0.0
-        if k and below <= 0:
-            break
-        joint = float(lm[_slot(tail + c)])
-        if k == 0:
-            p = 0.9 * min(joint / max(float(lm[_slot("\x02")]) * 8.0, 1.0), 1.0) + 0.1 * p
-        else:
-            p = 0.8 * min(joint / below, 1.0) + 0.2 * p
-    return float(-np.log(max(p, 1e-12)))
+class Costs:
+    """-log P(character | up to three characters before) under a language model,
+    interpolated over the orders; remembers what it has worked out."""
+
+    def __init__(self, lm: np.ndarray) -> None:
+        self.count = lm.item
+        self.known: dict[tuple[str, str], float] = {}
+        self.contexts: dict[str, list[tuple[int, float]]] = {}
+        self.words = max(self.count(_slot(2)), 1.0)
+
+    def __call__(self, context: str, c: str) -> float:
+        found = self.known.get((context, c))
+        if found is None:
+            found = self.known[context, c] = self._cost(context, c)
+        return found
+
+    def _tails(self, context: str) -> list[tuple[int, float]]:
+        """(rolling hash, count) of the last 0, 1, 2 and 3 characters, while they occur."""
+        out = [(0, 8.0 * self.words)]
+        for k in range(1, len(context) + 1):
+            h = 0
+            for c in context[len(context) - k:]:
+                h = (h * 0x9E3779B97F4A7C15 + ord(c)) & 0xFFFFFFFFFFFFFFFF
+            below = self.count(_slot(h))
+            if below <= 0:
+                break
+            out.append((h, below))
+        return out
+
+    def _cost(self, context: str, c: str) -> float:
+        tails = self.contexts.get(context)
+        if tails is None:
+            tails = self.contexts[context] = self._tails(context)
+        p, own = 1e-5, 0.9
+        for h, below in tails:
+            joint = self.count(_slot((h * 0x9E3779B97F4A7C15 + ord(c)) & 0xFFFFFFFFFFFFFFFF))
+            p = own * min(joint / below, 1.0) + (1.0 - own) * p
+            own = 0.8
+        return -math.log(max(p, 1e-12))
 
 
 # --- channel --------------------------------------------------------------------
@@ -166,20 +188,16 @@ def _lattice(word: str) -> list[list[tuple[str, float]]]:
     return places
 
 
-def restore(word: str, lm: np.ndarray, costs: dict) -> str:
-    """Viterbi path through the word's lattice; states are the last three characters.
-    ``costs`` remembers the model costs between words."""
+def restore(word: str, cost: Costs) -> str:
+    """Viterbi path through the word's lattice; states are the last three characters."""
     best: dict[str, tuple[float, str]] = {"\x02": (0.0, "")}
     for options in [*_lattice(word), [("\x03", 0.0)]]:
         step: dict[str, tuple[float, str]] = {}
-        for state, (cost, path) in best.items():
+        for state, (so_far, path) in best.items():
             for meant, channel in options:
-                total, context = cost + channel, state
+                total, context = so_far + channel, state
                 for c in meant:
-                    cost_c = costs.get((context, c))
-                    if cost_c is None:
-                        cost_c = costs[context, c] = _cost(lm, context, c)
-                    total += cost_c
+                    total += cost(context, c)
                     context = (context + c)[-3:]
                 if context not in step or total < step[context][0]:
                     step[context] = (total, path + meant)
@@ -199,14 +217,23 @@ def written_words(text: str) -> set[str]:
     return out
 
 
-def plain_word(word: str, lm: np.ndarray, costs: dict) -> str:
+def plain_word(word: str, cost: Costs) -> str:
     """The word without outer punctuation, restored where it looks disguised."""
     if word.isalpha():
-        return restore(word, lm, costs) if _RUN.search(word) else word
+        return restore(word, cost) if _RUN.search(word) else word
     core = _LEAD.sub("", _TRAIL.sub("", word))
     if len(core) > 40 or not (_ODD.search(core) or _RUN.search(core)):
         return core
-    return restore(core, lm, costs)
+    return restore(core, cost)
+
+
+def _runs(words: list[str]) -> np.ndarray:
+    """Which words hold three equal characters in a row."""
+    codes = np.frombuffer("\n".join([*words, ""]).encode("utf-32-le", "replace"), np.uint32)
+    at = np.flatnonzero((codes[:-2] == codes[1:-1]) & (codes[:-2] == codes[2:])) if len(codes) > 2 else np.zeros(0, int)
+    held = np.zeros(len(words), bool)
+    held[np.searchsorted(np.flatnonzero(codes == 10), at)] = True
+    return held
 
 
 # --- score ----------------------------------------------------------------------
@@ -246,11 +273,10 @@ class Words:
     (an index) and the sequence slots of each meaning."""
 
     def __init__(self, lm: np.ndarray) -> None:
-        self.lm = lm
+        self.cost = Costs(lm)
         self.clear()
 
     def clear(self) -> None:
-        self.costs: dict[tuple[str, str], float] = {}
         self.meaning: dict[str, int] = {}
         self.index: dict[str, int] = {}
         self.slots = [np.zeros(0, np.int64)]
@@ -260,9 +286,12 @@ class Words:
         """Indexes of the distinct meanings of each text's words."""
         if len(self.meaning) >= CACHE:
             self.clear()
+        if len(self.cost.known) >= CACHE:
+            self.cost.known.clear()
         fresh = []
-        for word in set().union(*texts).difference(self.meaning):
-            core = plain_word(word, self.lm, self.costs)
+        new = list(set().union(*texts).difference(self.meaning))
+        for word, run in zip(new, _runs(new).tolist()):
+            core = word if word.isalpha() and not run else plain_word(word, self.cost)
             at = self.index.get(core)
             if at is None:
                 at = self.index[core] = len(self.index)
