@@ -97,3 +97,21 @@ def test_location_by_suffix_and_undecodable_line(spark, tmp_dir):
     arc = archive.load_archive(spark, tmp_dir, skip_eml=True)
     ids = sorted(r["id"] for r in arc.core.collect())
     assert ids == ["r1", "r3", "r8"]
+
+
+def test_any_text_survives_an_archive(spark, tmp_dir):
+    texts = [" a", "a ", " ", "x\ny", "x\r\ny", "\\n", "tab\there", 'q"u', "end\\", "\ufeff"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    folder = os.path.join(tmp_dir, "arc")
+    archive.write_archive(folder, df, "id", {"t": "http://rs.tdwg.org/dwc/terms/occurrenceRemarks"})
+    core = archive.load_archive(spark, folder).core
+    assert sorted((int(r["id"]), r["dwc:occurrenceRemarks"]) for r in core.collect()) == list(enumerate(texts))
+
+
+def test_other_encodings_lose_nothing(spark, tmp_dir):
+    for encoding in ("ISO-8859-1", "UTF-16LE"):
+        path = os.path.join(tmp_dir, encoding)
+        with open(path, "wb") as f:
+            f.write("1\tcaf\u00e9\x01rest\n2\t\"x\"\r\n".encode(encoding))
+        rows = [r["value"] for r in archive._read_lines(spark, path, encoding, "\n").collect()]
+        assert rows == ["1\tcaf\u00e9\x01rest", '2\t"x"']

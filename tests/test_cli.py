@@ -61,7 +61,7 @@ def test_cli_xref_and_cumulate(spark, tmp_dir):
     xo = os.path.join(tmp_dir, "xref")
     assert main(["xref", "--input", f"{SF}/documents.parquet", "--out", xo,
                  "--uuid", "doc_id", "--ident", "doc_id", "--text", "text"]) == 0
-    assert set(spark.read.parquet(xo).columns) >= {"idb_uuid", "token", "note", "catalognumber_len"}
+    assert set(spark.read.parquet(xo).columns) >= {"record_uuid", "token", "note", "catalognumber_len"}
     co = os.path.join(tmp_dir, "cum")
     assert main(["cumulate", "--input", f"{SF}/lineitem.parquet", "--out", co, "--fields", "l_shipdate"]) == 0
     assert spark.read.parquet(co).where("field = 'l_shipdate'").count() > 0

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from valuescope.plans import catalog
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -31,7 +32,8 @@ def test_entry_runs(spark):
 def test_every_query_has_sql_or_is_rows_only():
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q)
-    assert set(q) - set(s) <= {"subset_hash", "cardinality_estimate"}
+    assert set(catalog.QUERIES) <= set(q) and set(catalog.SQL) <= set(s)
+    assert set(catalog.QUERIES) == set(catalog.SQL)  # every query of the library has its SQL
 
 
 @pytest.fixture(scope="module")
@@ -48,14 +50,7 @@ def _reads_given_tables(df) -> bool:
     return SF in plan or "valuescope-" in plan
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
-def test_rows_only_queries_read_the_tables(spark, name):
-    df = E.queries()[name](spark, SF)
-    assert _reads_given_tables(df)
-    assert df.count() > 0
-
-
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.SQL))
 def test_query_matches_sql(spark, duck, name):
     df = E.queries()[name](spark, SF)
     assert _reads_given_tables(df), name

@@ -21,8 +21,8 @@ def test_salted_join_equals_plain_join(spark):
 
 def test_bounded_broadcast_respects_bound(spark):
     small = spark.range(10)
-    big = bounded_broadcast(spark.range(100), max_rows=50)
-    plan = spark.range(1000).join(bounded_broadcast(small, 50), "id")._jdf.queryExecution().executedPlan().toString()
+    big = bounded_broadcast(spark.range(100), max_bytes=50)
+    plan = spark.range(1000).join(bounded_broadcast(small), "id")._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" in plan
     assert big.count() == 100
 
@@ -43,13 +43,11 @@ def test_hot_key_rows_spread_over_tasks(spark):
         spark.conf.set("spark.sql.adaptive.enabled", prev)
 
 
-def test_bounded_broadcast_tiers(spark):
-    mid = bounded_broadcast(spark.range(300), max_rows=1000, local_rows=100)  # materialised tier
-    plan = spark.range(5000).join(mid, "id")._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in plan and mid.count() == 300
-    big = bounded_broadcast(spark.range(300), max_rows=200, local_rows=100)   # over the bound
-    plan = spark.range(5000).join(big, "id")._jdf.queryExecution().executedPlan().toString()
-    assert big.count() == 300
+def test_bounded_broadcast_counts_bytes_not_rows(spark):
+    long = spark.range(300).select("id", F.repeat(F.sha2(F.col("id").cast("string"), 256), 50).alias("s"))
+    assert "ResolvedHint" not in bounded_broadcast(long, max_bytes=10_000)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" in bounded_broadcast(long.select("id"), max_bytes=10_000)._jdf.queryExecution().analyzed().toString()
+    assert bounded_broadcast(long, max_bytes=10_000).count() == 300
 
 
 def test_salted_join_spreads_identical_rows(spark):

@@ -78,7 +78,26 @@ def shorten_term_col(term: Column | str, extra: Sequence[tuple[str, str]] = ())
     c = _as_col(term)
     out = None
     for uri, prefix in namespace_table(extra):
-        branch = F.concat(F.lit(prefix), F.substring(c, len(uri) + 1, 1 << 30))
+        branch = F.concat(F.lit(prefix), F.substring(c, F.lit(len(uri) + 1), F.length(c)))
         cond = c.startswith(uri)
         out = F.when(cond, branch) if out is None else out.when(cond, branch)
     return out.otherwise(c)
+
+
+# Characters a text line (or a CSV line reader) cannot hold, as two-character codes.
+# The backslash itself comes first, so that no other code can arise by accident.
+LINE_CODES = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"), ("\0", "\\z"), ("\ufeff", "\\b"))
+
+
+def escape_line(value: Column) -> Column:
+    """``value`` on one line: reversible by ``unescape_line``; NULL stays NULL."""
+    for raw, code in LINE_CODES:
+        value = F.replace(value, F.lit(raw), F.lit(code))
+    return value
+
+
+def unescape_line(value: Column) -> Column:
+    """The text ``escape_line`` was given."""
+    for raw, code in reversed(LINE_CODES):
+        value = F.replace(value, F.lit(code), F.lit(raw))
+    return value

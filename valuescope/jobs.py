@@ -26,36 +26,40 @@ from pyspark.sql import functions as F
 from .operators import fingerprint, profile, sequence, subset, tf, xref
 from .operators.ordered import compare_profiles, cumulate  # noqa: F401  (re-exported jobs)
 from .operators.profile import cardinality_report  # noqa: F401
-from .sinks import write_field_csvs, write_parquet, write_rejects
+from .sinks import done_fields, write_field_csvs, write_parquet, write_rejects
 from .sources import csvtext, media
 from .sources.archive import load_archive  # noqa: F401
+from .sources.profiles import load_profile_dir
 
 
 def profile_values(df: DataFrame, fields: Sequence[str] | None = None, nested: bool = False,
-                   out: str | None = None, resume: bool = True) -> DataFrame:
+                   out: str | None = None, resume: bool = False) -> DataFrame:
     """Long profile (field, value, count); with ``out`` also one value file per field.
 
-    With ``resume`` fields whose files are complete are not aggregated again.
+    With ``resume`` fields whose files are complete are not aggregated again: their
+    part of the returned profile is read back from the files.
     """
     names = list(fields) if fields is not None else profile.field_list(df, nested)
-    if out is not None and resume:
-        from .sinks.writers import done_fields
-        names = [f for f in names if f not in set(done_fields(df.sparkSession, out, names))]
-        if not names:
-            return df.sparkSession.createDataFrame([], "field string, value string, count bigint")
-    prof = profile.value_profile(df, names)
-    if out is not None:
-        write_field_csvs(prof, out, names, resume=resume)
-    return prof
+    done = done_fields(df.sparkSession, out, names) if out is not None and resume else []
+    todo = [f for f in names if f not in set(done)]
+    prof = profile.value_profile(df, todo) if todo else None
+    if out is None:
+        return prof
+    if todo:
+        write_field_csvs(prof, out, todo, resume=resume)
+    if not done:
+        return prof
+    before = load_profile_dir(df.sparkSession, out, done)
+    return prof.unionByName(before) if todo else before
 
 
 def profile_csv(spark: SparkSession, path: str | Sequence[str], fields: Sequence[str] | None = None,
-                rejects_out: str | None = None, out: str | None = None) -> DataFrame:
+                rejects_out: str | None = None, out: str | None = None, resume: bool = False) -> DataFrame:
     """Profile CSV text read line by line (tolerant parse; rejects logged, still counted)."""
     parsed = csvtext.read_csv_records(spark, path)
     if rejects_out is not None:
         write_rejects(parsed.rejects, rejects_out)
-    return profile_values(parsed.good, fields, out=out)
+    return profile_values(parsed.good, fields, out=out, resume=resume)
 
 
 def build_tf_index(df: DataFrame, id_col: str, text_cols: Sequence[str], tokenizer: str = "treebank",

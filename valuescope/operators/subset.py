@@ -31,11 +31,11 @@ def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = 42) -> Dat
     """Deterministic sample of about ``fraction`` of the rows, chosen by a hash of ``key``.
 
     The same key is always in or out, whatever the partitioning, so reruns and
-    lost executors give the same subset.
+    lost executors give the same subset. The hash is the first 60 bits of the MD5 of
+    seed and key text, compared with ``fraction * 2**60``: no fraction is too small.
     """
-    buckets = 1_000_000
-    h = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets))
-    return df.where(h < F.lit(int(fraction * buckets)))
+    h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("")))), 1, 15), 16, 10)
+    return df.where(h.cast("bigint") < F.lit(int(fraction * (1 << 60))))
 
 
 def random_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:

@@ -4,7 +4,8 @@
 (identifier == token) and attaches the text of the mentioning document. Its
 output is one row per (identifier record, mentioning document token row), as the
 analysis defines it. Hot identifiers ("1", "2", ...) are split over many tasks by
-a salted join whose hot-key list is found by an exact count.
+a salted join whose hot-key list is found by an exact count of the tokens that
+are identifiers; the other tokens of the index are dropped first.
 
 ``id_length_histogram`` does **not** build those pairs: identifiers are counted
 per key, the index meets one row per identifier (which reduces it to identifier
@@ -14,32 +15,56 @@ counts are summed per identifier length.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.skew import salted_join
+from . import tf as tf_ops
 
 
 def identifier_view(df: DataFrame, uuid_col: str, id_col: str) -> DataFrame:
-    """(idb_uuid, idb_catalognumber): the record id and its identifier as text."""
-    return df.select(F.col(uuid_col).alias("idb_uuid"),
-                     F.col(id_col).cast("string").alias("idb_catalognumber"))
+    """(record_uuid, record_identifier): the record id and its identifier as text."""
+    return df.select(F.col(uuid_col).alias("record_uuid"),
+                     F.col(id_col).cast("string").alias("record_identifier"))
+
+
+def identifier_index(df: DataFrame, ids: DataFrame, id_col: str, text_cols: Sequence[str],
+                     tokenizer: str = "treebank", id_alias: str = "uuid") -> DataFrame:
+    """The part of the term-frequency index whose tokens are identifiers of ``ids``.
+
+    The tokens meet the distinct identifiers before they are counted, so the full
+    index (a row per document and token) is never built or shuffled by document.
+    """
+    tokens = tf_ops.tokens(df, id_col, text_cols, tokenizer=tokenizer, id_alias=id_alias)
+    return reduced(tokens, ids).groupBy(id_alias, "token").agg(F.count("*").alias("count"))
+
 
+def reduced(tokens: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``tokens`` whose token is an identifier of ``ids``."""
+    known = ids.where(F.col("record_identifier").isNotNull()).select(
+        F.col("record_identifier").alias("_vs_known")).distinct()
+    return tokens.join(known, F.col("token") == F.col("_vs_known"), "left_semi")
 
-def cross_reference(ids: DataFrame, tf: DataFrame, notes: DataFrame,
-                    salts: int = 32, hot_share: float = 0.001) -> DataFrame:
+
+def cross_reference(ids: DataFrame, tf: DataFrame, notes: DataFrame) -> DataFrame:
     """Join identifiers to the tokens that repeat them, then attach the note text.
 
-    ``ids``: (idb_uuid, idb_catalognumber); ``tf``: (uuid, token, count);
-    ``notes``: (note_uuid, note). Output: idb_uuid, idb_catalognumber, uuid,
-    token, count, note_uuid, note, catalognumber_len. Self mentions are kept.
+    ``ids``: (record_uuid, record_identifier); ``tf``: (uuid, token, count), the whole
+    index or its identifier part; ``notes``: (note_uuid, note). Output: record_uuid,
+    record_identifier, uuid, token, count, note_uuid, note, catalognumber_len. Self
+    mentions are kept.
+
+    The index is reduced to identifier tokens first; only those rows are written and
+    looked at for hot tokens, which are split (``salted_join``).
     """
-    matches = salted_join(ids.where(F.col("idb_catalognumber").isNotNull()), tf,
-                          "idb_catalognumber", "token", salts=salts, share=hot_share)
+    known = ids.where(F.col("record_identifier").isNotNull())
+    matches = salted_join(known, reduced(tf, ids), "record_identifier", "token")
     joined = matches.join(notes, F.col("uuid") == F.col("note_uuid"), "inner")
     return joined.select(
-        "idb_uuid", "idb_catalognumber", "uuid", "token", "count", "note_uuid", "note",
-        F.length("idb_catalognumber").alias("catalognumber_len"))
+        "record_uuid", "record_identifier", "uuid", "token", "count", "note_uuid", "note",
+        F.length("record_identifier").alias("catalognumber_len"))
 
 
 def id_length_histogram(ids: DataFrame, tf: DataFrame, notes: DataFrame) -> DataFrame:
@@ -52,14 +77,14 @@ def id_length_histogram(ids: DataFrame, tf: DataFrame, notes: DataFrame) -> Data
     are identifiers (one shuffle of the index, by token, against one row per
     identifier), so only those rows meet the notes.
     """
-    id_counts = (ids.where(F.col("idb_catalognumber").isNotNull())
-                 .groupBy("idb_catalognumber").agg(F.count("*").alias("_n_ids")))
+    id_counts = (ids.where(F.col("record_identifier").isNotNull())
+                 .groupBy("record_identifier").agg(F.count("*").alias("_n_ids")))
     matched = (tf.select("uuid", "token")
-               .join(id_counts, F.col("token") == F.col("idb_catalognumber"))
-               .select("uuid", "idb_catalognumber", "_n_ids"))
+               .join(id_counts, F.col("token") == F.col("record_identifier"))
+               .select("uuid", "record_identifier", "_n_ids"))
     note_counts = notes.groupBy("note_uuid").agg(F.count("*").alias("_n_notes"))
     rows = (matched.join(note_counts, F.col("uuid") == F.col("note_uuid"))
-            .select(F.length("idb_catalognumber").alias("catalognumber_len"),
+            .select(F.length("record_identifier").alias("catalognumber_len"),
                     (F.col("_n_ids") * F.col("_n_notes")).alias("_rows")))
     hist = rows.groupBy("catalognumber_len").agg(F.sum("_rows").cast("bigint").alias("count"))
     return hist.withColumn("log_count", F.log10(F.col("count").cast("double")))

@@ -14,16 +14,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
 
-from ..functions.scalars import slug, to_int
+from .. import jobs
+from ..functions.scalars import slug, to_int, unescape_line
 from ..functions.text import note
 from ..operators import fingerprint as fp
 from ..operators import ordered, profile, sequence, subset, tf, xref
 from ..sources import csvtext
 from ..session import pin, scratch_path
-from ..sinks import write_field_csvs
+from ..sinks import (write_csv_pairs, write_field_csvs, write_parquet, write_profile_partitioned, write_rejects,
+                     write_text_pairs)
 from ..sources import archive
 from ..sources.profiles import load_profile_dir
 from ..streaming import profile_stream
@@ -36,11 +38,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _text_fields(df: DataFrame) -> list[str]:
-    """Fields whose text form is engine-independent (no floating point)."""
-    return [f.name for f in df.schema.fields if not isinstance(f.dataType, (DoubleType, FloatType))]
-
-
 # ---------------------------------------------------------------- term frequency
 
 def q_tf_index_words(spark, d):
@@ -81,8 +78,7 @@ def q_value_counts_sql(spark, d):
 
 
 def q_value_profile_all(spark, d):
-    cust = table(spark, d, "customer")
-    return profile.value_profile(cust, _text_fields(cust))
+    return profile.value_profile(table(spark, d, "customer"))
 
 
 def q_value_profile_lineitem(spark, d):
@@ -108,19 +104,26 @@ def q_cardinality(spark, d):
     return profile.cardinality_report(profile.value_profile(table(spark, d, "lineitem")))
 
 
+_SOURCE_FIELDS = ["doc_id", "text", "lang", "n_chars"]  # all but the grouping column
+
+
 def q_value_profile_by_source(spark, d):
     # One profile per record set (source), all from one pass.
-    return profile.value_profile(table(spark, d, "documents"), ["lang", "n_chars"], by=["source"])
+    return profile.value_profile(table(spark, d, "documents"), _SOURCE_FIELDS, by=["source"])
 
 
 def q_cardinality_by_source(spark, d):
     docs = table(spark, d, "documents")
-    return profile.cardinality(profile.value_profile(docs, ["lang", "n_chars"], by=["source"]), by=["source"])
+    return profile.cardinality(profile.value_profile(docs, _SOURCE_FIELDS, by=["source"]), by=["source"])
 
 
 def q_cardinality_estimate(spark, d):
-    # Approximate (HyperLogLog++); checked against exact counts in the tests.
-    return profile.cardinality_estimate(table(spark, d, "lineitem"))
+    # Approximate (HyperLogLog++) beside the exact counts: per field, whether the
+    # estimate is within 5 %.
+    li = table(spark, d, "lineitem")
+    exact = profile.cardinality(profile.value_profile(li)).withColumnRenamed("field", "f").withColumnRenamed("card", "exact")
+    got = profile.cardinality_estimate(li).join(exact, F.col("field") == F.col("f"))
+    return got.select("field", (F.abs(F.col("card") - F.col("exact")) <= 0.05 * F.col("exact")).alias("within_5_percent"))
 
 
 def q_cardinality_all(spark, d):
@@ -129,11 +132,8 @@ def q_cardinality_all(spark, d):
 
 # ---------------------------------------------------------------- frequency curves
 
-CUMULATE_FIELDS = ["l_shipdate", "l_partkey", "l_suppkey", "l_returnflag", "l_linenumber"]
-
-
 def q_cumulate(spark, d):
-    return ordered.cumulate(profile.value_profile(table(spark, d, "lineitem"), CUMULATE_FIELDS))
+    return ordered.cumulate(profile.value_profile(table(spark, d, "lineitem")))
 
 
 def q_compare_raw_clean(spark, d):
@@ -156,7 +156,7 @@ def q_head_coverage(spark, d):
 def _xref_inputs(spark, d):
     docs = table(spark, d, "documents")
     ids = xref.identifier_view(docs, "doc_id", "doc_id")
-    index = tf.tf_index(docs, "doc_id", ["text"], tokenizer="treebank", id_alias="uuid")
+    index = xref.identifier_index(docs, ids, "doc_id", ["text"])
     notes = tf.notes(docs, "doc_id", ["text"], id_alias="note_uuid", drop_empty=False)
     return ids, index, notes
 
@@ -284,13 +284,11 @@ def q_fingerprint8_hist(spark, d):
 # ---------------------------------------------------------------- CSV text path
 
 def _customer_lines(spark, d):
-    cust = table(spark, d, "customer")
-    cols = _text_fields(cust)
-    return csvtext.to_csv_lines(cust.select(*cols), header=True), cols
+    return csvtext.to_csv_lines(table(spark, d, "customer"), header=True)
 
 
 def q_csv_roundtrip_profile(spark, d):
-    lines, _ = _customer_lines(spark, d)
+    lines = _customer_lines(spark, d)
     parsed = csvtext.parse_lines(lines)
     return profile.value_profile(parsed.good)
 
@@ -298,7 +296,7 @@ def q_csv_roundtrip_profile(spark, d):
 def q_csv_file_profile(spark, d):
     # Stand-in input: customer rendered as CSV text files (header once, in the
     # first file); the reader finds the header, drops it and parses every line.
-    lines, _ = _customer_lines(spark, d)
+    lines = _customer_lines(spark, d)
     folder = scratch_path(spark, "csv")
     lines.write.text(folder)
     return profile.value_profile(csvtext.read_csv_records(spark, folder).good)
@@ -308,15 +306,14 @@ def q_profile_files_roundtrip(spark, d):
     # Per-field value files written in one pass, then loaded back as one profile.
     cust = table(spark, d, "customer")
     folder = scratch_path(spark, "unique")
-    write_field_csvs(profile.value_profile(cust, _text_fields(cust)), folder, _text_fields(cust))
+    write_field_csvs(profile.value_profile(cust), folder, cust.columns)
     return load_profile_dir(spark, folder)
 
 
 def _orders_value_files(spark, d):
     o = table(spark, d, "orders")
-    fields = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
     folder = scratch_path(spark, "unique")
-    write_field_csvs(profile.value_profile(o, fields), folder, fields)
+    write_field_csvs(profile.value_profile(o), folder, o.columns)
     return load_profile_dir(spark, folder)
 
 
@@ -331,7 +328,7 @@ def q_cumulate_from_files(spark, d):
 
 
 def q_csv_column_pick(spark, d):
-    lines, _ = _customer_lines(spark, d)
+    lines = _customer_lines(spark, d)
     picked = lines.select(csvtext.naive_pick(F.col("value"), 2).alias("value"))
     return picked.groupBy("value").agg(F.count("*").alias("count"))
 
@@ -379,16 +376,15 @@ def q_cumulate_tokens(spark, d):
 
 
 def q_value_profile_orders(spark, d):
-    o = table(spark, d, "orders")
-    return profile.value_profile(o, _text_fields(o))
+    return profile.value_profile(table(spark, d, "orders"))
 
 
 def q_freq_of_freq_lineitem(spark, d):
-    return ordered.freq_of_freq(profile.value_profile(table(spark, d, "lineitem"), CUMULATE_FIELDS))
+    return ordered.freq_of_freq(profile.value_profile(table(spark, d, "lineitem")))
 
 
 def q_head_coverage_lineitem(spark, d):
-    return ordered.head_coverage(profile.value_profile(table(spark, d, "lineitem"), CUMULATE_FIELDS))
+    return ordered.head_coverage(profile.value_profile(table(spark, d, "lineitem")))
 
 
 def q_seq_page_describe(spark, d):
@@ -437,7 +433,7 @@ def _file_glob(d: str, name: str) -> str:
 def q_stream_value_profile(spark, d):
     docs = table(spark, d, "documents")
     return profile_stream.stream_value_profile(
-        spark, _file_glob(d, "documents"), docs.schema, ["doc_id", "lang", "source", "n_chars"],
+        spark, _file_glob(d, "documents"), docs.schema, docs.columns,
         scratch_path(spark, "stream-profile"), checkpoint=scratch_path(spark, "stream-profile-ckpt"))
 
 
@@ -448,6 +444,122 @@ def q_stream_tf_index(spark, d):
         scratch_path(spark, "stream-tf"), checkpoint=scratch_path(spark, "stream-tf-ckpt"))
 
 
+# ---------------------------------------------------------------- files: any value survives
+
+def _value_file_profile(spark, d, name):
+    t = table(spark, d, name)
+    folder = scratch_path(spark, "unique")
+    write_field_csvs(profile.value_profile(t), folder, t.columns)
+    return load_profile_dir(spark, folder)
+
+
+def q_profile_files_text(spark, d):
+    # Whole texts with line ends, quotes and blanks through the per-field value files.
+    return _value_file_profile(spark, d, "documents")
+
+
+def q_profile_files_pages(spark, d):
+    return _value_file_profile(spark, d, "pages")
+
+
+def q_profile_files_conversations(spark, d):
+    return _value_file_profile(spark, d, "conversations")
+
+
+def q_profile_partitioned_text(spark, d):
+    # The long profile as CSV partitioned by field, read back.
+    folder = scratch_path(spark, "partitioned")
+    write_profile_partitioned(profile.value_profile(table(spark, d, "documents")), folder)
+    back = (spark.read.schema("value string, count bigint, field string").option("escape", '"')
+            .option("nullValue", "\u0000").csv(folder))
+    return back.select("field", unescape_line(F.col("value")).alias("value"), "count")
+
+
+def q_profile_resume(spark, d):
+    # One field was finished before; the resumed job returns the whole profile.
+    o = table(spark, d, "orders")
+    folder = scratch_path(spark, "unique")
+    jobs.profile_values(o, ["o_orderstatus"], out=folder)
+    return jobs.profile_values(o, out=folder, resume=True)
+
+
+def q_text_pairs(spark, d):
+    # count,value lines, as written.
+    path = scratch_path(spark, "pairs")
+    write_text_pairs(profile.value_counts(table(spark, d, "conversations"), "text"), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+def q_csv_pairs(spark, d):
+    # value,count CSV lines, parsed again.
+    path = scratch_path(spark, "pairs")
+    write_csv_pairs(profile.value_counts(table(spark, d, "conversations"), "text"), path)
+    rec = F.from_csv(F.col("value"), "v string, c bigint", {"escape": '"'})
+    return spark.read.text(path).select(rec.alias("r")).select(
+        unescape_line(F.col("r.v")).alias("value"), F.col("r.c").alias("count"))
+
+
+def q_archive_documents(spark, d):
+    # Whole texts through an archive (core table), line ends and all.
+    folder = scratch_path(spark, "archive")
+    archive.write_archive(folder, table(spark, d, "documents"), "doc_id", {
+        "text": "http://rs.tdwg.org/dwc/terms/occurrenceRemarks", "lang": "http://purl.org/dc/terms/language",
+        "source": "http://rs.tdwg.org/dwc/terms/collectionCode", "n_chars": "http://rs.tdwg.org/dwc/terms/individualCount"})
+    return archive.load_archive(spark, folder).core
+
+
+# ---------------------------------------------------------------- CSV lines: strict, rejects, empty values
+
+def _supplier_lines(spark, d):
+    """Stand-in input: suppliers as CSV lines; every third has an empty name, every
+    seventh an extra value."""
+    s = table(spark, d, "supplier")
+    lines = s.select("s_suppkey", F.concat_ws(
+        ",", *[F.when(F.col("s_suppkey") % 3 == 0, F.lit("")).otherwise(F.col(c).cast("string")) if c == "s_name"
+               else F.col(c).cast("string") for c in s.columns]).alias("value"))
+    return s.columns, lines.select(F.when(F.col("s_suppkey") % 7 == 0, F.concat("value", F.lit(",extra")))
+                                   .otherwise(F.col("value")).alias("value"))
+
+
+def q_csv_rejects(spark, d):
+    # Over-long lines go to the reject side output, as text.
+    names, lines = _supplier_lines(spark, d)
+    path = scratch_path(spark, "rejects")
+    write_rejects(csvtext.parse_lines(lines, names).rejects, path)
+    return spark.read.text(path)
+
+
+def q_csv_tolerant_profile(spark, d):
+    # Empty values are "" and reject lines still count, with "" in every field.
+    names, lines = _supplier_lines(spark, d)
+    return profile.value_profile(csvtext.parse_lines(lines, names).good)
+
+
+def q_csv_strict_profile(spark, d):
+    part = table(spark, d, "part")
+    return profile.value_profile(csvtext.parse_lines(csvtext.to_csv_lines(part), part.columns, strict=True).good)
+
+
+# ---------------------------------------------------------------- parquet sinks, versioned paths
+
+def q_parquet_overwrite(spark, d):
+    path = scratch_path(spark, "parquet")
+    write_parquet(table(spark, d, "supplier"), path)
+    write_parquet(table(spark, d, "part"), path)
+    return spark.read.parquet(path)
+
+
+def q_parquet_error_if_exists(spark, d):
+    path = scratch_path(spark, "parquet")
+    write_parquet(table(spark, d, "part"), path, mode="errorifexists")
+    try:
+        write_parquet(table(spark, d, "supplier"), path, mode="errorifexists")
+    except AnalysisException as err:
+        if "PATH_ALREADY_EXISTS" not in str(err):
+            raise
+    return spark.read.parquet(path)
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)
@@ -455,7 +567,7 @@ QUERIES: dict[str, Query] = {
 
 # ---------------------------------------------------------------- SQL checks
 
-_CUST_TEXT = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+_CUST_TEXT = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 _LI_ALL = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
            "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 _ORD_ALL = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -492,7 +604,36 @@ def _csv_profile_sql() -> str:
     return O.profile_sql("customer", _CUST_TEXT)
 
 
+_PART = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
+_DOC_ALL = ["doc_id", "text", "lang", "source", "n_chars"]
+_ESCAPED = "replace(replace(replace(text, chr(92), chr(92) || 's'), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r')"
+_SUPPLIER = ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"]
+_SUPPLIER_LINE = ("concat_ws(',', CAST(s_suppkey AS VARCHAR), CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE s_name END, "
+                  "CAST(s_nationkey AS VARCHAR), CAST(s_acctbal AS VARCHAR))")
+
 SQL: dict[str, str] = {
+    "profile_files_text": O.profile_sql("documents", _DOC_ALL),
+    "profile_files_pages": O.profile_sql("pages", ["page_id", "url", "html"]),
+    "profile_files_conversations": O.profile_sql("conversations", ["conv_id", "turn", "role", "text"]),
+    "profile_partitioned_text": O.profile_sql("documents", _DOC_ALL),
+    "profile_resume": O.profile_sql("orders", _ORD_ALL),
+    "text_pairs": f"SELECT CAST(count(*) AS VARCHAR) || ',' || coalesce({_ESCAPED}, '') AS line FROM conversations GROUP BY text",
+    "csv_pairs": "SELECT text AS value, count(*) AS count FROM conversations GROUP BY text",
+    "archive_documents": (
+        "SELECT CAST(doc_id AS VARCHAR) AS id, nullif(text, '') AS \"dwc:occurrenceRemarks\", nullif(lang, '') AS \"dcterms:language\", "
+        "nullif(source, '') AS \"dwc:collectionCode\", CAST(n_chars AS VARCHAR) AS \"dwc:individualCount\" FROM documents"),
+    "csv_rejects": f"SELECT 'PROBLEM WITH: ' || {_SUPPLIER_LINE} || ',extra' AS value FROM supplier WHERE s_suppkey % 7 = 0",
+    "csv_tolerant_profile": O.profile_sql(
+        "(SELECT " + ", ".join(
+            f"CASE WHEN s_suppkey % 7 = 0 THEN '' ELSE " + ("CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE s_name END" if c == "s_name"
+                                                            else f"CAST({c} AS VARCHAR)") + f" END AS {c}"
+            for c in _SUPPLIER) + " FROM supplier)", _SUPPLIER),
+    "csv_strict_profile": O.profile_sql("part", _PART),
+    "parquet_overwrite": "SELECT * FROM part",
+    "parquet_error_if_exists": "SELECT * FROM part",
+    "subset_hash": ("SELECT * FROM orders WHERE CAST('0x' || substr(md5('42:' || CAST(o_orderkey AS VARCHAR)), 1, 15) AS UBIGINT) "
+                    f"< {int(0.1 * (1 << 60))}"),
+    "cardinality_estimate": ("SELECT DISTINCT field, true AS within_5_percent FROM (" + O.profile_sql("lineitem", _LI_ALL) + ")"),
     "tf_index_words": O.tf_index_sql("documents", "doc_id", ["text"], "words"),
     "tf_index_treebank": O.tf_index_sql("documents", "doc_id", ["text"], "treebank"),
     "tf_index_conversations": O.tf_index_sql(
@@ -515,7 +656,7 @@ SQL: dict[str, str] = {
         "k AS (SELECT field, card FROM m WHERE card > 100 AND CAST(card AS DOUBLE) < CAST(mx AS DOUBLE) * 0.95) "
         "SELECT field, card, CAST(row_number() OVER (ORDER BY card DESC, field) - 1 AS BIGINT) AS x FROM k"),
     "cardinality_all": (f"SELECT field, count(*) AS card FROM ({O.profile_sql('orders', _ORD_ALL)}) GROUP BY field"),
-    "cumulate": O.cumulate_sql(O.profile_sql("lineitem", CUMULATE_FIELDS)),
+    "cumulate": O.cumulate_sql(O.profile_sql("lineitem", _LI_ALL)),
     "compare_raw_clean": (
         f"WITH c AS ({O.cumulate_sql(_token_profile_sql('treebank', True))}), "
         f"r AS ({O.cumulate_sql(_token_profile_sql('treebank'))}), "
@@ -541,17 +682,17 @@ SQL: dict[str, str] = {
         "CAST(need AS BIGINT) AS values_needed, CAST(need AS DOUBLE) / CAST(total_values AS DOUBLE) * 100.0 AS values_perc FROM c"),
     "id_cross_reference": (
         f"WITH tf AS ({O.tf_index_sql('documents', 'doc_id', ['text'], 'treebank')}), "
-        "ids AS (SELECT doc_id AS idb_uuid, CAST(doc_id AS VARCHAR) AS idb_catalognumber FROM documents), "
+        "ids AS (SELECT doc_id AS record_uuid, CAST(doc_id AS VARCHAR) AS record_identifier FROM documents), "
         "notes AS (SELECT doc_id AS note_uuid, concat_ws(' ', text) AS note FROM documents) "
-        "SELECT idb_uuid, idb_catalognumber, tf.doc_id AS uuid, token, count, note_uuid, note, "
-        "CAST(length(idb_catalognumber) AS INTEGER) AS catalognumber_len "
-        "FROM ids JOIN tf ON ids.idb_catalognumber = tf.token JOIN notes ON tf.doc_id = notes.note_uuid"),
+        "SELECT record_uuid, record_identifier, tf.doc_id AS uuid, token, count, note_uuid, note, "
+        "CAST(length(record_identifier) AS INTEGER) AS catalognumber_len "
+        "FROM ids JOIN tf ON ids.record_identifier = tf.token JOIN notes ON tf.doc_id = notes.note_uuid"),
     "id_length_hist": (
         f"WITH tf AS ({O.tf_index_sql('documents', 'doc_id', ['text'], 'treebank')}), "
-        "ids AS (SELECT doc_id AS idb_uuid, CAST(doc_id AS VARCHAR) AS idb_catalognumber FROM documents), "
+        "ids AS (SELECT doc_id AS record_uuid, CAST(doc_id AS VARCHAR) AS record_identifier FROM documents), "
         "notes AS (SELECT doc_id AS note_uuid, concat_ws(' ', text) AS note FROM documents), "
-        "j AS (SELECT CAST(length(idb_catalognumber) AS INTEGER) AS catalognumber_len FROM ids "
-        "JOIN tf ON ids.idb_catalognumber = tf.token JOIN notes ON tf.doc_id = notes.note_uuid) "
+        "j AS (SELECT CAST(length(record_identifier) AS INTEGER) AS catalognumber_len FROM ids "
+        "JOIN tf ON ids.record_identifier = tf.token JOIN notes ON tf.doc_id = notes.note_uuid) "
         "SELECT catalognumber_len, count(*) AS count, log10(CAST(count(*) AS DOUBLE)) AS log_count FROM j GROUP BY catalognumber_len"),
     "seq_to_int": f"SELECT page_id, catalognumber, number FROM ({_PAGE_NUMBERS})",
     "seq_bad_count": (
@@ -595,25 +736,21 @@ SQL: dict[str, str] = {
         "CAST(o.o_orderkey AS VARCHAR) AS \"ac:identifier\", o.o_orderstatus AS \"xmpRights:UsageTerms\", "
         "o.o_orderpriority AS \"xmp:Rating\" FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey"),
     "cardinality_from_files": (
-        f"WITH p AS ({O.profile_sql('orders', ['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_orderdate', 'o_orderpriority'])}), "
+        f"WITH p AS ({O.profile_sql('orders', _ORD_ALL)}), "
         "c AS (SELECT field, count(*) AS card FROM p GROUP BY field), m AS (SELECT *, max(card) OVER () AS mx FROM c), "
         "k AS (SELECT field, card FROM m WHERE card > 100 AND CAST(card AS DOUBLE) < CAST(mx AS DOUBLE) * 0.95) "
         "SELECT field, card, CAST(row_number() OVER (ORDER BY card DESC, field) - 1 AS BIGINT) AS x FROM k"),
-    "cumulate_from_files": O.cumulate_sql(O.profile_sql(
-        "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"])),
-    "value_profile_by_source": (
-        "SELECT source, 'lang' AS field, lang AS value, count(*) AS count FROM documents GROUP BY source, lang "
-        "UNION ALL SELECT source, 'n_chars' AS field, CAST(n_chars AS VARCHAR) AS value, count(*) AS count "
-        "FROM documents GROUP BY source, n_chars"),
-    "cardinality_by_source": (
-        "SELECT source, field, count(*) AS card FROM ("
-        "SELECT source, 'lang' AS field, lang AS value FROM documents GROUP BY source, lang "
-        "UNION ALL SELECT source, 'n_chars', CAST(n_chars AS VARCHAR) FROM documents GROUP BY source, n_chars) "
-        "GROUP BY source, field"),
+    "cumulate_from_files": O.cumulate_sql(O.profile_sql("orders", _ORD_ALL)),
+    "value_profile_by_source": " UNION ALL ".join(
+        f"SELECT source, '{c}' AS field, CAST({c} AS VARCHAR) AS value, count(*) AS count FROM documents GROUP BY source, {c}"
+        for c in _SOURCE_FIELDS),
+    "cardinality_by_source": "SELECT source, field, count(*) AS card FROM (" + " UNION ALL ".join(
+        f"SELECT source, '{c}' AS field, CAST({c} AS VARCHAR) AS value FROM documents GROUP BY source, {c}"
+        for c in _SOURCE_FIELDS) + ") GROUP BY source, field",
     "fingerprint_hist_sql_api": (f"SELECT {O.fingerprint64_sql('embedding')} AS fingerprint, count(*) AS count "
                                  "FROM embeddings GROUP BY 1"),
     "tf_index_sql_api": O.tf_index_sql("documents", "doc_id", ["text"], "treebank"),
-    "stream_value_profile": O.profile_sql("documents", ["doc_id", "lang", "source", "n_chars"]),
+    "stream_value_profile": O.profile_sql("documents", ["doc_id", "text", "lang", "source", "n_chars"]),
     "stream_tf_index": O.tf_index_sql("documents", "doc_id", ["text"], "treebank"),
     "tf_index_multi": O.tf_index_sql("documents", "doc_id", ["source", "lang", "text"], "words"),
     "value_counts_nested": ("SELECT CAST(json_extract(props, '$.k') AS INTEGER) AS value, count(*) AS count "
@@ -623,13 +760,12 @@ SQL: dict[str, str] = {
             "(SELECT user_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events)",
             ["user_id", "event_type", "data.k"], {"data.k": "k"}) + ") GROUP BY field"),
     "cumulate_tokens": O.cumulate_sql(_token_profile_sql("words")),
-    "value_profile_orders": O.profile_sql("orders", ["o_orderkey", "o_custkey", "o_orderstatus",
-                                                     "o_orderdate", "o_orderpriority"]),
+    "value_profile_orders": O.profile_sql("orders", _ORD_ALL),
     "freq_of_freq_lineitem": (
         f"SELECT field, count, count(*) AS n_values, count * count(*) AS records FROM "
-        f"({O.profile_sql('lineitem', CUMULATE_FIELDS)}) WHERE value IS NOT NULL AND value <> '' GROUP BY field, count"),
+        f"({O.profile_sql('lineitem', _LI_ALL)}) WHERE value IS NOT NULL AND value <> '' GROUP BY field, count"),
     "head_coverage_lineitem": (
-        f"WITH cl AS (SELECT field, count, count(*) AS n_values, count * count(*) AS recs FROM ({O.profile_sql('lineitem', CUMULATE_FIELDS)}) "
+        f"WITH cl AS (SELECT field, count, count(*) AS n_values, count * count(*) AS recs FROM ({O.profile_sql('lineitem', _LI_ALL)}) "
         "WHERE value IS NOT NULL AND value <> '' GROUP BY field, count), "
         "w AS (SELECT *, sum(recs) OVER (PARTITION BY field ORDER BY count DESC ROWS UNBOUNDED PRECEDING) AS recs_upto, "
         "sum(n_values) OVER (PARTITION BY field ORDER BY count DESC ROWS UNBOUNDED PRECEDING) AS vals_upto, "

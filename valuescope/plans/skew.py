@@ -1,11 +1,10 @@
 """Plan helpers for size-checked broadcasts and hot-key joins.
 
-* ``bounded_broadcast``: broadcast a side only after its row count was checked
-  against a bound (small sides from the driver, larger ones materialised and
-  counted first); above the bound the side is joined by shuffle.
+* ``bounded_broadcast``: broadcast a side only after its size in bytes was checked
+  against a bound; above the bound the side is joined by shuffle.
 * ``salted_join``: an inner equi-join where keys holding more than a share of
-  one side's rows are split over ``salts`` tasks (that side gets a salt, the other
-  side's rows with a hot key are replicated once per salt). Hot keys are found by
+  one side's rows are split over tasks (that side gets a salt, the other side's rows
+  with a hot key are replicated once per part). Hot keys are found by
   an exact partial-aggregated count, so their list has a proven size bound
   (rows / threshold).
 """
@@ -17,29 +16,26 @@ from pyspark.sql import functions as F
 
 from ..session import pin
 
-# Sides up to LOCAL_ROWS are fetched in one job and broadcast from the driver;
-# sides up to MAX_BROADCAST_ROWS are materialised, counted and broadcast by Spark;
-# larger sides are joined by shuffle.
-LOCAL_ROWS = 50_000
-MAX_BROADCAST_ROWS = 2_000_000
+# A side is broadcast when its stored (compressed, columnar) form takes at most this.
+MAX_BROADCAST_BYTES = 16 << 20
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      local_rows: int = LOCAL_ROWS) -> DataFrame:
-    """``broadcast`` of ``df`` when it has at most ``max_rows`` rows, else a shuffle-join side.
+def bounded_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast`` of ``df`` when it is small in bytes, else a shuffle-join side.
 
-    The size is always checked before anything is broadcast: one job fetches at
-    most ``local_rows + 1`` rows -- within that bound they become the broadcast
-    relation (a broadcast passes through the driver anyway). Otherwise ``df`` is
-    materialised in the shared folder and counted; it is broadcast only when the
-    count is within ``max_rows``, else it is returned for a shuffle join.
+    ``df`` is written once to the shared folder; the size of the files decides. No
+    rows pass through the driver beyond the broadcast itself.
     """
-    local_rows = min(local_rows, max_rows)
-    rows = df.limit(local_rows + 1).collect()
-    if len(rows) <= local_rows:
-        return F.broadcast(df.sparkSession.createDataFrame(rows, schema=df.schema))
     stored = pin(df)
-    return F.broadcast(stored) if stored.count() <= max_rows else stored
+    size = int(str(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(stored) if size <= max_bytes else stored
+
+
+def _key_counts(df: DataFrame, key: str, share: float, min_rows: int) -> tuple[DataFrame, int]:
+    """(keys above the threshold with their rows as _vs_rows, the threshold)."""
+    threshold = max(int(df.count() * share), min_rows)
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_vs_rows"))
+    return counts.where(F.col("_vs_rows") > threshold), threshold
 
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.001, min_rows: int = 10_000) -> DataFrame:
@@ -47,46 +43,36 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.001, min_rows: int = 10_0
 
     At most ``1/share`` keys can pass the share test, so the result is bounded.
     """
-    total = df.count()
-    threshold = max(int(total * share), min_rows)
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_vs_rows"))
-    return counts.where(F.col("_vs_rows") > threshold).select(key)
+    return _key_counts(df, key, share, min_rows)[0].select(key)
 
 
 def salted_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                salts: int = 32, share: float = 0.001, min_rows: int = 10_000) -> DataFrame:
-    """Inner join ``left.left_key == right.right_key`` with hot keys split ``salts`` ways.
+                salts: int | None = None, share: float = 0.001, min_rows: int = 10_000) -> DataFrame:
+    """Inner equi-join ``left.left_key == right.right_key`` with hot keys of ``right`` split.
 
-    ``right`` is the side that may hold hot keys (it is salted); rows of ``left``
-    whose key is hot are replicated ``salts`` times. The result equals the plain
-    inner join.
+    A key above the threshold (``share`` of the rows of ``right``, at least ``min_rows``)
+    is split so that a task gets about that many of its rows (or ``salts`` ways); rows of
+    ``left`` with the key are replicated once per part. ``right`` is written to the shared
+    folder first (it is counted and joined, and its row ids must not change). The result
+    equals the plain inner join.
     """
-    # The salted side is read several times (key counts, join): materialise it
-    # once unless it is a plain scan (cheap to read again).
-    if "Exchange" in right._jdf.queryExecution().executedPlan().toString():
-        right = pin(right)
-    hot = hot_keys(right, right_key, share, min_rows)
-    # At most 1/share keys: fetched in one job (a size-checked local relation).
-    hot_rows = hot.limit(int(1 / share) + 1).collect()
-    if not hot_rows:  # nothing hot: the plain join (AQE still splits skewed partitions)
+    right = pin(right)
+    hot, threshold = _key_counts(right, right_key, share, min_rows)
+    # At most 1/share keys, one job.
+    found = hot.limit(int(1 / share) + 1).collect()
+    if not found:  # nothing hot: the plain join (AQE still splits skewed partitions)
         return left.join(right, left[left_key] == right[right_key], "inner")
-    spark = right.sparkSession
-    hot_list = F.broadcast(spark.createDataFrame(hot_rows, schema=hot.schema)
-                           .withColumn("_vs_hot", F.lit(True)))
-    r = (right.join(hot_list.withColumnRenamed(right_key, "_vs_rk"),
-                    F.col(right_key) == F.col("_vs_rk"), "left")
-         # Salt from the row id: ``right`` is a scan or a pinned table, so the ids
-         # are deterministic (a retried task salts every row as before), and even
-         # identical copies of a row are spread over the salts.
-         .withColumn("_vs_salt", F.when(F.col("_vs_hot"), F.pmod(
-             F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
-             .otherwise(F.lit(0)))
-         .drop("_vs_rk", "_vs_hot"))
-    lh = (left.join(hot_list.withColumnRenamed(right_key, "_vs_lk"),
-                    F.col(left_key) == F.col("_vs_lk"), "left")
-          .withColumn("_vs_salt", F.explode(
-              F.when(F.col("_vs_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-              .otherwise(F.array(F.lit(0)))))
-          .drop("_vs_lk", "_vs_hot"))
+    parts = [(r[right_key], salts or -(-r["_vs_rows"] // max(threshold, 1))) for r in found]
+    kind = right.schema[right_key].dataType.simpleString()
+    hot_list = F.broadcast(right.sparkSession.createDataFrame(parts, f"_vs_key {kind}, _vs_parts int"))
+    r = (right.join(hot_list, F.col(right_key) == F.col("_vs_key"), "left")
+         # Salt from the row id: ``right`` is a written table, so the ids are the same
+         # in a retried task, and even identical rows are spread over the parts.
+         .withColumn("_vs_salt", F.when(F.col("_vs_parts").isNotNull(), F.pmod(
+             F.monotonically_increasing_id(), F.col("_vs_parts")).cast("int")).otherwise(F.lit(0)))
+         .drop("_vs_key", "_vs_parts"))
+    lh = (left.join(hot_list, F.col(left_key) == F.col("_vs_key"), "left")
+          .withColumn("_vs_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_vs_parts"), F.lit(1)) - 1)))
+          .drop("_vs_key", "_vs_parts"))
     cond = (lh[left_key] == r[right_key]) & (lh["_vs_salt"] == r["_vs_salt"])
     return lh.join(r, cond, "inner").drop(lh["_vs_salt"]).drop(r["_vs_salt"])

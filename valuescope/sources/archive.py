@@ -27,18 +27,19 @@ default. ``join_core_extension`` joins an extension to its core on id = coreid.
 from __future__ import annotations
 
 import codecs
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import shorten_term
+from ..functions.scalars import escape_line, shorten_term, unescape_line
 from ..plans.skew import bounded_broadcast
 
 _FIELD = "struct<_index: int, _term: string, _default: string>"
 _TABLE = ("struct<_rowType: string, _encoding: string, _linesTerminatedBy: string, "
-          "_fieldsTerminatedBy: string, _fieldsEnclosedBy: string, _ignoreHeaderLines: int, "
+          "_fieldsTerminatedBy: string, _fieldsEnclosedBy: string, _ignoreHeaderLines: int, _lineCodes: boolean, "
           "files: struct<location: string>, id: struct<_index: int>, coreid: struct<_index: int>, "
           f"field: array<{_FIELD}>>")
 DESCRIPTOR_SCHEMA = f"_metadata string, core {_TABLE}, extension array<{_TABLE}>"
@@ -56,6 +57,7 @@ class TableSpec:
     ignore_header_lines: int
     columns: dict[int, str]        # index -> short term name (id / coreid included)
     defaults: dict[str, str] = field(default_factory=dict)
+    line_codes: bool = False       # line ends inside values are written as codes (own archives)
 
 
 @dataclass
@@ -94,7 +96,7 @@ def _spec(kind: str, row, namespaces: Sequence[tuple[str, str]] = ()) -> TableSp
         fields_terminated_by=_unescape(row["_fieldsTerminatedBy"], "\t"),
         fields_enclosed_by=_unescape(row["_fieldsEnclosedBy"], ""),
         ignore_header_lines=int(row["_ignoreHeaderLines"] or 0),
-        columns=columns, defaults=defaults)
+        columns=columns, defaults=defaults, line_codes=bool(row["_lineCodes"]))
 
 
 def read_descriptor(spark: SparkSession, folder: str, meta_name: str = "meta.xml",
@@ -131,12 +133,14 @@ def _read_lines(spark: SparkSession, path: str, encoding: str, line_sep: str) ->
         if line_sep not in ("\n", "\r\n", "\r"):
             reader = reader.option("lineSep", line_sep)
         return reader.text(path)
-    # Other encodings: the CSV reader decodes; a control separator keeps each line whole.
-    reader = (spark.read.schema("value string").option("encoding", encoding)
-              .option("sep", "\u0001").option("quote", "\u0000").option("header", "false"))
-    if line_sep not in ("\n", "\r\n", "\r"):
-        reader = reader.option("lineSep", line_sep)
-    return reader.csv(path)
+    # Other encodings: the raw bytes of each line, decoded whole. Line ends are searched
+    # in the encoding's own bytes; a carriage return before one goes with it.
+    end = "\n" if line_sep in ("\n", "\r\n") else line_sep
+    raw = spark.read.option("encoding", encoding).option("lineSep", end).text(path)
+    text = F.decode(F.col("value").cast("binary"), encoding)
+    meta = F.struct(F.col("_metadata.file_path").alias("file_path"),
+                    F.col("_metadata.file_block_start").alias("file_block_start"))
+    return raw.select(F.regexp_replace(text, "\\r$", "").alias("value"), meta.alias("_metadata"))
 
 
 def resolve_location(spark: SparkSession, folder: str, location: str) -> str:
@@ -188,7 +192,11 @@ def read_table(spark: SparkSession, folder: str, spec: TableSpec) -> DataFrame:
             "escape": spec.fields_enclosed_by or "\\", "mode": "PERMISSIVE"}
     rec = F.from_csv(F.col("value"), schema, opts).alias("_r")
     df = df.select(rec)
-    cols = [F.expr(f"nullif(_r._c{i}, '')").alias(term) for i, term in sorted(spec.columns.items())]
+    def value(i: int) -> Column:
+        found = F.expr(f"nullif(_r._c{i}, '')")
+        return unescape_line(found) if spec.line_codes else found
+
+    cols = [value(i).alias(term) for i, term in sorted(spec.columns.items())]
     cols += [F.lit(v).alias(term) for term, v in spec.defaults.items()]
     return df.select(*cols)
 
@@ -207,9 +215,10 @@ def load_archive(spark: SparkSession, folder: str, skip_eml: bool = False,
             t.schema  # resolves the path now
             extensions.append(t)
             kept.append(spec)
-        except Exception:
+        except Exception as err:  # noqa: BLE001 - one bad extension of several is left out
             if len(ext_specs) == 1:
                 raise
+            logging.getLogger(__name__).warning("extension %s cannot be read and is left out: %s", spec.location, err)
     metadata = None
     if meta_file and not skip_eml:
         metadata = spark.read.format("xml").option("rowTag", "dataset").load(
@@ -252,7 +261,7 @@ def _table_xml(tag: str, location: str, id_tag: str, id_index: int, terms: list[
     fields = [f'    <field index="{i + 1}" term="{_xml_attr(t)}"/>' for i, t in enumerate(terms)]
     fields += [f'    <field term="{_xml_attr(t)}" default="{_xml_attr(v)}"/>' for t, v in defaults.items()]
     return (f'  <{tag} encoding="UTF-8" fieldsTerminatedBy="{_xml_attr(sep)}" linesTerminatedBy="\\n" '
-            f'fieldsEnclosedBy="&quot;" ignoreHeaderLines="{header_lines}" rowType="{_xml_attr(row_type)}">\n'
+            f'fieldsEnclosedBy="&quot;" ignoreHeaderLines="{header_lines}" lineCodes="true" rowType="{_xml_attr(row_type)}">\n'
             f"    <files><location>{location}</location></files>\n"
             f'    <{id_tag} index="{id_index}"/>\n' + "\n".join(fields) + f"\n  </{tag}>")
 
@@ -265,14 +274,18 @@ def write_archive(folder: str, core: DataFrame, core_id: str, core_terms: dict[s
 
     ``core_terms`` / extension terms map column -> term URI; the id (coreid)
     column is written first. Data are written by Spark (every part file carries
-    ``header_lines`` header line when 1); ``meta.xml`` is a small driver-side file.
+    ``header_lines`` header line when 1); line ends inside values are written as
+    two-character codes, which the descriptor says (``lineCodes``), so any value but
+    the empty one (absent in an archive) is read back as it was. ``meta.xml`` is a
+    small driver-side file.
     """
     spark = core.sparkSession
     base = folder.rstrip("/")
-    opts = {"sep": sep, "header": "true" if header_lines else "false", "quote": '"', "escape": '"'}
+    opts = {"sep": sep, "header": "true" if header_lines else "false", "quote": '"', "escape": '"',
+            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
     def put(df: DataFrame, name: str, key: str, cols: list[str]) -> None:
-        df.select(*[F.col(c).cast("string") for c in [key, *cols]]).write.mode("overwrite") \
+        df.select(*[escape_line(F.col(c).cast("string")).alias(c) for c in [key, *cols]]).write.mode("overwrite") \
             .options(**opts).csv(f"{base}/{name}")
 
     put(core, "core", core_id, list(core_terms))

@@ -133,7 +133,8 @@ def naive_pick(line: Column, index: int, strict: bool = False) -> Column:
 def to_csv_lines(df: DataFrame, header: bool = True) -> DataFrame:
     """Render rows as CSV text lines (RFC quoting), optionally with a header line first."""
     body = df.select(F.to_csv(F.struct(*[F.col("`" + c + "`") for c in df.columns]),
-                              {"escape": '"', "quote": '"'}).alias("value"))
+                              {"escape": '"', "quote": '"', "ignoreLeadingWhiteSpace": "false",
+                               "ignoreTrailingWhiteSpace": "false"}).alias("value"))
     if not header:
         return body
     buf = io.StringIO()
