@@ -35,3 +35,22 @@ def test_stream_profile_is_incremental(spark, tmp_dir):
     second = stream_value_profile(spark, src + "/*", docs.schema, ["lang"], out, checkpoint=ckpt)
     want = profile.value_profile(docs, ["lang"])
     assert second.exceptAll(want).count() == 0 and want.exceptAll(second).count() == 0
+
+
+def test_streams_keep_apart_and_go_on_without_a_given_checkpoint(spark, tmp_dir):
+    import os
+    outs = {}
+    for name in ("customer", "part"):
+        src = os.path.join(tmp_dir, name)
+        table = spark.read.parquet(f"{SRC}/{name}.parquet")
+        table.coalesce(1).write.parquet(os.path.join(src, "part=a"))
+        outs[name] = (src, table, os.path.join(tmp_dir, name + "-out"))
+    for src, table, out in outs.values():
+        got = stream_value_profile(spark, src + "/*", table.schema, table.columns[:1], out)
+        assert got.agg({"count": "sum"}).first()[0] == table.count()
+    src, table, out = outs["part"]
+    again = stream_value_profile(spark, src + "/*", table.schema, table.columns[:1], out)   # nothing new
+    assert again.agg({"count": "sum"}).first()[0] == table.count()
+    table.coalesce(1).write.parquet(os.path.join(src, "part=b"))
+    more = stream_value_profile(spark, src + "/*", table.schema, table.columns[:1], out)
+    assert more.agg({"count": "sum"}).first()[0] == 2 * table.count()

@@ -78,19 +78,25 @@ def main(argv: list[str] | None = None) -> int:
     from pyspark.sql import SparkSession
     owned = SparkSession.getActiveSession() is None
     spark = build_session(args.master, app=f"valuescope-{args.job}")
-    if args.job == "media":
-        write_parquet(jobs.media_duplicates(spark, args.input, args.top), args.out)
-        release_scratch(spark)
+    try:
+        _run_job(spark, args)
+    finally:
+        release_scratch(spark)  # outputs are written, or the job failed: drop the intermediate tables
         if owned:
             spark.stop()
-        return 0
+    return 0
+
+
+def _run_job(spark, args) -> None:
+    if args.job == "media":
+        write_parquet(jobs.media_duplicates(spark, args.input, args.top), args.out)
+        return
     fields = _list(args.fields)
     if args.job == "profile" and args.format == "csv":
-        jobs.profile_csv(spark, args.input, fields, rejects_out=args.rejects, out=args.out)
-        release_scratch(spark)
-        if owned:
-            spark.stop()
-        return 0
+        if args.by or args.nested or args.out_format != "csv":
+            raise SystemExit("profile --format csv writes value files: --by, --nested and --out-format do not apply")
+        jobs.profile_csv(spark, args.input, fields, rejects_out=args.rejects, out=args.out, resume=args.resume)
+        return
     df = _read(spark, args)
     by = _list(args.by) or []
     if args.job == "profile" and args.out_format == "parquet":
@@ -113,8 +119,9 @@ def main(argv: list[str] | None = None) -> int:
         jobs.build_tf_index(df, args.id, _list(args.text), args.tokenizer, out=args.out)
     elif args.job == "xref":
         index = spark.read.parquet(args.index) if args.index else None
-        jobs.cross_reference_job(df, args.uuid, args.ident, _list(args.text), index,
-                                 args.tokenizer, out=args.out)
+        _, lengths = jobs.cross_reference_job(df, args.uuid, args.ident, _list(args.text), index,
+                                              args.tokenizer, out=args.out)
+        write_parquet(lengths, f"{args.out.rstrip('/')}-length-histogram")
     elif args.job == "sequence":
         study = jobs.number_sequence(df, args.ident, args.group)
         for part in ("ranked", "bad", "summary", "repeats", "gaps", "slopes"):
@@ -122,10 +129,6 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "subset":
         jobs.make_subset(df, args.limit, args.where, _list(args.order_by) or (), args.fraction,
                          args.key, out=args.out)
-    release_scratch(spark)  # outputs are written: drop the intermediate tables
-    if owned:
-        spark.stop()
-    return 0
 
 
 if __name__ == "__main__":

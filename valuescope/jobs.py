@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from .operators import fingerprint, profile, sequence, subset, tf, xref
 from .operators.ordered import compare_profiles, cumulate  # noqa: F401  (re-exported jobs)
 from .operators.profile import cardinality_report  # noqa: F401
+from .session import pin
 from .sinks import done_fields, write_field_csvs, write_parquet, write_rejects
 from .sources import csvtext, media
 from .sources.archive import load_archive  # noqa: F401
@@ -77,12 +78,12 @@ def cross_reference_job(df: DataFrame, uuid_col: str, id_col: str, text_cols: Se
     """(cross reference rows, identifier-length histogram) of one table.
 
     ``index`` is an existing TF index (uuid, token, count) of the same table;
-    it is built when missing. With ``out`` the rows are written (error if exists).
+    its part for the identifiers is built when missing. With ``out`` the rows are written (error if exists).
     """
     ids = xref.identifier_view(df, uuid_col, id_col)
     notes = tf.notes(df, uuid_col, text_cols, id_alias="note_uuid", drop_empty=False)
-    if index is None:
-        index = tf.tf_index(df, uuid_col, text_cols, tokenizer=tokenizer, id_alias="uuid")
+    if index is None:  # only its identifier part is needed, built once for both results
+        index = pin(xref.identifier_index(df, ids, uuid_col, text_cols, tokenizer))
     rows = xref.cross_reference(ids, index, notes)
     if out is not None:
         write_parquet(rows, out, mode="errorifexists")

@@ -27,6 +27,7 @@ from ..session import pin, scratch_path
 from ..sinks import (write_csv_pairs, write_field_csvs, write_parquet, write_profile_partitioned, write_rejects,
                      write_text_pairs)
 from ..sources import archive
+from ..sources.paths import dataset_path, read_dataset
 from ..sources.profiles import load_profile_dir
 from ..streaming import profile_stream
 from . import oracle as O
@@ -540,8 +541,31 @@ def q_csv_strict_profile(spark, d):
     return profile.value_profile(csvtext.parse_lines(csvtext.to_csv_lines(part), part.columns, strict=True).good)
 
 
+def _wide(spark, d):
+    """Stand-in for a table of 200+ fields: six text forms of every lineitem column."""
+    li = table(spark, d, "lineitem")
+    out = []
+    for c in li.columns:
+        t = F.col(c).cast("string")
+        out += [t.alias(f"{c}_0"), F.md5(t).alias(f"{c}_1"), F.length(t).cast("string").alias(f"{c}_2"),
+                F.reverse(t).alias(f"{c}_3"), F.substring(t, 1, 3).alias(f"{c}_4"), F.upper(t).alias(f"{c}_5")]
+    return li.select(*out)
+
+
+def q_value_profile_wide(spark, d):
+    # More than 64 fields: one pass through one array column.
+    return profile.value_profile(_wide(spark, d))
+
+
 # ---------------------------------------------------------------- parquet sinks, versioned paths
 
+def q_versioned_dataset(spark, d):
+    base = scratch_path(spark, "versions")
+    for version, name in (("20240101", "part"), ("20240201", "supplier")):
+        write_parquet(table(spark, d, name), dataset_path(base, "records", version, "-all"))
+    return read_dataset(spark, base, "records", "20240201", "-all")
+
+
 def q_parquet_overwrite(spark, d):
     path = scratch_path(spark, "parquet")
     write_parquet(table(spark, d, "supplier"), path)
@@ -630,6 +654,11 @@ SQL: dict[str, str] = {
             for c in _SUPPLIER) + " FROM supplier)", _SUPPLIER),
     "csv_strict_profile": O.profile_sql("part", _PART),
     "parquet_overwrite": "SELECT * FROM part",
+    "versioned_dataset": "SELECT * FROM supplier",
+    "value_profile_wide": O.profile_sql("(SELECT " + ", ".join(
+        f"{t} AS {c}_0, md5({t}) AS {c}_1, CAST(length({t}) AS VARCHAR) AS {c}_2, reverse({t}) AS {c}_3, "
+        f"left({t}, 3) AS {c}_4, upper({t}) AS {c}_5" for c in _LI_ALL for t in [f"CAST({c} AS VARCHAR)"]) + " FROM lineitem)",
+        [f"{c}_{k}" for c in _LI_ALL for k in range(6)]),
     "parquet_error_if_exists": "SELECT * FROM part",
     "subset_hash": ("SELECT * FROM orders WHERE CAST('0x' || substr(md5('42:' || CAST(o_orderkey AS VARCHAR)), 1, 15) AS UBIGINT) "
                     f"< {int(0.1 * (1 << 60))}"),
