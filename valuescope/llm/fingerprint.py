@@ -118,11 +118,12 @@ def with_next(df: DataFrame, key: str, text: str, carried: list[str]) -> DataFra
         at_cut = k.isin(bounds) if len(bounds) <= 64 else F.array_contains(F.array(*[F.lit(b) for b in bounds]), k)
         copies.append(F.when(at_cut, F.array(F.struct((_bucket(k, bounds) - 1).alias("b"), F.lit(1).alias("ghost"))))
                       .otherwise(F.array().cast("array<struct<b:int,ghost:int>>")))
-    rows = df.withColumn("_at", F.explode(F.concat(*copies)))
-    order = Window.partitionBy("_at.b").orderBy("_at.ghost", F.col(key).asc_nulls_first(), text)
-    for c in carried:
-        rows = rows.withColumn("next_" + c, F.lead(c).over(order))
-    return rows.where("_at.ghost = 0").drop("_at")
+    rows = df.withColumn("_at", F.explode(F.concat(*copies))).select(
+        *df.columns, F.col("_at.b").alias("_b"), F.col("_at.ghost").alias("_ghost"))
+    # Plain partition columns and one select: all leads share one exchange and sort.
+    order = Window.partitionBy("_b").orderBy("_ghost", F.col(key).asc_nulls_first(), text)
+    rows = rows.select("*", *[F.lead(c).over(order).alias("next_" + c) for c in carried])
+    return rows.where("_ghost = 0").drop("_b", "_ghost")
 
 
 def compare_with_edits(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
