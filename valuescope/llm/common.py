@@ -62,7 +62,8 @@ def text_chunks(batch: pa.RecordBatch, text_index: int,
         yield batch.slice(start)
 
 
-def chunked(batches: Iterable[pa.RecordBatch], text_index: int) -> Iterator[pa.RecordBatch]:
+def chunked(batches: Iterable[pa.RecordBatch], text_index: int,
+            chunk_bytes: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """``text_chunks`` over a stream of batches."""
     for batch in batches:
-        yield from text_chunks(batch, text_index)
+        yield from text_chunks(batch, text_index, chunk_bytes)

@@ -39,7 +39,8 @@ SHIFT = 10.0
 SEED = 17
 BLANK = 0x2581
 LITERAL = 0x110000       # stands for U+2581 itself: no piece holds it
-GROUP_CELLS = 1 << 18    # characters filtered at once
+GROUP_CELLS = 1 << 16    # characters filtered at once
+CHUNK = 1 << 20          # bytes of text encoded at once
 _SEGMENT = re.compile(r"\n| +[^ \n]*|[^ \n]+")
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -257,7 +258,7 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", out: str = "i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _prepared(vocab.value)
-        for batch in chunked(batches, at):
+        for batch in chunked(batches, at, CHUNK):
             keys = batch.column(len(names) - 1).to_numpy().view(np.uint64)
             got = encode_texts(batch.column(at).to_pylist(), keys, tables, seed)
             ids = pa.array(got, pa.list_(pa.int32()))
@@ -286,8 +287,19 @@ def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", model_file: st
 
 def round_trip(df: DataFrame, key: str = "doc_id", text: str = "text", model_file: str = MODEL) -> DataFrame:
     """(key, text, ids, n_pieces, decoded, lossless) of every row."""
-    rows = encode(df.select(col(key).alias("_k"), col(text).alias("_t")), "_k", "_t", "ids", model_file)
-    back = decode(rows, "ids", "decoded", model_file)
+    vocab = df.sparkSession.sparkContext.broadcast(load(model_file))
+    rows = df.select(col(key).alias("_k"), col(text).alias("_t"), F.xxhash64(F.lit(SEED), col(key)).alias("_s"))
+    kinds = dict(rows.dtypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = _prepared(vocab.value)
+        for batch in chunked(batches, 1, CHUNK):  # both ways in one worker
+            ids = encode_texts(batch.column(1).to_pylist(), batch.column(2).to_numpy().view(np.uint64), tables, SEED)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32())),
+                 pa.array(decode_ids(ids, tables), pa.string())], names=["_k", "_t", "ids", "decoded"])
+
+    back = rows.mapInArrow(run, f"_k {kinds['_k']}, _t {kinds['_t']}, ids array<int>, decoded string")
     lossless: Column = F.col("decoded").eqNullSafe(F.col("_t"))
     return back.select(F.col("_k").alias(key), F.col("_t").alias(text), "ids",
                        F.when(F.col("ids").isNotNull(), F.size("ids")).alias("n_pieces"), "decoded",
