@@ -17,7 +17,7 @@ SPACE_CLASS = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 
 # Python workers handle an Arrow batch in pieces of about this many text bytes.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def col(name: str) -> Column:

@@ -40,7 +40,6 @@ SEED = 17
 BLANK = 0x2581
 LITERAL = 0x110000       # stands for U+2581 itself: no piece holds it
 GROUP_CELLS = 1 << 16    # characters filtered at once
-CHUNK = 1 << 20          # bytes of text encoded at once
 _SEGMENT = re.compile(r"\n| +[^ \n]*|[^ \n]+")
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -258,7 +257,7 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", out: str = "i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _prepared(vocab.value)
-        for batch in chunked(batches, at, CHUNK):
+        for batch in chunked(batches, at):
             keys = batch.column(len(names) - 1).to_numpy().view(np.uint64)
             got = encode_texts(batch.column(at).to_pylist(), keys, tables, seed)
             ids = pa.array(got, pa.list_(pa.int32()))
@@ -293,7 +292,7 @@ def round_trip(df: DataFrame, key: str = "doc_id", text: str = "text", model_fil
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _prepared(vocab.value)
-        for batch in chunked(batches, 1, CHUNK):  # both ways in one worker
+        for batch in chunked(batches, 1):  # both ways in one worker
             ids = encode_texts(batch.column(1).to_pylist(), batch.column(2).to_numpy().view(np.uint64), tables, SEED)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32())),

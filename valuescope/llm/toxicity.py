@@ -47,7 +47,7 @@ THRESHOLD = 0.7
 Z = 2.5            # standard errors taken off a sequence's log odds
 TOP_WORDS = 3
 SHORT = 64         # texts of fewer distinct words count as of so many
-CACHE = 400_000    # words a task remembers
+CACHE = 120_000    # words a task remembers
 
 # What a character may stand for in disguised writing.
 STANDS_FOR = {
@@ -92,8 +92,8 @@ def _lm_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for word, n in seen.items():
             counts[word if word.isalpha() else _TRAIL.sub("", word)] += n
         plain = [w for w in counts if w.isalpha()]
-        for k in range(0, len(plain), 50_000):
-            part = plain[k:k + 50_000]
+        for k in range(0, len(plain), 20_000):
+            part = plain[k:k + 20_000]
             slots, owners = _gram_slots(part)
             weights = np.array([counts[w] for w in part], float)[owners]
             np.add(total, np.bincount(slots, weights, minlength=LM_SLOTS), out=total)
@@ -279,7 +279,7 @@ class Words:
     def clear(self) -> None:
         self.meaning: dict[str, int] = {}
         self.index: dict[str, int] = {}
-        self.slots = [np.zeros(0, np.int64)]
+        self.slots = [np.zeros(0, np.int32)]
         self.count = [np.zeros(0, np.int64)]
 
     def meet(self, texts: list[set[str]]) -> list[np.ndarray]:
@@ -297,10 +297,10 @@ class Words:
                 at = self.index[core] = len(self.index)
                 fresh.append(core)
             self.meaning[word] = at
-        for k in range(0, len(fresh), 50_000):
-            slots, owners = sequence_slots(fresh[k:k + 50_000])
-            self.slots.append(slots)
-            self.count.append(np.bincount(owners, minlength=len(fresh[k:k + 50_000])))
+        for k in range(0, len(fresh), 20_000):
+            slots, owners = sequence_slots(fresh[k:k + 20_000])
+            self.slots.append(slots.astype(np.int32))
+            self.count.append(np.bincount(owners, minlength=len(fresh[k:k + 20_000])))
         known = self.meaning
         return [np.array(sorted({known[w] for w in text}), np.int64) for text in texts]
 
