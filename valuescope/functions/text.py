@@ -1,4 +1,5 @@
-"""Text functions as Column -> Column expressions (JVM side, whole-stage codegen).
+"""Text functions as Column -> Column expressions (JVM side; lambdas are evaluated, not
+compiled, by Spark).
 
 * ``note``: join several text columns with a blank, NULLs skipped, ``""`` kept.
 * ``word_tokens``: lower-cased runs of Unicode letters, digits and ``_``.

@@ -26,32 +26,34 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.parallel import has_shuffle
 from ..plans.skew import bounded_broadcast
 from ..session import pin
 
+# Spark's default size of a relation it knows nothing about is the largest long.
+UNKNOWN_BYTES = 1 << 60
 _MID = "_vs_mid"
 _TB = "_vs_tb"
 
 
-def _has_shuffle(df: DataFrame) -> bool:
-    """True when the physical plan of ``df`` contains an exchange (a shuffle)."""
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return "Exchange" in plan
-
-
 def range_partitions(df: DataFrame) -> int:
     """Range partitions for ``df``: its estimated size over the advisory partition
-    size, at least the default parallelism, at most ``spark.sql.shuffle.partitions``."""
+    size, at least the default parallelism (or the shuffle partitions, if fewer).
+
+    The estimate of a plan with joins or generators can be far too large, so it counts
+    as four times the size of the tables below at most.
+    """
     spark = df.sparkSession
-    upper = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lower = min(upper, int(spark.sparkContext.defaultParallelism))
+    lower = min(int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.sparkContext.defaultParallelism))
     advisory = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
     target = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(advisory))
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: use the configured number
-        return upper
-    return max(lower, min(upper, -(-size // max(target, 1))))
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    below = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    if any(n >= UNKNOWN_BYTES for n in below):  # rows from the driver or an RDD: no estimate
+        return max(lower, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = min(int(str(plan.stats().sizeInBytes())), 4 * sum(below))
+    return max(lower, -(-size // max(target, 1)))
 
 
 def _ranged_blocks(df: DataFrame, order_by: Sequence[str | Column], group_by: Sequence[str],
@@ -71,7 +73,7 @@ def _ranged_blocks(df: DataFrame, order_by: Sequence[str | Column], group_by: Se
         # over range partitions. Row ids are only reproducible on a deterministic
         # input order (file scans); an input that went through a shuffle is
         # materialised first so that retried tasks see the same ids.
-        if _has_shuffle(base):
+        if has_shuffle(base):
             base = pin(base)
         base = base.withColumn(_TB, F.monotonically_increasing_id())
         keys = keys + [F.col(_TB)]

@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import STOP_WORDS_EN, TOKENIZERS, note
+from ..functions.text import STOP_WORDS_EN, TOKENIZERS, drop_stop_words, note
 from ..plans.parallel import spread
 
 
@@ -30,6 +30,13 @@ def notes(df: DataFrame, id_col: str, text_cols: Sequence[str], id_alias: str |
     return out
 
 
+def _tokenised(tok, tokenizer, stop_words) -> Column:
+    """Token array of ``note``; stop words are dropped whichever tokenizer made it."""
+    if isinstance(tokenizer, str):
+        return tok(F.col("note"), stop_words)
+    return drop_stop_words(tok(F.col("note")), stop_words)
+
+
 def tokens(df: DataFrame, id_col: str, text_cols: Sequence[str],
            tokenizer: str | Callable[[Column], Column] = "treebank",
            stop_words: Iterable[str] | None = STOP_WORDS_EN,
@@ -39,7 +46,7 @@ def tokens(df: DataFrame, id_col: str, text_cols: Sequence[str],
     ident = id_alias or id_col
     # Spread by row id (balanced even if one id or one text holds many rows).
     n = spread(notes(df, id_col, text_cols, ident))
-    arr = tok(F.col("note"), stop_words) if isinstance(tokenizer, str) else tok(F.col("note"))
+    arr = _tokenised(tok, tokenizer, stop_words)
     return n.select(ident, F.explode(arr).alias("token"))
 
 
@@ -64,7 +71,7 @@ def token_profile(df: DataFrame, text_cols: Sequence[str], field: str = "token",
     """
     tok = TOKENIZERS[tokenizer] if isinstance(tokenizer, str) else tokenizer
     n = spread(df.select(note(*text_cols).alias("note")).where(F.col("note") != ""))
-    arr = tok(F.col("note"), stop_words) if isinstance(tokenizer, str) else tok(F.col("note"))
+    arr = _tokenised(tok, tokenizer, stop_words)
     t = n.select(F.explode(arr).alias("value"))
     if clean is not None:
         t = t.select(clean(F.col("value")).alias("value"))

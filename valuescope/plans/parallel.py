@@ -14,6 +14,7 @@ returns the DataFrame unchanged (no shuffle is added).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -35,10 +36,19 @@ def target_parallelism(df: DataFrame) -> int:
     return max(1, min(cores, -(-size // MIN_SPREAD_BYTES)))
 
 
+# An exchange as a node of the plan's tree, not as a part of a column's or path's name.
+_EXCHANGE = re.compile(r"(?m)^[\s:+\-*()0-9]*(Broadcast|Reused)?Exchange\b")
+
+
+def has_shuffle(df: DataFrame) -> bool:
+    """True when the physical plan of ``df`` contains an exchange."""
+    return _EXCHANGE.search(df._jdf.queryExecution().executedPlan().toString()) is not None
+
+
 def spread(df: DataFrame, keys: Sequence[str] | None = None, min_partitions: int | None = None) -> DataFrame:
     """Hash-repartition ``df`` when it has fewer partitions than the target parallelism."""
     target = min_partitions or target_parallelism(df)
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+    if has_shuffle(df):
         # Already shuffled (it has the configured shuffle parallelism); asking an
         # adaptive plan for its partition count would also run its stages.
         return df

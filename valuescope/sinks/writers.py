@@ -56,7 +56,8 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    from ..operators.ordered import range_partitions
+    return range_partitions(df)
 
 
 def write_profile_partitioned(profile: DataFrame, path: str, mode: str = "overwrite") -> None:
