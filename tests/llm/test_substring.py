@@ -79,3 +79,28 @@ def test_awkward_rows(spark):
 
 def test_runs_of_white_space_take_linear_time():
     assert len(sub.sentences("a." + " " * 300_000 + "b" + "\n " * 100_000)) == 2
+
+
+def test_passages_inside_running_text_leave_their_copies(spark):
+    """51 to 60 words from and into the middle of sentences, against a brute force over words."""
+    rng = random.Random(5)
+
+    def running(n):  # sentences of up to 60 words
+        return " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) + ("." if rng.random() < 1 / 30 else "") for _ in range(n))
+
+    rows = []
+    for i in range(150):
+        passage = running(51 + i % 10)
+        rows += [(2 * i + k, f"{running(rng.randrange(20, 70))} x{i}{k} {passage} y{i}{k} {running(rng.randrange(20, 70))}") for k in (0, 1)]
+    got = dict(texts(sub.dedup(spark.createDataFrame(rows, "doc_id long, text string"))))
+    seen: set[tuple] = set()
+    for key, text in rows:
+        words = text.split()
+        runs = [tuple(words[i:i + 51]) for i in range(len(words) - 50)]
+        left = got[key].split()
+        if any(run in seen for run in runs):
+            assert 20 <= len(words) - len(left) <= 60
+        else:
+            assert got[key] == text
+        seen.update(runs)
+    assert len(seen) and sum(got[k] != t for k, t in rows) == 150

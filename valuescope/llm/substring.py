@@ -8,8 +8,12 @@ sentences that any other occurrence covers are cut out of their text. What remai
 kept character by character, so a text without repeats does not change.
 
 Sentences end after . ! ? (and their full-width forms) before white space, and at line
-ends. A run-on sentence of more than ``LONG`` words is cut further after words chosen
-by their hash, which are the same words wherever the passage stands.
+ends. Inside them a cut falls after the word of least hash of every ``WINDOW`` words in
+a row that hold no sentence end. So no part has more than ``WINDOW`` words, and where a
+cut falls depends on fewer than ``WINDOW`` words to either side, not on where the
+sentence began: two texts that share 3 * WINDOW + MIN_WORDS - 1 = 49 words in a row
+share a span, wherever in their sentences the words start and end. "Sentence" below
+means such a part.
 
 Scale: spans are a few per hundred characters; the first occurrence is an aggregate
 (partial first, so a passage in a third of all documents costs one row a task), and
@@ -39,13 +43,30 @@ from .common import chunked, col, numbered
 
 MIN_SENTENCES = 2
 MIN_WORDS = 20
-LONG = 40
-CUT_EVERY = 12
+WINDOW = 10
 
 _END = re.compile(r"\n[\x20\x09-\x0D]*|(?<=[.!?。！？])[\x20\x09-\x0D]+")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+def _chosen(words: list[str]) -> list[int]:
+    """Words of a sentence after which it is cut: the last one of least hash in every
+    ``WINDOW`` words in a row before the sentence's last word."""
+    hashes = [xxhash.xxh32_intdigest(w) for w in words[:-1]]
+    out, at = [], -1
+    for i in range(len(hashes) - WINDOW + 1):
+        last = i + WINDOW - 1
+        if at < i:
+            held = hashes[i:last + 1][::-1]
+            at = last - held.index(min(held))
+        elif hashes[last] <= hashes[at]:
+            at = last
+        else:
+            continue
+        out.append(at)
+    return out
+
+
 def sentences(text: str) -> list[tuple[int, int, int, str]]:
     """(start, end, number of words, words joined by blanks) of every sentence; they
     cover the text without gaps, white space belongs to the sentence before it."""
@@ -55,19 +76,15 @@ def sentences(text: str) -> list[tuple[int, int, int, str]]:
         ends.append(len(text))
     for end in ends:
         words = _WORD.findall(text, start, end)
-        if len(words) <= LONG:
-            if start < end:
-                out.append((start, end, len(words), " ".join(words)))
-        else:
-            run: list[str] = []
-            begin = start
-            for m in _WORD.finditer(text, start, end):
-                run.append(m.group())
-                if xxhash.xxh32_intdigest(run[-1]) % CUT_EVERY == 0:
-                    out.append((begin, m.end(), len(run), " ".join(run)))
-                    begin, run = m.end(), []
-            if begin < end:
-                out.append((begin, end, len(run), " ".join(run)))
+        if len(words) > WINDOW and (chosen := _chosen(words)):
+            begins = [m.start() for m in _WORD.finditer(text, start, end)]
+            first = 0
+            for at in chosen:
+                out.append((start, begins[at + 1], at + 1 - first, " ".join(words[first:at + 1])))
+                start, first = begins[at + 1], at + 1
+            words = words[first:]
+        if start < end:
+            out.append((start, end, len(words), " ".join(words)))
         start = end
     return out
 
