@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,3 +83,17 @@ def test_awkward_rows(spark):
     assert tox.score(empty(spark), labels).count() == 0
     none = tox.score(rows, labels.limit(0)).select("score").distinct().collect()
     assert len(none) == 1
+
+
+def _costs(text):
+    lm = np.zeros(tox.LM_SLOTS, np.float32)
+    for batch in tox._lm_counts(iter([pa.RecordBatch.from_arrays([pa.array([text])], names=["t"])])):
+        lm[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+    return tox.Costs(lm)
+
+
+def test_symbols_at_the_end_of_a_word_are_read():
+    cost = _costs("the ass and the boss hit a worthless word of glass " * 40)
+    for written, meant in (("a$$", "ass"), ("bo$$", "boss"), ("hi+", "hit"), ("h!+", "hit"), ("\"worthle$$\".", "worthless"),
+                           ("gla$$!!", "glass"), ("word!!", "word"), ("word!", "word"), ("boss!\"", "boss"), ("(hit)...", "hit")):
+        assert tox.plain_word(written, cost) == meant

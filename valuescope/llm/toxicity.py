@@ -58,10 +58,10 @@ SUBSTITUTE_COST = 1.0
 KEEP_ODD_COST = 6.0     # a digit or symbol that really is one
 DROP_COST = 1.5         # a separator inside a word
 DOUBLE_COST = 0.5
-_ODD = re.compile(r"[^\W\d_][^\W_]*[\d_\W]+[^\W\d_]|[\d@$!|+(€£¡]+[^\W\d_]|[^\W\d_][\d@$]")
+_ODD = re.compile(r"[^\W\d_][^\W_]*[\d_\W]+[^\W\d_]|[\d@$!|+(€£¡]+[^\W\d_]|[^\W\d_][\d@$!|+(€£¡]")
 _RUN = re.compile(r"([^\W\d_])\1\1")
 _SPACED = re.compile(r"(?:^|\s)\S\s+\S\s+\S(?:\s|$)")
-_TRAIL = re.compile(r"[\W_]+$")
+_TRAIL = re.compile(r"(?<![^\w@$!|+(€£¡])(?<!_)(?:[^\w@$!|+(€£¡]|_)++\Z")
 _LEAD = re.compile(r"^[^\w@$!|+(€£¡]+")
 
 
