@@ -97,3 +97,16 @@ def test_symbols_at_the_end_of_a_word_are_read():
     for written, meant in (("a$$", "ass"), ("bo$$", "boss"), ("hi+", "hit"), ("h!+", "hit"), ("\"worthle$$\".", "worthless"),
                            ("gla$$!!", "glass"), ("word!!", "word"), ("word!", "word"), ("boss!\"", "boss"), ("(hit)...", "hit")):
         assert tox.plain_word(written, cost) == meant
+
+
+def test_disguised_words_of_any_length_are_restored():
+    cost = _costs("the boss hit a worthless word of glass " * 40)
+    phrase = "_".join("worthless") + "-" + "-".join("boss")
+    for written, meant in (("worth1" + "e" * 60 + "ss", "worthless"), ("w0" + "r" * 50 + "thless", "worthless"),
+                           (phrase * 3, "worthlessboss" * 3), (".".join("w0rthless" * 6), "worthless" * 6)):
+        assert len(written) > 40
+        assert tox.plain_word(written, cost) == meant
+    # In time proportional to the length.
+    assert tox.plain_word(".".join("w0rthless" * 3000), cost) == "worthless" * 3000
+    for written in ("a" * 300_000 + "1", "a" + "1" * 300_000, "a" + "." * 300_000 + "b", "." * 300_000, "ab1" * 10_000):
+        assert tox.plain_word(written, cost) is not None

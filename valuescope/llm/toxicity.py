@@ -58,7 +58,8 @@ SUBSTITUTE_COST = 1.0
 KEEP_ODD_COST = 6.0     # a digit or symbol that really is one
 DROP_COST = 1.5         # a separator inside a word
 DOUBLE_COST = 0.5
-_ODD = re.compile(r"[^\W\d_][^\W_]*[\d_\W]+[^\W\d_]|[\d@$!|+(€£¡]+[^\W\d_]|[^\W\d_][\d@$!|+(€£¡]")
+# Words have any length: these take time in proportion to it.
+_ODD = re.compile(r"[^\W\d_][\d_\W]++[^\W\d_]|[\d@$!|+(€£¡][^\W\d_]|[^\W\d_][\d@$!|+(€£¡]")
 _RUN = re.compile(r"([^\W\d_])\1\1")
 _SPACED = re.compile(r"(?:^|\s)\S\s+\S\s+\S(?:\s|$)")
 _TRAIL = re.compile(r"(?<![^\w@$!|+(€£¡])(?<!_)(?:[^\w@$!|+(€£¡]|_)++\Z")
@@ -136,6 +137,9 @@ class Costs:
     def __call__(self, context: str, c: str) -> float:
         found = self.known.get((context, c))
         if found is None:
+            if len(self.known) >= CACHE:
+                self.known.clear()
+                self.contexts.clear()
             found = self.known[context, c] = self._cost(context, c)
         return found
 
@@ -190,9 +194,9 @@ def _lattice(word: str) -> list[list[tuple[str, float]]]:
 
 def restore(word: str, cost: Costs) -> str:
     """Viterbi path through the word's lattice; states are the last three characters."""
-    best: dict[str, tuple[float, str]] = {"\x02": (0.0, "")}
+    best: dict[str, tuple[float, tuple]] = {"\x02": (0.0, ())}     # paths as (path before, meant)
     for options in [*_lattice(word), [("\x03", 0.0)]]:
-        step: dict[str, tuple[float, str]] = {}
+        step: dict[str, tuple[float, tuple]] = {}
         for state, (so_far, path) in best.items():
             for meant, channel in options:
                 total, context = so_far + channel, state
@@ -200,9 +204,13 @@ def restore(word: str, cost: Costs) -> str:
                     total += cost(context, c)
                     context = (context + c)[-3:]
                 if context not in step or total < step[context][0]:
-                    step[context] = (total, path + meant)
+                    step[context] = (total, (path, meant) if meant else path)
         best = step
-    return min(best.values())[1].rstrip("\x03")
+    path, out = min(best.values(), key=lambda b: b[0])[1], []
+    while path:
+        path, meant = path
+        out.append(meant)
+    return "".join(reversed(out)).rstrip("\x03")
 
 
 def written_words(text: str) -> set[str]:
@@ -222,7 +230,7 @@ def plain_word(word: str, cost: Costs) -> str:
     if word.isalpha():
         return restore(word, cost) if _RUN.search(word) else word
     core = _LEAD.sub("", _TRAIL.sub("", word))
-    if len(core) > 40 or not (_ODD.search(core) or _RUN.search(core)):
+    if not (_ODD.search(core) or _RUN.search(core)):
         return core
     return restore(core, cost)
 
@@ -286,8 +294,6 @@ class Words:
         """Indexes of the distinct meanings of each text's words."""
         if len(self.meaning) >= CACHE:
             self.clear()
-        if len(self.cost.known) >= CACHE:
-            self.cost.known.clear()
         fresh = []
         new = list(set().union(*texts).difference(self.meaning))
         for word, run in zip(new, _runs(new).tolist()):
