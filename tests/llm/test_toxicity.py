@@ -110,3 +110,18 @@ def test_disguised_words_of_any_length_are_restored():
     assert tox.plain_word(".".join("w0rthless" * 3000), cost) == "worthless" * 3000
     for written in ("a" * 300_000 + "1", "a" + "1" * 300_000, "a" + "." * 300_000 + "b", "." * 300_000, "ab1" * 10_000):
         assert tox.plain_word(written, cost) is not None
+
+
+def test_spaced_words_beside_punctuation_are_joined():
+    cost = _costs("you are a loser and the boss hit an idiot with glass " * 40)
+
+    def read(text):
+        return {tox.plain_word(w, cost) for w in tox.written_words(text)}
+
+    for text in ("you l o s e r!", "you l o s e r.", "l o s e r, you", "\"l o s e r\"", "(l o s e r)", "'L O S E R!!'", "l, o, s, e, r.",
+                 "l. 0. $. e. r.", "_l o s e r_", "you l 0 $ e r?!", "“l o s e r” “i d i o t”", "l o s e r! i d i o t!"):
+        assert "loser" in read(text), text
+    assert "idiot" in read("“l o s e r” “i d i o t”") and "idiot" in read("l o s e r! i d i o t!")
+    assert "boss" in read("the b o $ $.") and "glass" in read("\"g l a $ $\"!")
+    assert tox.written_words("we are a b -- so it is.") == set("we are a b -- so it is.".split())
+    assert tox.written_words("= " + "=" * 200_000 + " " * 200_000 + "a " + "." * 200_000)

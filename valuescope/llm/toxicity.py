@@ -6,7 +6,8 @@
 2. Channel: a written word with digits or symbols among its letters, separators
    between them, or letters repeated three times and more becomes a lattice -- each
    character is itself, a letter it may stand for, or nothing; a run of equal letters
-   is one or two of them. Single letters written apart are joined first. The Viterbi
+   is one or two of them. Single letters written apart are joined first, also
+   where punctuation stands beside them. The Viterbi
    path under language model and channel costs is the restored word. Plain words are
    their own restoration.
 3. Score: each start and inner 5-gram of the restored words has a
@@ -61,9 +62,12 @@ DOUBLE_COST = 0.5
 # Words have any length: these take time in proportion to it.
 _ODD = re.compile(r"[^\W\d_][\d_\W]++[^\W\d_]|[\d@$!|+(€£¡][^\W\d_]|[^\W\d_][\d@$!|+(€£¡]")
 _RUN = re.compile(r"([^\W\d_])\1\1")
-_SPACED = re.compile(r"(?:^|\s)\S\s+\S\s+\S(?:\s|$)")
+# A character written apart, perhaps with punctuation around it.
+_SINGLE = re.compile(r"(?:[^\w\s]|_)*+[^\W_](?:[^\w\s]|_)*+(?!\S)"
+                     r"|(?:[^\w\s@$!|+(€£¡]|_)*+[@$!|+(€£¡](?:[^\w\s]|_)*+(?!\S)|\S(?!\S)")
+_SPACED = re.compile(rf"(?<!\S)(?:(?:{_SINGLE.pattern})\s++){{2}}(?:{_SINGLE.pattern})")
 _TRAIL = re.compile(r"(?<![^\w@$!|+(€£¡])(?<!_)(?:[^\w@$!|+(€£¡]|_)++\Z")
-_LEAD = re.compile(r"^[^\w@$!|+(€£¡]+")
+_LEAD = re.compile(r"^(?:[^\w@$!|+(€£¡]|_)+")
 
 
 # --- language model -------------------------------------------------------------
@@ -214,14 +218,26 @@ def restore(word: str, cost: Costs) -> str:
 
 
 def written_words(text: str) -> set[str]:
-    """Distinct lower-case words; three or more single characters in a row also joined."""
+    """Distinct lower-case words; three or more single characters in a row, with or without
+    punctuation around them, also joined: the whole run and its parts between punctuation."""
     lower = text.lower()
     words = lower.split()
     out = set(words)
     if _SPACED.search(lower):
-        for single, run in groupby(words, lambda w: len(w) == 1):
+        for single, run in groupby(words, lambda w: _SINGLE.match(w) is not None):
             if single and len(run := list(run)) >= 3:
                 out.add("".join(run))
+                part: list[str] = []
+                for w in run:
+                    if part and len(w) > 1 and not w[0].isalnum():
+                        out.update(["".join(part)] if len(part) >= 3 else [])
+                        part = []
+                    part.append(w)
+                    if len(w) > 1 and not w[-1].isalnum():
+                        out.update(["".join(part)] if len(part) >= 3 else [])
+                        part = []
+                if len(part) >= 3:
+                    out.add("".join(part))
     return out
 
 
