@@ -40,6 +40,19 @@ def test_surge_and_dive_without_any_marks():
     assert he.main_text(page) == f"Title\n{LONG}\nTiny.\n{LONG}"
 
 
+def test_short_lines_inside_an_article_without_marks_stay():
+    links = "".join(f"<div><a href=x>Link number {i} of the page</a></div>" for i in range(9))
+    lists = {
+        "items": [f"item {i}" for i in range(40)], "six": [f"item {i}" for i in range(6)],
+        "verse": [f"line {i} of a verse" for i in range(12)],
+    }
+    for short in lists.values():
+        for tag in ("li", "td", "p", "div"):
+            items = "".join(f"<{tag}>{x}</{tag}>" for x in short)
+            page = f"{links}<h1>Title</h1><p>{LONG}</p>{items}<p>{LONG} 2</p>{items}<p>{LONG} 3</p>{links}<p>{LONG} 4</p>"
+            assert he.main_text(page).split("\n") == ["Title", LONG, *short, LONG + " 2", *short, LONG + " 3"]
+
+
 def test_odd_markup():
     cases = {
         None: "", "": "", "plain text": "plain text", "<p>tiny": "tiny", "<!-- x": "", "<p title=\"a>b\">q</p>": "q",

@@ -7,10 +7,13 @@ comments (unless they hold the article itself). Every block element left is one
 its character references are decoded and its white space becomes single blanks.
 
 The text lengths of the lines are summed over a sliding window. Where the sum surges
-over ``SURGE`` the main text begins, where it dives below for longer than ``GAP`` lines
-it ends; of several such stretches the one with most text is kept, whole. Lines that are
-mostly link text weigh nothing. If the page marks its article (article, main, role=main),
-only lines inside count, and then the stretch runs from its first to its last line.
+over ``SURGE`` the main text begins, where it dives below for good it ends. Lines that are
+mostly link text weigh nothing, and only they make a dive between two surges: one of at
+least ``GAP`` lines, more than half of them links, or more than ``GAP`` links in a row.
+Short lines of other text (lists, tables, verse) do not end the main text. Of several
+such stretches the one with most text is kept, whole. If the page marks its article
+(article, main, role=main), only lines inside count, and then the stretch runs from its
+first to its last line.
 
 Defined cases: null and empty html give an empty text; pages without any line over the
 surge keep all their lines that weigh something; unclosed and truncated markup is read
@@ -154,20 +157,29 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
     return [(t, n, inside) for t, n, off, inside in out if off <= holding]
 
 
+def _dives(weights: list[int]) -> bool:
+    """Whether the lines between two surges are link text rather than short lines."""
+    row = longest = 0
+    for w in weights:
+        row = 0 if w else row + 1
+        longest = max(longest, row)
+    return len(weights) >= GAP and (longest > GAP or 2 * weights.count(0) > len(weights))
+
+
 def main_text(html: str | None) -> str:
     """The main text of a page: its lines between surge and dive, joined by newlines."""
     found = lines(html or "")
     marked = any(inside for _, _, inside in found)
     if marked:  # any text inside is a surge, and no gap ends the article
         found = [line for line in found if line[2]]
-    surge, gap = (1, len(found)) if marked else (SURGE, GAP)
+    surge = 1 if marked else SURGE
     weights = [0 if linked >= LINK_SHARE * len(t) and not marked else len(t) for t, linked, _ in found]
     half = WINDOW // 2
     sums = [sum(weights[max(0, i - half):i + half + 1]) for i in range(len(weights))]
     stretches: list[list[int]] = []             # [first, last] lines at or over the surge
     for i, s in enumerate(sums):
         if s >= surge:
-            if stretches and i - stretches[-1][1] <= gap:
+            if stretches and not _dives(weights[stretches[-1][1] + 1:i]):
                 stretches[-1][1] = i
             else:
                 stretches.append([i, i])
