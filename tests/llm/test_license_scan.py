@@ -64,3 +64,19 @@ def test_awkward_rows(spark):
     got = ls.scan(hit).collect()
     assert len(got) == hit.count() and {r["license"] for r in got} == {"MIT-line"}
     assert ls.scan(empty(spark)).count() == 0
+
+
+def test_every_copy_of_a_notice_is_a_region():
+    rng = random.Random(6)
+    compiled = ls.compile_templates(ls.TEMPLATES)
+    for name, template in ls.TEMPLATES.items():
+        for gap in (0, 3, 200):
+            between = " ".join(f"w{rng.randrange(999)}" for _ in range(gap))
+            text = "start here " + f" {between} ".join([template] * 4) + " and end"
+            data = np.frombuffer(text.encode(), np.uint8)
+            h, a, b = ls._word_hashes(data, ls._inverse_powers(len(data) + 1))
+            got = [m[1:] for m in ls.scan_text(text.encode(), h, a, b, compiled, ls.CONTAINMENT) if m[0] == name]
+            assert len(got) == 4 and all(share == 1.0 for share, _, _ in got), (name, gap)
+            assert all(x[2] <= y[1] for x, y in zip(got, got[1:]))
+            wanted = _shingles(_tokens(template))
+            assert all(_shingles(_tokens(text.encode()[x:y].decode())) >= wanted for _, x, y in got)

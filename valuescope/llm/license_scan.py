@@ -211,30 +211,69 @@ def _candidates(shingles: np.ndarray, index: dict) -> set[tuple[int, int]]:
     return out
 
 
+def _tightest(held: list[tuple[int, tuple]], n: int) -> tuple[int, int, int]:
+    """(distinct shingles, first place, last place) of the run of places that holds every
+    distinct shingle of ``held``, none to spare at its start, and is nearest to ``n``
+    places long (the end of one copy and the start of the next hold them too)."""
+    wanted = len({s for _, s in held})
+    count: dict[tuple, int] = {}
+    best, i = (held[0][0], held[-1][0]), 0
+    off = abs(best[1] - best[0] + 1 - n)
+    for place, s in held:
+        count[s] = count.get(s, 0) + 1
+        while count[held[i][1]] > 1:
+            count[held[i][1]] -= 1
+            i += 1
+        if len(count) == wanted and abs(place - held[i][0] + 1 - n) < off:
+            best, off = (held[i][0], place), abs(place - held[i][0] + 1 - n)
+    return wanted, *best
+
+
 def scan_text(data: bytes, words: np.ndarray, start: np.ndarray, end: np.ndarray, compiled: dict,
               containment: float) -> list[tuple[str, float, int, int]]:
-    """(license, containment, byte start, byte end) of the best region of each license."""
-    best: dict[int, tuple[float, int, int]] = {}
-    for template, first in _candidates(_shingle_hashes(words), compiled["index"]):
+    """(license, containment, byte start, byte end) of every region of each license; the
+    regions of one license do not overlap, better ones are taken first."""
+    by_template: dict[int, list[int]] = {}
+    for template, first in sorted(_candidates(_shingle_hashes(words), compiled["index"])):
+        by_template.setdefault(template, []).append(first)
+    out: list[tuple[int, float, int, int]] = []
+    for template, firsts in by_template.items():
         n = compiled["words"][template]
         slack = max(2, n // 4)
-        low, high = max(0, first - slack), min(len(words), first + n + slack)
-        tokens = [data[a:b].lower() for a, b in zip(start[low:high], end[low:high])]
         wanted = compiled["shingles"][template]
-        held = [k for k, s in enumerate(zip(*(tokens[j:] for j in range(SHINGLE)))) if s in wanted]
-        got = len({tuple(tokens[k:k + SHINGLE]) for k in held}) / len(wanted)
-        if got >= containment:
-            region = (got, int(start[low + held[0]]), int(end[low + held[-1] + SHINGLE - 1]))
-            if template not in best or (region[0], -region[1]) > (best[template][0], -best[template][1]):
-                best[template] = region
-    return [(compiled["names"][t], *best[t]) for t in sorted(best)]
+        taken = bytearray(len(words))
+
+        def regions(first: int) -> Iterator[tuple[float, int, int]]:
+            """Per stretch of free words around a candidate: share, first and last word."""
+            low, high = max(0, first - slack), min(len(words), first + n + slack)
+            tokens = [data[a:b].lower() for a, b in zip(start[low:high], end[low:high])]
+            held: list[tuple[int, tuple]] = []
+            for k, s in enumerate([*zip(*(tokens[j:] for j in range(SHINGLE))), None], low):
+                free = s is not None and not any(taken[k:k + SHINGLE])
+                if free and s in wanted:
+                    held.append((k, s))
+                if not free and held:
+                    got, a, b = _tightest(held, n - SHINGLE + 1)
+                    if got / len(wanted) >= containment:
+                        yield got / len(wanted), a, b + SHINGLE - 1
+                    held = []
+
+        found = {region for first in firsts for region in regions(first)}
+        ranked = sorted(found, key=lambda r: (-r[0], abs(r[2] - r[1] + 1 - n), r[1]))
+        for whole in (True, False):     # then what is left beside the regions taken
+            for region in ranked:
+                free = [region] if not any(taken[region[1]:region[2] + 1]) else []
+                for share, a, b in free if whole else [*regions(region[1])]:
+                    taken[a:b + 1] = b"\1" * (b + 1 - a)
+                    out.append((template, share, int(start[a]), int(end[b])))
+    return [(compiled["names"][t], *region) for t, *region in sorted(out, key=lambda r: (r[0], r[2]))]
 
 
 def scan(df: DataFrame, key: str = "doc_id", text: str = "text", templates: Mapping[str, str] = TEMPLATES,
          containment: float = CONTAINMENT) -> DataFrame:
-    """(key, license, containment, start, end) for every license found in a text.
+    """(key, license, containment, start, end) for every region of a license in a text.
 
-    ``start`` and ``end`` are byte offsets of the best region in the UTF-8 text.
+    ``start`` and ``end`` are byte offsets of the region in the UTF-8 text.
     """
     rows = df.select(col(key).alias("_k"), col(text).alias("_t"))
     compiled = compile_templates(templates)
