@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprint, html_extract, license_scan, mixing, pieces, quality, simhash, substring, toxicity
+from . import (chat, fingerprint, html_extract, jaccard, license_scan, mixing, pieces, quality, simhash, substring,
+               toxicity)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,6 +104,11 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(_table(spark, sf_dir, "pages"))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document under the n-gram Jaccard join."""
+    return jaccard.join_components(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_simhash_groups": op2_simhash_groups,
@@ -114,6 +120,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_chat_format": op9_chat_format,
     "op10_html_text": op10_html_text,
+    "op13_jaccard_join": op13_jaccard_join,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op13_jaccard_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws
+  FROM documents),
+s AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(ws) BETWEEN 1 AND 4 THEN [array_to_string(ws, ' ')]
+           ELSE list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' ')) END)) AS h
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT x, y FROM shared JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+  WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+both_ways AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents
+          UNION SELECT r.x, l.y FROM reach r JOIN both_ways l ON l.x = r.y)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.y) AS component_id
+FROM documents d JOIN reach r ON r.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+GROUP BY d.doc_id""",
+}
