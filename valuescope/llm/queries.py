@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (chat, fingerprint, html_extract, jaccard, license_scan, mixing, pieces, quality, simhash, substring,
-               toxicity)
+               toxicity, variants)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,6 +104,11 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(_table(spark, sf_dir, "pages"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the documents with their common form and the root of their forms."""
+    return variants.group_variants(_table(spark, sf_dir, "documents"))
+
+
 def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of every document under the n-gram Jaccard join."""
     return jaccard.join_components(_table(spark, sf_dir, "documents"))
@@ -120,10 +125,50 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_chat_format": op9_chat_format,
     "op10_html_text": op10_html_text,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_jaccard_join": op13_jaccard_join,
 }
 
 SQL: dict[str, str] = {
+    # CRC-32 from its polynomial, byte by byte; near words share all but one code point.
+    "op12_spelling_variants": r"""
+WITH RECURSIVE bits(i, k, c) AS (
+  SELECT i, 0, i::BIGINT FROM range(256) AS r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY 1, 2),
+coded AS (SELECT run, n, hex(encode(doc_id || ':' || run)) AS x FROM runs),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+           list_transform(range(1, length(x), 2), lambda i: ('0x' || substr(x, i, 2))::BIGINT),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295)) AS h
+  FROM coded, crc),
+slipped AS (
+  SELECT CASE WHEN h % 31 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM hashed),
+words AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS MATERIALIZED (
+  SELECT word, i, word[:i - 1] || word[i + 1:] AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word AS a, b.word AS b FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT c.word, w.word FROM cut c JOIN words w ON w.word = c.rest
+  UNION SELECT w.word, c.word FROM cut c JOIN words w ON w.word = c.rest),
+best AS (
+  SELECT a AS word, count(*) AS n_near, arg_min(struct_pack(b := b, n := n), struct_pack(o := -n, b := encode(b))) AS f
+  FROM pairs JOIN words ON words.word = pairs.b GROUP BY a),
+forms AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN f.n >= 10 * w.n THEN f.b END AS form,
+         CASE WHEN f.n >= 10 * w.n THEN f.n END AS form_n
+  FROM words w LEFT JOIN best ON best.word = w.word),
+walk(word, place) AS (
+  SELECT word, word FROM forms
+  UNION ALL SELECT walk.word, forms.form FROM walk JOIN forms ON forms.word = walk.place WHERE forms.form IS NOT NULL)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, walk.place AS root
+FROM forms f JOIN walk ON walk.word = f.word JOIN forms e ON e.word = walk.place AND e.form IS NULL""",
     "op13_jaccard_join": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
