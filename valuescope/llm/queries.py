@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, fingerprint, html_extract, jaccard, license_scan, mixing, pieces, quality, simhash, substring,
-               toxicity, variants)
+from . import (align, chat, fingerprint, html_extract, jaccard, license_scan, mixing, pieces, quality, simhash,
+               substring, toxicity, variants)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,6 +104,11 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(_table(spark, sf_dir, "pages"))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens, groups and links of every document under two tokenizers."""
+    return align.align(_table(spark, sf_dir, "documents"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of the documents with their common form and the root of their forms."""
     return variants.group_variants(_table(spark, sf_dir, "documents"))
@@ -125,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_chat_format": op9_chat_format,
     "op10_html_text": op10_html_text,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_jaccard_join": op13_jaccard_join,
 }
