@@ -46,7 +46,7 @@ HELD_STRETCHES = 1 << 18   # merged stretches a worker keeps
 # Fixed value: how byte-level BPE parts a text before merging.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-_START = re.compile(r"(?<!\s) (?!\s)")
+_START = re.compile(r"(?<=\S) (?=\S)")
 # Characters on whose class (letter, digit, space) all Unicode versions agree.
 _SETTLED = re.compile(r"[\n\t -~¡-ɏ]*")
 
@@ -183,7 +183,7 @@ class Merged:
 def stretches(text: str) -> list[str]:
     """A space and the text, cut before every space between two other characters."""
     first, *rest = _START.split(" " + text)
-    return ([first] if first else []) + [" " + r for r in rest]
+    return [first, *(" " + r for r in rest)]
 
 
 def _spelled(tok: Tokenizers, text: str) -> bool:
