@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import fingerprint, profile, sequence, subset, tf, xref
+from .operators import fingerprint, profile, selection, sequence, subset, tf, xref
 from .operators.ordered import compare_profiles, cumulate  # noqa: F401  (re-exported jobs)
 from .operators.profile import cardinality_report  # noqa: F401
 from .session import pin
@@ -118,13 +118,16 @@ def media_duplicates(spark: SparkSession, path: str, k: int = 20) -> DataFrame:
 
 def make_subset(df: DataFrame, n: int | None = None, where: Sequence[Column | str] = (),
                 order_by: Sequence[str] = (), fraction: float | None = None, key: str | None = None,
-                out: str | None = None) -> DataFrame:
-    """Development subset: predicates, then a hash sample or an (ordered) row limit."""
+                out: str | None = None, size: int | None = None) -> DataFrame:
+    """Development subset: predicates, then a hash sample (a ``fraction``, or exactly
+    ``size`` rows) or a row limit, in order if ``order_by`` is given."""
     sub = subset.predicate_subset(df, *where)
     if fraction is not None:
         sub = subset.hash_sample(sub, key or sub.columns[0], fraction)
+    if size is not None:
+        sub = selection.exact_sample(sub, size, key or sub.columns[0])
     if n is not None:
-        sub = subset.ordered_subset(sub, n, *order_by) if order_by else sub.limit(n)
+        sub = selection.first_rows(sub, n, *order_by) if order_by else sub.limit(n)
     if out is not None:
         write_parquet(sub, out)
     return sub
