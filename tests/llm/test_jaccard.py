@@ -149,3 +149,13 @@ def test_equals_sql(spark):
     con.execute("CREATE VIEW documents AS SELECT * FROM read_parquet('/root/testdata/sf0.001/documents.parquet')")
     rows = con.execute(queries.SQL["op13_jaccard_join"]).fetchall()
     assert {k: (n, c) for k, n, c in rows} == _got(queries.op13_jaccard_join(spark, "/root/testdata/sf0.001"))
+
+
+def test_parity_never_shows_more_than_the_difference():
+    rng = np.random.default_rng(9)
+    for _ in range(200):
+        a = rng.integers(-2**63, 2**63, rng.integers(1, 400))
+        b = np.concatenate([a[rng.random(len(a)) < 0.9], rng.integers(-2**63, 2**63, rng.integers(0, 30))])
+        shown = sum(int(x).bit_count() for x in (jaccard.parity(a) ^ jaccard.parity(b)).view(np.uint64))
+        assert shown <= len(set(a.tolist()) ^ set(b.tolist()))
+    assert not (jaccard.parity(a) ^ jaccard.parity(a[::-1].copy())).any()

@@ -18,8 +18,12 @@ at least min(m_x, m_y). Every step below uses this, so no link is lost:
 3. Pivots: the members of a prefix token's list are compared with one of them, not with
    each other, and each set with only one pivot a round. Rounds go on while they link
    many, so groups of near copies become components at a cost linear in their size.
-4. What is left: pairs from two components that share min(m_x, m_y) prefix members, and
-   could reach the threshold by their sizes, are verified by exact intersection.
+4. What is left: pairs from two components that share min(m_x, m_y) prefix members are
+   verified by exact intersection. Before that, each meeting of two sets in a list must
+   leave room for the overlap that their sizes ask for: by the places of the shared
+   member in both, and by the sets' parities (of ``PARITY_BITS`` classes of hashes, how
+   many recurring members each holds, modulo 2; every class that differs is a member
+   that one set alone has). So near copies that are not near enough don't meet as pairs.
 
 Scale: equal sets are one node from step 2 on. Counts are partially aggregated, lists of
 hot tokens are split (``salted_join``), each join is on a hash or node. Members are
@@ -39,7 +43,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.skew import bounded_broadcast, salted_join
@@ -54,6 +58,8 @@ PIECE_BYTES = 1 << 20   # very long texts are split into words piece by piece
 CACHED_WORDS = 1 << 16
 PAIR_COST, MEMBER_COST = 10.0, 0.1   # verifying a pair, in postings: fixed and per member
 LINKING_SHARE = 0.1     # pivot rounds go on while this share of their tests links
+PARITY_BITS = 256
+_PARITY = [f"p{i}" for i in range(PARITY_BITS // 64)]
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -180,8 +186,15 @@ def choose_matches(counts: np.ndarray, n: int, percent: int = PERCENT) -> tuple[
     return int(m[best]), int(used[best])
 
 
+def parity(members: np.ndarray) -> np.ndarray:
+    """Per class of hashes, whether an odd number of ``members`` is in it, as 64-bit words."""
+    odd = np.bincount(members.view(np.uint64) % np.uint64(PARITY_BITS), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _postings(sets: DataFrame, percent: int) -> DataFrame:
-    """(h, c, n, m, central): the recurring prefix members of every set that can link."""
+    """(h, c, n, m, k, at, central, parity): the recurring prefix members of every set that
+    can link, with their place ``at`` among its ``k`` recurring members."""
     members = sets.select("c", "n", F.explode("members").alias("h"))
     counts = members.groupBy(F.col("h").alias("h2")).agg(F.count("*").alias("df")).where("df > 1")
     recurring = (members.join(counts, F.col("h") == F.col("h2")).groupBy("c", "n")
@@ -194,24 +207,31 @@ def _postings(sets: DataFrame, percent: int) -> DataFrame:
             lists = batch.column(2)
             df, h = (lists.values.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             at = lists.offsets.to_numpy()
-            out: list[list[np.ndarray]] = [[] for _ in range(5)]
+            out: list[list[np.ndarray]] = [[] for _ in names]
             for c, n, a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), at[:-1], at[1:]):
                 m, used = choose_matches(df[a:b], n, percent)
-                row = (h[a:a + used], np.full(used, c), np.full(used, n), np.full(used, m),
-                       np.full(used, df[a:b].sum() / n))
+                row = (h[a:a + used], np.full(used, c), np.full(used, n), np.full(used, m), np.full(used, b - a),
+                       np.arange(used), *(np.full(used, p) for p in parity(h[a:b])), np.full(used, df[a:b].sum() / n))
                 for part, values in zip(out, row):
                     part.append(values)
             if out[0]:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x), t) for x, t in zip(out, [pa.int64()] * 4 + [pa.float64()])],
-                    names=["h", "c", "n", "m", "central"])
+                    [pa.array(np.concatenate(x), t) for x, t in zip(out, [pa.int64()] * (len(names) - 1) + [pa.float64()])],
+                    names=names)
 
-    return recurring.mapInArrow(run, "h long, c long, n long, m long, central double")
+    names = ["h", "c", "n", "m", "k", "at", *_PARITY, "central"]
+    return recurring.mapInArrow(run, ", ".join(f"{x} long" for x in names[:-1]) + ", central double")
 
 
-def _could_link(a: str, b: str, percent: int):
-    """By their sizes alone, two sets may reach the threshold."""
-    return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
+def _could_link(a: str, b: str, percent: int) -> Column:
+    """Two sets that meet in a list may reach the threshold; ``a`` and ``b`` go before
+    their columns' names. Lossless: true for every shared prefix member of a link."""
+    x, y = ({c: F.col(p + c) for c in ("n", "k", "at", *_PARITY)} for p in (a, b))
+    # |x & y| >= overlap, from 100 |x & y| >= percent (|x| + |y| - |x & y|).
+    overlap = F.ceil((x["n"] + y["n"]) * percent / (100 + percent) - 1e-9)
+    room = F.least(x["at"], y["at"]) + F.least(x["k"] - x["at"], y["k"] - y["at"])
+    alone = sum((F.bit_count(x[p].bitwiseXOR(y[p])) for p in _PARITY), F.lit(0))
+    return (room >= overlap) & (alone <= x["k"] + y["k"] - 2 * overlap)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -242,23 +262,24 @@ def _pivot_tests(postings: DataFrame, step: int, percent: int) -> DataFrame:
     """(a, b): every set with one pivot of another component, that of most shared lists."""
     # The most central set first (the text others were copied from), then any by hash.
     order = -F.col("central") if step == 0 else F.xxhash64(F.lit(step), "c").cast("double")
+    shown = ["c", "root", "n", "k", "at", *_PARITY]
     heads = postings.groupBy(F.col("h").alias("h2")).agg(
-        F.min(F.struct(order.alias("o"), F.col("c").alias("pivot"), F.col("n").alias("pn"), F.col("root").alias("proot"))).alias("p"))
-    met = postings.join(heads, F.col("h") == F.col("h2")).select("c", "n", "root", "p.*")
-    met = met.where((F.col("root") != F.col("proot")) & _could_link("n", "pn", percent))
-    tests = met.groupBy("c", "pivot").count()
-    return tests.groupBy("c").agg(F.max(F.struct("count", "pivot")).alias("best")).select(
-        F.col("c").alias("a"), F.col("best.pivot").alias("b"))
+        F.min(F.struct(order.alias("o"), *(F.col(x).alias("b_" + x) for x in shown))).alias("p"))
+    met = postings.join(heads, F.col("h") == F.col("h2")).select(*(F.col(x).alias("a_" + x) for x in shown), "p.*")
+    met = met.where((F.col("a_root") != F.col("b_root")) & _could_link("a_", "b_", percent))
+    tests = met.groupBy("a_c", "b_c").count()
+    return tests.groupBy("a_c").agg(F.max(F.struct("count", "b_c")).alias("best")).select(
+        F.col("a_c").alias("a"), F.col("best.b_c").alias("b"))
 
 
 def _remaining_pairs(postings: DataFrame, percent: int) -> DataFrame:
     """(a, b): pairs of two components with enough shared prefix members."""
-    left = postings.select(F.col("h").alias("h1"), F.col("c").alias("a"), F.col("n").alias("an"),
-                           F.col("m").alias("am"), F.col("root").alias("ar"))
-    right = postings.select(F.col("h").alias("h2"), F.col("c").alias("b"), F.col("n").alias("bn"),
-                            F.col("m").alias("bm"), F.col("root").alias("br"))
-    met = salted_join(left, right, "h1", "h2").where("a < b and ar <> br").where(_could_link("an", "bn", percent))
-    return (met.groupBy("a", "b", F.least("am", "bm").alias("m")).count().where("count >= m").select("a", "b"))
+    shown = [x for x in postings.columns if x != "central"]
+    left, right = (postings.select(*(F.col(x).alias(p + x) for x in shown)) for p in ("a_", "b_"))
+    met = salted_join(left, right, "a_h", "b_h").where("a_c < b_c and a_root <> b_root").where(
+        _could_link("a_", "b_", percent))
+    return (met.groupBy(F.col("a_c").alias("a"), F.col("b_c").alias("b"), F.least("a_m", "b_m").alias("m")).count()
+            .where("count >= m").select("a", "b"))
 
 
 def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
