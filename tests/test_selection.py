@@ -24,10 +24,11 @@ def mixed(spark):
              rng.choice([None, 0.5, -1.5, float(rng.randrange(9))]), rng.random() < 0.5, i) for i in range(400)]
     df = spark.createDataFrame(rows, "a long, t string, d double, b boolean, i int")
     return df.withColumn("day", F.date_add(F.lit("1999-12-30").cast("date"), F.pmod("i", F.lit(9)).cast("int"))).withColumn(
-        "at", F.timestamp_micros(F.col("i").cast("long") % 7 * 1_000_003 - 5))
+        "at", F.timestamp_micros(F.col("i").cast("long") % 7 * 1_000_003 - 5)).withColumn(
+        "ntz", F.col("at").cast("timestamp_ntz"))
 
 
-@pytest.mark.parametrize("keys", [("a",), ("t",), ("d",), ("b", "t"), ("day", "a", "t"), ("at", "i")])
+@pytest.mark.parametrize("keys", [("a",), ("t",), ("d",), ("b", "t"), ("day", "a", "t"), ("at", "i"), ("ntz", "i")])
 @pytest.mark.parametrize("n", [1, 57, 399])
 def test_first_rows_equal_a_sort(mixed, keys, n):
     got = selection.first_rows(mixed, n, *keys).collect()

@@ -14,7 +14,8 @@ and write their result under ``--out``.
   xref         identifier cross reference: --uuid, --ident, --text, [--index path]
   sequence     number-sequence study: --ident, --group (writes one folder per part)
   media        fingerprint duplicates of images under --input (--top k)
-  subset       --where SQL, --limit n, --order-by a,b, --fraction f --key k
+  subset       --where SQL, --limit n, --order-by a,b, --fraction f or
+               --size n (exactly n rows) with --key k
 """
 
 from __future__ import annotations
@@ -68,6 +69,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--limit", type=int)
     p.add_argument("--order-by")
     p.add_argument("--fraction", type=float)
+    p.add_argument("--size", type=int)
     p.add_argument("--key")
     p.add_argument("--rejects")
     p.add_argument("--by", help="profile/cardinality per group of these columns (a,b)")
@@ -124,11 +126,11 @@ def _run_job(spark, args) -> None:
         write_parquet(lengths, f"{args.out.rstrip('/')}-length-histogram")
     elif args.job == "sequence":
         study = jobs.number_sequence(df, args.ident, args.group)
-        for part in ("ranked", "bad", "summary", "repeats", "gaps", "slopes"):
+        for part in ("ranked", "bad", "summary", "repeats", "gaps", "slopes", "islands"):
             write_parquet(getattr(study, part), f"{args.out.rstrip('/')}/{part}")
     elif args.job == "subset":
         jobs.make_subset(df, args.limit, args.where, _list(args.order_by) or (), args.fraction,
-                         args.key, out=args.out)
+                         args.key, out=args.out, size=args.size)
 
 
 if __name__ == "__main__":

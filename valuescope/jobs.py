@@ -99,6 +99,7 @@ class NumberSequence:
     repeats: DataFrame      # grp, number, count
     gaps: DataFrame         # grp, rank, number, next_number, gap
     slopes: DataFrame       # grp, bucket, first/last rank and number, slope
+    islands: DataFrame      # grp, first, last, n: runs of consecutive numbers
 
 
 def number_sequence(df: DataFrame, id_col: str, group_col: str, slope_width: int = 1000) -> NumberSequence:
@@ -107,7 +108,7 @@ def number_sequence(df: DataFrame, id_col: str, group_col: str, slope_width: int
     ranked = sequence.rank_numbers(nums)
     return NumberSequence(nums, ranked, sequence.bad_counts(nums), sequence.describe(ranked),
                           sequence.repeats(nums), sequence.gaps(ranked),
-                          sequence.slope_segments(ranked, slope_width))
+                          sequence.slope_segments(ranked, slope_width), sequence.islands(nums))
 
 
 def media_duplicates(spark: SparkSession, path: str, k: int = 20) -> DataFrame:

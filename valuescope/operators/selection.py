@@ -10,7 +10,7 @@ filtered by the threshold found: no sort, no shuffle of whole rows, no task that
 of them.
 
 Whole numbers, dates, timestamps and booleans are counted as numbers, texts by their
-UTF-8 bytes, ``CHUNK`` at a time. Other orderable types take the distributed
+UTF-8 bytes, ``CHUNK`` at a time from the first place where those left differ. Other orderable types take the distributed
 ``sorted_index`` over that key alone.
 """
 
@@ -48,6 +48,19 @@ def key_hash(key: Column, seed: int = 42) -> Column:
     return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("bigint")
 
 
+def _code(kind: T.DataType, c: Column) -> Column | None:
+    """Order-preserving bigint of a whole number, boolean, date or timestamp; else None."""
+    if isinstance(kind, (*_WHOLE, T.BooleanType)):
+        return c.cast("bigint")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("bigint")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    return None
+
+
 def _nth_number(rows: DataFrame, code: Column, n: int) -> tuple[int, int, DataFrame]:
     """(value of the n-th smallest ``code``, rows below it, the rows that have it).
 
@@ -80,16 +93,16 @@ def _text_code(data: Column, at: int) -> Column:
     return value * 8 + F.length(piece)
 
 
-def _nth_text(rows: DataFrame, column: str, n: int) -> tuple[str | bytes, int, DataFrame]:
-    found, below = b"", 0
-    data = F.col(column).cast("binary")
+def _nth_text(rows: DataFrame, column: str, n: int) -> tuple[bytes, int, DataFrame]:
+    below, data = 0, F.col(column).cast("binary")
     while True:
-        code, under, rows = _nth_number(rows, _text_code(data, len(found)), n - below)
+        # What the least and the greatest text left have in common, all texts left have.
+        low, high = (bytes(x) for x in rows.agg(F.min(data), F.max(data)).first())
+        if low == high:
+            return low, below, rows
+        shared = next((k for k, (x, y) in enumerate(zip(low, high)) if x != y), min(len(low), len(high)))
+        _, under, rows = _nth_number(rows, _text_code(data, shared), n - below)
         below += under
-        size = code % 8
-        found += (code // 8).to_bytes(CHUNK, "big")[:size]
-        if size < CHUNK:
-            return found, below, rows
 
 
 def _nth(rows: DataFrame, column: str, n: int) -> tuple[object, int, DataFrame]:
@@ -100,13 +113,8 @@ def _nth(rows: DataFrame, column: str, n: int) -> tuple[object, int, DataFrame]:
         return None, 0, rows.where(F.col(column).isNull())
     rows = rows.where(F.col(column).isNotNull())
     c = F.col(column)
-    if isinstance(kind, (*_WHOLE, T.BooleanType)):
-        value, below, rows = _nth_number(rows, c.cast("bigint"), n - nulls)
-        value = bool(value) if isinstance(kind, T.BooleanType) else value
-    elif isinstance(kind, T.DateType):
-        value, below, rows = _nth_number(rows, F.unix_date(c).cast("bigint"), n - nulls)
-    elif isinstance(kind, T.TimestampType):
-        value, below, rows = _nth_number(rows, F.unix_micros(c), n - nulls)
+    if (code := _code(kind, c)) is not None:
+        value, below, rows = _nth_number(rows, code, n - nulls)
     elif isinstance(kind, (T.StringType, T.BinaryType)):
         value, below, rows = _nth_text(rows, column, n - nulls)
     else:
@@ -117,18 +125,6 @@ def _nth(rows: DataFrame, column: str, n: int) -> tuple[object, int, DataFrame]:
     return value, nulls + below, rows
 
 
-def _literal(kind: T.DataType, value) -> Column:
-    if value is None:
-        return F.lit(None).cast(kind)
-    if isinstance(kind, T.DateType):
-        return F.date_from_unix_date(F.lit(value).cast("int"))
-    if isinstance(kind, T.TimestampType):
-        return F.timestamp_micros(F.lit(value).cast("bigint"))
-    if isinstance(kind, T.StringType):
-        return F.lit(value.decode()) if isinstance(value, bytes) else F.lit(value)
-    return F.lit(value).cast(kind)
-
-
 def nth_row(rows: DataFrame, columns: list[str], n: int, total: int | None = None) -> Threshold:
     """The n-th row (from 1) of ``rows`` in the order of ``columns``, then of its row id."""
     total = rows.count() if total is None else total
@@ -156,8 +152,11 @@ def _up_to(df: DataFrame, columns: list[str], found: Threshold) -> Column:
         if value is None:
             keep = here.isNull() & keep
         else:
-            at = _literal(df.schema[c].dataType, value)
-            keep = here.isNull() | (here < at) | ((here == at) & keep)
+            kind = df.schema[c].dataType
+            code = _code(kind, here)
+            at = F.lit(value.decode() if isinstance(kind, T.StringType) and isinstance(value, bytes) else value)
+            code = here if code is None else code
+            keep = here.isNull() | (code < at) | ((code == at) & keep)
     return keep
 
 

@@ -128,6 +128,21 @@ def repeats(numbers: DataFrame) -> DataFrame:
             .where(F.col("count") > 1))
 
 
+def islands(numbers: DataFrame, min_length: int = 1) -> DataFrame:
+    """Runs of consecutive numbers: (grp, first, last, n), n = records in the run.
+
+    Over the distinct numbers of a group, number minus its (dense) rank is the same all
+    along a run. The rank is the distributed ordinal; a run that spans range partitions
+    is put together by the aggregation on (group, number - rank), partially aggregated,
+    so a run of any length costs a row per task. ``min_length`` is in distinct numbers.
+    """
+    distinct = numbers.where(F.col("number").isNotNull()).groupBy("grp", "number").agg(F.count("*").alias("_records"))
+    ranked = sorted_index(distinct, ["number"], ["grp"], index_col="_rank", unique=True)
+    runs = ranked.groupBy("grp", (F.col("number") - F.col("_rank")).alias("_run")).agg(
+        F.min("number").alias("first"), F.max("number").alias("last"), F.sum("_records").alias("n"))
+    return runs.where(F.col("last") - F.col("first") + 1 >= min_length).select("grp", "first", "last", "n")
+
+
 def slope_segments(ranked: DataFrame, width: int = 100) -> DataFrame:
     """Local slope of the number/rank curve over rank buckets of ``width`` rows.
 

@@ -21,8 +21,8 @@ from .. import jobs
 from ..functions.scalars import slug, to_int, unescape_line
 from ..functions.text import note
 from ..operators import fingerprint as fp
-from ..operators import ordered, profile, sequence, subset, tf, xref
-from ..sources import csvtext
+from ..operators import ordered, profile, segments, selection, sequence, subset, tf, xref
+from ..sources import csvtext, quoted
 from ..session import pin, scratch_path
 from ..sinks import (write_csv_pairs, write_field_csvs, write_parquet, write_profile_partitioned, write_rejects,
                      write_text_pairs)
@@ -232,6 +232,22 @@ def q_seq_slopes(spark, d):
     return sequence.slope_segments(_ranked(spark, d), 100)
 
 
+def q_seq_islands(spark, d):
+    return sequence.islands(_line_numbers(spark, d))
+
+
+def q_seq_page_islands(spark, d):
+    return sequence.islands(_page_numbers(spark, d))
+
+
+# Orders between neighbours of one supplier vary by about as much.
+_SEGMENT_ERROR = 250.0
+
+
+def q_seq_segments(spark, d):
+    return segments.linear_segments(_ranked(spark, d), _SEGMENT_ERROR)
+
+
 def q_seq_page_rank(spark, d):
     return sequence.rank_numbers(_page_numbers(spark, d))
 
@@ -259,6 +275,67 @@ def q_subset_hash(spark, d):
     return subset.hash_sample(table(spark, d, "orders"), "o_orderkey", 0.1)
 
 
+def q_subset_exact_100(spark, d):
+    return selection.exact_sample(table(spark, d, "orders"), 100, "o_orderkey")
+
+
+def q_subset_exact_10000(spark, d):
+    return selection.exact_sample(table(spark, d, "orders"), 10_000, "o_orderkey")
+
+
+def q_subset_exact_half(spark, d):
+    orders = table(spark, d, "orders")
+    return selection.exact_sample(orders, orders.count() // 2, "o_orderkey")
+
+
+def q_subset_exact_texts(spark, d):
+    return selection.exact_sample(table(spark, d, "documents"), 100, "doc_id", seed=7)
+
+
+def q_subset_first_by_date(spark, d):
+    return selection.first_rows(table(spark, d, "orders"), 1_000, "o_orderdate", "o_orderkey")
+
+
+def q_subset_first_by_text(spark, d):
+    return selection.first_rows(table(spark, d, "documents"), 150, "lang", "text", "doc_id")
+
+
+# ---------------------------------------------------------------- whole jobs
+
+def q_job_profile_csv(spark, d):
+    # Tolerant profile of CSV files, value files written and loaded back on a second run.
+    lines, out = scratch_path(spark, "csv"), scratch_path(spark, "unique")
+    _customer_lines(spark, d).write.text(lines)
+    jobs.profile_csv(spark, lines, rejects_out=scratch_path(spark, "rejects"), out=out)
+    return jobs.profile_csv(spark, lines, out=out, resume=True)
+
+
+def q_job_tf_index(spark, d):
+    out = scratch_path(spark, "tf")
+    jobs.build_tf_index(table(spark, d, "documents"), "doc_id", ["lang", "text"], tokenizer="words", out=out, id_alias="uuid")
+    return spark.read.parquet(out)
+
+
+def q_job_cross_reference(spark, d):
+    out = scratch_path(spark, "xref")
+    jobs.cross_reference_job(table(spark, d, "documents"), "doc_id", "doc_id", ["text"], out=out)
+    return spark.read.parquet(out)
+
+
+def q_job_number_sequence(spark, d):
+    study = jobs.number_sequence(table(spark, d, "lineitem"), "l_orderkey", "l_suppkey")
+    bad = study.bad.select(F.col("grp").alias("g2"), "n_zero_text", "n_bad")
+    runs = study.islands.groupBy(F.col("grp").alias("g3")).agg(F.count("*").alias("n_islands"), F.max("n").alias("longest"))
+    return (study.summary.join(bad, F.col("grp").eqNullSafe(F.col("g2"))).join(runs, F.col("grp").eqNullSafe(F.col("g3")))
+            .drop("g2", "g3"))
+
+
+def q_job_make_subset(spark, d):
+    out = scratch_path(spark, "subset")
+    jobs.make_subset(table(spark, d, "orders"), n=500, where=["o_orderstatus <> 'F'"], order_by=["o_custkey", "o_orderkey"], out=out)
+    return spark.read.parquet(out)
+
+
 def q_slug_fields(spark, d):
     p = table(spark, d, "part")
     return p.select("p_partkey", slug(F.concat_ws(" ", "p_type", "p_name", "p_brand")).alias("slug"))
@@ -303,6 +380,14 @@ def q_csv_file_profile(spark, d):
     return profile.value_profile(csvtext.read_csv_records(spark, folder).good)
 
 
+def q_csv_quoted_profile(spark, d):
+    # Documents rendered as plain RFC CSV: texts keep their line ends, inside quotes.
+    docs = table(spark, d, "documents")
+    folder = scratch_path(spark, "csv")
+    csvtext.to_csv_lines(docs, header=True).write.text(folder)
+    return profile.value_profile(quoted.read_csv_quoted(spark, folder, strict=True).good)
+
+
 def q_profile_files_roundtrip(spark, d):
     # Per-field value files written in one pass, then loaded back as one profile.
     cust = table(spark, d, "customer")
@@ -635,6 +720,25 @@ _SUPPLIER = ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"]
 _SUPPLIER_LINE = ("concat_ws(',', CAST(s_suppkey AS VARCHAR), CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE s_name END, "
                   "CAST(s_nationkey AS VARCHAR), CAST(s_acctbal AS VARCHAR))")
 
+_XREF_SQL = (
+        f"WITH tf AS ({O.tf_index_sql('documents', 'doc_id', ['text'], 'treebank')}), "
+        "ids AS (SELECT doc_id AS record_uuid, CAST(doc_id AS VARCHAR) AS record_identifier FROM documents), "
+        "notes AS (SELECT doc_id AS note_uuid, concat_ws(' ', text) AS note FROM documents) "
+        "SELECT record_uuid, record_identifier, tf.doc_id AS uuid, token, count, note_uuid, note, "
+        "CAST(length(record_identifier) AS INTEGER) AS catalognumber_len "
+        "FROM ids JOIN tf ON ids.record_identifier = tf.token JOIN notes ON tf.doc_id = notes.note_uuid")
+
+
+def _islands_sql(numbers: str) -> str:
+    return (f"SELECT grp, min(number) AS first, max(number) AS last, count(*) AS n FROM (SELECT grp, number, "
+            f"number - dense_rank() OVER (PARTITION BY grp ORDER BY number) AS run FROM ({numbers})) GROUP BY grp, run")
+
+
+def _sample_sql(name: str, key: str, seed: int, n: str) -> str:
+    h = f"CAST('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 15) AS UBIGINT)"
+    return f"SELECT * FROM {name} ORDER BY {h}, {key} LIMIT {n}"
+
+
 SQL: dict[str, str] = {
     "profile_files_text": O.profile_sql("documents", _DOC_ALL),
     "profile_files_pages": O.profile_sql("pages", ["page_id", "url", "html"]),
@@ -686,9 +790,11 @@ SQL: dict[str, str] = {
         "SELECT field, card, CAST(row_number() OVER (ORDER BY card DESC, field) - 1 AS BIGINT) AS x FROM k"),
     "cardinality_all": (f"SELECT field, count(*) AS card FROM ({O.profile_sql('orders', _ORD_ALL)}) GROUP BY field"),
     "cumulate": O.cumulate_sql(O.profile_sql("lineitem", _LI_ALL)),
+    # Tokenised once; the clean profile comes from the raw one, each curve is kept.
     "compare_raw_clean": (
-        f"WITH c AS ({O.cumulate_sql(_token_profile_sql('treebank', True))}), "
-        f"r AS ({O.cumulate_sql(_token_profile_sql('treebank'))}), "
+        f"WITH p AS MATERIALIZED ({_token_profile_sql('treebank')}), "
+        "q AS MATERIALIZED (SELECT field, lower(value) AS value, CAST(sum(count) AS BIGINT) AS count FROM p GROUP BY field, lower(value)), "
+        f"c AS MATERIALIZED ({O.cumulate_sql('SELECT * FROM q')}), r AS MATERIALIZED ({O.cumulate_sql('SELECT * FROM p')}), "
         "b AS (SELECT DISTINCT field FROM c WHERE field IN (SELECT field FROM r)), "
         "cs AS (SELECT field, x, value AS clean_value, count AS clean_count, cum_count AS clean_cum_count FROM c WHERE field IN (SELECT field FROM b)), "
         "rs AS (SELECT field, x, value AS raw_value, count AS raw_count, cum_count AS raw_cum_count FROM r WHERE field IN (SELECT field FROM b)) "
@@ -709,13 +815,7 @@ SQL: dict[str, str] = {
         "FROM p WHERE recs_upto >= target AND recs_upto - recs < target) "
         "SELECT field, percent, CAST(total_records AS BIGINT) AS total_records, CAST(total_values AS BIGINT) AS total_values, "
         "CAST(need AS BIGINT) AS values_needed, CAST(need AS DOUBLE) / CAST(total_values AS DOUBLE) * 100.0 AS values_perc FROM c"),
-    "id_cross_reference": (
-        f"WITH tf AS ({O.tf_index_sql('documents', 'doc_id', ['text'], 'treebank')}), "
-        "ids AS (SELECT doc_id AS record_uuid, CAST(doc_id AS VARCHAR) AS record_identifier FROM documents), "
-        "notes AS (SELECT doc_id AS note_uuid, concat_ws(' ', text) AS note FROM documents) "
-        "SELECT record_uuid, record_identifier, tf.doc_id AS uuid, token, count, note_uuid, note, "
-        "CAST(length(record_identifier) AS INTEGER) AS catalognumber_len "
-        "FROM ids JOIN tf ON ids.record_identifier = tf.token JOIN notes ON tf.doc_id = notes.note_uuid"),
+    "id_cross_reference": _XREF_SQL,
     "id_length_hist": (
         f"WITH tf AS ({O.tf_index_sql('documents', 'doc_id', ['text'], 'treebank')}), "
         "ids AS (SELECT doc_id AS record_uuid, CAST(doc_id AS VARCHAR) AS record_identifier FROM documents), "
@@ -742,6 +842,39 @@ SQL: dict[str, str] = {
         f"CASE WHEN last_rank - first_rank > 0 THEN CAST(last_number - first_number AS DOUBLE) / CAST(last_rank - first_rank AS DOUBLE) END AS slope "
         f"FROM (SELECT grp, CAST(floor(rank / 100) AS BIGINT) AS bucket, min(rank) AS first_rank, max(rank) AS last_rank, "
         f"min(number) AS first_number, max(number) AS last_number FROM ({_RANKED}) GROUP BY grp, bucket)"),
+    "seq_islands": _islands_sql(_LINE_NUMBERS),
+    "seq_page_islands": _islands_sql(_PAGE_NUMBERS),
+    # One row a step: the cone of slopes from the segment's first point.
+    "seq_segments": (
+        f"WITH RECURSIVE r AS MATERIALIZED ({_RANKED}), walk AS ("
+        "SELECT grp, rank, number, rank AS x0, number AS y0, '-infinity'::DOUBLE AS lo, 'infinity'::DOUBLE AS hi FROM r WHERE rank = 0 "
+        "UNION ALL SELECT grp, rank, number, CASE WHEN nlo <= nhi THEN x0 ELSE rank END, CASE WHEN nlo <= nhi THEN y0 ELSE number END, "
+        "CASE WHEN nlo <= nhi THEN nlo ELSE '-infinity'::DOUBLE END, CASE WHEN nlo <= nhi THEN nhi ELSE 'infinity'::DOUBLE END FROM ("
+        "SELECT r.grp, r.rank, r.number, x0, y0, "
+        f"greatest(lo, (r.number - {_SEGMENT_ERROR}::DOUBLE - y0) / CAST(r.rank - x0 AS DOUBLE)) AS nlo, "
+        f"least(hi, (r.number + {_SEGMENT_ERROR}::DOUBLE - y0) / CAST(r.rank - x0 AS DOUBLE)) AS nhi "
+        "FROM walk JOIN r ON r.grp = walk.grp AND r.rank = walk.rank + 1)) "
+        "SELECT grp, x0 AS first_rank, max(rank) AS last_rank, y0 AS first_number, max(number) AS last_number, "
+        "max(rank) - x0 + 1 AS n, CASE WHEN max(rank) > x0 THEN (arg_max(lo, rank) + arg_max(hi, rank)) / 2 END AS slope "
+        "FROM walk GROUP BY grp, x0, y0"),
+    "subset_exact_100": _sample_sql("orders", "o_orderkey", 42, "100"),
+    "subset_exact_10000": _sample_sql("orders", "o_orderkey", 42, "10000"),
+    "subset_exact_half": _sample_sql("orders", "o_orderkey", 42, "(SELECT count(*) // 2 FROM orders)"),
+    "subset_exact_texts": _sample_sql("documents", "doc_id", 7, "100"),
+    "subset_first_by_date": "SELECT * FROM orders ORDER BY o_orderdate NULLS FIRST, o_orderkey LIMIT 1000",
+    "subset_first_by_text": ("SELECT * FROM documents ORDER BY encode(lang) NULLS FIRST, encode(text) NULLS FIRST, doc_id LIMIT 150"),
+    "csv_quoted_profile": O.profile_sql(
+        "(SELECT " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '') AS {c}" for c in _DOC_ALL) + " FROM documents)", _DOC_ALL),
+    "job_profile_csv": _csv_profile_sql(),
+    "job_tf_index": "SELECT doc_id AS uuid, token, count FROM (" + O.tf_index_sql("documents", "doc_id", ["lang", "text"], "words") + ")",
+    "job_cross_reference": _XREF_SQL,
+    "job_number_sequence": (
+        f"SELECT s.*, n_zero_text, n_bad, n_islands, longest FROM ({_describe_sql()}) s JOIN ("
+        "SELECT grp, CAST(sum(CASE WHEN catalognumber = '0' THEN 1 ELSE 0 END) AS BIGINT) AS n_zero_text, "
+        f"CAST(sum(CASE WHEN number = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_bad FROM ({_LINE_NUMBERS}) GROUP BY grp) b "
+        "ON s.grp IS NOT DISTINCT FROM b.grp JOIN (SELECT grp, count(*) AS n_islands, max(n) AS longest FROM "
+        f"({_islands_sql(_LINE_NUMBERS)}) GROUP BY grp) i ON s.grp IS NOT DISTINCT FROM i.grp"),
+    "job_make_subset": "SELECT * FROM orders WHERE o_orderstatus <> 'F' ORDER BY o_custkey NULLS FIRST, o_orderkey LIMIT 500",
     "seq_page_rank": (
         f"SELECT grp, CAST(row_number() OVER (PARTITION BY grp ORDER BY number) - 1 AS BIGINT) AS rank, number, "
         f"count(*) OVER (PARTITION BY grp) AS n FROM ({_PAGE_NUMBERS})"),
