@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..plans.parallel import spread
+
 
 
 def _quote(name: str) -> str:
@@ -78,8 +80,10 @@ def value_profile(df: DataFrame, fields: Sequence[str] | None = None,
     if not names:
         raise ValueError("no fields to profile")
     keys = [F.col(_quote(b)) for b in by]
-    # No shuffle of the rows: each task counts what it reads, only counts move.
-    picked = df.select(*keys, *[_field_col(df, n).alias(n) for n in names])
+    # Each task counts what it reads, only counts move. An input of fewer splits than
+    # cores (one large row group) is dealt out first: the unpivot multiplies its rows by
+    # the fields, which one task would do alone.
+    picked = spread(df.select(*keys, *[_field_col(df, n).alias(n) for n in names]))
     if len(names) > WIDE_FIELDS:
         values = F.array(*[F.col(_quote(n)).cast("string") for n in names])
         labels = F.array(*[F.lit(n) for n in names])
