@@ -18,7 +18,6 @@ from pyspark.sql.types import StructType
 from ..plans.parallel import spread
 
 
-
 def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
