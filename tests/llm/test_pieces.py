@@ -1,3 +1,4 @@
+import time
 import math
 from collections import Counter
 
@@ -77,3 +78,24 @@ def test_awkward_rows(spark):
     assert got.where("text is null and ids is not null").count() == 0
     assert pieces.encode(rows, out="piece_ids").columns == [*rows.columns, "piece_ids"]
     assert pieces.round_trip(empty(spark)).count() == 0
+
+
+def test_long_words_are_cut_like_short_ones(monkeypatch):
+    """The walk of a long word and the padded filter give the same pieces."""
+    vocab = pieces._prepared(pieces.load())
+    texts = ["unbrokenwordwithoutanyblankatall" * 3, "  x▁y\0z", "東京に行くことができます。" * 5, "aaaaaaaaaaaaaaaa aaaaaaa", "\n\nab"]
+    keys = np.arange(len(texts)).astype(np.uint64)
+    short = pieces.encode_texts(texts, keys, vocab)
+    monkeypatch.setattr(pieces, "LONG_WORD", 0)
+    long = pieces.encode_texts(texts, keys, vocab)
+    assert [x.tolist() for x in short] == [x.tolist() for x in long]
+    assert pieces.decode_ids(long, vocab) == texts
+
+
+def test_text_without_blanks_in_linear_time():
+    vocab = pieces._prepared(pieces.load())
+    text = "".join(chr(0x4E00 + i * 7919 % 20000) + "ab" * (i % 3) for i in range(40_000))
+    begin = time.process_time()
+    ids = pieces.encode_texts([text], np.zeros(1, np.uint64), vocab)
+    assert time.process_time() - begin < 20
+    assert pieces.decode_ids(ids, vocab) == [text]

@@ -16,14 +16,17 @@ piece are spelled in bytes, and so is a literal U+2581, which stands for a blank
 pieces: decoding returns exactly the text that was encoded.
 
 Defined cases: a null text gives null ids and decodes to null, an empty one gives no
-ids; rows with equal key and text are cut alike; a null key is a key; very long words
-are filtered in groups of like length; an empty table gives an empty result; only the
+ids; rows with equal key and text are cut alike; a null key is a key; words of more than
+``LONG_WORD`` characters (unbroken scripts, encoded data) are filtered and drawn character
+by character with one number kept for each; an empty table gives an empty result; only the
 named columns are read.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +43,8 @@ SEED = 17
 BLANK = 0x2581
 LITERAL = 0x110000       # stands for U+2581 itself: no piece holds it
 GROUP_CELLS = 1 << 16    # characters filtered at once
+LONG_WORD = 256          # longer words are walked one by one
+TEXT_BYTES = 2 << 20     # text of one chunk: words that repeat in it are filtered once
 _SEGMENT = re.compile(r"\n| +[^ \n]*|[^ \n]+")
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -70,7 +75,8 @@ def load(model_file: str = MODEL, alpha: float = ALPHA) -> dict:
     hashes = np.array([_hash_codes(k) for k in keys], np.uint64)
     order = np.argsort(hashes)
     size = np.array([len(t) for t in text], np.int64)
-    return {"hashes": hashes[order], "ids": np.array(ids, np.int32)[order], "weights": np.array(weights)[order],
+    table = {"".join(map(chr, k)): (i, w) for k, i, w in zip(keys, ids, weights)}
+    return {"table": table, "hashes": hashes[order], "ids": np.array(ids, np.int32)[order], "weights": np.array(weights)[order],
             "longest": longest, "byte_ids": byte_ids, "byte_weight": -alpha * np.log(n + SHIFT),
             "bytes": np.frombuffer(b"".join(text), np.uint8), "size": size, "start": np.cumsum(size) - size}
 
@@ -162,21 +168,58 @@ def _drawn(chances: np.ndarray, ids: np.ndarray, length: np.ndarray, unit: np.nd
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def _walked(word: str, vocab: dict, keys: list[int]) -> list[tuple[list[int], list[int]]]:
+    """(starts, piece ids) of one long word for each random key: filtered and drawn like
+    ``_filtered`` and ``_drawn``, with the pieces looked up again where the walk back comes by."""
+    table, longest, spelled = vocab["table"], vocab["longest"], (-1, vocab["byte_weight"])
+    word = word.replace("▁", "\0").replace(" ", "▁")  # a literal blank mark is in no piece
+    n = len(word)
+    total = array("d", [-math.inf]) * (n + 1)
+    total[0] = 0.0
+    for s in range(n):
+        at = total[s]
+        for k in range(1, min(longest, n - s) + 1):
+            found = table.get(word[s:s + k]) or (spelled if k == 1 else None)
+            if found:
+                new, old = at + found[1], total[s + k]
+                top, low = (new, old) if new > old else (old, new)
+                total[s + k] = top + math.log1p(math.exp(low - top))
+    out = []
+    for key in keys:
+        starts, ids, j = [], [], n
+        while j:
+            draw = float(_mix(np.uint64([(key + j * int(_M)) & 0xFFFFFFFFFFFFFFFF]))[0] >> np.uint64(11)) * 2.0 ** -53
+            chance, pick = 0.0, None
+            for k in range(1, min(longest, j) + 1):
+                found = table.get(word[j - k:j]) or (spelled if k == 1 else None)
+                if found:
+                    pick = (j - k, found[0])
+                    chance += math.exp(total[j - k] + found[1] - total[j])
+                    if chance > draw:
+                        break
+            j = pick[0]
+            starts.append(j)
+            ids.append(pick[1])
+        out.append((starts, ids))
+    return out
+
+
 def encode_texts(texts: list[str | None], keys: np.ndarray, vocab: dict, seed: int = SEED) -> list[np.ndarray | None]:
     """Sampled piece ids of each text; ``keys`` (uint64) seed the rows."""
-    unit_of: dict[str, int] = {}
-    units, owner, number = [], [], []
+    words, owner, number = [], [], []
     for i, text in enumerate(texts):
         if text:
             found = _SEGMENT.findall(" " + text)
-            units += [unit_of.setdefault(s, len(unit_of)) for s in found]
+            words += found
             owner.append(np.full(len(found), i))
             number.append(np.arange(len(found)))
-    if not units:
+    if not words:
         return [None if t is None else np.zeros(0, np.int32) for t in texts]
-    unit, owner, number = np.array(units), np.concatenate(owner), np.concatenate(number)
+    names = list(dict.fromkeys(words))
+    unit_of = dict(zip(names, range(len(names))))
+    unit = np.fromiter(map(unit_of.__getitem__, words), np.int64, len(words))
+    owner, number = np.concatenate(owner), np.concatenate(number)
     key = _mix(keys[owner] + _mix(np.uint64(seed) + number.astype(np.uint64) * _M))
-    names = list(unit_of)
     length = np.array([len(s) for s in names])
     codes = np.frombuffer("".join(names).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
     codes = np.where(codes == BLANK, LITERAL, np.where(codes == 32, BLANK, codes))
@@ -190,8 +233,16 @@ def encode_texts(texts: list[str | None], keys: np.ndarray, vocab: dict, seed: i
     while k < len(by_length):
         # Segments of like length (up to a quarter more) share a padded array.
         low = length[by_length[k]]
+        if low > LONG_WORD:
+            one = by_length[k]
+            uses = occurrences[first_use[one]:first_use[one + 1]]
+            for use, (starts, ids) in zip(uses, _walked(names[one], vocab, key[uses].tolist())):
+                found.append((np.full(len(ids), use), np.array(starts, np.int64), np.array(ids, np.int64)))
+            k += 1
+            continue
         end = np.searchsorted(length[by_length], max(low + low // 4, low), side="right")
-        end = min(end, k + max(1, GROUP_CELLS // (low + low // 4)))
+        end = min(end, k + max(1, GROUP_CELLS // (low + low // 4)),
+                  max(k + 1, np.searchsorted(length[by_length], LONG_WORD, side="right")))
         group = by_length[k:end]
         width = int(length[group].max())
         at = begin[group][:, None] + np.arange(width)[None, :]
@@ -257,7 +308,7 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", out: str = "i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _prepared(vocab.value)
-        for batch in chunked(batches, at):
+        for batch in chunked(batches, at, TEXT_BYTES):
             keys = batch.column(len(names) - 1).to_numpy().view(np.uint64)
             got = encode_texts(batch.column(at).to_pylist(), keys, tables, seed)
             ids = pa.array(got, pa.list_(pa.int32()))
@@ -292,7 +343,7 @@ def round_trip(df: DataFrame, key: str = "doc_id", text: str = "text", model_fil
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _prepared(vocab.value)
-        for batch in chunked(batches, 1):  # both ways in one worker
+        for batch in chunked(batches, 1, TEXT_BYTES):  # both ways in one worker
             ids = encode_texts(batch.column(1).to_pylist(), batch.column(2).to_numpy().view(np.uint64), tables, SEED)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32())),
