@@ -65,7 +65,6 @@ _RUN = re.compile(r"([^\W\d_])\1\1")
 # A character written apart, perhaps with punctuation around it.
 _SINGLE = re.compile(r"(?:[^\w\s]|_)*+[^\W_](?:[^\w\s]|_)*+(?!\S)"
                      r"|(?:[^\w\s@$!|+(€£¡]|_)*+[@$!|+(€£¡](?:[^\w\s]|_)*+(?!\S)|\S(?!\S)")
-_SPACED = re.compile(rf"(?<!\S)(?:(?:{_SINGLE.pattern})\s++){{2}}(?:{_SINGLE.pattern})")
 _TRAIL = re.compile(r"(?<![^\w@$!|+(€£¡])(?<!_)(?:[^\w@$!|+(€£¡]|_)++\Z")
 _LEAD = re.compile(r"^(?:[^\w@$!|+(€£¡]|_)+")
 
@@ -88,6 +87,12 @@ def _gram_slots(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(slots).astype(np.int64), np.concatenate(owners)
 
 
+def _letters(word: str) -> str:
+    """The word without the usual marks at its end if only letters are left, else ''."""
+    core = word if word.isalpha() else word.rstrip(".,;:?")
+    return core if core.isalpha() else ""
+
+
 def _lm_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(LM_SLOTS)
     seen: Counter = Counter()
@@ -95,7 +100,7 @@ def _lm_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def settle() -> None:
         counts: Counter = Counter()
         for word, n in seen.items():
-            counts[word if word.isalpha() else _TRAIL.sub("", word)] += n
+            counts[_letters(word) or _TRAIL.sub("", word)] += n
         plain = [w for w in counts if w.isalpha()]
         for k in range(0, len(plain), 20_000):
             part = plain[k:k + 20_000]
@@ -134,17 +139,24 @@ class Costs:
 
     def __init__(self, lm: np.ndarray) -> None:
         self.count = lm.item
-        self.known: dict[tuple[str, str], float] = {}
+        self.known: dict[str, dict[str, float]] = {}
+        self.size = 0
         self.contexts: dict[str, list[tuple[int, float]]] = {}
         self.words = max(self.count(_slot(2)), 1.0)
 
     def __call__(self, context: str, c: str) -> float:
-        found = self.known.get((context, c))
+        after = self.known.get(context)
+        if after is None:
+            after = self.known[context] = {}
+        found = after.get(c)
         if found is None:
-            if len(self.known) >= CACHE:
+            if self.size >= CACHE:
                 self.known.clear()
                 self.contexts.clear()
-            found = self.known[context, c] = self._cost(context, c)
+                self.size, after = 0, {}
+                self.known[context] = after
+            self.size += 1
+            found = after[c] = self._cost(context, c)
         return found
 
     def _tails(self, context: str) -> list[tuple[int, float]]:
@@ -220,11 +232,12 @@ def restore(word: str, cost: Costs) -> str:
 def written_words(text: str) -> set[str]:
     """Distinct lower-case words; three or more single characters in a row, with or without
     punctuation around them, also joined: the whole run and its parts between punctuation."""
-    lower = text.lower()
-    words = lower.split()
+    words = text.lower().split()
     out = set(words)
-    if _SPACED.search(lower):
-        for single, run in groupby(words, lambda w: _SINGLE.match(w) is not None):
+    # A word of letters alone is single only if it is one letter.
+    singles = {w for w in out if (len(w) == 1 or not w.isalpha()) and _SINGLE.match(w)}
+    if singles:
+        for single, run in groupby(words, singles.__contains__):
             if single and len(run := list(run)) >= 3:
                 out.add("".join(run))
                 part: list[str] = []
@@ -305,6 +318,7 @@ class Words:
         self.index: dict[str, int] = {}
         self.slots = [np.zeros(0, np.int32)]
         self.count = [np.zeros(0, np.int64)]
+        self.bests: dict[int, np.ndarray] = {}
 
     def meet(self, texts: list[set[str]]) -> list[np.ndarray]:
         """Indexes of the distinct meanings of each text's words."""
@@ -313,7 +327,7 @@ class Words:
         fresh = []
         new = list(set().union(*texts).difference(self.meaning))
         for word, run in zip(new, _runs(new).tolist()):
-            core = word if word.isalpha() and not run else plain_word(word, self.cost)
+            core = (not run and _letters(word)) or plain_word(word, self.cost)
             at = self.index.get(core)
             if at is None:
                 at = self.index[core] = len(self.index)
@@ -324,13 +338,24 @@ class Words:
             self.slots.append(slots.astype(np.int32))
             self.count.append(np.bincount(owners, minlength=len(fresh[k:k + 20_000])))
         known = self.meaning
-        return [np.array(sorted({known[w] for w in text}), np.int64) for text in texts]
+        return [np.unique(np.fromiter(map(known.__getitem__, text), np.int64, len(text))) for text in texts]
 
     def flat(self) -> tuple[np.ndarray, np.ndarray]:
         """(slots of all meanings one after another, where each begins)."""
         self.slots, self.count = [np.concatenate(self.slots)], [np.concatenate(self.count)]
         return self.slots[0], np.append(0, np.cumsum(self.count[0]))
 
+    def best(self, which: int, table: np.ndarray) -> np.ndarray:
+        """The greatest weight of each meaning's sequences in a table, worked out once."""
+        slots, begins = self.flat()
+        have = self.bests.get(which, np.zeros(0))
+        done = len(have)
+        if done < len(begins) - 1:
+            # Every meaning has a sequence, so each stretch of slots has a best weight.
+            new = np.maximum.reduceat(table[slots[begins[done]:]], begins[done:-1] - begins[done])
+            have = self.bests[which] = np.concatenate([have, new])
+        return have
+
 
 def _sequence_counts(batches: Iterator[pa.RecordBatch], lm: np.ndarray) -> Iterator[pa.RecordBatch]:
     """(text, toxic, half) -> (slot, counts of labelled texts that hold a sequence)."""
@@ -364,11 +389,9 @@ def _features(texts: list[str | None], weights: list[np.ndarray], words: Words)
     """Per weight table: the best ``TOP_WORDS`` word weights of every text, and the log
     of its distinct words (the more words, the better the best is by chance)."""
     met = words.meet([written_words(t or "") for t in texts])
-    slots, begins = words.flat()
     out = []
-    for table in weights:
-        # Every meaning has a sequence, so each stretch of slots has a best weight.
-        best = np.maximum.reduceat(table[slots], begins[:-1]) if len(begins) > 1 else np.zeros(0)
+    for which, table in enumerate(weights):
+        best = words.best(which, table)
         got = np.zeros((len(texts), TOP_WORDS + 1))
         for i, ids in enumerate(met):
             got[i, -1] = np.log(max(len(ids), SHORT))
