@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .selection import first_rows
+
 
 def substring_subset(df: DataFrame, col: str, pos: int, length: int, equals: str) -> DataFrame:
     """Deterministic subset: ``substring(col, pos, length) == equals`` (1-based pos)."""
@@ -23,8 +25,11 @@ def predicate_subset(df: DataFrame, *conditions: Column | str) -> DataFrame:
 
 
 def ordered_subset(df: DataFrame, n: int, *order_cols: str) -> DataFrame:
-    """Reproducible ``n``-row subset: the first ``n`` rows in ``order_cols`` order."""
-    return df.orderBy(*order_cols).limit(n)
+    """Reproducible ``n``-row subset: the first ``n`` rows in ``order_cols`` order.
+
+    Found by selection, so no task gathers or sorts n rows; the result is not sorted.
+    """
+    return first_rows(df, n, *order_cols)
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:

@@ -20,7 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.skew import salted_join
+from ..plans.skew import MAX_BROADCAST_BYTES, salted_join
+from ..session import pin
 from . import tf as tf_ops
 
 
@@ -41,11 +42,55 @@ def identifier_index(df: DataFrame, ids: DataFrame, id_col: str, text_cols: Sequ
     return reduced(tokens, ids).groupBy(id_alias, "token").agg(F.count("*").alias("count"))
 
 
+# Bits of a bitmap row (Spark's bitmap functions) and of the filter for each identifier.
+BITMAP_BITS = 32_768
+BITS_A_KEY = 16
+
+
+def bitmap_filter(keys: DataFrame, key: str, n: int) -> DataFrame:
+    """(bucket, bitmap): one hash bit of each of about ``n`` distinct keys, 16 bits a key.
+
+    Each bucket holds 32,768 bits; the rows are partial-aggregated bitmaps, so equal
+    keys and any number of rows cost one bitmap a bucket and task.
+    """
+    bits = max(BITMAP_BITS, 1 << (max(n, 1) * BITS_A_KEY - 1).bit_length())
+    at = F.pmod(F.xxhash64(key), F.lit(bits)) + 1  # bit numbers begin at 1
+    return keys.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bitmap"), F.lit(bits).alias("bits"))
+
+
+def maybe_known(rows: DataFrame, key: str, ids: DataFrame, id_key: str,
+                max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is no ``id_key`` of ``ids`` (about 1 in
+    16 of them stays), by a broadcast bitmap; unchanged if the bitmap is too large to be
+    broadcast. No row is shuffled. Every row with a known key stays.
+    """
+    known = ids.where(F.col(id_key).isNotNull()).select(id_key)
+    n = known.agg(F.approx_count_distinct(id_key)).first()[0]
+    if n * BITS_A_KEY // 8 > max_bytes:
+        return rows
+    stored = pin(bitmap_filter(known, id_key, n))
+    head = stored.select("bits").first()
+    if head is None:
+        return rows.where(F.lit(False))
+    at = F.pmod(F.xxhash64(key), F.lit(head["bits"])) + 1
+    position = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring("_vs_map", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    small = F.broadcast(stored.select(F.col("bucket").alias("_vs_bucket"), F.col("bitmap").alias("_vs_map")))
+    met = rows.join(small, F.bitmap_bucket_number(at) == F.col("_vs_bucket"))
+    return met.where(F.getbit(byte, (position % 8).cast("int")) == 1).drop("_vs_bucket", "_vs_map")
+
+
 def reduced(tokens: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``tokens`` whose token is an identifier of ``ids``."""
+    """Rows of ``tokens`` whose token is an identifier of ``ids``.
+
+    A broadcast bitmap of the identifiers' hashes drops most other tokens where they are
+    read; the exact semi join shuffles what is left.
+    """
     known = ids.where(F.col("record_identifier").isNotNull()).select(
         F.col("record_identifier").alias("_vs_known")).distinct()
-    return tokens.join(known, F.col("token") == F.col("_vs_known"), "left_semi")
+    likely = maybe_known(tokens, "token", ids, "record_identifier")
+    return likely.join(known, F.col("token") == F.col("_vs_known"), "left_semi")
 
 
 def cross_reference(ids: DataFrame, tf: DataFrame, notes: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from .. import jobs
 from ..functions.scalars import slug, to_int, unescape_line
 from ..functions.text import note
 from ..operators import fingerprint as fp
-from ..operators import ordered, profile, segments, selection, sequence, subset, tf, xref
+from ..operators import ordered, profile, segments, selection, sequence, sketches, subset, tf, xref
 from ..sources import csvtext, quoted
 from ..session import pin, scratch_path
 from ..sinks import (write_csv_pairs, write_field_csvs, write_parquet, write_profile_partitioned, write_rejects,
@@ -127,6 +127,29 @@ def q_cardinality_estimate(spark, d):
     return got.select("field", (F.abs(F.col("card") - F.col("exact")) <= 0.05 * F.col("exact")).alias("within_5_percent"))
 
 
+def q_cardinality_sketched(spark, d):
+    # Sketches stored per source and epoch, merged per source without reading the rows.
+    docs = table(spark, d, "documents").withColumn("epoch", F.pmod("doc_id", F.lit(5)))
+    stored = pin(sketches.field_sketches(docs, _SOURCE_FIELDS, by=["source", "epoch"]))
+    got = sketches.sketched_cardinality(sketches.merge_sketches(stored, ["source"]), ["source"])
+    exact = profile.cardinality(profile.value_profile(docs, _SOURCE_FIELDS, by=["source"]), by=["source"])
+    exact = exact.select(F.col("source").alias("s2"), F.col("field").alias("f2"), F.col("card").alias("exact"))
+    return got.join(exact, F.col("source").eqNullSafe(F.col("s2")) & (F.col("field") == F.col("f2"))).select(
+        "source", "field", (F.abs(F.col("card") - F.col("exact")) <= 0.05 * F.col("exact")).alias("within_5_percent"))
+
+
+_HEAVY = 0.002
+
+
+def q_heavy_values(spark, d):
+    return sketches.heavy_values(table(spark, d, "lineitem"), _HEAVY)
+
+
+def q_heavy_tokens(spark, d):
+    tokens = tf.tokens(table(spark, d, "documents"), "doc_id", ["text"], tokenizer="words")
+    return sketches.heavy_of(tokens.select(F.lit("token").alias("field"), F.col("token").alias("value")), _HEAVY)
+
+
 def q_cardinality_all(spark, d):
     return profile.cardinality(profile.value_profile(table(spark, d, "orders")))
 
@@ -734,6 +757,11 @@ def _islands_sql(numbers: str) -> str:
             f"number - dense_rank() OVER (PARTITION BY grp ORDER BY number) AS run FROM ({numbers})) GROUP BY grp, run")
 
 
+def _heavy_sql(profile_sql: str) -> str:
+    return (f"SELECT * FROM (SELECT field, value, count, CAST(sum(count) OVER (PARTITION BY field) AS BIGINT) AS total "
+            f"FROM ({profile_sql})) WHERE count > total * {_HEAVY}::DOUBLE")
+
+
 def _sample_sql(name: str, key: str, seed: int, n: str) -> str:
     h = f"CAST('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 15) AS UBIGINT)"
     return f"SELECT * FROM {name} ORDER BY {h}, {key} LIMIT {n}"
@@ -842,6 +870,10 @@ SQL: dict[str, str] = {
         f"CASE WHEN last_rank - first_rank > 0 THEN CAST(last_number - first_number AS DOUBLE) / CAST(last_rank - first_rank AS DOUBLE) END AS slope "
         f"FROM (SELECT grp, CAST(floor(rank / 100) AS BIGINT) AS bucket, min(rank) AS first_rank, max(rank) AS last_rank, "
         f"min(number) AS first_number, max(number) AS last_number FROM ({_RANKED}) GROUP BY grp, bucket)"),
+    "cardinality_sketched": ("SELECT DISTINCT source, unnest(['doc_id', 'text', 'lang', 'n_chars']) AS field, "
+                             "true AS within_5_percent FROM documents"),
+    "heavy_values": _heavy_sql(O.profile_sql("lineitem", _LI_ALL)),
+    "heavy_tokens": _heavy_sql(_token_profile_sql("words")),
     "seq_islands": _islands_sql(_LINE_NUMBERS),
     "seq_page_islands": _islands_sql(_PAGE_NUMBERS),
     # One row a step: the cone of slopes from the segment's first point.
