@@ -1,3 +1,5 @@
+import random
+import time
 import html as entities
 import re
 
@@ -75,3 +77,58 @@ def test_very_long_pages_and_awkward_rows(spark):
     by = sorted((r["page_id"] or 0, r["n_chars"], r["text"].count("\n")) for r in got.collect())
     assert by[0] == (0, 0, 0) and by[1] == by[2] and by[1][2] == 19_999 and by[3] == (2, 0, 0)
     assert he.extract(rows.limit(0)).count() == 0
+
+
+def test_text_of_a_marked_article_is_not_lost():
+    page = ('<article><h2 class="section-header">Title here</h2><p>First paragraph.</p><div class="related-work"><p>Related '
+            'work section.</p></div><math>x+1</math><div class="ad">Buy</div><p>End</p></article><p>Outside.</p>')
+    assert he.main_text(page) == "Title here\nFirst paragraph.\nRelated work section.\nx+1\nEnd"
+    links = "".join(f"<p><a href=x>Link {i}</a></p>" for i in range(9))
+    assert he.main_text(f"<p>{LONG}</p><article><p>a</p>{links}<p>b</p></article>{links}<article>c</article>").split("\n") == [
+        "a", *(f"Link {i}" for i in range(9)), "b", "c"]
+
+
+def test_short_lines_after_the_last_surge_stay():
+    links = "".join(f"<p><a href=x>Link number {i}</a></p>" for i in range(9))
+    for tail in (["one", "two", "three"], [f"item {i}" for i in range(30)]):
+        items = "".join(f"<p>{x}</p>" for x in tail)
+        assert he.main_text(f"{links}<p>{LONG}</p><p>{LONG}</p>{items}").split("\n") == [LONG, LONG, *tail]
+        assert he.main_text(f"{items}<p>{LONG}</p>{links}{items}").split("\n") == [*tail, LONG]
+
+
+def _plain(lines, window=3, surge=90, gap=4):
+    """The method over (text, is link text) lines, by trying every stretch border."""
+    weight = [0 if link else len(t) for t, link in lines]
+    high = [i for i in range(len(lines)) if sum(weight[max(0, i - window // 2):i + window // 2 + 1]) >= surge]
+    if not high:
+        return [t for (t, _), w in zip(lines, weight) if w]
+    groups = [[high[0], high[0]]]
+    for a, b in zip(high, high[1:]):
+        between = weight[a + 1:b]
+        zeros = max((len(z) for z in "".join("01"[w > 0] for w in between).split("1")), default=0)
+        if len(between) >= gap and (zeros > gap or 2 * between.count(0) > len(between)):
+            groups.append([b, b])
+        groups[-1][1] = b
+    first, last = max(groups, key=lambda g: sum(weight[g[0]:g[1] + 1]))
+    inside = [i for i in range(first, last + 1) if weight[i]]
+    first, last = inside[0], inside[-1]
+    while near := [i for i in range(max(0, first - gap), first) if weight[i]]:
+        first = near[0]
+    while near := [i for i in range(last + 1, min(len(lines), last + gap + 1)) if weight[i]]:
+        last = near[-1]
+    return [t for t, _ in lines[first:last + 1]]
+
+
+def test_pages_without_marks_equal_the_plain_method():
+    rng = random.Random(12)
+    for n in range(300):
+        made = [("w" * rng.choice([3, 12, 40, 95, 200]) + str(i), rng.random() < rng.choice([0.1, 0.5])) for i in range(rng.randrange(1, 40))]
+        html = "".join(f"<p><a href=x>{t}</a></p>" if link else f"<div>{t}</div>" for t, link in made)
+        assert he.main_text(html).split("\n") == (_plain(made) or [""]), n
+
+
+def test_deep_nesting_takes_linear_time():
+    begin = time.process_time()
+    assert he.main_text("<div>x" * 100_000).count("x") == 100_000
+    assert he.main_text("<div class=ad><article>y" + "</b></i>" * 50_000 + "<section>" * 50_000) == "y"
+    assert time.process_time() - begin < 8

@@ -11,9 +11,11 @@ over ``SURGE`` the main text begins, where it dives below for good it ends. Line
 mostly link text weigh nothing, and only they make a dive between two surges: one of at
 least ``GAP`` lines, more than half of them links, or more than ``GAP`` links in a row.
 Short lines of other text (lists, tables, verse) do not end the main text. Of several
-such stretches the one with most text is kept, whole. If the page marks its article
-(article, main, role=main), only lines inside count, and then the stretch runs from its
-first to its last line.
+such stretches the one with most text is kept, with the short lines on both sides of it
+up to the next dive or the page's end. If the page marks its article (article, main,
+role=main), lines outside it weigh nothing and any text in it is a surge, link text too:
+every stretch of it is kept. Class names made up of several words (section-header) are
+not read inside a marked article.
 
 Defined cases: null and empty html give an empty text; pages without any line over the
 surge keep all their lines that weigh something; unclosed and truncated markup is read
@@ -24,6 +26,7 @@ result; columns other than key, url and html are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -47,8 +50,7 @@ _ATTR = re.compile(r"(?<![^\s\"'])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)
 
 # Fixed values of HTML: elements by how they are read.
 RAW = {"script", "style", "textarea", "title", "noscript", "xmp", "iframe", "noembed", "noframes"}
-DROPPED = {"head", "nav", "header", "footer", "aside", "form", "template", "svg", "math", "canvas", "select", "button",
-           "dialog", "menu", "object", "audio", "video", "map", "fieldset"}
+DROPPED = {"head", "nav", "header", "footer", "aside", "form", "template", "select", "button", "dialog", "menu"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "dir",
          "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
@@ -65,11 +67,16 @@ HINTS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "spon
          "notification", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login",
          "paywall", "comment", "comments", "commentlist", "disqus", "reply", "replies", "respond", "form",
          "searchform", "pagination", "pager", "toolbar", "copyright", "skiplink"}
+# Inside a marked article only these, as a whole class or id name, mark what is not text of it.
+INSIDE_HINTS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsored", "nav", "navbar",
+                "navigation", "menu", "breadcrumb", "breadcrumbs", "footer", "sidebar", "cookie", "cookies", "notice",
+                "notices", "newsletter", "comment", "comments", "commentlist", "disqus", "pagination"}
 NEGATIONS = {"has", "no", "with", "without", "is", "not"}
 
 
-def _marked(tag: str, attrs: str) -> str:
-    """'article' or 'main' for the article's own element, 'off' for what is not article."""
+def _marked(tag: str, attrs: str, inside: bool) -> str:
+    """'main' for the article's own element, 'off' for what is not article; ``inside`` an
+    article class names made up of several words say nothing."""
     role, names = "", []
     for m in _ATTR.finditer(attrs):
         value = (m[2] or m[3] or m[4] or "").lower()
@@ -81,6 +88,9 @@ def _marked(tag: str, attrs: str) -> str:
         return ""
     off = tag in DROPPED or role in ROLES
     for name in names:
+        if inside:
+            off = off or name in INSIDE_HINTS
+            continue
         parts = re.split(r"[-_:]+", re.sub(r"\d+$", "", name))
         if parts[0] not in NEGATIONS and HINTS.intersection(parts):
             off = True
@@ -90,24 +100,37 @@ def _marked(tag: str, attrs: str) -> str:
 
 
 def lines(html: str) -> list[tuple[str, int, bool]]:
-    """(text, characters of it in links, inside the marked article) of every line left."""
-    out: list[tuple[str, int, frozenset, bool]] = []
-    stack: list[tuple[str, int, bool]] = []     # tag, number of its off mark or 0, is article
-    marks = 0                                   # off elements so far
-    holding: set[int] = set()                   # off elements that hold the article
+    """(text, characters of it in links, inside the marked article) of every line left.
+
+    Takes time in proportion to the page, however deep its elements are nested.
+    """
+    out: list[tuple[str, int, int, bool]] = []
+    stack: list[tuple[str, int, bool]] = []     # tag, off mark that holds below it, is article
+    open_: Counter = Counter()                  # tags on the stack
+    articles = 0                                # articles on the stack
+    above = [0]                                 # for each off mark the one around it, 0: none
+    holding = {0}                               # off marks around the article: wrappers of it
     pieces: list[str] = []
     linked = links = 0
     at = 0
 
+    def off() -> int:
+        return stack[-1][1] if stack else 0
+
     def flush() -> None:
         nonlocal linked
         text = " ".join("".join(pieces).split())
         if text:
-            off = frozenset(n for _, n, _ in stack if n)
-            out.append((text, linked, off, any(a for _, _, a in stack)))
+            out.append((text, linked, off(), articles > 0))
         pieces.clear()
         linked = 0
 
+    def pop() -> None:
+        nonlocal articles
+        tag, _, article = stack.pop()
+        open_[tag] -= 1
+        articles -= article
+
     while at < len(html):
         m = _TOKEN.match(html, at)
         at = m.end()
@@ -132,29 +155,40 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
         if tag in BLOCK:
             flush()
         if ends:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    flush()
-                    del stack[k:]
-                    break
+            if open_[tag]:
+                flush()
+                while stack[-1][0] != tag:
+                    pop()
+                pop()
             continue
         if tag in VOID:
             continue
         if tag in BLOCK and stack and stack[-1][0] == "p":
-            stack.pop()
+            pop()
         if tag in SELF_CLOSING and stack and stack[-1][0] == tag:
-            stack.pop()
-        kind = _marked(tag, m["attrs"] or m["attrs2"] or "")
+            pop()
+        kind = _marked(tag, m["attrs"] or m["attrs2"] or "", articles > 0)
+        mark = off()
         if kind == "off":
             flush()
-            marks += 1
-        elif kind == "main":
+            above.append(mark)
+            mark = len(above) - 1
+        elif kind == "main" and not articles:
             # An off element around the article is a wrapper, unless it is inside another article.
-            holding.update(n for _, n, _ in stack if n and not any(a for _, _, a in stack))
+            while mark not in holding:
+                holding.add(mark)
+                mark = above[mark]
+            mark = off()
         if kind or tag in BLOCK:
-            stack.append((tag, marks if kind == "off" else 0, kind == "main"))
+            stack.append((tag, mark, kind == "main"))
+            open_[tag] += 1
+            articles += kind == "main"
     flush()
-    return [(t, n, inside) for t, n, off, inside in out if off <= holding]
+    # Whether only wrappers are around a line; a mark comes after the one around it.
+    free = [True]
+    for n in range(1, len(above)):
+        free.append(n in holding and free[above[n]])
+    return [(t, n, inside) for t, n, mark, inside in out if free[mark]]
 
 
 def _dives(weights: list[int]) -> bool:
@@ -166,30 +200,48 @@ def _dives(weights: list[int]) -> bool:
     return len(weights) >= GAP and (longest > GAP or 2 * weights.count(0) > len(weights))
 
 
+def _extended(weights: list[int], start: int, step: int) -> int:
+    """The last line before a dive (``GAP`` lines of link text, or the page's end) from
+    ``start`` in the direction of ``step``."""
+    last, i = start, start + step
+    while 0 <= i < len(weights) and abs(i - last) <= GAP:
+        if weights[i]:
+            last = i
+        i += step
+    return last
+
+
 def main_text(html: str | None) -> str:
-    """The main text of a page: its lines between surge and dive, joined by newlines."""
+    """The main text of a page: its lines between surge and dive, joined by newlines.
+
+    Where the page marks its article, lines outside it weigh nothing and any text is a
+    surge, so that every stretch of it is kept. Else link text weighs nothing, and the
+    stretch with most text is kept with the short lines around it, up to the next dive.
+    """
     found = lines(html or "")
     marked = any(inside for _, _, inside in found)
-    if marked:  # any text inside is a surge, and no gap ends the article
-        found = [line for line in found if line[2]]
-    surge = 1 if marked else SURGE
-    weights = [0 if linked >= LINK_SHARE * len(t) and not marked else len(t) for t, linked, _ in found]
+    if marked:
+        weights = [len(t) if inside else 0 for t, _, inside in found]
+    else:
+        weights = [0 if linked >= LINK_SHARE * len(t) else len(t) for t, linked, _ in found]
     half = WINDOW // 2
     sums = [sum(weights[max(0, i - half):i + half + 1]) for i in range(len(weights))]
     stretches: list[list[int]] = []             # [first, last] lines at or over the surge
     for i, s in enumerate(sums):
-        if s >= surge:
-            if stretches and not _dives(weights[stretches[-1][1] + 1:i]):
+        if s >= (1 if marked else SURGE):
+            if stretches and (stretches[-1][1] == i - 1 or not marked and not _dives(weights[stretches[-1][1] + 1:i])):
                 stretches[-1][1] = i
             else:
                 stretches.append([i, i])
-    if not stretches:
-        return "\n".join(t for (t, _, _), w in zip(found, weights) if w)
+    if marked or not stretches:
+        kept = range(len(found)) if not stretches else (i for a, b in stretches for i in range(a, b + 1))
+        return "\n".join(found[i][0] for i in kept if weights[i])
     first, last = max(stretches, key=lambda s: sum(weights[s[0]:s[1] + 1]))
     while first < last and not weights[first]:
         first += 1
     while last > first and not weights[last]:
         last -= 1
+    first, last = _extended(weights, first, -1), _extended(weights, last, 1)
     return "\n".join(t for t, _, _ in found[first:last + 1])
 
 
