@@ -21,9 +21,10 @@ from .. import jobs
 from ..functions.scalars import slug, to_int, unescape_line
 from ..functions.text import note
 from ..operators import fingerprint as fp
-from ..operators import ordered, profile, segments, selection, sequence, sketches, subset, tf, xref
+from ..operators import deep, ordered, profile, segments, selection, sequence, sketches, subset, tf, xref
 from ..sources import csvtext, quoted
 from ..session import pin, scratch_path
+from ..sinks.writers import field_output_name
 from ..sinks import (write_csv_pairs, write_field_csvs, write_parquet, write_profile_partitioned, write_rejects,
                      write_text_pairs)
 from ..sources import archive
@@ -101,6 +102,20 @@ def q_value_profile_nested(spark, d):
     return profile.value_profile(_events_nested(spark, d), nested=True)
 
 
+def q_deep_profile(spark, d):
+    return deep.deep_profile(table(spark, d, "events"), "props")
+
+
+def q_named_outputs(spark, d):
+    # One folder a field, named by data set, version and field; read back by name.
+    orders, base, paths = table(spark, d, "orders"), scratch_path(spark, "named"), []
+    for f in ("o_orderstatus", "o_orderpriority"):
+        paths.append(f"{base}/{field_output_name('orders', '2024-01', f, 'pairs')}")
+        write_text_pairs(profile.value_counts(orders, f), paths[-1])
+    return spark.read.text(paths).select(
+        F.regexp_extract("_metadata.file_path", "([^/]+)/[^/]*$", 1).alias("output"), "value")
+
+
 def q_cardinality(spark, d):
     return profile.cardinality_report(profile.value_profile(table(spark, d, "lineitem")))
 
@@ -874,6 +889,14 @@ SQL: dict[str, str] = {
                              "true AS within_5_percent FROM documents"),
     "heavy_values": _heavy_sql(O.profile_sql("lineitem", _LI_ALL)),
     "heavy_tokens": _heavy_sql(_token_profile_sql("words")),
+    "deep_profile": (
+        "WITH RECURSIVE w AS (SELECT '$' AS path, CAST(props AS JSON) AS v FROM events UNION ALL "
+        "SELECT path || '.' || k, json_extract(v, '$.' || k) FROM (SELECT path, v, unnest(json_keys(v)) AS k FROM w WHERE json_type(v) = 'OBJECT')) "
+        "SELECT path, json_extract_string(v, '$') AS value, count(*) AS count FROM w "
+        "WHERE v IS NULL OR json_type(v) <> 'OBJECT' OR json_keys(v) = [] GROUP BY ALL"),
+    "named_outputs": " UNION ALL ".join(
+        f"SELECT 'orders-2024-01-pairs-{f}' AS output, CAST(count(*) AS VARCHAR) || ',' || coalesce({f}, '') AS value "
+        f"FROM orders GROUP BY {f}" for f in ("o_orderstatus", "o_orderpriority")),
     "seq_islands": _islands_sql(_LINE_NUMBERS),
     "seq_page_islands": _islands_sql(_PAGE_NUMBERS),
     # One row a step: the cone of slopes from the segment's first point.
