@@ -77,3 +77,26 @@ def test_awkward_rows(spark):
     assert fpr.compare_with_edits(empty(spark)).count() == 0
     alone = fpr.compare_with_edits(rows.where("doc_id = 8")).first()
     assert alone["near_next"] == 1.0
+
+
+@pytest.mark.parametrize("keys", [None, "equal", "text"])
+def test_any_key_type_and_hot_keys(spark, monkeypatch, keys):
+    """Null keys, one key for all rows, and text keys, in more than one range."""
+    monkeypatch.setattr(fpr, "ROWS_PER_BUCKET", 10)
+    rows = [(None if keys is None else "k" if keys == "equal" else f"k{i:04d}", f"text number {i:04d} of this table " * 3)
+            for i in range(300)]
+    got = fpr.compare_with_edits(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    wanted = []
+    for (_, t), (_, after) in zip(rows, rows[1:] + rows[:1]):
+        wanted.append(t[:len(t) - len(t) // 4] + after[:len(t) // 4])
+    assert sorted(r["edited_text"] for r in got) == sorted(wanted)
+    marked = fpr.with_next(spark.createDataFrame(rows, "doc_id string, text string"), "doc_id", "text", ["text"])
+    assert len(marked.collect()) == 300
+
+
+def test_many_equal_and_null_keys(spark):
+    rows = spark.range(10_000).select(F.lit(None).cast("long").alias("doc_id"), F.format_string("text %06d", "id").alias("text"))
+    rows = rows.unionByName(spark.range(10_000).select(F.lit(1).cast("long").alias("doc_id"), F.format_string("other %06d", "id").alias("text")))
+    got = fpr.with_next(rows, "doc_id", "text", ["text"])
+    wrong = got.where(F.col("next_text").isNull() | ((F.col("next_text") <= F.col("text")) & ~F.col("text").endswith("9999")))
+    assert got.count() == 20_000 and wrong.count() == 0

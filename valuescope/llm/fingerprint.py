@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ordered import sorted_index
+from ..session import pin
 from .common import col, words
 
 SHINGLE = 5
@@ -32,6 +34,7 @@ LIMIT = -(1 << 63) + (1 << 64) // SCALE
 TOP = (1 << 63) - 1
 ROWS_PER_BUCKET = 4_000
 MAX_BUCKETS = 20_000
+START = 64  # characters of a text that place it among rows of one key
 
 
 def _hashes(w: Column) -> Column:
@@ -80,50 +83,50 @@ def text_form(s: Column) -> Column:
     return F.array_join(F.transform(s["hashes"], lambda x: F.lower(F.lpad(F.hex(x), 16, "0"))), " ")
 
 
-def _bucket(key: Column, bounds: list) -> Column:
-    """Number of ``bounds`` (ascending) up to ``key``, by binary search."""
-    if not bounds:
-        return F.lit(0)
-    table = F.array(*[F.lit(b) for b in bounds])
-    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length()))
-    found = F.aggregate(
-        steps, F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi")),
-        lambda a, _: F.when(a["lo"] >= a["hi"], a).otherwise(F.struct(
-            F.when(F.get(table, F.floor((a["lo"] + a["hi"]) / 2).cast("int")) <= key,
-                   F.floor((a["lo"] + a["hi"]) / 2).cast("int") + 1).otherwise(a["lo"]).alias("lo"),
-            F.when(F.get(table, F.floor((a["lo"] + a["hi"]) / 2).cast("int")) <= key,
-                   a["hi"]).otherwise(F.floor((a["lo"] + a["hi"]) / 2).cast("int")).alias("hi"))))
-    return F.when(key.isNull(), 0).otherwise(found["lo"])
+def _bucket(table: Column, place: Column) -> Column:
+    """How many entries of the ascending array ``table`` are up to ``place``, by binary search."""
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(table) + 1)).cast("int"))
+
+    def halve(a: Column, _: Column) -> Column:
+        mid = F.floor((a["lo"] + a["hi"]) / 2).cast("int")
+        below = F.get(table, mid) <= place
+        return F.when(a["lo"] >= a["hi"], a).otherwise(F.struct(
+            F.when(below, mid + 1).otherwise(a["lo"]).alias("lo"), F.when(below, a["hi"]).otherwise(mid).alias("hi")))
+
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(table).alias("hi")), halve)["lo"]
 
 
 def with_next(df: DataFrame, key: str, text: str, carried: list[str]) -> DataFrame:
     """``df`` with ``next_<c>``: the ``carried`` columns of the next row by (key, text).
 
-    After the last row comes the first. Rows are cut into key ranges at keys that
-    exist, and the rows at each cut also go to the range before, so every range
-    sees its successor and no window spans the table.
+    After the last row comes the first. Rows are cut into ranges of (key, start of the
+    text) at places that exist, found by the distributed ordinal, and the rows at each cut also go to the
+    range before, so every range sees its successor and no window spans the table, a
+    key's rows or those without key. Keys are of any orderable type.
     """
-    n, first, nulls = df.select(F.count("*"), F.min(key), F.count_if(F.col(key).isNull())).first()
+    place = F.struct(F.col(key).alias("k"), F.substring(text, 1, START).alias("h"))
+    places = pin(df.select(F.col(key).alias("k"), F.substring(text, 1, START).alias("h")))
+    n = places.count()
     wanted = min(MAX_BUCKETS, -(-n // ROWS_PER_BUCKET))
-    bounds = []
-    if wanted > 1:
-        cuts = df.select(F.approx_percentile(key, [i / wanted for i in range(1, wanted)], 10 * wanted)).first()[0]
-        bounds = sorted(set(cuts or []))
-    k = F.col(key)
-    start = k.isNull() if nulls or first is None else k == F.lit(first)
-    own = F.struct(_bucket(k, bounds).alias("b"), F.lit(0).alias("ghost"))
-    copies = [F.array(own), F.when(start, F.array(F.struct(F.lit(len(bounds)).alias("b"), F.lit(2).alias("ghost"))))
-              .otherwise(F.array().cast("array<struct<b:int,ghost:int>>"))]
-    if bounds:
-        at_cut = k.isin(bounds) if len(bounds) <= 64 else F.array_contains(F.array(*[F.lit(b) for b in bounds]), k)
-        copies.append(F.when(at_cut, F.array(F.struct((_bucket(k, bounds) - 1).alias("b"), F.lit(1).alias("ghost"))))
-                      .otherwise(F.array().cast("array<struct<b:int,ghost:int>>")))
-    rows = df.withColumn("_at", F.explode(F.concat(*copies))).select(
-        *df.columns, F.col("_at.b").alias("_b"), F.col("_at.ghost").alias("_ghost"))
+    at = sorted_index(places, ["k", "h"], index_col="at") if wanted > 1 else places.withColumn("at", F.lit(0))
+    cuts = at.where((F.col("at") > 0) & (F.col("at") % -(-n // max(wanted, 1)) == 0))
+    # At most MAX_BUCKETS places, in one row.
+    bounds = pin(cuts.agg(F.sort_array(F.collect_set(F.struct("k", "h"))).alias("bounds")))
+    first = places.agg(F.min(F.struct("k", "h")).alias("first"))
+    rows = df.withColumn("_place", place).withColumn("_bounds", bounds.scalar()).withColumn(
+        "_own", _bucket(F.col("_bounds"), F.col("_place")))
+    none = F.array().cast("array<struct<b:int,ghost:int>>")
+    at_cut = F.get("_bounds", F.col("_own") - 1).eqNullSafe(F.col("_place")) & (F.col("_own") > 0)
+    copies = F.concat(
+        F.array(F.struct(F.col("_own").alias("b"), F.lit(0).alias("ghost"))),
+        F.when(F.col("_place").eqNullSafe(first.scalar()), F.array(F.struct(F.size("_bounds").alias("b"), F.lit(2).alias("ghost")))).otherwise(none),
+        F.when(at_cut, F.array(F.struct((F.col("_own") - 1).alias("b"), F.lit(1).alias("ghost")))).otherwise(none))
+    rows = rows.withColumn("_at", F.explode(copies)).select(
+        *df.columns, F.col("_place.h").alias("_h"), F.col("_at.b").alias("_b"), F.col("_at.ghost").alias("_ghost"))
     # Plain partition columns and one select: all leads share one exchange and sort.
-    order = Window.partitionBy("_b").orderBy("_ghost", F.col(key).asc_nulls_first(), text)
+    order = Window.partitionBy("_b").orderBy("_ghost", F.col(key).asc_nulls_first(), "_h", text)
     rows = rows.select("*", *[F.lead(c).over(order).alias("next_" + c) for c in carried])
-    return rows.where("_ghost = 0").drop("_b", "_ghost")
+    return rows.where("_ghost = 0").drop("_b", "_ghost", "_h")
 
 
 def compare_with_edits(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
