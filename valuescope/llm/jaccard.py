@@ -60,6 +60,7 @@ PAIR_COST, MEMBER_COST = 10.0, 0.1   # verifying a pair, in postings: fixed and
 LINKING_SHARE = 0.1     # pivot rounds go on while this share of their tests links
 PARITY_BITS = 256
 _PARITY = [f"p{i}" for i in range(PARITY_BITS // 64)]
+_SHOWN = ["c", "root", "n", "k", "at", *_PARITY]   # what a pivot is judged by
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -236,36 +237,37 @@ def _could_link(a: str, b: str, percent: int) -> Column:
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold, by exact intersection."""
-    left = sets.select(F.col("c").alias("c1"), F.col("n").alias("n1"), F.col("members").alias("x1"))
-    right = sets.select(F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("members").alias("x2"))
+    # Only the sets of some pair move.
+    named = pairs.select(F.col("a").alias("c0")).unionByName(pairs.select(F.col("b").alias("c0"))).distinct()
+    needed = sets.join(bounded_broadcast(named), F.col("c") == F.col("c0"), "left_semi")
+    left = needed.select(F.col("c").alias("c1"), F.col("n").alias("n1"), F.col("members").alias("x1"))
+    right = needed.select(F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("members").alias("x2"))
     both = pairs.join(left, F.col("a") == F.col("c1")).join(right, F.col("b") == F.col("c2"))
     common = F.size(F.array_intersect("x1", "x2"))
     return both.where(common * 100 >= (F.col("n1") + F.col("n2") - common) * percent).select("a", "b")
 
 
-def _with_roots(postings: DataFrame, edges: DataFrame | None) -> DataFrame:
+def _with_roots(postings: DataFrame, edges: DataFrame) -> DataFrame:
     """``postings`` with the component each set is in so far."""
-    if edges is None:
-        return postings.withColumn("root", F.col("c"))
-    roots = component_roots(edges)
+    roots = bounded_broadcast(component_roots(edges))
     return postings.join(roots, F.col("c") == F.col("node"), "left").withColumn(
         "root", F.coalesce("root", "c")).drop("node")
 
 
-def _open_lists(postings: DataFrame) -> DataFrame:
-    """The postings of tokens whose lists still hold more than one component."""
-    ends = postings.groupBy(F.col("h").alias("h2")).agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    return postings.join(ends.where("lo < hi").select("h2"), F.col("h") == F.col("h2"), "left_semi")
-
-
-def _pivot_tests(postings: DataFrame, step: int, percent: int) -> DataFrame:
-    """(a, b): every set with one pivot of another component, that of most shared lists."""
+def _met(postings: DataFrame, step: int) -> DataFrame:
+    """The postings, as a_..., of lists that hold more than one component, each with its
+    list's pivot, as b_...."""
     # The most central set first (the text others were copied from), then any by hash.
     order = -F.col("central") if step == 0 else F.xxhash64(F.lit(step), "c").cast("double")
-    shown = ["c", "root", "n", "k", "at", *_PARITY]
     heads = postings.groupBy(F.col("h").alias("h2")).agg(
-        F.min(F.struct(order.alias("o"), *(F.col(x).alias("b_" + x) for x in shown))).alias("p"))
-    met = postings.join(heads, F.col("h") == F.col("h2")).select(*(F.col(x).alias("a_" + x) for x in shown), "p.*")
+        F.min(F.struct(order.alias("o"), *(F.col(x).alias("b_" + x) for x in _SHOWN))).alias("p"),
+        F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("h2", "p")
+    met = postings.join(heads, F.col("h") == F.col("h2"))
+    return met.select(*(F.col(x).alias("a_" + x) for x in postings.columns), "p.*")
+
+
+def _pivot_tests(met: DataFrame, percent: int) -> DataFrame:
+    """(a, b): every set with one pivot of another component, that of most shared lists."""
     met = met.where((F.col("a_root") != F.col("b_root")) & _could_link("a_", "b_", percent))
     tests = met.groupBy("a_c", "b_c").count()
     return tests.groupBy("a_c").agg(F.max(F.struct("count", "b_c")).alias("best")).select(
@@ -284,19 +286,23 @@ def _remaining_pairs(postings: DataFrame, percent: int) -> DataFrame:
 
 def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Edges (a, b) between ``sets`` (c, n, members) whose closure is that of all links."""
-    postings = pin(_postings(sets, percent))
+    postings = pin(_postings(sets, percent)).withColumn("root", F.col("c"))
+    columns = [c for c in postings.columns if c != "root"]
     edges, step = None, 0
     while True:
-        open_ = pin(_open_lists(_with_roots(postings, edges)))
-        tests = pin(_pivot_tests(open_, step, percent))
+        # A list of one component stays one: only open lists go on.
+        met = pin(_met(postings, step))
+        tests = pin(_pivot_tests(met, percent))
         new = pin(_verified(tests, sets, percent))
         n_tests, n_new = tests.count(), new.count()
         edges = new if edges is None else edges.unionByName(new)
+        postings = _with_roots(met.select(*(F.col("a_" + c).alias(c) for c in columns)), edges)
         step += 1
         if n_new <= LINKING_SHARE * n_tests:
             break
-    open_ = pin(_open_lists(_with_roots(postings, edges)))
-    return edges.unionByName(pin(_verified(_remaining_pairs(open_, percent), sets, percent)))
+    ends = postings.groupBy(F.col("h").alias("h2")).agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    open_ = pin(postings.join(ends.where("lo < hi").select("h2"), F.col("h") == F.col("h2"), "left_semi"))
+    return edges.unionByName(pin(_verified(pin(_remaining_pairs(open_, percent)), sets, percent)))
 
 
 def join_components(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
