@@ -61,3 +61,26 @@ def test_salted_join_spreads_identical_rows(spark):
         assert got.select(F.spark_partition_id().alias("p")).distinct().count() > 1
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", prev)
+
+
+def test_frequent_tokens_of_a_known_hash_bit_are_not_shuffled(spark):
+    # A very frequent token that is no identifier but has the hash bit of one.
+    from valuescope.operators import xref
+    ids = spark.range(3000).select(F.col("id").alias("record_uuid"), F.col("id").cast("string").alias("record_identifier"))
+    words = spark.range(2000).select(F.concat(F.lit("w"), "id").alias("token"))
+    alike = xref.maybe_known(words, "token", ids, "record_identifier").first()["token"]
+    tokens = spark.range(20_000).select(F.col("id").alias("uuid"), F.when(F.col("id") % 50 == 0, F.lit("7")).when(
+        F.col("id") % 50 == 1, (F.col("id") % 5000).cast("string")).otherwise(F.lit(alike)).alias("token"))
+    got = xref.reduced(tokens, ids)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    want = sorted(map(tuple, tokens.where("token in (select cast(id as string) from range(3000))").collect()))
+    assert sorted(map(tuple, got.collect())) == want
+    # Too many identifiers for a broadcast: the same rows by the salted join.
+    assert sorted(map(tuple, xref.reduced(tokens, ids, max_bytes=0).select("uuid", "token").collect())) == want
+    notes = spark.range(20_000).select(F.col("id").alias("note_uuid"), F.lit("n").alias("note"))
+    hist = xref.id_length_histogram(ids, tokens, notes)
+    rows = xref.cross_reference(ids, tokens.withColumn("count", F.lit(1)), notes)
+    grouped = {r[0]: r[1] for r in rows.groupBy("catalognumber_len").count().collect()}
+    assert {r["catalognumber_len"]: r["count"] for r in hist.collect()} == grouped
+    assert sum(grouped.values()) == len(want)

@@ -8,9 +8,9 @@ a salted join whose hot-key list is found by an exact count of the tokens that
 are identifiers; the other tokens of the index are dropped first.
 
 ``id_length_histogram`` does **not** build those pairs: identifiers are counted
-per key, the index meets one row per identifier (which reduces it to identifier
-tokens), those rows meet the per-document note counts, and the products of the
-counts are summed per identifier length.
+per key, the index is reduced to identifier tokens, those rows meet one row per
+identifier and the per-document note counts, and the products of the counts are
+summed per identifier length.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.skew import MAX_BROADCAST_BYTES, salted_join
+from ..plans.skew import MAX_BROADCAST_BYTES, bounded_broadcast, salted_join, stored_bytes
 from ..session import pin
 from . import tf as tf_ops
 
@@ -42,6 +42,9 @@ def identifier_index(df: DataFrame, ids: DataFrame, id_col: str, text_cols: Sequ
     return reduced(tokens, ids).groupBy(id_alias, "token").agg(F.count("*").alias("count"))
 
 
+# Matches are broadcast up to this stored size (identifiers and tokens compress well).
+MATCH_BYTES = 4 << 20
+
 # Bits of a bitmap row (Spark's bitmap functions) and of the filter for each identifier.
 BITMAP_BITS = 32_768
 BITS_A_KEY = 16
@@ -81,16 +84,25 @@ def maybe_known(rows: DataFrame, key: str, ids: DataFrame, id_key: str,
     return met.where(F.getbit(byte, (position % 8).cast("int")) == 1).drop("_vs_bucket", "_vs_map")
 
 
-def reduced(tokens: DataFrame, ids: DataFrame) -> DataFrame:
+def reduced(tokens: DataFrame, ids: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Rows of ``tokens`` whose token is an identifier of ``ids``.
 
     A broadcast bitmap of the identifiers' hashes drops most other tokens where they are
-    read; the exact semi join shuffles what is left.
+    read. What is left can still hold very frequent tokens (identifiers, or others of the
+    same hash bit), so its rows never meet the identifiers: its distinct tokens do, and
+    the few that are identifiers are broadcast to the rows. If they are too many for that,
+    hot tokens are split over tasks (``salted_join``).
     """
     known = ids.where(F.col("record_identifier").isNotNull()).select(
         F.col("record_identifier").alias("_vs_known")).distinct()
-    likely = maybe_known(tokens, "token", ids, "record_identifier")
-    return likely.join(known, F.col("token") == F.col("_vs_known"), "left_semi")
+    # Written: it is read twice, and the optimizer would move a semi join below the bitmap's.
+    likely = pin(maybe_known(tokens, "token", ids, "record_identifier"))
+    found = likely.select(F.col("token").alias("_vs_token")).distinct().join(
+        known, F.col("_vs_token") == F.col("_vs_known"), "left_semi")
+    found = pin(found)
+    if stored_bytes(found) <= max_bytes:
+        return likely.join(F.broadcast(found), F.col("token") == F.col("_vs_token"), "left_semi")
+    return salted_join(found, likely, "_vs_token", "token").drop("_vs_token")
 
 
 def cross_reference(ids: DataFrame, tf: DataFrame, notes: DataFrame) -> DataFrame:
@@ -102,10 +114,11 @@ def cross_reference(ids: DataFrame, tf: DataFrame, notes: DataFrame) -> DataFram
     mentions are kept.
 
     The index is reduced to identifier tokens first; only those rows are written and
-    looked at for hot tokens, which are split (``salted_join``).
+    looked at for hot tokens, which are split (``salted_join``). Their matches are
+    broadcast to the notes if they are few, so that the texts are not shuffled.
     """
     known = ids.where(F.col("record_identifier").isNotNull())
-    matches = salted_join(known, reduced(tf, ids), "record_identifier", "token")
+    matches = bounded_broadcast(salted_join(known, reduced(tf, ids), "record_identifier", "token"), MATCH_BYTES)
     joined = matches.join(notes, F.col("uuid") == F.col("note_uuid"), "inner")
     return joined.select(
         "record_uuid", "record_identifier", "uuid", "token", "count", "note_uuid", "note",
@@ -119,14 +132,13 @@ def id_length_histogram(ids: DataFrame, tf: DataFrame, notes: DataFrame) -> Data
     per-key counts without building any pair:
     rows(key) = (ids with the key) x sum over tf rows with token key of the
     notes rows of their document. The index is first reduced to the tokens that
-    are identifiers (one shuffle of the index, by token, against one row per
-    identifier), so only those rows meet the notes.
+    are identifiers (``reduced``), so only those rows meet the identifiers (hot ones
+    split) and the notes.
     """
     id_counts = (ids.where(F.col("record_identifier").isNotNull())
                  .groupBy("record_identifier").agg(F.count("*").alias("_n_ids")))
-    matched = (tf.select("uuid", "token")
-               .join(id_counts, F.col("token") == F.col("record_identifier"))
-               .select("uuid", "record_identifier", "_n_ids"))
+    matched = salted_join(id_counts, reduced(tf.select("uuid", "token"), ids), "record_identifier", "token").select(
+        "uuid", "record_identifier", "_n_ids")
     note_counts = notes.groupBy("note_uuid").agg(F.count("*").alias("_n_notes"))
     rows = (matched.join(note_counts, F.col("uuid") == F.col("note_uuid"))
             .select(F.length("record_identifier").alias("catalognumber_len"),

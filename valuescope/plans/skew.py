@@ -20,6 +20,11 @@ from ..session import pin
 MAX_BROADCAST_BYTES = 16 << 20
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of the files of a written table (``pin``)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def bounded_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """``broadcast`` of ``df`` when it is small in bytes, else a shuffle-join side.
 
@@ -27,8 +32,7 @@ def bounded_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> Da
     rows pass through the driver beyond the broadcast itself.
     """
     stored = pin(df)
-    size = int(str(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return F.broadcast(stored) if size <= max_bytes else stored
+    return F.broadcast(stored) if stored_bytes(stored) <= max_bytes else stored
 
 
 def _key_counts(df: DataFrame, key: str, share: float, min_rows: int) -> tuple[DataFrame, int]:
