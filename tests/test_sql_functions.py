@@ -55,3 +55,14 @@ def test_sql_fingerprints_equal_column_functions(spark):
     via_sql = spark.sql("SELECT vec_id, vs_fingerprint64(embedding) AS f, vs_fold8(embedding) AS g FROM vs_emb")
     via_df = emb.select("vec_id", fingerprint64("embedding").alias("f"), fold8("embedding").alias("g"))
     assert via_sql.exceptAll(via_df).count() == 0 and via_df.exceptAll(via_sql).count() == 0
+
+
+def test_sql_tokens_look_stop_words_up(spark):
+    # 180 stop words: a set, not a walk of the list for every token.
+    register_sql_functions(spark)
+    spark.createDataFrame([("It isn't \"so\", cannot be. they'll see...",), (None,)], "t string").createOrReplaceTempView("vs_one")
+    got = spark.sql("SELECT vs_treebank_tokens(t) AS tb, vs_word_tokens(t) AS w FROM vs_one")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_contains" not in plan and plan.count("INSET") == 2
+    assert got.collect()[0]["tb"] == ["It", "n't", "``", "''", ",", "be.", "'ll", "see", "..."]
+    assert got.collect()[1]["tb"] is None

@@ -99,3 +99,33 @@ def test_contraction_boundaries_unicode_and_adjacent(spark):
     assert _tokens(spark, tok, "'Tis 'twas gonna") == ["'T", "is", "'t", "was", "gon", "na"]
     assert _tokens(spark, tok, "Cannot CANNOT") == ["Can", "not", "CAN", "NOT"]
     assert _tokens(spark, tok, "it's 'tis 'tis") == ["it", "'s", "'t", "is", "'t", "is"]
+
+
+def test_treebank_text_equals_the_rules_one_by_one(spark):
+    # The guarded and rewritten steps give the very texts of the plain rule chain.
+    import random
+
+    from valuescope.functions.text import java_replacement, treebank_steps, treebank_text
+    rng = random.Random(5)
+    parts = ["a", "n", "N", "'", "''", '"', "``", " ", "  ", "\n", ".", "...", "..", ",", ":", "!", "?", ")", "(", "[", "]",
+             "{", ">", "--", "-", "'s", "'S ", "'ll ", "n't ", "N'T ", "'ve", "cannot", "CANNOT", "d'ye", "gimme", "Gonna",
+             "gotta", "lemme", "more'n", "more'n'tis", "wanna ", " 'tis", " 'Twas", "é", "\u212a", "\u3000", "\x85", "7", "$", "&",
+             "\U0001f600", ";", "x"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(6000)]
+    texts += [None, "", "don't'll ", "it's 's ", "'''s '", "x'll 'll ", "a.)\"' \n", "a..", ".", "a:\n", ",\n", "more'n'tis"]
+    plain = F.col("t")
+    for pattern, repl in treebank_steps():
+        plain = (F.concat(F.lit(" "), plain, F.lit(" ")) if pattern == "PAD"
+                 else F.regexp_replace(plain, F.lit(pattern), F.lit(java_replacement(repl))))
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", treebank_text("t").alias("got"), plain.alias("want")).collect()
+    assert [r for r in rows if r["got"] != r["want"]] == []
+
+
+def test_texts_without_quotes_meet_no_quote_rule(spark):
+    # A substring test stands before every rule that needs a quote or a contraction.
+    from valuescope.functions.text import spark_steps
+    rewrites, contractions = spark_steps()
+    bare = [s for s in rewrites if s[0] == "regex" and not s[3] and not s[4]]
+    assert [s[1][:9] for s in bare] == ["([:,])([^", "\\.(?<=[^."]
+    assert all(needle for needle, _ in contractions) and len(contractions) == 10

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from .scalars import INT_LITERAL, SLUG_PATTERN, namespace_table
-from .text import STOP_WORDS_EN, WORD_PATTERN, WS, java_replacement, treebank_steps
+from .text import STOP_WORDS_EN, WORD_PATTERN, WS, java_replacement, spark_steps
 
 
 def _literal(spark: SparkSession, s: str) -> str:
@@ -42,20 +42,42 @@ def _literal(spark: SparkSession, s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _stop_array(spark: SparkSession) -> str:
-    return "array(" + ", ".join(_literal(spark, w) for w in STOP_WORDS_EN) + ")"
+def _not_stop(spark: SparkSession, arg: str) -> str:
+    # An IN list is looked up in a hash set; array_contains would walk the array for every token.
+    return f"{arg} NOT IN (" + ", ".join(_literal(spark, w) for w in STOP_WORDS_EN) + ")"
+
+
+def _rewrite(spark: SparkSession, arg: str, pattern: str, repl: str) -> str:
+    return f"regexp_replace({arg}, {_literal(spark, pattern)}, {_literal(spark, java_replacement(repl))})"
+
+
+def _let(arg: str, name: str, body: str) -> str:
+    return f"element_at(transform(array({arg}), {name} -> {body}), 1)"
 
 
 def _treebank_body(spark: SparkSession, arg: str) -> str:
     out = arg
-    for pattern, repl in treebank_steps():
-        if pattern == "PAD":
+    rewrites, contractions = spark_steps()
+    for kind, *step in rewrites:
+        if kind == "pad":
             out = f"concat(' ', {out}, ' ')"
+        elif kind == "replace":
+            out = f"replace({out}, {_literal(spark, step[0])}, {_literal(spark, step[1])})"
         else:
-            out = (f"regexp_replace({out}, {_literal(spark, pattern)}, "
-                   f"{_literal(spark, java_replacement(repl))})")
+            pattern, repl, needles, ends = step
+            tests = " OR ".join([f"contains(x, {_literal(spark, n)})" for n in needles]
+                                + [f"endswith(x, {_literal(spark, n)})" for n in ends])
+            out = (_let(out, "x", f"CASE WHEN {tests} THEN {_rewrite(spark, 'x', pattern, repl)} ELSE x END")
+                   if tests else _rewrite(spark, out, pattern, repl))
+    contracted = "x"
+    for needle, steps in contractions:
+        done = "z"
+        for pattern, repl in steps:
+            done = _rewrite(spark, done, pattern, repl)
+        contracted = _let(contracted, "z", f"CASE WHEN contains(low, {_literal(spark, needle)}) THEN {done} ELSE z END")
+    out = _let(out, "x", _let("lower(x)", "low", contracted))
     pieces = f"split({out}, {_literal(spark, WS + '+')})"
-    return f"filter({pieces}, t -> t <> '' AND NOT array_contains({_stop_array(spark)}, t))"
+    return f"filter({pieces}, t -> t <> '' AND {_not_stop(spark, 't')})"
 
 
 def _fold_body(period: int, combine: str, zero: str, one: str) -> str:
@@ -77,7 +99,7 @@ def sql_function_bodies(spark: SparkSession) -> dict[str, tuple[str, str, str]]:
         f"WHEN startswith(s, {_literal(spark, uri)}) THEN concat({_literal(spark, prefix)}, "
         f"substring(s, {len(uri) + 1}))" for uri, prefix in namespace_table()) + " ELSE s END"
     words = (f"filter(regexp_extract_all(lower(s), {_literal(spark, WORD_PATTERN)}, 0), "
-             f"t -> NOT array_contains({_stop_array(spark)}, t))")
+             f"t -> {_not_stop(spark, 't')})")
     return {
         "vs_slug": ("s STRING", "STRING", f"regexp_replace(s, {_literal(spark, SLUG_PATTERN)}, '_')"),
         "vs_to_int": ("s STRING", "INT", to_int),

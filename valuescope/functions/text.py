@@ -13,6 +13,8 @@ term frequencies stay right (``array_except`` would remove repeats).
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -176,20 +178,62 @@ def word_tokens(text: Column | str, stop_words: Iterable[str] | None = STOP_WORD
     return drop_stop_words(raw, stop_words)
 
 
-# Literal needles without which a rule cannot match: the rule's regex pass is
-# skipped for texts lacking all of them (a cheap substring test instead of a
-# regex scan). Only rules with rare needles are guarded.
+# How Spark applies the rules: the same texts as ``treebank_steps`` gives, with less work.
+# Rules that only put blanks around fixed strings are plain replacements.
+_REPLACED: dict[str, tuple[tuple[str, str], ...]] = {
+    "(``)": (("``", " `` "),),
+    "\\.\\.\\.": (("...", " ... "),),
+    "([;@#$%&])": tuple((c, f" {c} ") for c in ";@#$%&"),
+    "([?!])": tuple((c, f" {c} ") for c in "?!"),
+    "([\\]\\[(){}<>])": tuple((c, f" {c} ") for c in "][(){}<>"),
+    "--": (("--", " -- "),),
+    '"': (('"', " '' "),),
+}
+# Rules that begin with any character: the same matches, found from their fixed character
+# on. The character before is looked at but not consumed; it is no blank, which all matches
+# but the last end with, so no two matches ever share it.
+_FROM_FIXED: dict[str, tuple[str, str]] = {
+    "([^.])(\\.)([\\])}>\"']*)" + WS + "*\\z": ("\\.(?<=[^.]\\.)([\\])}>\"']*)" + WS + "*\\z", " .\\1 "),
+    "([^' ])('[sS]|'[mM]|'[dD]|') ": ("'(?<=[^' ]')([sSmMdD]?) ", " '\\1 "),
+    "([^' ])('ll|'LL|'re|'RE|'ve|'VE|n't|N'T) ": (
+        "('(?<=[^' ]')(?:ll|LL|re|RE|ve|VE)|n(?<=[^' ]n)'t|N(?<=[^' ]N)'T) ", " \\1 "),
+}
+# Strings of which a text must hold one, or end with one, for a rule to match: a substring
+# test in front of the regex.
 _RULE_NEEDLES: dict[str, tuple[str, ...]] = {
     '^"': ('"',),
-    "(``)": ("``",),
     "([ (\\[{<])(\"|'')": ('"', "''"),
-    "\\.\\.\\.": ("...",),
     "([^'])' ": ("' ",),
-    "--": ("--",),
-    '"': ('"',),
+    "(" + NON_WS + ")('')": ("''",),
+    "([^' ])('[sS]|'[mM]|'[dD]|') ": ("'",),
+    "([^' ])('ll|'LL|'re|'RE|'ve|'VE|n't|N'T) ": ("'",),
 }
-# One regex test in front of the ten contraction rules (each needs one of these words).
-_CONTRACTION_GUARD = "(?i)(cannot|d'ye|gimme|gonna|gotta|lemme|more'n|wanna|'tis|'twas)"
+_RULE_ENDS: dict[str, tuple[str, ...]] = {"([:,])\\n?\\z": (":", ",", ":\n", ",\n")}
+# The same for the contraction rules, in the lower-cased text before any of them (they only
+# put in blanks, and no needle holds one).
+_CONTRACTION_NEEDLES = ("cannot", "d'ye", "mme", "gonna", "gotta", "mme", "more'n", "wanna", "'t", "'t")
+
+
+def spark_steps() -> tuple[list[tuple], list[tuple[str, list[tuple[str, str]]]]]:
+    """What Spark does for ``treebank_steps``: (rewrites, contractions).
+
+    A rewrite is ("pad",), ("replace", string, by) or ("regex", pattern, replacement,
+    needles, ends); a contraction is (needle, its regex steps).
+    """
+    rewrites: list[tuple] = []
+    contractions = []
+    for pattern, repl in TREEBANK_RULES:
+        if pattern == "PAD":
+            rewrites.append(("pad",))
+        elif pattern in _REPLACED:
+            rewrites.extend(("replace", a, b) for a, b in _REPLACED[pattern])
+        elif pattern.startswith("(?i)"):
+            step = _explicit_boundaries(pattern, repl) if "\\b" in pattern else (pattern, repl)
+            contractions.append((_CONTRACTION_NEEDLES[len(contractions)], [step] * (2 if "\\b" in pattern else 1)))
+        else:
+            rewrites.append(("regex", *_FROM_FIXED.get(pattern, (pattern, repl)),
+                             _RULE_NEEDLES.get(pattern, ()), _RULE_ENDS.get(pattern, ())))
+    return rewrites, contractions
 
 
 def _rewrite(col: Column, pattern: str, repl: str) -> Column:
@@ -202,38 +246,42 @@ def _let(col: Column, body) -> Column:
     return F.element_at(F.transform(F.array(col), body), 1)
 
 
-def _guarded_rule(pattern: str, repl: str):
-    needles = _RULE_NEEDLES[pattern]
+def _guarded(pattern: str, repl: str, needles: Iterable[str], ends: Iterable[str]):
+    def body(x: Column) -> Column:
+        tests = [x.contains(n) for n in needles] + [x.endswith(n) for n in ends]
+        return F.when(reduce(or_, tests), _rewrite(x, pattern, repl)).otherwise(x)
+    return body
+
 
+def _contracted(low: Column, needle: str, steps: Iterable[tuple[str, str]]):
     def body(x: Column) -> Column:
-        test = None
-        for n in needles:
-            t = F.instr(x, n) > 0
-            test = t if test is None else test | t
-        return F.when(test, _rewrite(x, pattern, repl)).otherwise(x)
+        done = x
+        for pattern, repl in steps:
+            done = _rewrite(done, pattern, repl)
+        return F.when(low.contains(needle), done).otherwise(x)
     return body
 
 
 def treebank_text(text: Column | str) -> Column:
     """Apply the Treebank rewrite chain; the result is blank-separated tokens."""
     out = _as_col(text)
-    steps = treebank_steps()
-    contractions = [(p, r) for p, r in steps if p.startswith("(?i)")]
-    for pattern, repl in steps:
-        if pattern == "PAD":
+    rewrites, contractions = spark_steps()
+    for kind, *step in rewrites:
+        if kind == "pad":
             out = F.concat(F.lit(" "), out, F.lit(" "))
-        elif pattern.startswith("(?i)"):
-            continue
-        elif pattern in _RULE_NEEDLES:
-            out = _let(out, _guarded_rule(pattern, repl))
+        elif kind == "replace":
+            out = F.replace(out, F.lit(step[0]), F.lit(step[1]))
         else:
-            out = _rewrite(out, pattern, repl)
+            pattern, repl, needles, ends = step
+            out = _let(out, _guarded(*step)) if needles or ends else _rewrite(out, pattern, repl)
 
     def contract(x):
-        y = x
-        for pattern, repl in contractions:
-            y = _rewrite(y, pattern, repl)
-        return F.when(x.rlike(_CONTRACTION_GUARD), y).otherwise(x)
+        def within(low):
+            y = x
+            for needle, steps in contractions:
+                y = _let(y, _contracted(low, needle, steps))
+            return y
+        return _let(F.lower(x), within)
     return _let(out, contract)
 
 

@@ -32,6 +32,7 @@ from ..sources.paths import dataset_path, read_dataset
 from ..sources.profiles import load_profile_dir
 from ..streaming import profile_stream
 from . import oracle as O
+from .parallel import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -530,7 +531,7 @@ def q_tf_index_sql_api(spark, d):
     # The same index written in SQL with the library's SQL functions.
     from ..functions.sql import register_sql_functions
     register_sql_functions(spark)
-    table(spark, d, "documents").createOrReplaceTempView("vs_documents")
+    spread(table(spark, d, "documents").select("doc_id", "text")).createOrReplaceTempView("vs_documents")
     return spark.sql(
         "SELECT doc_id, token, count(*) AS count FROM "
         "(SELECT doc_id, explode(toks) AS token FROM "
