@@ -1,5 +1,7 @@
 """Value profiles and cardinality."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from valuescope.operators import profile
@@ -98,3 +100,16 @@ def test_profile_by_group_equals_filtered_profiles(spark):
         one = profile.value_profile(docs.where(F.col("source") == src), ["lang"])
         mine = grouped.where(F.col("source") == src).drop("source")
         assert one.exceptAll(mine).count() == 0 and mine.exceptAll(one).count() == 0
+
+
+def test_value_leads_the_counted_key(spark):
+    """Full maps of counts are sorted by the first bytes of the key, which a field's name is not."""
+    for n in (3, profile.WIDE_FIELDS + 2):
+        df = spark.range(40).select(*[(F.col("id") % (i + 2)).alias(f"f.{i}") for i in range(n)])
+        p = profile.value_profile(df)
+        keys = re.findall(r"HashAggregate\(keys=\[(.*?)\]", p._jdf.queryExecution().executedPlan().toString())
+        assert keys and all(k.startswith("value#") for k in keys)
+        assert p.columns == ["field", "value", "count"]
+        rows = p.collect()
+        assert len(rows) == sum(min(i + 2, 40) for i in range(n))
+        assert {f: sum(r["count"] for r in rows if r["field"] == f) for f in df.columns} == dict.fromkeys(df.columns, 40)

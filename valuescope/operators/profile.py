@@ -69,9 +69,9 @@ def value_profile(df: DataFrame, fields: Sequence[str] | None = None,
     Values are compared as text (``cast(... as string)``); NULL is kept as a group.
     Nested leaves are selected before the unpivot so the scan reads only them.
     Up to ``WIDE_FIELDS`` fields the unpivot is an Expand; wider field lists are
-    packed into one array per row and exploded with their position (the field
-    name comes from a literal array), which keeps every stage narrow -- still one
-    pass over the rows and one shuffle on (field, value).
+    packed into one array per row and exploded with their position, which keeps
+    every stage narrow -- still one pass over the rows and one shuffle. Values are
+    counted by position; the field's name, from a literal array, joins the counts.
     """
     by = list(by)
     names = list(fields) if fields is not None else field_list(df, nested)
@@ -86,13 +86,17 @@ def value_profile(df: DataFrame, fields: Sequence[str] | None = None,
     if len(names) > WIDE_FIELDS:
         values = F.array(*[F.col(_quote(n)).cast("string") for n in names])
         labels = F.array(*[F.lit(n) for n in names])
-        long = (picked.select(*keys, F.posexplode(values).alias("_pos", "value"))
-                .select(*keys, F.element_at(labels, F.col("_pos") + 1).alias("field"), "value"))
+        long, label = picked.select(*keys, F.posexplode(values).alias("_pos", "value")), "_pos"
+        field = F.element_at(labels, F.col("_pos") + 1).alias("field")
     else:
         narrow = picked.select(*keys, *[F.col(_quote(n)).cast("string").alias(n) for n in names])
         # Expand emits the field name as a literal per output row.
-        long = narrow.unpivot(keys, [F.col(_quote(n)) for n in names], "field", "value")
-    return long.groupBy(*keys, "field", "value").agg(F.count("*").alias("count"))
+        long, label = narrow.unpivot(keys, [F.col(_quote(n)) for n in names], "field", "value"), "field"
+        field = F.col("field")
+    # The value leads the key: a full map is sorted by the first bytes of its keys, and
+    # thousands of values share a field.
+    counted = long.groupBy(*keys, "value", label).agg(F.count("*").alias("count"))
+    return counted.select(*keys, field, "value", "count")
 
 
 def cardinality(profile: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -667,7 +667,8 @@ def q_csv_strict_profile(spark, d):
 
 def _wide(spark, d):
     """Stand-in for a table of 200+ fields: six text forms of every lineitem column."""
-    li = table(spark, d, "lineitem")
+    # Dealt out before the forms are made: few splits would make all of them alone.
+    li = spread(table(spark, d, "lineitem"))
     out = []
     for c in li.columns:
         t = F.col(c).cast("string")
