@@ -99,3 +99,20 @@ def test_text_without_blanks_in_linear_time():
     ids = pieces.encode_texts([text], np.zeros(1, np.uint64), vocab)
     assert time.process_time() - begin < 20
     assert pieces.decode_ids(ids, vocab) == [text]
+
+
+def test_only_runs_that_may_go_on_are_followed(vocab):
+    """Every piece is found where it starts; most runs of characters end early."""
+    words = ["tokenization", "▁the", "zzqxjkvzzqxj", "日本語", "e"]
+    codes = np.array([ord(c) for c in "".join(words)], np.uint64)
+    left = np.concatenate([np.arange(len(w), 0, -1) for w in words])
+    found = {(int(a), k): int(vocab["ids"][r]) for k, (at, rank) in enumerate(pieces._pieces_at(codes, left, vocab), 1)
+             for a, r in zip(at, rank)}
+    text, expected = "".join(words), {}
+    for a, room in enumerate(left.tolist()):
+        for k in range(1, room + 1):
+            if text[a:a + k] in vocab["table"]:
+                expected[a, k] = vocab["table"][text[a:a + k]][0]
+    assert found == expected and len(expected) > 15
+    goes_on = vocab["filter"] & 2
+    assert 0 < np.count_nonzero(goes_on) < 0.1 * len(goes_on)

@@ -24,9 +24,11 @@ named columns are read.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -101,47 +103,60 @@ def _utf8(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(text.encode(), np.uint8), n.astype(np.int64)
 
 
-def _filtered(codes: np.ndarray, length: np.ndarray, vocab: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Forward filter of segments: codes (n, width) padded, length (n).
+def _pieces_at(codes: np.ndarray, left: np.ndarray, vocab: dict) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per piece length 1, 2, ...: the places of ``codes`` where such a piece starts and
+    its rank in the tables; ``left`` is how many characters a place's word has from there."""
+    out = []
+    at, h = np.arange(len(codes)), np.zeros(len(codes), np.uint64)
+    for k in range(vocab["longest"]):
+        if k:
+            # Only runs that may go on to a piece are followed.
+            at, h = at[on], h[on]
+            on = left[at] > k
+            at, h = at[on], h[on]
+        h = h * _M + codes[at + k] + np.uint64(1)
+        kind = vocab["filter"][h >> np.uint64(42)]
+        maybe = np.flatnonzero(kind & 1)
+        rank = np.searchsorted(vocab["hashes"], h[maybe]).clip(0, len(vocab["hashes"]) - 1)
+        hit = vocab["hashes"][rank] == h[maybe]
+        out.append((at[maybe[hit]], rank[hit]))
+        on = np.flatnonzero(kind & 2)
+    return out
+
 
-    Returns cumulative chances (n, width + 1, longest) of the piece lengths 1, 2, ...
+def _filtered(found: list[tuple[np.ndarray, np.ndarray]], row: np.ndarray, place: np.ndarray, length: np.ndarray,
+              vocab: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Forward filter of segments of the lengths ``length`` (n): ``found`` has their pieces
+    as (character, rank) by piece length, ``row`` and ``place`` say where a character is.
+
+    Returns cumulative chances (width + 1, n, longest) of the piece lengths 1, 2, ...
     that end at a place, and the id of the piece of each length that starts at a place
-    (-1: spelled in bytes).
+    (n, width, longest; -1: spelled in bytes).
     """
-    n, width = codes.shape
-    longest = min(vocab["longest"], width)
+    n, width = len(length), int(length.max())
+    longest = max([k for k, (at, _) in enumerate(found, 1) if len(at)], default=1)
     ids = np.full((n, width, longest), -1, np.int32)
-    weight = np.full((n, width, longest), -np.inf)
-    h = np.zeros((n, width), np.uint64)
-    place = np.arange(width)
-    for k in range(longest):
-        h = h[:, : width - k] * _M + codes[:, k:] + np.uint64(1)
-        inside = place[None, : width - k] + k < length[:, None]
-        flat = h[inside]
-        maybe = np.flatnonzero(vocab["filter"][flat >> np.uint64(42)])
-        at = np.searchsorted(vocab["hashes"], flat[maybe]).clip(0, len(vocab["hashes"]) - 1)
-        hit = vocab["hashes"][at] == flat[maybe]
-        rows, cols = np.nonzero(inside)
-        rows, cols, at = rows[maybe[hit]], cols[maybe[hit]], at[hit]
-        ids[rows, cols, k] = vocab["ids"][at]
-        weight[rows, cols, k] = vocab["weights"][at]
-    spelled = (ids[:, :, 0] < 0) & (place[None, :] < length[:, None])
-    weight[:, :, 0][spelled] = vocab["byte_weight"]
-    total = np.full((n, width + 1), -np.inf)
-    total[:, 0] = 0.0
-    chances = np.zeros((n, width + 1, longest), np.float64)
+    # By the end of the piece, so that one step reads a stretch of memory.
+    weight = np.full((width + 1, longest, n), -np.inf)
+    weight[1:, 0][np.arange(width)[:, None] < length] = vocab["byte_weight"]
+    for k, (at, rank) in enumerate(found[:longest]):
+        rows, cols = row[at], place[at]
+        ids[rows, cols, k] = vocab["ids"][rank]
+        weight[cols + k + 1, k, rows] = vocab["weights"][rank]
+    total = np.full((width + 1, n), -np.inf)
+    total[0] = 0.0
+    chances = np.full((width + 1, n, longest), 2.0)
     for j in range(1, width + 1):
         m = min(longest, j)
         # Pieces of length 1..m that end at j: starts j-1 .. j-m.
-        paths = np.stack([total[:, j - k] + weight[:, j - k, k - 1] for k in range(1, m + 1)], axis=1)
-        top = paths.max(axis=1)
+        paths = total[j - m:j][::-1] + weight[j, :m]
+        top = paths.max(axis=0)
         safe = np.where(np.isfinite(top), top, 0.0)
-        part = np.exp(paths - safe[:, None])
-        whole = part.sum(axis=1)
+        paths -= safe
+        part = np.cumsum(np.exp(paths, out=paths), axis=0, out=paths)
         with np.errstate(divide="ignore", invalid="ignore"):
-            total[:, j] = safe + np.log(whole)
-            chances[:, j, :m] = np.cumsum(part, axis=1) / whole[:, None]
-        chances[:, j, m:] = 2.0
+            total[j] = safe + np.log(part[-1])
+            chances[j, :, :m] = (part / part[-1]).T
     return chances, ids
 
 
@@ -157,7 +172,7 @@ def _drawn(chances: np.ndarray, ids: np.ndarray, length: np.ndarray, unit: np.nd
         u, j = unit[active], place[active]
         # The first length whose cumulative chance exceeds the draw; rounding at the
         # upper end falls back to the longest with a chance.
-        row = chances[u, j]
+        row = chances[j, u]
         size = (row <= draw[:, None]).sum(axis=1) + 1
         size = np.minimum(size, np.minimum(row.shape[1], j))
         out.append((active, j - size, ids[u, j - size, size - 1]))
@@ -215,19 +230,19 @@ def encode_texts(texts: list[str | None], keys: np.ndarray, vocab: dict, seed: i
             number.append(np.arange(len(found)))
     if not words:
         return [None if t is None else np.zeros(0, np.int32) for t in texts]
-    names = list(dict.fromkeys(words))
-    unit_of = dict(zip(names, range(len(names))))
+    unit_of: defaultdict[str, int] = defaultdict(itertools.count().__next__)
     unit = np.fromiter(map(unit_of.__getitem__, words), np.int64, len(words))
+    names = list(unit_of)
     owner, number = np.concatenate(owner), np.concatenate(number)
     key = _mix(keys[owner] + _mix(np.uint64(seed) + number.astype(np.uint64) * _M))
     length = np.array([len(s) for s in names])
-    codes = np.frombuffer("".join(names).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    codes = np.where(codes == BLANK, LITERAL, np.where(codes == 32, BLANK, codes))
+    codes = np.frombuffer("".join(names).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    codes = np.where(codes == BLANK, np.uint64(LITERAL), np.where(codes == 32, np.uint64(BLANK), codes))
     begin = np.cumsum(length) - length
     by_length = np.argsort(length, kind="stable")
     slot_of = np.zeros(len(names), np.int64)
-    occurrences = np.argsort(unit, kind="stable")
-    first_use = np.searchsorted(unit[occurrences], np.arange(len(names) + 1))
+    occurrences = np.argsort(unit)
+    first_use = np.append(0, np.cumsum(np.bincount(unit)))
     found = []
     k = 0
     while k < len(by_length):
@@ -244,11 +259,11 @@ def encode_texts(texts: list[str | None], keys: np.ndarray, vocab: dict, seed: i
         end = min(end, k + max(1, GROUP_CELLS // (low + low // 4)),
                   max(k + 1, np.searchsorted(length[by_length], LONG_WORD, side="right")))
         group = by_length[k:end]
-        width = int(length[group].max())
-        at = begin[group][:, None] + np.arange(width)[None, :]
-        pad = np.arange(width)[None, :] >= length[group][:, None]
-        block = np.where(pad, 0, codes[np.minimum(at, len(codes) - 1)]).astype(np.uint64)
-        chances, ids = _filtered(block, length[group], vocab)
+        size = length[group]
+        row = np.repeat(np.arange(len(group)), size)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+        starts = _pieces_at(codes[begin[group][row] + place], size[row] - place, vocab)
+        chances, ids = _filtered(starts, row, place, size, vocab)
         count = first_use[group + 1] - first_use[group]
         within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         uses = occurrences[np.repeat(first_use[group], count) + within]
@@ -291,9 +306,13 @@ def decode_ids(ids: list[np.ndarray | None], vocab: dict) -> list[str | None]:
 
 
 def _prepared(vocab: dict) -> dict:
-    """``vocab`` with the filter that most character runs fail: 22 bits of the hash."""
-    table = np.zeros(1 << 22, bool)
-    table[vocab["hashes"] >> np.uint64(42)] = True
+    """``vocab`` with the filter that most character runs fail, by 22 bits of the hash:
+    1 for pieces, 2 for what longer pieces begin with."""
+    table = np.zeros(1 << 22, np.uint8)
+    begins = {piece[:k] for piece in vocab["table"] for k in range(1, len(piece))}
+    hashes = np.array([_hash_codes([ord(c) for c in s]) for s in begins] or [0], np.uint64)
+    table[hashes >> np.uint64(42)] = 2
+    table[vocab["hashes"] >> np.uint64(42)] |= 1
     return vocab | {"filter": table}
 
 
