@@ -177,9 +177,11 @@ class Costs:
         if tails is None:
             tails = self.contexts[context] = self._tails(context)
         p, own = 1e-5, 0.9
+        code = ord(c)
         for h, below in tails:
-            joint = self.count(_slot((h * 0x9E3779B97F4A7C15 + ord(c)) & 0xFFFFFFFFFFFFFFFF))
-            p = own * min(joint / below, 1.0) + (1.0 - own) * p
+            h = (h * 0x9E3779B97F4A7C15 + code) & 0xFFFFFFFFFFFFFFFF
+            joint = self.count((((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9) & 0xFFFFFFFFFFFFFFFF) >> 46)
+            p = own * (joint / below if joint < below else 1.0) + (1.0 - own) * p
             own = 0.8
         return -math.log(max(p, 1e-12))
 
@@ -210,6 +212,7 @@ def _lattice(word: str) -> list[list[tuple[str, float]]]:
 
 def restore(word: str, cost: Costs) -> str:
     """Viterbi path through the word's lattice; states are the last three characters."""
+    known = cost.known
     best: dict[str, tuple[float, tuple]] = {"\x02": (0.0, ())}     # paths as (path before, meant)
     for options in [*_lattice(word), [("\x03", 0.0)]]:
         step: dict[str, tuple[float, tuple]] = {}
@@ -217,9 +220,12 @@ def restore(word: str, cost: Costs) -> str:
             for meant, channel in options:
                 total, context = so_far + channel, state
                 for c in meant:
-                    total += cost(context, c)
+                    after = known.get(context)
+                    found = after.get(c) if after else None
+                    total += cost(context, c) if found is None else found
                     context = (context + c)[-3:]
-                if context not in step or total < step[context][0]:
+                held = step.get(context)
+                if held is None or total < held[0]:
                     step[context] = (total, (path, meant) if meant else path)
         best = step
     path, out = min(best.values(), key=lambda b: b[0])[1], []
@@ -234,8 +240,8 @@ def written_words(text: str) -> set[str]:
     punctuation around them, also joined: the whole run and its parts between punctuation."""
     words = text.lower().split()
     out = set(words)
-    # A word of letters alone is single only if it is one letter.
-    singles = {w for w in out if (len(w) == 1 or not w.isalpha()) and _SINGLE.match(w)}
+    # A word that starts with two letters or digits is no single character.
+    singles = {w for w in out if (len(w) == 1 or not (w.isalpha() or w[:2].isalnum())) and _SINGLE.match(w)}
     if singles:
         for single, run in groupby(words, singles.__contains__):
             if single and len(run := list(run)) >= 3:
@@ -326,19 +332,25 @@ class Words:
             self.clear()
         fresh = []
         new = list(set().union(*texts).difference(self.meaning))
+        index, meaning = self.index, self.meaning
         for word, run in zip(new, _runs(new).tolist()):
-            core = (not run and _letters(word)) or plain_word(word, self.cost)
-            at = self.index.get(core)
+            core = word if not run and word.isalpha() else (not run and _letters(word)) or plain_word(word, self.cost)
+            at = index.get(core)
             if at is None:
-                at = self.index[core] = len(self.index)
+                at = index[core] = len(index)
                 fresh.append(core)
-            self.meaning[word] = at
+            meaning[word] = at
         for k in range(0, len(fresh), 20_000):
             slots, owners = sequence_slots(fresh[k:k + 20_000])
             self.slots.append(slots.astype(np.int32))
             self.count.append(np.bincount(owners, minlength=len(fresh[k:k + 20_000])))
-        known = self.meaning
-        return [np.unique(np.fromiter(map(known.__getitem__, text), np.int64, len(text))) for text in texts]
+        known, last, out = self.meaning, np.zeros(len(self.index), np.int64), []
+        for text in texts:
+            ids = np.fromiter(map(known.__getitem__, text), np.int64, len(text))
+            place = np.arange(len(ids))
+            last[ids] = place  # of written forms with one meaning, one stays
+            out.append(ids[last[ids] == place])
+        return out
 
     def flat(self) -> tuple[np.ndarray, np.ndarray]:
         """(slots of all meanings one after another, where each begins)."""
