@@ -1,3 +1,4 @@
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -159,3 +160,28 @@ def test_parity_never_shows_more_than_the_difference():
         shown = sum(int(x).bit_count() for x in (jaccard.parity(a) ^ jaccard.parity(b)).view(np.uint64))
         assert shown <= len(set(a.tolist()) ^ set(b.tolist()))
     assert not (jaccard.parity(a) ^ jaccard.parity(a[::-1].copy())).any()
+
+
+def test_lists_of_past_rounds_are_deleted(spark, monkeypatch):
+    """While the rounds go on, only the last round's lists are kept."""
+    made, kept = [], []
+
+    def met(postings, step):
+        kept.append(sum(os.path.exists(folder) for folder in made))
+        return real_met(postings, step)
+
+    def pinned(df):
+        out = real_pin(df)
+        if "a_root" in out.columns:
+            made.append(os.path.dirname(out.inputFiles()[0]).removeprefix("file://"))
+        return out
+
+    real_met, real_pin = jaccard._met, jaccard.pin
+    monkeypatch.setattr(jaccard, "_met", met)
+    monkeypatch.setattr(jaccard, "pin", pinned)
+    rng = random.Random(5)
+    bases = [[f"b{g}_{i}" for i in range(120)] for g in range(4)]
+    rows = [(i, _edited(rng, bases[i % 4], rng.randrange(1, 7))) for i in range(80)]
+    assert _got(jaccard.join_components(spark.createDataFrame(rows, "doc_id long, text string"))) == _brute(rows)
+    assert len(made) > 1 and max(kept) <= 1
+    assert not any(os.path.exists(folder) for folder in made)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import pin
+from ..session import pin, unpin
 
 
 def _hooked(directed: DataFrame, least: DataFrame) -> DataFrame:
@@ -45,7 +45,8 @@ def component_roots(edges: DataFrame) -> DataFrame:
     edges = pin(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = _state(edges)
     while state[0]:
-        edges = pin(_small_star(_large_star(edges)))
+        before, edges = edges, pin(_small_star(_large_star(edges)))
+        unpin(before)
         new = _state(edges)
         if new == state:
             break

@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.skew import bounded_broadcast, salted_join
-from ..session import pin
+from ..session import pin, unpin
 from .common import chunked, col
 from .components import component_roots
 
@@ -168,7 +168,10 @@ def _sets(rows: DataFrame, kept: DataFrame, shingle: int) -> DataFrame:
                  pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["s1", "s2", "n", "members"])
 
     built = texts.mapInArrow(run, "s1 long, s2 long, n long, members array<long>").dropDuplicates(["s1", "s2"])
-    return pin(pin(built).withColumn("c", F.monotonically_increasing_id()))
+    once = pin(built)
+    sets = pin(once.withColumn("c", F.monotonically_increasing_id()))
+    unpin(once)
+    return sets
 
 
 def choose_matches(counts: np.ndarray, n: int, percent: int = PERCENT) -> tuple[int, int]:
@@ -286,15 +289,19 @@ def _remaining_pairs(postings: DataFrame, percent: int) -> DataFrame:
 
 def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Edges (a, b) between ``sets`` (c, n, members) whose closure is that of all links."""
-    postings = pin(_postings(sets, percent)).withColumn("root", F.col("c"))
-    columns = [c for c in postings.columns if c != "root"]
+    # Each round's lists replace those of the round before, which are deleted.
+    held = pin(_postings(sets, percent))
+    postings = held.withColumn("root", F.col("c"))
+    columns = held.columns
     edges, step = None, 0
     while True:
         # A list of one component stays one: only open lists go on.
         met = pin(_met(postings, step))
-        tests = pin(_pivot_tests(met, percent))
+        unpin(held)
+        held, tests = met, pin(_pivot_tests(met, percent))
         new = pin(_verified(tests, sets, percent))
         n_tests, n_new = tests.count(), new.count()
+        unpin(tests)
         edges = new if edges is None else edges.unionByName(new)
         postings = _with_roots(met.select(*(F.col("a_" + c).alias(c) for c in columns)), edges)
         step += 1
@@ -302,7 +309,10 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
             break
     ends = postings.groupBy(F.col("h").alias("h2")).agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
     open_ = pin(postings.join(ends.where("lo < hi").select("h2"), F.col("h") == F.col("h2"), "left_semi"))
-    return edges.unionByName(pin(_verified(pin(_remaining_pairs(open_, percent)), sets, percent)))
+    unpin(held)
+    pairs = pin(_remaining_pairs(open_, percent))
+    unpin(open_)
+    return edges.unionByName(pin(_verified(pairs, sets, percent)))
 
 
 def join_components(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,

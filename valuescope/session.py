@@ -89,6 +89,18 @@ def pin(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def unpin(df: DataFrame) -> None:
+    """Delete the files of a pinned table that nothing reads any more.
+
+    Intermediate tables of many rounds would otherwise all stay until the job ends.
+    """
+    sc = df.sparkSession.sparkContext
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        if "/valuescope-pin-" in folder:
+            path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
