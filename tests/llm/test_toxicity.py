@@ -125,3 +125,18 @@ def test_spaced_words_beside_punctuation_are_joined():
     assert "boss" in read("the b o $ $.") and "glass" in read("\"g l a $ $\"!")
     assert tox.written_words("we are a b -- so it is.") == set("we are a b -- so it is.".split())
     assert tox.written_words("= " + "=" * 200_000 + " " * 200_000 + "a " + "." * 200_000)
+
+
+def test_words_that_start_with_two_letters_are_not_tried_as_single(monkeypatch):
+    real, tried = tox._SINGLE, []
+
+    class Tried:
+        @staticmethod
+        def match(word):
+            tried.append(word)
+            return real.match(word)
+
+    monkeypatch.setattr(tox, "_SINGLE", Tried)
+    got = tox.written_words("Well, then: b2b! (b) a, d. -x- _y_ $ it's")
+    assert {"(b)a,d.-x-_y_$", "well,", "then:"} <= got
+    assert not {"well,", "then:", "b2b!", "it's"} & set(tried) and {"(b)", "a,", "-x-", "_y_", "$"} <= set(tried)
