@@ -104,3 +104,31 @@ def test_passages_inside_running_text_leave_their_copies(spark):
             assert got[key] == text
         seen.update(runs)
     assert len(seen) and sum(got[k] != t for k, t in rows) == 150
+
+
+def _batches(rows, size):
+    import pyarrow as pa
+
+    kinds = [("_k", pa.int64()), ("d", pa.int64()), ("first", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64())]
+    for a in range(0, len(rows), size):
+        yield pa.RecordBatch.from_pylist([dict(zip([n for n, _ in kinds], r)) for r in rows[a:a + size]], pa.schema(kinds))
+
+
+def test_one_row_of_a_span_and_partition_keeps_its_hash():
+    rows = sorted([(k, 10 + k, 3, 7, 7) for k in range(50)] + [(0, 10, 3, 7, 7), (4, 14, 9, 7, 8), (5, 15, 0, 8, 8)],
+                  key=lambda r: (r[3], r[4], r[0], r[1], r[2]))
+    for size in (1, 3, 20, 100):
+        got = [tuple(r.values()) for b in sub._told_apart(_batches(rows, size)) for r in b.to_pylist()]
+        # The row of key 0 is there twice: one document.
+        assert [r for r in got if r[4] is not None] == [
+            (0, 10, 3, 7, 7), (0, 10, 3, 7, 7), (4, 14, 9, 7, 8), (5, 15, 0, 8, 8)]
+        assert [r for r in got if r[4] is None] == [(None, None, 3, 10 + k, None) for k in range(1, 50)]
+
+
+def test_spans_cross_one_shuffle_and_are_not_written(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(sub, "pin", lambda df: written.append(df) or df)
+    rows = documents(spark).repartition(5)
+    got = dict(texts(sub.dedup(rows)))
+    assert got == _brute(texts(rows))
+    assert len(written) == 1 and written[0].columns == ["d", "cuts"]

@@ -15,10 +15,12 @@ sentence began: two texts that share 3 * WINDOW + MIN_WORDS - 1 = 49 words in a
 share a span, wherever in their sentences the words start and end. "Sentence" below
 means such a part.
 
-Scale: spans are a few per hundred characters; the first occurrence is an aggregate
-(partial first, so a passage in a third of all documents costs one row a task), and
-the repeats meet it in a join that adaptive execution can split. Only the spans to cut
-travel back to their documents, and the texts cross one shuffle.
+Scale: spans are a few per hundred characters and cross one shuffle; nothing else of
+their number is written. Each partition is sorted by span first and keeps one row of a
+span to be compared with the other partitions', so a passage in a third of all documents
+is a row a task there; its other places are known repeats and are dealt out by document.
+Only the spans to cut are written and travel back to their documents, and the texts
+cross one shuffle.
 
 Defined cases: a null text stays null, an empty one empty; a text wholly covered
 becomes empty, its row stays; rows that repeat key and text are one document with the
@@ -34,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
@@ -120,28 +122,50 @@ def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["_k", "d", "first", "h1", "h2"])
 
 
+def _told_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Span rows of one partition, sorted by h1, h2, _k, d, first: a span's first place in
+    the partition stays as it is. The others are repeats whatever else the corpus holds;
+    only their document and sentence go on: _k, d and h2 are null, h1 holds d."""
+    held = None   # h1, h2, d, first of the span's first row, which may be in a batch before
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        d, first, h1, h2 = (batch.column(i).to_numpy() for i in range(1, 5))
+        new = np.ones(len(h1), bool)
+        new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+        head = np.maximum.accumulate(np.where(new, np.arange(len(h1)), 0))
+        home_d, home_first = d[head], first[head]
+        if held and held[:2] == (h1[0], h2[0]):
+            home_d[head == 0], home_first[head == 0] = held[2:]
+        again = (d != home_d) | (first != home_first)
+        held = h1[-1], h2[-1], home_d[-1], home_first[-1]
+        known = pa.array(again)
+        nothing = pa.nulls(len(again), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.compute.if_else(known, pa.scalar(None, batch.column(0).type), batch.column(0)),
+             pa.compute.if_else(known, nothing, batch.column(1)), batch.column(2),
+             pa.array(np.where(again, d, h1)), pa.compute.if_else(known, nothing, batch.column(4))],
+            names=batch.schema.names)
+
+
 def covered(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(d, cuts): the repeated spans of each document that has some, by first sentence.
 
     ``d`` is the hash of key and text; ``cuts`` is at most one number per sentence.
     """
     docs = df.select(col(key).alias("_k"), F.xxhash64(col(key), col(text)).alias("d"), col(text).alias("_t"))
-    key_type = docs.schema["_k"].dataType.simpleString()
-    rows = pin(docs.mapInArrow(_span_rows, f"_k {key_type}, d long, first int, h1 long, h2 long"))
-    # Written on its own, so that the join below has a plain exchange on either side and
-    # a span with very many occurrences can be split.
-    seen = pin(rows.groupBy("h1", "h2").agg(F.min(F.struct("_k", "d", "first")).alias("home"), F.count("*").alias("n"))
-               .where("n > 1").select(F.col("h1").alias("g1"), F.col("h2").alias("g2"),
-                                      F.col("home.d").alias("home_d"), F.col("home.first").alias("home_first")))
-    again = rows.join(seen, (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2"))).where(
-        (F.col("d") != F.col("home_d")) | (F.col("first") != F.col("home_first")))
-    return again.groupBy("d").agg(F.collect_set("first").alias("cuts"))
+    shape = f"_k {docs.schema['_k'].dataType.simpleString()}, d long, first int, h1 long, h2 long"
+    rows = docs.mapInArrow(_span_rows, shape).sortWithinPartitions("h1", "h2", "_k", "d", "first")
+    # At most one row a span and partition is left under the span's hash.
+    place = F.rank().over(Window.partitionBy("h1", "h2").orderBy("_k", "d", "first"))
+    again = rows.mapInArrow(_told_apart, shape).withColumn("place", place).where("h2 is null or place > 1")
+    return again.groupBy(F.coalesce("d", "h1").alias("d")).agg(F.collect_set("first").alias("cuts"))
 
 
 def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", n_cut: str | None = None) -> DataFrame:
     """``df`` with repeated spans cut out of ``text``; ``n_cut`` names an optional
     column for the number of sentences cut."""
-    cuts = covered(df, key, text).select(F.col("d").alias("_d2"), F.col("cuts").alias("_cuts2"))
+    cuts = pin(covered(df, key, text)).select(F.col("d").alias("_d2"), F.col("cuts").alias("_cuts2"))
     inner, (k, t) = numbered(df, key, text)
     marked = inner.withColumn("_d", F.xxhash64(F.col(k), F.col(t)))
     joined = marked.join(cuts, F.col("_d") == F.col("_d2"), "left").select(*inner.columns, "_cuts2")
