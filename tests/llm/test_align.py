@@ -133,3 +133,19 @@ def test_awkward_rows(spark, tok):
     rows = [(r["doc_id"], r["text"]) for r in awkward(spark).collect()]
     _same(align.align(awkward(spark)), _brute(tok, rows))
     assert align.align(empty(spark)).count() == 0
+
+
+def test_group_texts_show_the_ids_of_every_group():
+    class Sized:
+        size_a, size_b = np.zeros(9), np.zeros(7)
+        shown = [f"{i}{e}" for i in range(9) for e in ",|"] + [f"{i}{e}" for i in range(7) for e in ",;"]
+
+    made = [[([8], [0, 1]), ([2, 3, 4], [5])], [], [([1], [6])]]
+    flat_a = [i for groups in made for a, _ in groups for i in a]
+    flat_b = [i for groups in made for _, b in groups for i in b]
+    last_a, last_b = (np.cumsum([len(g[k]) for groups in made for g in groups]) - 1 for k in (0, 1))
+    tokens = np.array([sum(len(a) + len(b) for a, b in groups) for groups in made])
+    assert align.group_texts(Sized, np.array(flat_a), np.array(flat_b), last_a, last_b, tokens) == [
+        "8|0,1;2,3,4|5;", "", "1|6;"]
+    nothing = np.zeros(0, np.int64)
+    assert align.group_texts(Sized, nothing, nothing, nothing, nothing, np.zeros(1, np.int64)) == [""]

@@ -30,6 +30,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -90,6 +91,9 @@ class Tokenizers:
             self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
         self.size_a = np.array([len(b) for b in self.bytes_a])
         self.size_b = np.array([len(b) for b in self.bytes_b])
+        # What a token adds to the groups: its id and what follows, in a group and at its end.
+        self.shown = ([f"{i}{end}" for i in range(len(self.size_a)) for end in ",|"]
+                      + [f"{i}{end}" for i in range(len(self.size_b)) for end in ",;"])
 
     def encode_a(self, texts: list[str]) -> list[list[int]]:
         out: list[list[int] | None] = [
@@ -108,7 +112,7 @@ def _flat(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """(all ids, where each row begins and the last ends)."""
     at = np.zeros(len(rows) + 1, np.int64)
     np.cumsum([len(r) for r in rows], out=at[1:])
-    return np.fromiter((i for r in rows for i in r), np.int64, int(at[-1])), at
+    return np.fromiter(chain.from_iterable(rows), np.int64, int(at[-1])), at
 
 
 def lockstep(size_a: np.ndarray, at_a: np.ndarray, size_b: np.ndarray, at_b: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -137,6 +141,26 @@ def lockstep(size_a: np.ndarray, at_a: np.ndarray, size_b: np.ndarray, at_b: np.
     return unit[order], a[order], b[order], cut[order]
 
 
+def group_texts(tok: Tokenizers, flat_a: np.ndarray, flat_b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray,
+                tokens: np.ndarray) -> list[str]:
+    """The groups of each stretch as text, each group with ``;`` behind it.
+
+    ``last_*``: the places of the groups' last tokens; ``tokens``: how many tokens of both
+    kinds each stretch has. A group shows its A tokens, then its B tokens.
+    """
+    size_a, size_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+    shown = np.zeros(len(flat_a) + len(flat_b), np.int64)
+    # An A token comes after all B tokens of the groups before, a B token after its group's A tokens.
+    at_a = np.arange(len(flat_a)) + np.repeat(last_b + 1 - size_b, size_a)
+    at_b = np.arange(len(flat_b)) + np.repeat(last_a + 1, size_b)
+    shown[at_a], shown[at_b] = 2 * flat_a, 2 * (flat_b + len(tok.size_a))
+    shown[at_a[last_a]] += 1
+    shown[at_b[last_b]] += 1
+    parts = list(map(tok.shown.__getitem__, shown.tolist()))
+    ends = np.cumsum(tokens).tolist()
+    return ["".join(parts[i:j]) for i, j in zip([0, *ends], ends)]
+
+
 class Merged:
     """Stretches merged so far, as one row each: numbers, groups and linked pairs."""
 
@@ -162,16 +186,7 @@ class Merged:
         n = len(stretches)
         links = np.bincount(unit, minlength=n)
         counts = np.stack([np.diff(at_a), np.diff(at_b), np.bincount(unit[cut], minlength=n), links], axis=1)
-        # Group ends as places in the token rows, read off stretch by stretch.
-        ends_a, ends_b = (a[cut] - at_a[unit[cut]] + 1).tolist(), (b[cut] - at_b[unit[cut]] + 1).tolist()
-        k = 0
-        for x, y, m in zip(ids_a, ids_b, counts[:, 2].tolist()):
-            out, i, j = [], 0, 0
-            for _ in range(m):
-                p, q = ends_a[k], ends_b[k]
-                out.append(",".join(map(str, x[i:p])) + "|" + ",".join(map(str, y[j:q])))
-                i, j, k = p, q, k + 1
-            self.groups.append(";".join(out))
+        self.groups += group_texts(tok, flat_a, flat_b, a[cut], b[cut], counts[:, 0] + counts[:, 1])
         for s in stretches:
             self.row[s] = len(self.row)
         self.ok = np.concatenate([self.ok, ok])
@@ -210,7 +225,7 @@ def align_texts(texts: list[str | None], merged: Merged) -> tuple[list, ...]:
             else:
                 rows = rows[:0]
         counts[k] = merged.counts[rows].sum(axis=0)
-        groups = ";".join([merged.groups[i] for i in rows.tolist()])
+        groups = "".join([merged.groups[i] for i in rows.tolist()])[:-1]
         digests.append(hashlib.sha256(groups.encode()).hexdigest() if len(rows) else "")
         units.append(rows)
         owners.append(np.full(len(rows), k))
