@@ -140,3 +140,14 @@ def test_words_that_start_with_two_letters_are_not_tried_as_single(monkeypatch):
     got = tox.written_words("Well, then: b2b! (b) a, d. -x- _y_ $ it's")
     assert {"(b)a,d.-x-_y_$", "well,", "then:"} <= got
     assert not {"well,", "then:", "b2b!", "it's"} & set(tried) and {"(b)", "a,", "-x-", "_y_", "$"} <= set(tried)
+
+
+def test_words_are_tried_as_single_characters_once(monkeypatch):
+    words = tox.Words(np.zeros(tox.LM_SLOTS, np.float32))
+    lines = ["b a d word", "( a ) d one, b", "(a) d !b! word one,", "abc (a)d b a d", "", None, "a d b"]
+    want = [tox.written_words(line or "") for line in lines]
+    tried, plain = [], tox.single_characters
+    monkeypatch.setattr(tox, "single_characters", lambda some: tried.extend(some) or plain(some))
+    for _ in range(2):
+        assert [words.written(line) for line in lines] == want
+    assert sorted(tried) == sorted({w for line in lines for w in (line or "").split()})

@@ -30,7 +30,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 from itertools import groupby
 
@@ -100,7 +100,10 @@ def _lm_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def settle() -> None:
         counts: Counter = Counter()
         for word, n in seen.items():
-            counts[_letters(word) or _TRAIL.sub("", word)] += n
+            if word.isalpha():
+                counts[word] += n
+            elif word[0].isalpha():  # any other has no letters alone at its front
+                counts[_letters(word) or _TRAIL.sub("", word)] += n
         plain = [w for w in counts if w.isalpha()]
         for k in range(0, len(plain), 20_000):
             part = plain[k:k + 20_000]
@@ -215,6 +218,11 @@ def restore(word: str, cost: Costs) -> str:
     known = cost.known
     best: dict[str, tuple[float, tuple]] = {"\x02": (0.0, ())}     # paths as (path before, meant)
     for options in [*_lattice(word), [("\x03", 0.0)]]:
+        if len(best) == 1 and len(options) == 1:
+            # One path and one way on: its cost would be the same for all that follow.
+            [(state, (so_far, path))], [(meant, _)] = best.items(), options
+            best = {(state + meant)[-3:]: (so_far, (path, meant))}
+            continue
         step: dict[str, tuple[float, tuple]] = {}
         for state, (so_far, path) in best.items():
             for meant, channel in options:
@@ -235,13 +243,18 @@ def restore(word: str, cost: Costs) -> str:
     return "".join(reversed(out)).rstrip("\x03")
 
 
-def written_words(text: str) -> set[str]:
+def single_characters(words: set[str]) -> set[str]:
+    """The words that are a character written apart."""
+    # A word that starts with two letters or digits is none.
+    return {w for w in words if (len(w) == 1 or not (w.isalpha() or w[:2].isalnum())) and _SINGLE.match(w)}
+
+
+def written_words(text: str, singles_of: Callable[[set[str]], set[str]] = single_characters) -> set[str]:
     """Distinct lower-case words; three or more single characters in a row, with or without
     punctuation around them, also joined: the whole run and its parts between punctuation."""
     words = text.lower().split()
     out = set(words)
-    # A word that starts with two letters or digits is no single character.
-    singles = {w for w in out if (len(w) == 1 or not (w.isalpha() or w[:2].isalnum())) and _SINGLE.match(w)}
+    singles = singles_of(out)
     if singles:
         for single, run in groupby(words, singles.__contains__):
             if single and len(run := list(run)) >= 3:
@@ -312,34 +325,43 @@ def _scatter(h: np.ndarray, n: int) -> np.ndarray:
 
 
 class Words:
-    """What a task remembers of the words it has met: the meaning of each written form
-    (an index) and the sequence slots of each meaning."""
+    """What a task remembers of the words it has met: which are single characters, the
+    meaning of each written form (an index) and the sequence slots of each meaning."""
 
     def __init__(self, lm: np.ndarray) -> None:
         self.cost = Costs(lm)
         self.clear()
 
     def clear(self) -> None:
+        self.tried: set[str] = set()
+        self.singles: set[str] = set()
         self.meaning: dict[str, int] = {}
         self.index: dict[str, int] = {}
         self.slots = [np.zeros(0, np.int32)]
         self.count = [np.zeros(0, np.int64)]
         self.bests: dict[int, np.ndarray] = {}
 
+    def written(self, text: str | None) -> set[str]:
+        """``written_words`` of a text, each word tried as a single character once."""
+        return written_words(text or "", self._singles_of)
+
+    def _singles_of(self, words: set[str]) -> set[str]:
+        new = words.difference(self.tried)
+        self.tried |= new
+        self.singles |= single_characters(new)
+        return words & self.singles
+
     def meet(self, texts: list[set[str]]) -> list[np.ndarray]:
         """Indexes of the distinct meanings of each text's words."""
         if len(self.meaning) >= CACHE:
             self.clear()
-        fresh = []
         new = list(set().union(*texts).difference(self.meaning))
-        index, meaning = self.index, self.meaning
-        for word, run in zip(new, _runs(new).tolist()):
-            core = word if not run and word.isalpha() else (not run and _letters(word)) or plain_word(word, self.cost)
-            at = index.get(core)
-            if at is None:
-                at = index[core] = len(index)
-                fresh.append(core)
-            meaning[word] = at
+        index = self.index
+        cores = [word if not run and word.isalpha() else (not run and _letters(word)) or plain_word(word, self.cost)
+                 for word, run in zip(new, _runs(new).tolist())]
+        fresh = [core for core in dict.fromkeys(cores) if core not in index]
+        index.update(zip(fresh, range(len(index), len(index) + len(fresh))))
+        self.meaning.update(zip(new, map(index.__getitem__, cores)))
         for k in range(0, len(fresh), 20_000):
             slots, owners = sequence_slots(fresh[k:k + 20_000])
             self.slots.append(slots.astype(np.int32))
@@ -372,16 +394,20 @@ class Words:
 def _sequence_counts(batches: Iterator[pa.RecordBatch], lm: np.ndarray) -> Iterator[pa.RecordBatch]:
     """(text, toxic, half) -> (slot, counts of labelled texts that hold a sequence)."""
     held = np.zeros((4, SLOTS), np.int32)
+    last = np.zeros(SLOTS, np.int32)
     words = Words(lm)
     for batch in chunked(batches, 0):
         texts, toxic, half = (c.to_pylist() for c in batch.columns)
-        met = words.meet([written_words(t or "") for t in texts])
+        met = words.meet([words.written(t) for t in texts])
         slots, begins = words.flat()
         for ids, y, h in zip(met, toxic, half):
             if len(ids):
                 n = begins[ids + 1] - begins[ids]
                 within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                held[2 * h + y, np.unique(slots[np.repeat(begins[ids], n) + within])] += 1
+                met_slots = slots[np.repeat(begins[ids], n) + within]
+                place = np.arange(len(met_slots), dtype=np.int32)
+                last[met_slots] = place  # of equal slots, one counts
+                held[2 * h + y, met_slots[last[met_slots] == place]] += 1
     used = np.flatnonzero(held.any(axis=0))
     for k in range(0, len(used), 100_000):
         part = used[k:k + 100_000]
@@ -400,7 +426,7 @@ def _weight(toxic: Column, other: Column, n_toxic: float, n_other: float) -> Col
 def _features(texts: list[str | None], weights: list[np.ndarray], words: Words) -> list[np.ndarray]:
     """Per weight table: the best ``TOP_WORDS`` word weights of every text, and the log
     of its distinct words (the more words, the better the best is by chance)."""
-    met = words.meet([written_words(t or "") for t in texts])
+    met = words.meet([words.written(t) for t in texts])
     out = []
     for which, table in enumerate(weights):
         best = words.best(which, table)
