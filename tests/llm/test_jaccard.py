@@ -185,3 +185,39 @@ def test_lists_of_past_rounds_are_deleted(spark, monkeypatch):
     assert _got(jaccard.join_components(spark.createDataFrame(rows, "doc_id long, text string"))) == _brute(rows)
     assert len(made) > 1 and max(kept) <= 1
     assert not any(os.path.exists(folder) for folder in made)
+
+
+def test_rounds_join_components_not_all_links_again(spark, monkeypatch):
+    """What a round links is closed once: later rounds hold no edge, and no joined set, of it."""
+    calls, real = [], jaccard.component_roots
+
+    def closed(edges):
+        calls.append({(r["a"], r["b"]) for r in edges.collect()})
+        return real(edges)
+
+    monkeypatch.setattr(jaccard, "component_roots", closed)
+    monkeypatch.setattr(jaccard, "LINKING_SHARE", -1.0)
+    monkeypatch.setattr(jaccard, "MEETINGS", 0)
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(100)]
+    chain = [base[:]]
+    for step in range(12):   # each near the one before, its ends far apart
+        chain.append([w if not 8 * step <= i < 8 * step + 3 else f"n{step}_{i}" for i, w in enumerate(chain[-1])])
+    rows = [(i, " ".join(words)) for i, words in enumerate(chain)]
+    rows += [(100 + i, _edited(rng, [f"c{k}" for k in range(120)], rng.randrange(1, 7))) for i in range(30)]
+    assert _got(jaccard.join_components(spark.createDataFrame(rows, "doc_id long, text string"))) == _brute(rows)
+    gone: set[int] = set()
+    for edges in calls:
+        assert not gone & {x for edge in edges for x in edge}
+        parent = {x: x for edge in edges for x in edge}
+        for _ in parent:
+            for a, b in edges:
+                parent[a] = parent[b] = min(parent[a], parent[b])
+        gone |= {x for x, least in parent.items() if x != least}
+    assert len(calls) > 1
+
+
+def test_few_meetings_end_the_rounds(spark):
+    met = spark.createDataFrame([(1, 5), (1, 5), (1, 6), (2, 7), (2, 8), (2, 9), (3, 4)], "a_h long, a_root long")
+    assert jaccard._meetings(met) == (7, 5)
+    assert jaccard._meetings(met.limit(0)) == (0, 0)

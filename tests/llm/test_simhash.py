@@ -7,6 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from valuescope.llm import simhash
+from valuescope.llm import components
 from valuescope.llm.components import component_roots
 
 from .helpers import awkward, documents, empty
@@ -108,3 +109,13 @@ def test_one_of_each_keeps_the_least_key(spark):
     groups = simhash.near_duplicates(documents(spark))
     kept = {r["doc_id"] for r in simhash.one_of_each(documents(spark)).collect()}
     assert kept == {r["component_id"] for r in groups.select(F.col("component_id")).distinct().collect()}
+
+
+def test_edges_that_are_stars_need_no_round(spark, monkeypatch):
+    made, real = [], components.pin
+    monkeypatch.setattr(components, "pin", lambda df: made.append(1) or real(df))
+    edges = spark.createDataFrame([(1, k) for k in range(2, 40)] + [(k, 50) for k in range(51, 60)], "a long, b long")
+    got = {r["node"]: r["root"] for r in component_roots(edges).collect()}
+    assert got == {k: 1 if k < 40 else 50 for k in [*range(1, 40), *range(50, 60)]}
+    assert len(made) == 1
+    assert component_roots(edges.limit(0)).count() == 0

@@ -17,7 +17,9 @@ at least min(m_x, m_y). Every step below uses this, so no link is lost:
    are at most (postings met) / m of them.
 3. Pivots: the members of a prefix token's list are compared with one of them, not with
    each other, and each set with only one pivot a round. Rounds go on while they link
-   many, so groups of near copies become components at a cost linear in their size.
+   many and much is left to meet, so groups of near copies become components at a cost
+   linear in their size. Each round's links join the
+   components so far, not the sets, so every round's closure starts where the last ended.
 4. What is left: pairs from two components that share min(m_x, m_y) prefix members are
    verified by exact intersection. Before that, each meeting of two sets in a list must
    leave room for the overlap that their sizes ask for: by the places of the shared
@@ -57,7 +59,8 @@ SCREEN_SHARE = 20       # the screen asks for a twentieth of the set as matches
 PIECE_BYTES = 1 << 20   # very long texts are split into words piece by piece
 CACHED_WORDS = 1 << 16
 PAIR_COST, MEMBER_COST = 10.0, 0.1   # verifying a pair, in postings: fixed and per member
-LINKING_SHARE = 0.1     # pivot rounds go on while this share of their tests links
+LINKING_SHARE = 0.1     # pivot rounds go on while this share of their tests links,
+MEETINGS = 2            # and pairs of two components in the open lists exceed this many times their rows
 PARITY_BITS = 256
 _PARITY = [f"p{i}" for i in range(PARITY_BITS // 64)]
 _SHOWN = ["c", "root", "n", "k", "at", *_PARITY]   # what a pivot is judged by
@@ -239,7 +242,7 @@ def _could_link(a: str, b: str, percent: int) -> Column:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold, by exact intersection."""
+    """The ``pairs`` (a, b, ...) whose sets reach the threshold, by exact intersection."""
     # Only the sets of some pair move.
     named = pairs.select(F.col("a").alias("c0")).unionByName(pairs.select(F.col("b").alias("c0"))).distinct()
     needed = sets.join(bounded_broadcast(named), F.col("c") == F.col("c0"), "left_semi")
@@ -247,14 +250,19 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     right = needed.select(F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("members").alias("x2"))
     both = pairs.join(left, F.col("a") == F.col("c1")).join(right, F.col("b") == F.col("c2"))
     common = F.size(F.array_intersect("x1", "x2"))
-    return both.where(common * 100 >= (F.col("n1") + F.col("n2") - common) * percent).select("a", "b")
+    return both.where(common * 100 >= (F.col("n1") + F.col("n2") - common) * percent).select(*pairs.columns)
 
 
-def _with_roots(postings: DataFrame, edges: DataFrame) -> DataFrame:
-    """``postings`` with the component each set is in so far."""
-    roots = bounded_broadcast(component_roots(edges))
-    return postings.join(roots, F.col("c") == F.col("node"), "left").withColumn(
-        "root", F.coalesce("root", "c")).drop("node")
+def _joins(edges: DataFrame) -> DataFrame:
+    """(node, new): what the components that ``edges`` (root_a, root_b) link become."""
+    roots = component_roots(edges.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    return bounded_broadcast(roots.select("node", F.col("root").alias("new")))
+
+
+def _joined(rows: DataFrame, joins: DataFrame) -> DataFrame:
+    """``rows`` with the component each ``root`` has become."""
+    return rows.join(joins, F.col("root") == F.col("node"), "left").withColumn(
+        "root", F.coalesce("new", "root")).drop("node", "new")
 
 
 def _met(postings: DataFrame, step: int) -> DataFrame:
@@ -270,49 +278,64 @@ def _met(postings: DataFrame, step: int) -> DataFrame:
 
 
 def _pivot_tests(met: DataFrame, percent: int) -> DataFrame:
-    """(a, b): every set with one pivot of another component, that of most shared lists."""
+    """(a, b, root_a, root_b): every set with one pivot of another component, that of most shared lists."""
     met = met.where((F.col("a_root") != F.col("b_root")) & _could_link("a_", "b_", percent))
-    tests = met.groupBy("a_c", "b_c").count()
-    return tests.groupBy("a_c").agg(F.max(F.struct("count", "b_c")).alias("best")).select(
-        F.col("a_c").alias("a"), F.col("best.b_c").alias("b"))
+    tests = met.groupBy("a_c", "b_c", "a_root", "b_root").count()
+    return tests.groupBy("a_c", "a_root").agg(F.max(F.struct("count", "b_c", "b_root")).alias("best")).select(
+        F.col("a_c").alias("a"), F.col("best.b_c").alias("b"), F.col("a_root").alias("root_a"),
+        F.col("best.b_root").alias("root_b"))
+
+
+def _meetings(met: DataFrame) -> tuple[int, int]:
+    """(rows, pairs of rows of two components) of the lists."""
+    parts = met.groupBy("a_h", "a_root").agg(F.count("*").alias("n"))
+    lists = parts.groupBy("a_h").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
+    rows, pairs = lists.agg(F.sum("n"), F.sum(F.expr("(n * n - own) div 2"))).first()
+    return rows or 0, pairs or 0
 
 
 def _remaining_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of two components with enough shared prefix members."""
+    """(a, b, root_a, root_b): pairs of two components with enough shared prefix members."""
     shown = [x for x in postings.columns if x != "central"]
     left, right = (postings.select(*(F.col(x).alias(p + x) for x in shown)) for p in ("a_", "b_"))
     met = salted_join(left, right, "a_h", "b_h").where("a_c < b_c and a_root <> b_root").where(
         _could_link("a_", "b_", percent))
-    return (met.groupBy(F.col("a_c").alias("a"), F.col("b_c").alias("b"), F.least("a_m", "b_m").alias("m")).count()
-            .where("count >= m").select("a", "b"))
+    return (met.groupBy(F.col("a_c").alias("a"), F.col("b_c").alias("b"), F.col("a_root").alias("root_a"),
+                        F.col("b_root").alias("root_b"), F.least("a_m", "b_m").alias("m")).count()
+            .where("count >= m").select("a", "b", "root_a", "root_b"))
 
 
-def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Edges (a, b) between ``sets`` (c, n, members) whose closure is that of all links."""
+def set_roots(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(c, root): the component, by links, of every one of ``sets`` (c, n, members)."""
     # Each round's lists replace those of the round before, which are deleted.
     held = pin(_postings(sets, percent))
+    columns = [*held.columns, "root"]
     postings = held.withColumn("root", F.col("c"))
-    columns = held.columns
-    edges, step = None, 0
+    named = sets.select("c", F.col("c").alias("root"))
+    step, linking = 0, True
     while True:
         # A list of one component stays one: only open lists go on.
         met = pin(_met(postings, step))
         unpin(held)
-        held, tests = met, pin(_pivot_tests(met, percent))
+        held, (rows, pairs) = met, _meetings(met)
+        if step and (not linking or pairs <= MEETINGS * rows):
+            break
+        tests = pin(_pivot_tests(met, percent))
         new = pin(_verified(tests, sets, percent))
         n_tests, n_new = tests.count(), new.count()
         unpin(tests)
-        edges = new if edges is None else edges.unionByName(new)
-        postings = _with_roots(met.select(*(F.col("a_" + c).alias(c) for c in columns)), edges)
-        step += 1
-        if n_new <= LINKING_SHARE * n_tests:
-            break
-    ends = postings.groupBy(F.col("h").alias("h2")).agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    open_ = pin(postings.join(ends.where("lo < hi").select("h2"), F.col("h") == F.col("h2"), "left_semi"))
+        postings = met.select(*(F.col("a_" + x).alias(x) for x in columns))
+        if n_new:
+            joins = _joins(new)
+            postings, named = _joined(postings, joins), _joined(named, joins)
+        step, linking = step + 1, n_new > LINKING_SHARE * n_tests
+    if rows:
+        pairs = pin(_remaining_pairs(met.select(*(F.col("a_" + x).alias(x) for x in columns)), percent))
+        new = pin(_verified(pairs, sets, percent))
+        if new.count():
+            named = _joined(named, _joins(new))
     unpin(held)
-    pairs = pin(_remaining_pairs(open_, percent))
-    unpin(open_)
-    return edges.unionByName(pin(_verified(pairs, sets, percent)))
+    return named
 
 
 def join_components(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
@@ -322,7 +345,7 @@ def join_components(df: DataFrame, key: str = "doc_id", text: str = "text", shin
     marked = pin(_screened(rows, shingle, percent))
     kept = pin(_survivors(marked))
     sets = _sets(rows, kept, shingle)
-    roots = component_roots(links(sets, percent))
+    roots = set_roots(sets, percent).withColumnRenamed("c", "node")
     named = sets.select("c", F.col("s1").alias("d1"), F.col("s2").alias("d2")).join(
         roots, F.col("c") == F.col("node")).select("d1", "d2", "root")
     # A set's key is its least; a component's that of its sets.
