@@ -6,7 +6,8 @@ internal names first, so further columns of the input never clash with its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -67,3 +68,21 @@ def chunked(batches: Iterable[pa.RecordBatch], text_index: int,
     """``text_chunks`` over a stream of batches."""
     for batch in batches:
         yield from text_chunks(batch, text_index, chunk_bytes)
+
+
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+           ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow; a worker gives what it no longer holds back to the system.
+
+    Workers wait for the next task with the memory that the last one freed, and an
+    executor's idle ones count beside those at work.
+    """
+
+    def then(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim:
+            trim(0)
+
+    return then

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunked, col, spare_name
+from .common import chunked, col, spare_name, tidied
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 1.0
@@ -333,7 +333,7 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", out: str = "i
             ids = pa.array(got, pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(names) - 1)] + [ids], names=names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidied(run), schema)
 
 
 def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", model_file: str = MODEL) -> DataFrame:
@@ -368,7 +368,7 @@ def round_trip(df: DataFrame, key: str = "doc_id", text: str = "text", model_fil
                 [batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32())),
                  pa.array(decode_ids(ids, tables), pa.string())], names=["_k", "_t", "ids", "decoded"])
 
-    back = rows.mapInArrow(run, f"_k {kinds['_k']}, _t {kinds['_t']}, ids array<int>, decoded string")
+    back = rows.mapInArrow(tidied(run), f"_k {kinds['_k']}, _t {kinds['_t']}, ids array<int>, decoded string")
     lossless: Column = F.col("decoded").eqNullSafe(F.col("_t"))
     return back.select(F.col("_k").alias(key), F.col("_t").alias(text), "ids",
                        F.when(F.col("ids").isNotNull(), F.size("ids")).alias("n_pieces"), "decoded",

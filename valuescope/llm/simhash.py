@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import pin
-from .common import chunked, col, numbered
+from .common import chunked, col, numbered, tidied
 from .components import component_roots
 
 SHINGLE = 3
@@ -96,7 +96,7 @@ def with_fingerprint(df: DataFrame, text: str, out: str, shingle: int = SHINGLE)
             got = np.array([fingerprint(t or b"", shingle) for t in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got)], names=[*names, out])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidied(run), schema)
 
 
 def _pair_counts(nodes: DataFrame) -> tuple[int, np.ndarray]:

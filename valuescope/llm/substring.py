@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from ..session import pin
-from .common import chunked, col, numbered
+from .common import chunked, col, numbered, tidied
 
 MIN_SENTENCES = 2
 MIN_WORDS = 20
@@ -155,10 +155,10 @@ def covered(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     """
     docs = df.select(col(key).alias("_k"), F.xxhash64(col(key), col(text)).alias("d"), col(text).alias("_t"))
     shape = f"_k {docs.schema['_k'].dataType.simpleString()}, d long, first int, h1 long, h2 long"
-    rows = docs.mapInArrow(_span_rows, shape).sortWithinPartitions("h1", "h2", "_k", "d", "first")
+    rows = docs.mapInArrow(tidied(_span_rows), shape).sortWithinPartitions("h1", "h2", "_k", "d", "first")
     # At most one row a span and partition is left under the span's hash.
     place = F.rank().over(Window.partitionBy("h1", "h2").orderBy("_k", "d", "first"))
-    again = rows.mapInArrow(_told_apart, shape).withColumn("place", place).where("h2 is null or place > 1")
+    again = rows.mapInArrow(tidied(_told_apart), shape).withColumn("place", place).where("h2 is null or place > 1")
     return again.groupBy(F.coalesce("d", "h1").alias("d")).agg(F.collect_set("first").alias("cuts"))
 
 
@@ -194,4 +194,4 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", n_cut: str | N
                 columns.append(pa.array(counts, pa.int32()))
             yield pa.RecordBatch.from_arrays(columns, names=wanted)
 
-    return joined.mapInArrow(cut, schema).toDF(*df.columns, *([n_cut] if n_cut else []))
+    return joined.mapInArrow(tidied(cut), schema).toDF(*df.columns, *([n_cut] if n_cut else []))

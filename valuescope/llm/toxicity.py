@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunked, col, spare_name
+from .common import chunked, col, spare_name, tidied
 
 LM_SLOTS = 1 << 18
 SLOTS = 1 << 20
@@ -125,7 +125,7 @@ def _lm_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def language_model(df: DataFrame, text: str = "text") -> np.ndarray:
     """Counts of the hashed 1- to 4-grams over all rows: ``LM_SLOTS`` numbers."""
-    rows = df.select(col(text).alias("t")).mapInArrow(_lm_counts, "slot long, n long").groupBy("slot").agg(
+    rows = df.select(col(text).alias("t")).mapInArrow(tidied(_lm_counts), "slot long, n long").groupBy("slot").agg(
         F.sum("n").alias("n")).toArrow()
     counts = np.zeros(LM_SLOTS, np.float32)
     counts[rows.column("slot").to_numpy()] = rows.column("n").to_numpy()
@@ -500,7 +500,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     if not (toxic and other):
         return lm, weights[2], beta
     counts = rows.mapInArrow(
-        partial(_sequence_counts, lm=lm), "slot long, n0 long, n1 long, n2 long, n3 long").groupBy("slot").agg(
+        tidied(partial(_sequence_counts, lm=lm)), "slot long, n0 long, n1 long, n2 long, n3 long").groupBy("slot").agg(
         *[F.sum(f"n{k}").alias(f"n{k}") for k in range(4)])
     found = counts.select(
         "slot", _weight(F.col("n1"), F.col("n0"), n[1], n[0]).alias("w0"),
@@ -511,7 +511,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     for k in range(3):
         weights[k][at] = found.column(f"w{k}").to_numpy()
     got = rows.mapInArrow(
-        partial(_feature_rows, halves=weights[:2], lm=lm),
+        tidied(partial(_feature_rows, halves=weights[:2], lm=lm)),
         "toxic int, " + ", ".join(f"f{i} double" for i in range(TOP_WORDS + 1))).toArrow()
     x = np.column_stack([got.column(i).to_numpy() for i in range(1, got.num_columns)])
     y = got.column(0).to_numpy().astype(float)
@@ -532,7 +532,7 @@ def with_score(df: DataFrame, model: Model, text: str = "text", out: str = "scor
             got = scores(shared.value, batch.column(at).to_pylist(), words)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got)], names=names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidied(run), schema)
 
 
 def held_out(key: Column) -> Column:
